@@ -36,6 +36,16 @@ def create_text(spark: SparkSession, path: str, lines: list[str]) -> None:
         out.close()
 
 
+def first_line(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        reader = spark._jvm.java.io.InputStreamReader(stream, "UTF-8")
+        return spark._jvm.java.io.BufferedReader(reader).readLine()
+    finally:
+        stream.close()
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return fs.delete(p, True)

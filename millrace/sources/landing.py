@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 import re
 from collections.abc import Sequence
-from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +13,7 @@ from pyspark.sql import types as T
 from millrace import files
 from millrace.functions.paths import DATED_FOLDER, natural_key
 from millrace.operators.dedupe import SOURCE_FILE
+from millrace.operators.increment import high_water_mark
 
 PARTITION_COLUMNS = ["year", "month", "day"]
 
@@ -147,17 +147,22 @@ def files_after_cursor(
         return list_files(spark, [root]).orderBy(natural_key(F.col("path")), "path")
     start = dt.date(*(int(g) for g in found.groups()))
     listing = list_files(spark, day_folders(spark, root, start, until or dt.date.today()))
-    key, cursor_key = natural_key(F.col("path")), natural_key(F.lit(cursor))
-    behind = (key > cursor_key) | ((key == cursor_key) & (F.col("path") > F.lit(cursor)))
+    # compared from the dated folders on, so that it does not matter how the root is spelled
+    inside = F.regexp_extract("path", r"year=\d+/.*", 0)
+    key, cursor_key = natural_key(inside), natural_key(F.lit(cursor[found.start() :]))
+    behind = (key > cursor_key) | ((key == cursor_key) & (inside > F.lit(cursor[found.start() :])))
     return listing.filter(behind).orderBy(natural_key(F.col("path")), "path")
 
 
-def extract_increment(df: DataFrame, cursor_field: str, state: Any) -> tuple[DataFrame, DataFrame]:
-    """(records at or after the stored cursor, one-row DataFrame with the new ``cursor``).
+def extract_increment(df: DataFrame, cursor_field: str, state: str | None) -> tuple[DataFrame, str | None]:
+    """(records at or after the stored cursor, cursor to store next), cursors as text.
 
     The boundary is included, so a record that shares the last seen value is not missed;
-    the keyed upsert downstream makes reading it twice harmless.
+    the keyed upsert downstream makes reading it twice harmless. The new cursor is taken
+    before the records are used, so that it does not move during a run.
     """
-    fresh = df if state is None else df.filter(F.col(cursor_field) >= F.lit(state))
-    kept = F.lit(state) if state is not None else F.lit(None)
-    return fresh, fresh.agg(F.coalesce(F.max(cursor_field), kept).alias("cursor"))
+    fresh = df
+    if state is not None:
+        fresh = df.filter(F.col(cursor_field) >= F.lit(state).cast(df.schema[cursor_field].dataType))
+    newest = high_water_mark(fresh, cursor_field)
+    return fresh, state if newest is None else newest

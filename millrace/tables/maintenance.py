@@ -25,16 +25,15 @@ def expire_snapshots(table: VersionedTable, older_than: dt.datetime) -> int:
     first_kept = keep.agg(F.min("version").alias("v")).first()["v"]
     if first_kept is None or first_kept <= table.first_kept():
         return current
-    at = table.clock().astimezone(dt.timezone.utc).isoformat()
-    snapshot = {"kind": "snapshot", "operation": "expire", "schema": table.schema().json()}
-    expire = {"kind": "expire"}
-    table._write_log(
-        current + 1,
-        [
-            {**snapshot, "version": current + 1, "committed_at": at},
-            {**expire, "version": first_kept, "committed_at": at},
-        ],
-    )
+    snapshot = {
+        "kind": "snapshot",
+        "version": current + 1,
+        "committed_at": table.clock().astimezone(dt.timezone.utc).isoformat(),
+        "operation": "expire",
+        "schema": table.schema().json(),
+        "first_kept": first_kept,
+    }
+    table._write_log(current + 1, [snapshot])
     return current + 1
 
 
@@ -51,7 +50,7 @@ def cleanup_old_files(table: VersionedTable, dry_run: bool = True) -> list[str]:
 def orphan_files(table: VersionedTable) -> DataFrame:
     """Parquet files below the table that its log does not know: ``path, length``."""
     found = list_files(table.spark, [table.data_path])
-    name = F.concat_ws("/", F.slice(F.split("path", "/"), -2, 2)).alias("path")
+    name = F.concat_ws("/", F.slice(F.split("path", "/"), -2, 2)).alias("path")  # as in the log
     return found.select(name, "length").join(table.data_files().select("path"), "path", "left_anti")
 
 

@@ -18,7 +18,7 @@ import uuid
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,7 +28,7 @@ from millrace.operators.merge import key_set
 
 LOG_SCHEMA = """
     kind string, version long, committed_at timestamp, operation string, batch_id string,
-    schema string, path string, record_count long, file_size long
+    schema string, first_kept long, path string, record_count long, file_size long
 """
 
 
@@ -67,37 +67,48 @@ class VersionedTable:
             return self.spark.createDataFrame([], LOG_SCHEMA)
         return self.spark.read.schema(LOG_SCHEMA).json(self.log_path)
 
+    def head(self, version: int | None = None) -> dict[str, Any]:
+        """The snapshot entry of a version (the current one by default), first in its log file."""
+        version = self.current_version() if version is None else version
+        path = f"{self.log_path}/{version:012d}.json"
+        if not version or not files.exists(self.spark, path):
+            raise ValueError(f"table {self.name} has no version {version}")
+        return json.loads(files.first_line(self.spark, path))
+
     def first_kept(self) -> int:
         """Oldest version that is not expired."""
-        row = self.log().filter("kind = 'expire'").agg(F.max("version").alias("v")).first()
-        return row["v"] or 1
+        return self.head()["first_kept"] if self.exists() else 1
 
     def snapshots(self) -> DataFrame:
         """``version, committed_at, operation, batch_id, expired``, one row per snapshot."""
-        return (
-            self.log()
-            .filter("kind = 'snapshot'")
-            .select("version", "committed_at", "operation", "batch_id", (F.col("version") < self.first_kept()).alias("expired"))
-        )
+        expired = (F.col("version") < self.first_kept()).alias("expired")
+        snapshots = self.log().filter("kind = 'snapshot'")
+        return snapshots.select("version", "committed_at", "operation", "batch_id", expired)
 
     def data_files(self) -> DataFrame:
         """``path, record_count, file_size, begin_snapshot, end_snapshot``; a NULL end is current."""
-        log = self.log()
-        removed = log.filter("kind = 'remove'").select("path", F.col("version").alias("end_snapshot"))
         return (
-            log.filter("kind = 'add'")
-            .select("path", "record_count", "file_size", F.col("version").alias("begin_snapshot"))
-            .join(removed, "path", "left")
+            self.log()
+            .filter("kind IN ('add', 'remove')")
+            .groupBy("path")
+            .agg(
+                F.max("record_count").alias("record_count"),
+                F.max("file_size").alias("file_size"),
+                F.min(F.when(F.col("kind") == "add", F.col("version"))).alias("begin_snapshot"),
+                F.max(F.when(F.col("kind") == "remove", F.col("version"))).alias("end_snapshot"),
+            )
         )
 
     def files_at(self, version: int | None = None) -> DataFrame:
         """Data files valid at a version (the current one by default)."""
+        return self.data_files().filter(self._valid_at(version))
+
+    @staticmethod
+    def _valid_at(version: int | None) -> Column:
         if version is None:
-            return self.data_files().filter("end_snapshot IS NULL")
-        valid = (F.col("begin_snapshot") <= version) & (
-            F.col("end_snapshot").isNull() | (F.col("end_snapshot") > version)
-        )
-        return self.data_files().filter(valid)
+            return F.col("end_snapshot").isNull()
+        ended = F.coalesce(F.col("end_snapshot") <= version, F.lit(False))
+        return (F.col("begin_snapshot") <= version) & ~ended
 
     def has_batch(self, batch_id: str) -> bool:
         return bool(self.log().filter((F.col("kind") == "snapshot") & (F.col("batch_id") == batch_id)).take(1))
@@ -105,11 +116,7 @@ class VersionedTable:
     # -- reading -----------------------------------------------------------------------
 
     def schema(self, version: int | None = None) -> T.StructType:
-        version = version or self.current_version()
-        row = self.log().filter((F.col("kind") == "snapshot") & (F.col("version") == version)).select("schema").first()
-        if row is None:
-            raise ValueError(f"table {self.name} has no version {version}")
-        return T.StructType.fromJson(json.loads(row["schema"]))
+        return T.StructType.fromJson(json.loads(self.head(version)["schema"]))
 
     def _read_paths(self, paths: Sequence[str], schema: T.StructType) -> DataFrame:
         if not paths:
@@ -118,25 +125,22 @@ class VersionedTable:
 
     def read(self, version: int | None = None) -> DataFrame:
         """Rows as of a version. Only file names pass through the driver."""
+        schema = self.schema(version)
         if version is not None and version < self.first_kept():
             raise ValueError(f"version {version} of {self.name} is expired")
-        schema = self.schema(version)
-        valid = self.files_at(version).select("path", F.lit(True).alias("valid"))
-        folder = F.substring_index("path", "/", 1)
-        # a load whose files are all valid is named by its folder, not file by file
-        added = self.data_files().select("path")
-        whole = (
-            added.join(valid, "path", "left")
-            .groupBy(folder.alias("folder"))
-            .agg(F.bool_and(F.coalesce("valid", F.lit(False))).alias("whole"))
-        )
-        named = (
-            valid.withColumn("folder", folder)
-            .join(whole, "folder")
-            .select(F.when(F.col("whole"), F.col("folder")).otherwise(F.col("path")).alias("path"))
-            .distinct()
-        )
-        return self._read_paths([r["path"] for r in named.toLocalIterator()], schema)
+        return self._read_paths(self._paths(version), schema)
+
+    def _paths(self, version: int | None = None) -> list[str]:
+        """What to read for a version: folders of loads that are valid as a whole, else files."""
+        loads: dict[str, list[str]] = {}
+        partly: set[str] = set()
+        for row in self.data_files().select("path", self._valid_at(version).alias("valid")).toLocalIterator():
+            load = row["path"].split("/")[0]
+            if row["valid"]:
+                loads.setdefault(load, []).append(row["path"])
+            else:
+                partly.add(load)
+        return [p for load, names in loads.items() for p in (names if load in partly else [load])]
 
     # -- writing -----------------------------------------------------------------------
 
@@ -147,21 +151,20 @@ class VersionedTable:
         rows.write.mode("errorifexists").parquet(f"{self.data_path}/{folder}")
         return folder
 
-    def _written(self, folder: str) -> list[dict[str, Any]]:
-        """The files of a staged folder with row counts (footers only) and sizes."""
-        path = f"{self.data_path}/{folder}"
-        name = F.element_at(F.split("file", "/"), -1).alias("name")
-        counts = (
-            self.spark.read.parquet(path)
-            .groupBy(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("file_size"))
-            .count()
-            .select(name, "file_size", "count")
-        )
+    def _written(self, folders: Sequence[str]) -> list[dict[str, Any]]:
+        """The files of staged folders with row counts (footers only) and sizes."""
+        staged = self.spark.read.parquet(*[f"{self.data_path}/{f}" for f in folders])
+        counts = staged.groupBy(self._inner_path(), F.col("_metadata.file_size").alias("file_size")).count()
         return [
-            {"path": f"{folder}/{r['name']}", "record_count": r["count"], "file_size": r["file_size"]}
+            {"path": r["_file"], "record_count": r["count"], "file_size": r["file_size"]}
             for r in counts.toLocalIterator()
         ]
 
+    @staticmethod
+    def _inner_path() -> Column:
+        """Path of a row's file below ``data/``."""
+        return F.concat_ws("/", F.slice(F.split(F.col("_metadata.file_path"), "/"), -2, 2)).alias("_file")
+
     def _commit(
         self,
         operation: str,
@@ -181,10 +184,10 @@ class VersionedTable:
                 "operation": operation,
                 "batch_id": batch_id,
                 "schema": schema.json(),
+                "first_kept": self.first_kept(),
             }
         ]
-        for folder in added:
-            entries += [{"kind": "add", "version": version, **f} for f in self._written(folder)]
+        entries += [{"kind": "add", "version": version, **f} for f in self._written(added)]
         entries += [{"kind": "remove", "version": version, "path": p} for p in removed]
         self._write_log(version, entries)
         return version
@@ -209,7 +212,7 @@ class VersionedTable:
         """Replace all rows; earlier versions stay readable."""
         expected = self.current_version()
         folder = self._stage(df, "full", sort)
-        removed = [r["path"] for r in self.files_at().select("path").toLocalIterator()]
+        removed = [r["path"] for r in self.files_at().select("path").toLocalIterator()] if expected else []
         return self._commit(operation, self._nullable(df.schema), [folder], removed, batch_id, expected)
 
     def append(self, df: DataFrame, batch_id: str | None = None) -> int:
@@ -260,7 +263,10 @@ class VersionedTable:
 
     def _files_with(self, rows: DataFrame, keys: Sequence[str]) -> list[str]:
         """Current files that hold a key of ``rows``."""
-        target = self.read()
+        paths = self._paths()
+        if not paths:
+            return []
+        target = self._read_paths(paths, self.schema())
         limits = [f(k).cast("string").alias(f"{side}_{k}") for k in keys for side, f in (("low", F.min), ("high", F.max))]
         bounds = rows.agg(*limits).first()
         for key in keys:
@@ -269,9 +275,8 @@ class VersionedTable:
                 return []
             kind = target.schema[key].dataType
             target = target.filter(F.col(key).between(F.lit(low).cast(kind), F.lit(high).cast(kind)))
-        path = F.concat_ws("/", F.slice(F.split(F.col("_metadata.file_path"), "/"), -2, 2))
-        hit = target.select(*keys, path.alias("_path")).join(key_set(rows, keys), list(keys), "left_semi")
-        return [r["_path"] for r in hit.select("_path").distinct().toLocalIterator()]
+        hit = target.select(*keys, self._inner_path()).join(key_set(rows, keys), list(keys), "left_semi")
+        return [r["_file"] for r in hit.select("_file").distinct().toLocalIterator()]
 
     def write(self, df: DataFrame, mode: str, keys: Sequence[str] = (), version: str | None = None) -> int:
         """Write by destination sync mode: append, overwrite, append_dedup or merge."""
