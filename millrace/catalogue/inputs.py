@@ -12,13 +12,29 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace import files
 from millrace.plans.processed import EXTRACTED, LOAD
 from millrace.session import work_dir
 from millrace.sources.landing import append_landing, with_partition_columns
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+#: Bytes per core below which a table is spread by hand; one scan task reads more than this.
+SMALL = 16 * 1024 * 1024
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, spread: str | None = None) -> DataFrame:
+    """A given table.
+
+    A small table that is a single row group is read by one task, and so would be all the
+    per-row work on it. ``spread`` names a column to spread such a table over the cores by;
+    a table large enough to be split by the scan itself is left alone.
+    """
+    path = f"{sf_dir}/{name}.parquet"
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    if spread is not None and files.size(spark, path) < SMALL * cores:
+        return df.repartition(cores, spread)
+    return df
 
 
 def _versions(df: DataFrame, key: str) -> DataFrame:
@@ -72,7 +88,7 @@ def _day_text_sql(key: str) -> str:
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _versions(table(spark, sf_dir, "orders"), "o_orderkey")
+    rows = _versions(table(spark, sf_dir, "orders", "o_orderkey"), "o_orderkey")
     status = F.when(F.col("v") > 1, "refunded").otherwise(
         F.when(F.col("o_orderstatus") == "F", "paid").when(F.col("o_orderstatus") == "O", "pending").otherwise("authorized")
     )
@@ -130,7 +146,7 @@ ORDERS_SQL = (
 
 def refunds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Refunds of returned order lines; refund ids repeat, some have no transactions."""
-    rows = table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R")
+    rows = table(spark, sf_dir, "lineitem", "l_orderkey").filter(F.col("l_returnflag") == "R")
     amount = F.col("l_extendedprice").cast("decimal(10,2)").cast("string")
     transactions = F.array(
         F.concat(F.lit('{"amount":"'), amount, F.lit('","test":false}')), F.lit('{"amount":"1.00"}'), F.lit("{}")
@@ -188,7 +204,7 @@ SALES_SQL = (
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.split("c_name", "#")
-    df = _versions(table(spark, sf_dir, "customer"), "c_custkey").select(
+    df = _versions(table(spark, sf_dir, "customer", "c_custkey"), "c_custkey").select(
         F.col("c_custkey").alias("id"),
         F.concat(F.lit("c"), F.col("c_custkey").cast("string"), F.lit("@example.com")).alias("email"),
         name[0].alias("first_name"),
@@ -225,7 +241,7 @@ CUSTOMERS_SQL = (
 def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     places = nation.join(region, nation.n_regionkey == region.r_regionkey)
-    people = table(spark, sf_dir, "customer").join(places, F.col("c_nationkey") == F.col("n_nationkey"))
+    people = table(spark, sf_dir, "customer", "c_custkey").join(places, F.col("c_nationkey") == F.col("n_nationkey"))
     key = F.col("c_custkey")
     location = F.struct(
         F.col("n_name").alias("city"),
@@ -292,7 +308,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
         metric=F.struct(F.struct(F.col("event_type").alias("id")).alias("data")),
         profile=F.struct(F.struct(F.col("user_id").cast("string").alias("id")).alias("data")),
     )
-    df = _versions(table(spark, sf_dir, "events"), "event_id").select(
+    df = _versions(table(spark, sf_dir, "events", "event_id"), "event_id").select(
         F.col("event_id").cast("string").alias("id"),
         F.col("ts").alias("datetime"),
         attributes.alias("attributes"),
@@ -329,7 +345,7 @@ def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
         scheduled_at=F.when(key % 3 != 0, _day_text("p_partkey")),
         audiences=F.struct(F.array(F.col("p_brand")).alias("included")),
     )
-    df = _versions(table(spark, sf_dir, "part"), "p_partkey").select(
+    df = _versions(table(spark, sf_dir, "part", "p_partkey"), "p_partkey").select(
         F.concat(F.lit("cmp-"), key.cast("string")).alias("id"),
         attributes.alias("attributes"),
         _after("2024-02-01 00:00:00", "p_partkey % 20 + 20 * (v - 1)").alias(EXTRACTED),
@@ -388,7 +404,7 @@ def lists(spark: SparkSession, sf_dir: str) -> DataFrame:
         created=_day_text("c_custkey"),
         updated=F.concat(F.lit("v"), F.col("v").cast("string")),
     )
-    df = _versions(table(spark, sf_dir, "customer"), "c_custkey").select(
+    df = _versions(table(spark, sf_dir, "customer", "c_custkey"), "c_custkey").select(
         F.concat(F.lit("lst-"), F.col("c_custkey").cast("string")).alias("id"),
         attributes.alias("attributes"),
         _after("2024-02-01 00:00:00", "c_custkey % 20 + 20 * (v - 1)").alias(EXTRACTED),
@@ -450,7 +466,7 @@ def _tags_sql(key: str, status: str, priority: str) -> str:
 
 def erp_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("o_orderkey")
-    df = _versions(table(spark, sf_dir, "orders"), "o_orderkey").select(
+    df = _versions(table(spark, sf_dir, "orders", "o_orderkey"), "o_orderkey").select(
         key.alias("id"),
         "v",
         F.concat(F.lit("S"), F.lpad(key.cast("string"), 12, "0")).alias("order_reference"),
@@ -528,7 +544,7 @@ _CENTS = "cast(cast(l_extendedprice as decimal(12,2)) * 100 as bigint)"
 def erp_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines; ids repeat, the load id tells the versions apart."""
     line_id = F.col("l_orderkey") * 10 + F.col("l_linenumber")
-    df = table(spark, sf_dir, "lineitem").select(
+    df = table(spark, sf_dir, "lineitem", "l_orderkey").select(
         line_id.alias("id"),
         F.concat(F.lit("S"), F.lpad(F.col("l_orderkey").cast("string"), 12, "0")).alias("order_reference"),
         F.concat(F.lit("SKU-"), F.col("l_partkey").cast("string")).alias("sku"),
@@ -607,7 +623,7 @@ def order_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         address=F.when(key % 10 != 0, address),
         items=F.when(size > 0, F.transform(F.sequence(F.lit(1), F.greatest(size, F.lit(1))), item)),
     )
-    df = _versions(table(spark, sf_dir, "orders"), "o_orderkey").select(
+    df = _versions(table(spark, sf_dir, "orders", "o_orderkey"), "o_orderkey").select(
         document.alias("document"),
         F.concat((F.lit(1704067200) + F.col("v") * 86400).cast("string"), F.lit(".25")).alias(LOAD),
         F.concat(F.lit("d"), F.col("v").cast("string")).alias("_dlt_id"),

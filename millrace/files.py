@@ -23,6 +23,12 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(p))
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of a file or of all files below a folder."""
+    fs, p = _fs(spark, path)
+    return fs.getContentSummary(p).getLength()
+
+
 def create_text(spark: SparkSession, path: str, lines: list[str]) -> None:
     """Write a small text file that must not exist yet.
 

@@ -38,8 +38,12 @@ def _text_schema(paths: Sequence[str]) -> T.StructType:
 
 
 def json_texts(json: Column, paths: Sequence[str]) -> dict[str, Column]:
-    """Text at many paths of one payload, parsed once for all of them."""
-    parsed = F.from_json(json, _text_schema(paths))
+    """Text at many paths of one payload, parsed once for all of them.
+
+    The explicit mode (the default one) keeps the optimizer from narrowing the schema for
+    each path by itself, which would turn one shared parse into one per path.
+    """
+    parsed = F.from_json(json, _text_schema(paths), {"mode": "PERMISSIVE"})
     columns = {}
     for path in paths:
         column = parsed

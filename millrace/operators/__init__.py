@@ -6,7 +6,7 @@ from millrace.operators.increment import (
     newer_than,
     newer_than_target,
 )
-from millrace.operators.merge import append_dedup, delete_insert, replaced_rows
+from millrace.operators.merge import append_dedup, delete_insert, replaced_rows, salted_join
 
 __all__ = [
     "append_dedup",
@@ -19,4 +19,5 @@ __all__ = [
     "newer_than",
     "newer_than_target",
     "replaced_rows",
+    "salted_join",
 ]

@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 SOURCE_FILE = "_source_file"
 
 
-def _row_hash(df: DataFrame) -> Column:
+def row_hash(df: DataFrame) -> Column:
+    """Hash over all columns that can be hashed."""
     hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     return F.xxhash64(*[F.col(f"`{name}`") for name in hashable])
 
@@ -33,7 +34,7 @@ def latest_per_key(
     order = [F.col(v).desc_nulls_last() for v in versions]
     if tiebreak is None:
         tiebreak = [F.col(SOURCE_FILE).desc()] if SOURCE_FILE in df.columns else []
-        tiebreak = [*tiebreak, _row_hash(df)]
+        tiebreak = [*tiebreak, row_hash(df)]
     window = Window.partitionBy(*keys).orderBy(*order, *tiebreak)
     ranked = df.withColumn("_rank", F.row_number().over(window))
     return ranked.filter(F.col("_rank") == 1).drop("_rank")

@@ -32,15 +32,19 @@ def flatten_order_items(
 
     Orders without items give no row; an item without a price has NULL price columns.
     """
-    order = F.from_json(F.col(document), ORDER_DOCUMENT)
-    items = pages.select(*carry, order.alias("o")).select(*carry, "o", F.explode("o.items").alias("i"))
+    parsed = pages.select(*carry, F.from_json(F.col(document), ORDER_DOCUMENT, {"mode": "PERMISSIVE"}).alias("o"))
+    # only the context columns go on beside each item, not the document with all its items
+    items = parsed.select(
+        *[F.col(f"o.{c}").alias(f"order_{c}") for c in ORDER_COLUMNS],
+        *[F.col(f"o.address.{c}").alias(f"retailer_{c}") for c in ADDRESS_COLUMNS],
+        *carry,
+        F.explode("o.items").alias("i"),
+    )
     return items.select(
         *[F.col(f"i.{c}").alias(c) for c in ITEM_COLUMNS],
         F.col("i.price.amount_minor").alias("price_amount_minor"),
         F.col("i.price.currency").alias("price_currency"),
-        *[F.col(f"o.{c}").alias(f"order_{c}") for c in ORDER_COLUMNS],
-        *[F.col(f"o.address.{c}").alias(f"retailer_{c}") for c in ADDRESS_COLUMNS],
-        *carry,
+        *[c for c in items.columns if c != "i"],
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +28,25 @@ def newer_than_target(df: DataFrame, target: DataFrame, column: str) -> DataFram
     return df.filter(newer_than(df, column, high_water_mark(target, column)))
 
 
+def key_range(df: DataFrame, keys: Sequence[str]) -> dict[str, tuple[str, str]] | None:
+    """Least and greatest value of each key as text; None if a key has no value at all."""
+    limits = [f(k).cast("string").alias(f"{side}_{k}") for k in keys for side, f in (("low", F.min), ("high", F.max))]
+    row = df.agg(*limits).first()
+    if any(row[f"low_{k}"] is None for k in keys):
+        return None
+    return {k: (row[f"low_{k}"], row[f"high_{k}"]) for k in keys}
+
+
+def within(df: DataFrame, bounds: dict[str, tuple[str, str]] | None) -> DataFrame:
+    """Rows inside the range, by comparisons that Parquet statistics can answer."""
+    if bounds is None:
+        return df.filter(F.lit(False))
+    for key, (low, high) in bounds.items():
+        kind = df.schema[key].dataType
+        df = df.filter(F.col(key).between(F.lit(low).cast(kind), F.lit(high).cast(kind)))
+    return df
+
+
 def changed_left_join(
     left: DataFrame,
     right: DataFrame,
@@ -33,17 +54,24 @@ def changed_left_join(
     left_version: str,
     right_version: str,
     mark: str | None,
+    stored: bool = False,
 ) -> DataFrame:
     """``left`` left-joined to ``right``, only rows where either side is above the mark.
 
     Same rows as filtering the full join by ``left_version > mark OR right_version > mark``,
     for a key that is unique on both sides. That filter would sit above an outer join of
     the two whole tables; here both inputs are cut down to changed keys before they meet.
-    The right side's columns must not clash with the left's, apart from the key.
+    For ``stored`` inputs the range of the changed keys is looked up first, and the scans
+    of the unchanged parts skip all row groups outside it. The right side's columns must
+    not clash with the left's, apart from the key.
     """
     left_new = newer_than(left, left_version, mark)
     fresh = left.filter(left_new)
+    stale = left.filter(~F.coalesce(left_new, F.lit(False)))
     touched = right.filter(newer_than(right, right_version, mark)).select(key).distinct()
-    stale = left.filter(~F.coalesce(left_new, F.lit(False))).join(touched, key, "left_semi")
-    changed_keys = fresh.select(key).unionByName(touched).distinct()
-    return fresh.unionByName(stale).join(right.join(changed_keys, key, "left_semi"), key, "left")
+    changed = fresh.select(key).unionByName(touched).distinct()
+    if stored:
+        stale = within(stale, key_range(touched, [key]))
+        right = within(right, key_range(changed, [key]))
+    rows = fresh.unionByName(stale.join(touched, key, "left_semi"))
+    return rows.join(right.join(changed, key, "left_semi"), key, "left")

@@ -40,17 +40,17 @@ def sales(orders: DataFrame, refunds: DataFrame) -> DataFrame:
     return sales_columns(orders.join(refund_side(refunds), "order_id", "left"))
 
 
-def sales_since(orders: DataFrame, refunds: DataFrame, mark: str | None) -> DataFrame:
+def sales_since(orders: DataFrame, refunds: DataFrame, mark: str | None, stored: bool = False) -> DataFrame:
     """Sales of the orders that changed, or whose refunds changed, after a mark."""
-    changed = changed_left_join(orders, refund_side(refunds), "order_id", EXTRACTED, REFUND_EXTRACTED, mark)
-    return sales_columns(changed)
+    sides = orders, refund_side(refunds)
+    return sales_columns(changed_left_join(*sides, "order_id", EXTRACTED, REFUND_EXTRACTED, mark, stored))
 
 
 def _build_sales(ctx: Context) -> DataFrame:
     orders, refunds = ctx.ref(ORDERS.name), ctx.ref(ORDER_REFUNDS.name)
     if not ctx.incremental:
         return sales(orders, refunds)
-    return sales_since(orders, refunds, high_water_mark(ctx.target, EXTRACTED))
+    return sales_since(orders, refunds, high_water_mark(ctx.target, EXTRACTED), stored=True)
 
 
 FCT_SALES = EnrichedModel(

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.tables.table import VersionedTable
+from millrace.tables.table import TableStore, VersionedTable
 
 # The words by which a column's name tells its kind.
 TIME_WORDS = ("_at", "date", "timestamp")
@@ -136,6 +136,15 @@ class SemanticModel:
         return replace(self, rollups=[*self.rollups, Rollup(table.read(), asked)])
 
 
+def models_of(store: TableStore, keys: Mapping[str, str] | None = None) -> dict[str, SemanticModel]:
+    """A model for every processed (``int_``) and enriched (``fct_``) table of a store."""
+    return {
+        name: SemanticModel.from_table(name, store.read(name), (keys or {}).get(name), name.startswith("fct_"))
+        for name in store.names()
+        if name.startswith(("int_", "fct_"))
+    }
+
+
 def grain_name(time_dimension: str, granularity: str) -> str:
     return f"{time_dimension}_{granularity}"
 

@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from millrace import files
 from millrace.operators.dedupe import latest_per_key
+from millrace.operators.increment import key_range, within
 from millrace.operators.merge import key_set
 
 LOG_SCHEMA = """
@@ -53,6 +54,11 @@ class VersionedTable:
     def data_path(self) -> str:
         return f"{self.root}/data"
 
+    @property
+    def scratch(self) -> str:
+        """Folder for what only the running write needs (one writer per table)."""
+        return f"{self.root}/_scratch"
+
     def current_version(self) -> int:
         """Newest committed version, 0 before the first."""
         names = files.child_names(self.spark, self.log_path)
@@ -154,11 +160,16 @@ class VersionedTable:
     def _written(self, folders: Sequence[str]) -> list[dict[str, Any]]:
         """The files of staged folders with row counts (footers only) and sizes."""
         staged = self.spark.read.parquet(*[f"{self.data_path}/{f}" for f in folders])
-        counts = staged.groupBy(self._inner_path(), F.col("_metadata.file_size").alias("file_size")).count()
-        return [
-            {"path": r["_file"], "record_count": r["count"], "file_size": r["file_size"]}
-            for r in counts.toLocalIterator()
-        ]
+        counted = staged.groupBy(self._inner_path(), F.col("_metadata.file_size").alias("file_size")).count()
+        found = {r["_file"]: (r["count"], r["file_size"]) for r in counted.toLocalIterator()}
+        # a task without rows may leave a file that holds the schema only
+        names = [f"{f}/{n}" for f in folders for n in files.child_names(self.spark, f"{self.data_path}/{f}")]
+        entries = []
+        for name in names:
+            if name.endswith(".parquet"):
+                count, size = found.get(name, (0, 0))
+                entries.append({"path": name, "record_count": count, "file_size": size})
+        return entries
 
     @staticmethod
     def _inner_path() -> Column:
@@ -245,37 +256,40 @@ class VersionedTable:
         # the batch is computed once; everything after reads the written files
         staged = self._stage(batch, "stage" if guard_version else "batch", keys)
         rows = self._read_paths([staged], self._nullable(batch.schema))
-        touched = self._files_with(rows, keys)
+        gone = [self._key_file(rows, keys)]
         if also_delete is not None:
-            touched = sorted({*touched, *self._files_with(also_delete, also_delete.columns)})
-        old = self._read_paths(touched, schema)
-        if also_delete is not None:
-            old = old.join(key_set(also_delete, also_delete.columns), also_delete.columns, "left_anti")
+            gone.append(self._key_file(also_delete, also_delete.columns))
+        touched = sorted({path for keys_gone in gone for path in self._files_with(keys_gone)})
+        kept = self._read_paths(touched, schema)
+        for keys_gone in gone[1:] if guard_version else gone:
+            kept = kept.join(keys_gone, keys_gone.columns, "left_anti")
         if guard_version:
-            merged = latest_per_key(old.unionByName(rows, allowMissingColumns=True), keys, guard_version)
+            merged = latest_per_key(kept.unionByName(rows, allowMissingColumns=True), keys, guard_version)
             added = [self._stage(merged, "merged", keys)]
         else:
-            added = [staged]
-            if touched:
-                kept = old.join(key_set(rows, keys), list(keys), "left_anti").select(*schema.names)
-                added.append(self._stage(kept, "kept", keys))
-        return self._commit("upsert", schema, added, touched, batch_id, expected)
-
-    def _files_with(self, rows: DataFrame, keys: Sequence[str]) -> list[str]:
-        """Current files that hold a key of ``rows``."""
-        paths = self._paths()
+            added = [staged, self._stage(kept.select(*schema.names), "kept", keys)] if touched else [staged]
+        version = self._commit("upsert", schema, added, touched, batch_id, expected)
+        self._drop_scratch()
+        return version
+
+    def _key_file(self, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """Distinct keys, written out: both joins read them as a plain scan, under which
+        adaptive execution can split a table key that holds many rows."""
+        path = f"{self.scratch}/keys-{uuid.uuid4().hex}"
+        key_set(rows, keys).write.parquet(path)
+        return self.spark.read.schema(T.StructType([rows.schema[k] for k in keys])).parquet(path)
+
+    def _drop_scratch(self) -> None:
+        if files.exists(self.spark, self.scratch):
+            files.delete(self.spark, self.scratch)
+
+    def _files_with(self, key_rows: DataFrame) -> list[str]:
+        """Current files that hold one of the keys."""
+        paths, keys = self._paths(), key_rows.columns
         if not paths:
             return []
-        target = self._read_paths(paths, self.schema())
-        limits = [f(k).cast("string").alias(f"{side}_{k}") for k in keys for side, f in (("low", F.min), ("high", F.max))]
-        bounds = rows.agg(*limits).first()
-        for key in keys:
-            low, high = bounds[f"low_{key}"], bounds[f"high_{key}"]
-            if low is None:  # only NULL keys, which match nothing
-                return []
-            kind = target.schema[key].dataType
-            target = target.filter(F.col(key).between(F.lit(low).cast(kind), F.lit(high).cast(kind)))
-        hit = target.select(*keys, self._inner_path()).join(key_set(rows, keys), list(keys), "left_semi")
+        target = within(self._read_paths(paths, self.schema()), key_range(key_rows, keys))
+        hit = target.select(*keys, self._inner_path()).join(key_rows, keys, "left_semi")
         return [r["_file"] for r in hit.select("_file").distinct().toLocalIterator()]
 
     def write(self, df: DataFrame, mode: str, keys: Sequence[str] = (), version: str | None = None) -> int:
@@ -302,6 +316,11 @@ class TableStore:
     def table(self, name: str) -> VersionedTable:
         return VersionedTable(self.spark, self.root, name, self.clock)
 
+    def create(self, name: str, schema: T.StructType | str) -> None:
+        """An empty table, if there is none of that name."""
+        if not self.exists(name):
+            self.table(name).overwrite(self.spark.createDataFrame([], schema), operation="create")
+
     def names(self) -> list[str]:
         return [n for n in files.child_names(self.spark, self.root) if self.table(n).exists()]
 
