@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -10,14 +11,14 @@ from millrace.catalogue import inputs as i
 from millrace.catalogue.registry import query, with_
 from millrace.catalogue.scans import events_landing
 from millrace.functions import partition_date
-from millrace.operators import high_water_mark, newer_than
+from millrace.operators import flatten_order_items, high_water_mark, newer_than
 from millrace.operators.dedupe import SOURCE_FILE
 from millrace.plans import enriched, processed
 from millrace.plans.processed import EXTRACTED, LOAD
 from millrace.session import work_dir
 from millrace.sources.known import CONTRACTS
 from millrace.sources.landing import append_landing, scan_landing
-from millrace.streaming import CursorTable, feed_files, stream_files
+from millrace.streaming import CursorTable, feed_files, land_records, stream_files
 from millrace.streaming.feeder import FILES_PER_BATCH, read_landing_stream
 from millrace.tables import TableStore
 
@@ -115,6 +116,19 @@ def sync_full_refresh(spark, sf_dir):
     return table.read().select("metric_id", "metric_name", EXTRACTED)
 
 
+_LANDED = "id, created_at, quantity, sku, price_amount_minor, order_id, order_updated_at, retailer_name"
+
+
+@query("land_stream", f"{with_(i.PAGES_SQL)}\nSELECT {_LANDED} FROM page_items WHERE order_updated_at >= 'v2'")
+def land_stream(spark, sf_dir):
+    """Order pages flattened, cut to the contract's fields and landed from an initial value on."""
+    base = work_dir(spark, "extract")
+    contract = replace(CONTRACTS["faire", "order_lines"], initial_value="v2")
+    items = flatten_order_items(i.order_pages(spark, sf_dir))
+    land_records(TableStore(spark, f"{base}/tables"), items, contract, f"{base}/raw")
+    return scan_landing(spark, f"{base}/raw").select(*_LANDED.split(", "))
+
+
 # -- streaming ----------------------------------------------------------------------------------
 
 

@@ -6,11 +6,20 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def as_text(column: Column, kind: T.DataType) -> Column:
+    """A value as text that casts back to the same value in a session of any time zone."""
+    if isinstance(kind, T.TimestampType):
+        return F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSSXXX")
+    return column.cast("string")
 
 
 def high_water_mark(df: DataFrame, column: str) -> str | None:
     """Largest value of a column as text, None for an empty table. One row reaches the driver."""
-    return df.agg(F.max(column).cast("string").alias("mark")).first()["mark"]
+    largest = as_text(F.max(column), df.schema[column].dataType)
+    return df.agg(largest.alias("mark")).first()["mark"]
 
 
 def newer_than(df: DataFrame, column: str, mark: str | None) -> Column:
@@ -28,10 +37,16 @@ def newer_than_target(df: DataFrame, target: DataFrame, column: str) -> DataFram
     return df.filter(newer_than(df, column, high_water_mark(target, column)))
 
 
+def value_range(df: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """Aggregates ``low_<column>`` and ``high_<column>``, as text."""
+    kinds = {c: df.schema[c].dataType for c in columns}
+    low = [as_text(F.min(c), kind).alias(f"low_{c}") for c, kind in kinds.items()]
+    return low + [as_text(F.max(c), kind).alias(f"high_{c}") for c, kind in kinds.items()]
+
+
 def key_range(df: DataFrame, keys: Sequence[str]) -> dict[str, tuple[str, str]] | None:
     """Least and greatest value of each key as text; None if a key has no value at all."""
-    limits = [f(k).cast("string").alias(f"{side}_{k}") for k in keys for side, f in (("low", F.min), ("high", F.max))]
-    row = df.agg(*limits).first()
+    row = df.agg(*value_range(df, keys)).first()
     if any(row[f"low_{k}"] is None for k in keys):
         return None
     return {k: (row[f"low_{k}"], row[f"high_{k}"]) for k in keys}

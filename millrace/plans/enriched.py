@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.increment import changed_left_join, high_water_mark
+from millrace.operators.increment import changed_left_join
 from millrace.plans.model import Context, EnrichedModel
 from millrace.plans.processed import EXTRACTED, ORDER_REFUNDS, ORDERS
 
@@ -50,7 +50,7 @@ def _build_sales(ctx: Context) -> DataFrame:
     orders, refunds = ctx.ref(ORDERS.name), ctx.ref(ORDER_REFUNDS.name)
     if not ctx.incremental:
         return sales(orders, refunds)
-    return sales_since(orders, refunds, high_water_mark(ctx.target, EXTRACTED), stored=True)
+    return sales_since(orders, refunds, ctx.target.high_water_mark(EXTRACTED), stored=True)
 
 
 FCT_SALES = EnrichedModel(

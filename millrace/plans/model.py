@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.payload import json_text, json_texts, payload
 from millrace.operators.dedupe import latest_per_key
-from millrace.tables.table import TableStore
+from millrace.tables.table import TableStore, VersionedTable
 
 
 @dataclass(frozen=True)
@@ -75,10 +75,10 @@ def latest_and_shape(
 
 @dataclass(frozen=True)
 class Context:
-    """What an enriched model sees: other tables, and its own table when it runs on top of it."""
+    """What an enriched model sees: other tables, and its own when it runs on top of it."""
 
     store: TableStore
-    target: DataFrame | None = None
+    target: VersionedTable | None = None
 
     @property
     def incremental(self) -> bool:
@@ -97,4 +97,3 @@ class EnrichedModel:
     keys: tuple[str, ...]
     version: str
     build: Callable[[Context], DataFrame]
-    sort: Sequence[str] = ()

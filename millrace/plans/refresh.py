@@ -49,6 +49,7 @@ def run_processed(
         batch_id=batch_id,
         guard_version=model.version if guard_version else None,
         also_delete=also_delete,
+        ranges=(model.version,),
     )
 
 
@@ -56,8 +57,9 @@ def refresh_fact(store: TableStore, model: EnrichedModel, full: bool = False) ->
     """Rebuild a fact (first run, ``full``) or upsert its increment."""
     table = store.table(model.name)
     if full or not table.exists():
-        return table.overwrite(model.build(Context(store)), model.keys, operation="full refresh")
-    return table.upsert(model.build(Context(store, table.read())), model.keys)
+        rows = model.build(Context(store))
+        return table.overwrite(rows, model.keys, operation="full refresh", ranges=(model.version,))
+    return table.upsert(model.build(Context(store, table)), model.keys, ranges=(model.version,))
 
 
 def refresh_dependents(

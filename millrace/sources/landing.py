@@ -17,7 +17,7 @@ from millrace.operators.increment import high_water_mark
 
 PARTITION_COLUMNS = ["year", "month", "day"]
 
-#: Fixed value: landing files are cut at 128 MB.
+#: Fixed value: files are meant to be 128 MB.
 FILE_BYTES = 134_217_728
 
 
@@ -54,7 +54,6 @@ def append_landing(
         .write.mode("append")
         .partitionBy(*PARTITION_COLUMNS)
         .option("mapreduce.output.basename", load_id)
-        .option("parquet.block.size", str(FILE_BYTES))
     )
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", str(max_records_per_file))

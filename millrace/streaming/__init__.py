@@ -1,4 +1,5 @@
 from millrace.streaming.cursors import CursorTable
+from millrace.streaming.extract import land_records
 from millrace.streaming.feeder import feed_files, stream_files
 
-__all__ = ["CursorTable", "feed_files", "stream_files"]
+__all__ = ["CursorTable", "feed_files", "land_records", "stream_files"]

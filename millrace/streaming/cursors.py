@@ -9,17 +9,19 @@ from pyspark.sql import functions as F
 
 from millrace.tables.table import TableStore
 
-NAME = "feeder_cursors"
+FEEDERS = "feeder_cursors"
+EXTRACTS = "extract_cursors"
 KEYS = ("source", "stream")
 SCHEMA = "source string, stream string, cursor_path string, updated_at timestamp"
 
 
 class CursorTable:
-    """State table ``source, stream, cursor_path, updated_at``, one row per stream."""
+    """State table ``source, stream, cursor_path, updated_at``, one row per stream. The cursor
+    is a file path for feeders and a value of the cursor field for extracts."""
 
-    def __init__(self, store: TableStore):
+    def __init__(self, store: TableStore, name: str = FEEDERS):
         self.store = store
-        self.table = store.table(NAME)
+        self.table = store.table(name)
 
     def read(self) -> DataFrame:
         if not self.table.exists():

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace import files
+from millrace.operators.dedupe import row_hash
 from millrace.sources.landing import FILE_BYTES, list_files
 from millrace.tables.table import TableStore, VersionedTable
 
@@ -32,6 +33,7 @@ def expire_snapshots(table: VersionedTable, older_than: dt.datetime) -> int:
         "operation": "expire",
         "schema": table.schema().json(),
         "first_kept": first_kept,
+        "ranges": table.head()["ranges"],
     }
     table._write_log(current + 1, [snapshot])
     return current + 1
@@ -39,7 +41,7 @@ def expire_snapshots(table: VersionedTable, older_than: dt.datetime) -> int:
 
 def files_to_clean(table: VersionedTable) -> DataFrame:
     """Files that no kept snapshot can see: ``path, record_count, begin_snapshot, end_snapshot``."""
-    return table.data_files().filter(F.col("end_snapshot") <= table.first_kept()).drop("file_size")
+    return table.data_files().filter(F.col("end_snapshot") <= table.first_kept()).drop("file_size", "low", "high")
 
 
 def cleanup_old_files(table: VersionedTable, dry_run: bool = True) -> list[str]:
@@ -68,25 +70,42 @@ def _report(table: VersionedTable, paths: DataFrame, dry_run: bool) -> list[str]
     return sorted(names)
 
 
-def compact(table: VersionedTable, sort: Sequence[str] = (), target_bytes: int = FILE_BYTES) -> int:
-    """Rewrite the current files that are below half the target size into full ones."""
+def compact(
+    table: VersionedTable, keys: Sequence[str] = (), target_bytes: int = FILE_BYTES, everything: bool = False
+) -> int:
+    """Rewrite the current files that are below half the target size (or ``everything``)
+    into full ones.
+
+    With ``keys`` the new files cover separate key ranges, so that later upserts meet few
+    of them; a hash of the row as last part of the range lets a key that holds many rows
+    spread over several files.
+    """
     current = table.current_version()
-    small = table.files_at().filter(F.col("file_size") < target_bytes // 2)
-    paths = [r["path"] for r in small.select("path").toLocalIterator()]
-    if len(paths) < 2:
+    chosen = table.files_at()
+    if not everything:
+        chosen = chosen.filter(F.col("file_size") < target_bytes // 2)
+    found = [(r["path"], r["file_size"]) for r in chosen.select("path", "file_size").toLocalIterator()]
+    if len(found) < 2:
         return current
+    paths = [path for path, _ in found]
     schema = table.schema()
-    # rebalance lets adaptive execution cut the rows by size, whatever their keys
-    folder = table._stage(table._read_paths(paths, schema).hint("rebalance"), "compact", sort)
+    rows = table._read_paths(paths, schema)
+    if keys:
+        parts = -(-sum(size for _, size in found) // target_bytes)
+        rows = rows.repartitionByRange(parts, *keys, row_hash(rows))
+    else:
+        # adaptive execution cuts the rows by size
+        rows = rows.hint("rebalance")
+    folder = table._stage(rows, "compact", keys)
     return table._commit("compact", schema, [folder], paths, None, current)
 
 
-def maintain(table: VersionedTable, older_than: dt.datetime, sort: Sequence[str] = ()) -> dict[str, int]:
+def maintain(table: VersionedTable, older_than: dt.datetime, keys: Sequence[str] = ()) -> dict[str, int]:
     """Expire, clean up and compact, in this order."""
     before = table.current_version()
     expire_snapshots(table, older_than)
     cleaned = cleanup_old_files(table, dry_run=False)
-    compact(table, sort)
+    compact(table, keys)
     return {"files_removed": len(cleaned), "versions_added": table.current_version() - before}
 
 

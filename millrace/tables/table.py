@@ -5,9 +5,10 @@ small JSON file per version: the snapshot, the files it added and the files it r
 Every question about files and versions is a DataFrame over that log; rows are only ever
 read and written by Spark. Creating the next log file is the commit.
 
-An upsert rewrites only the files that hold a key of the batch. They are found by a
-semi-join over the key columns alone, narrowed by the batch's key range, which Parquet
-statistics answer for most files of a table sorted by key.
+The log holds the range of the key and version columns of each file. An upsert rewrites
+only the files that hold a key of the batch: they are found by a semi-join over the key
+columns of those files whose range meets that of the batch. A high-water mark comes from
+the log alone.
 """
 
 from __future__ import annotations
@@ -24,15 +25,19 @@ from pyspark.sql import types as T
 
 from millrace import files
 from millrace.operators.dedupe import latest_per_key
-from millrace.operators.increment import key_range, within
+from millrace.operators.increment import as_text, high_water_mark, key_range, value_range, within
 from millrace.operators.merge import key_set
 
 LOG_SCHEMA = """
     kind string, version long, committed_at timestamp, operation string, batch_id string,
-    schema string, first_kept long, path string, record_count long, file_size long
+    schema string, first_kept long, path string, record_count long, file_size long,
+    low map<string,string>, high map<string,string>
 """
 
 
+Bounds = dict[str, tuple[str, str]]
+
+
 def _utc_now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc)
 
@@ -92,7 +97,8 @@ class VersionedTable:
         return snapshots.select("version", "committed_at", "operation", "batch_id", expired)
 
     def data_files(self) -> DataFrame:
-        """``path, record_count, file_size, begin_snapshot, end_snapshot``; a NULL end is current."""
+        """``path, record_count, file_size, low, high, begin_snapshot, end_snapshot``, where a
+        NULL end is current and ``low`` and ``high`` map column names to values as text."""
         return (
             self.log()
             .filter("kind IN ('add', 'remove')")
@@ -100,6 +106,8 @@ class VersionedTable:
             .agg(
                 F.max("record_count").alias("record_count"),
                 F.max("file_size").alias("file_size"),
+                F.first("low", ignorenulls=True).alias("low"),
+                F.first("high", ignorenulls=True).alias("high"),
                 F.min(F.when(F.col("kind") == "add", F.col("version"))).alias("begin_snapshot"),
                 F.max(F.when(F.col("kind") == "remove", F.col("version"))).alias("end_snapshot"),
             )
@@ -136,18 +144,37 @@ class VersionedTable:
             raise ValueError(f"version {version} of {self.name} is expired")
         return self._read_paths(self._paths(version), schema)
 
-    def _paths(self, version: int | None = None) -> list[str]:
-        """What to read for a version: folders of loads that are valid as a whole, else files."""
+    def _paths(self, version: int | None = None, bounds: Bounds | None = None) -> list[str]:
+        """What to read for a version: folders of loads that are wanted as a whole, else files.
+
+        With ``bounds`` only files that may hold values within them are wanted.
+        """
+        wanted = self._valid_at(version)
+        for column, (low, high) in (bounds or {}).items():
+            kind = self.schema(version)[column].dataType
+            above = F.col("low")[column].cast(kind) > F.lit(high).cast(kind)
+            below = F.col("high")[column].cast(kind) < F.lit(low).cast(kind)
+            wanted = wanted & ~F.coalesce(above | below, F.lit(False))  # an unknown range is read
         loads: dict[str, list[str]] = {}
         partly: set[str] = set()
-        for row in self.data_files().select("path", self._valid_at(version).alias("valid")).toLocalIterator():
+        for row in self.data_files().select("path", wanted.alias("wanted")).toLocalIterator():
             load = row["path"].split("/")[0]
-            if row["valid"]:
+            if row["wanted"]:
                 loads.setdefault(load, []).append(row["path"])
             else:
                 partly.add(load)
         return [p for load, names in loads.items() for p in (names if load in partly else [load])]
 
+    def high_water_mark(self, column: str) -> str | None:
+        """Largest value of a column as text, from the log where it knows the files' ranges."""
+        if column not in self.head()["ranges"]:
+            return high_water_mark(self.read(), column)
+        known = F.col("high")[column]
+        largest = as_text(F.max(known.cast(self.schema()[column].dataType)), self.schema()[column].dataType)
+        filled = self.files_at().filter("record_count > 0")
+        row = filled.agg(largest.alias("mark"), F.count_if(known.isNull()).alias("unknown")).first()
+        return high_water_mark(self.read(), column) if row["unknown"] else row["mark"]
+
     # -- writing -----------------------------------------------------------------------
 
     def _stage(self, df: DataFrame, label: str, sort: Sequence[str] = ()) -> str:
@@ -157,18 +184,26 @@ class VersionedTable:
         rows.write.mode("errorifexists").parquet(f"{self.data_path}/{folder}")
         return folder
 
-    def _written(self, folders: Sequence[str]) -> list[dict[str, Any]]:
-        """The files of staged folders with row counts (footers only) and sizes."""
-        staged = self.spark.read.parquet(*[f"{self.data_path}/{f}" for f in folders])
-        counted = staged.groupBy(self._inner_path(), F.col("_metadata.file_size").alias("file_size")).count()
-        found = {r["_file"]: (r["count"], r["file_size"]) for r in counted.toLocalIterator()}
+    def _written(self, folders: Sequence[str], schema: T.StructType, ranges: Sequence[str]) -> list[dict[str, Any]]:
+        """The files of staged folders with row counts, sizes and the ranges of some columns."""
+        staged = self._read_paths(folders, schema)
+        by_file = staged.groupBy(self._inner_path(), F.col("_metadata.file_size").alias("file_size"))
+        counted = by_file.agg(F.count(F.lit(1)).alias("record_count"), *value_range(staged, ranges))
+        found = {r["_file"]: r for r in counted.toLocalIterator()}
         # a task without rows may leave a file that holds the schema only
         names = [f"{f}/{n}" for f in folders for n in files.child_names(self.spark, f"{self.data_path}/{f}")]
         entries = []
         for name in names:
-            if name.endswith(".parquet"):
-                count, size = found.get(name, (0, 0))
-                entries.append({"path": name, "record_count": count, "file_size": size})
+            if not name.endswith(".parquet"):
+                continue
+            entry: dict[str, Any] = {"path": name, "record_count": 0, "file_size": 0}
+            if name in found:
+                row = found[name]
+                entry.update(record_count=row["record_count"], file_size=row["file_size"])
+                for side in ("low", "high"):
+                    values = {c: row[f"{side}_{c}"] for c in ranges}
+                    entry[side] = {c: v for c, v in values.items() if v is not None}
+            entries.append(entry)
         return entries
 
     @staticmethod
@@ -184,21 +219,25 @@ class VersionedTable:
         removed: Sequence[str] = (),
         batch_id: str | None = None,
         expected: int | None = None,
+        ranges: Sequence[str] = (),
     ) -> int:
+        """Log the next version; ``ranges`` are kept for the columns named now or before."""
+        before = self.head() if self.exists() else {"first_kept": 1, "ranges": []}
         version = (self.current_version() if expected is None else expected) + 1
-        at = self.clock().astimezone(dt.timezone.utc).isoformat()
+        ranges = [c for c in dict.fromkeys([*before["ranges"], *ranges]) if c in schema.names]
         entries: list[dict[str, Any]] = [
             {
                 "kind": "snapshot",
                 "version": version,
-                "committed_at": at,
+                "committed_at": self.clock().astimezone(dt.timezone.utc).isoformat(),
                 "operation": operation,
                 "batch_id": batch_id,
                 "schema": schema.json(),
-                "first_kept": self.first_kept(),
+                "first_kept": before["first_kept"],
+                "ranges": ranges,
             }
         ]
-        entries += [{"kind": "add", "version": version, **f} for f in self._written(added)]
+        entries += [{"kind": "add", "version": version, **f} for f in self._written(added, schema, ranges)]
         entries += [{"kind": "remove", "version": version, "path": p} for p in removed]
         self._write_log(version, entries)
         return version
@@ -218,13 +257,19 @@ class VersionedTable:
         return T.StructType([*current.fields, *[f for f in self._nullable(batch).fields if f.name not in known]])
 
     def overwrite(
-        self, df: DataFrame, sort: Sequence[str] = (), batch_id: str | None = None, operation: str = "overwrite"
+        self,
+        df: DataFrame,
+        keys: Sequence[str] = (),
+        batch_id: str | None = None,
+        operation: str = "overwrite",
+        ranges: Sequence[str] = (),
     ) -> int:
         """Replace all rows; earlier versions stay readable."""
         expected = self.current_version()
-        folder = self._stage(df, "full", sort)
+        folder = self._stage(df, "full", keys)
         removed = [r["path"] for r in self.files_at().select("path").toLocalIterator()] if expected else []
-        return self._commit(operation, self._nullable(df.schema), [folder], removed, batch_id, expected)
+        schema = self._nullable(df.schema)
+        return self._commit(operation, schema, [folder], removed, batch_id, expected, [*keys, *ranges])
 
     def append(self, df: DataFrame, batch_id: str | None = None) -> int:
         expected = self.current_version()
@@ -239,22 +284,24 @@ class VersionedTable:
         batch_id: str | None = None,
         guard_version: str | None = None,
         also_delete: DataFrame | None = None,
+        ranges: Sequence[str] = (),
     ) -> int:
         """Delete+insert: rows whose key is in the batch go, all rows of the batch come in.
 
         ``guard_version`` names a column by which an older batch row may not replace a newer
         table row. ``also_delete`` holds further keys (any subset of columns) whose rows go.
-        A batch id that was committed before is skipped.
+        A batch id that was committed before is skipped. ``ranges`` names columns, beside
+        the keys, whose range per file the log should hold.
         """
         expected = self.current_version()
         if batch_id is not None and self.has_batch(batch_id):
             return expected
         if not expected:
             first = latest_per_key(batch, keys, guard_version) if guard_version else batch
-            return self.overwrite(first, keys, batch_id, "create")
+            return self.overwrite(first, keys, batch_id, "create", ranges)
         schema = self._merged_schema(batch.schema)
         # the batch is computed once; everything after reads the written files
-        staged = self._stage(batch, "stage" if guard_version else "batch", keys)
+        staged = self._stage(batch, "batch", keys)
         rows = self._read_paths([staged], self._nullable(batch.schema))
         gone = [self._key_file(rows, keys)]
         if also_delete is not None:
@@ -263,13 +310,16 @@ class VersionedTable:
         kept = self._read_paths(touched, schema)
         for keys_gone in gone[1:] if guard_version else gone:
             kept = kept.join(keys_gone, keys_gone.columns, "left_anti")
-        if guard_version:
+        if not touched:
+            added = [staged]
+        elif guard_version:
             merged = latest_per_key(kept.unionByName(rows, allowMissingColumns=True), keys, guard_version)
             added = [self._stage(merged, "merged", keys)]
         else:
-            added = [staged, self._stage(kept.select(*schema.names), "kept", keys)] if touched else [staged]
-        version = self._commit("upsert", schema, added, touched, batch_id, expected)
-        self._drop_scratch()
+            added = [staged, self._stage(kept.select(*schema.names), "kept", keys)]
+        version = self._commit("upsert", schema, added, touched, batch_id, expected, [*keys, *ranges])
+        for path in [self.scratch] + [f"{self.data_path}/{staged}"] * (staged not in added):
+            files.delete(self.spark, path)
         return version
 
     def _key_file(self, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -279,16 +329,14 @@ class VersionedTable:
         key_set(rows, keys).write.parquet(path)
         return self.spark.read.schema(T.StructType([rows.schema[k] for k in keys])).parquet(path)
 
-    def _drop_scratch(self) -> None:
-        if files.exists(self.spark, self.scratch):
-            files.delete(self.spark, self.scratch)
-
     def _files_with(self, key_rows: DataFrame) -> list[str]:
         """Current files that hold one of the keys."""
-        paths, keys = self._paths(), key_rows.columns
+        keys = key_rows.columns
+        bounds = key_range(key_rows, keys)
+        paths = self._paths(bounds=bounds) if bounds else []  # NULL keys match nothing
         if not paths:
             return []
-        target = within(self._read_paths(paths, self.schema()), key_range(key_rows, keys))
+        target = within(self._read_paths(paths, self.schema()), bounds)
         hit = target.select(*keys, self._inner_path()).join(key_rows, keys, "left_semi")
         return [r["_file"] for r in hit.select("_file").distinct().toLocalIterator()]
 

@@ -1,5 +1,6 @@
 import datetime as dt
 import os
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from millrace.sources.landing import (
     scan_files,
     scan_landing,
 )
-from millrace.streaming import CursorTable, feed_files, stream_files
+from millrace.streaming import CursorTable, feed_files, land_records, stream_files
 
 UNTIL = dt.date(2024, 12, 31)
 LIST = ("klaviyo", "lists")
@@ -257,6 +258,32 @@ def test_incremental_extract(spark):
     assert fresh.count() == 0 and cursor == "2025-01-01"
 
 
+def test_extract_run(spark, store, tmp_path):
+    contract = replace(CONTRACTS["odoo", "order_lines"], initial_value="2024-01-02")
+    root = f"{tmp_path}/raw"
+    schema = "id long, write_date string, sku string, secret string"
+    first = spark.createDataFrame([(1, "2024-01-01", "a", "s"), (2, "2024-01-02", "b", "s"), (3, "2024-01-05", "c", "s")], schema)
+    planned = land_records(store, first, contract, root, dry_run=True)
+    assert (planned.status, planned.cursor, planned.fields) == ("dry_run", "2024-01-02", ("id", "write_date", "sku"))
+    done = land_records(store, first, contract, root)
+    assert (done.status, done.records, done.cursor) == ("success", 2, "2024-01-05")
+    later = spark.createDataFrame([(3, "2024-01-05", "c", "s"), (4, "2024-01-06", "d", "s"), (5, "2024-01-03", "e", "s")], schema)
+    assert land_records(store, later, contract, root).records == 2  # the boundary comes again, 5 is late
+    landed = scan_landing(spark, root)
+    assert "secret" not in landed.columns and landed.select("_dlt_load_id").distinct().count() == 2
+    assert rows(landed.select("id")) == [(2,), (3,), (3,), (4,)]
+    same = [r["_dlt_id"] for r in landed.filter("id = 3").collect()]
+    assert same[0] == same[1]
+    assert rows(processed.ERP_ORDER_LINES(landed).select("line_id", "sku")) == [(2, "b"), (3, "c"), (4, "d")]
+
+
+def test_extract_needs_an_initial_value_and_selection(spark, store, tmp_path):
+    contract = CONTRACTS["odoo", "orders"]
+    assert land_records(store, spark.range(1), replace(contract, selected=False), f"{tmp_path}/raw").status == "skipped"
+    with pytest.raises(ValueError, match="initial_value"):
+        land_records(store, spark.range(1), replace(contract, initial_value=None), f"{tmp_path}/raw")
+
+
 def test_source_file_is_kept(spark, root, store):
     land(spark, root, [("a", "x", 1)])
     feed(store, root)

@@ -172,6 +172,59 @@ def test_compaction(spark, store):
     assert table.read().count() == 40
 
 
+def test_compaction_by_key_separates_key_ranges(spark, store):
+    table = store.table("t")
+    hot = F.when(F.col("id") % 3 == 0, 500).otherwise(F.col("id"))
+    table.upsert(spark.range(3000).select(hot.alias("k"), "id").repartition(5), ["k"])
+    table.upsert(spark.range(10).select(F.col("id").alias("k"), F.lit(-1).cast("long").alias("id")), ["k"])
+    expected = rows(table.read())
+    size = table.files_at().agg(F.sum("file_size")).first()[0]
+    maintenance.compact(table, ["k"], target_bytes=size // 6, everything=True)
+    found = table.files_at().select(F.col("low")["k"].cast("long"), F.col("high")["k"].cast("long"), "record_count")
+    ranges = sorted((r[0], r[1]) for r in found.collect())
+    assert len(ranges) >= 6 and all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
+    assert max(r[2] for r in found.collect()) < 1000  # the hot key alone has 1000 rows
+    assert rows(table.read()) == expected
+    # an upsert of one key meets only the files around it
+    before = {r["path"] for r in table.files_at().collect()}
+    table.upsert(batch(spark, [(2999, 0)], "k long, id long"), ["k"])
+    assert len(before - {r["path"] for r in table.files_at().collect()}) == 1
+
+
+def test_high_water_mark_comes_from_the_log(spark, store):
+    table = store.table("t")
+    data = [(1, dt.datetime(2024, 1, 5, 1, 2, 3, 456789)), (2, dt.datetime(2024, 1, 4))]
+    table.upsert(spark.createDataFrame(data, "k long, at timestamp_ntz"), ["k"], ranges=["at"])
+    assert table.high_water_mark("at") == "2024-01-05 01:02:03.456789"
+    assert table.high_water_mark("k") == "2"
+    table.upsert(spark.createDataFrame([(1, dt.datetime(2024, 1, 3))], "k long, at timestamp_ntz"), ["k"])
+    assert table.high_water_mark("at") == "2024-01-04 00:00:00"
+    table.upsert(spark.createDataFrame([(3, None)], "k long, at timestamp_ntz"), ["k"])
+    assert table.high_water_mark("at") == "2024-01-04 00:00:00"
+    store.create("empty", "k long, at timestamp_ntz")
+    assert store.table("empty").high_water_mark("at") is None
+
+
+def test_ranges_of_zoned_timestamps(spark, store):
+    table = store.table("t")
+    first = spark.range(1).select(F.col("id").alias("k"), F.timestamp_seconds(F.lit(1_700_000_000)).alias("at"))
+    table.upsert(first, ["at"])
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        table.upsert(first.withColumn("k", F.lit(7).cast("long")), ["at"])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert rows(table.read().select("k")) == [(7,)]
+
+
+def test_nothing_is_left_behind_by_a_write(spark, store):
+    table = store.table("t")
+    for n in (1, 2, 3):
+        table.upsert(batch(spark, [(1, n, "a"), (n, n, "b")]), ["k"], guard_version="v")
+    assert maintenance.delete_orphans(table) == []
+    assert not os.path.exists(table.scratch)
+
+
 def test_current_tables(spark, store):
     assert maintenance.current_tables(store).count() == 0
     store.table("a").append(spark.range(5))
