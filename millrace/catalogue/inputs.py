@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import files
+from millrace.operators.dedupe import SOURCE_ROW
 from millrace.plans.processed import EXTRACTED, LOAD
 from millrace.session import work_dir
 from millrace.sources.landing import append_landing, with_partition_columns
@@ -27,14 +28,16 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: str | None = None
 
     A small table that is a single row group is read by one task, and so would be all the
     per-row work on it. ``spread`` names a column to spread such a table over the cores by;
-    a table large enough to be split by the scan itself is left alone.
+    a table large enough to be split by the scan itself is left alone. It comes with the
+    position of each row, as landing rows do.
     """
     path = f"{sf_dir}/{name}.parquet"
     df = spark.read.parquet(path)
+    if spread is None:
+        return df
+    df = df.withColumn(SOURCE_ROW, F.col("_metadata.row_index"))
     cores = spark.sparkContext.defaultParallelism
-    if spread is not None and files.size(spark, path) < SMALL * cores:
-        return df.repartition(cores, spread)
-    return df
+    return df.repartition(cores, spread) if files.size(spark, path) < SMALL * cores else df
 
 
 def _versions(df: DataFrame, key: str) -> DataFrame:
@@ -52,10 +55,8 @@ def _has_version(key: str) -> str:
 
 def _after(start: str, days: str, seconds: str = "0", micros: str = "0") -> Column:
     """A zone-less timestamp some days, seconds and microseconds after a start."""
-    return F.expr(
-        f"timestamp_ntz'{start}' + make_dt_interval(cast({days} as int), 0, 0, "
-        f"cast({seconds} + cast({micros} as decimal(18,6)) / 1000000 as decimal(18,6)))"
-    )
+    total = f"(cast({days} as bigint) * 86400 + {seconds}) * 1000000 + {micros}"
+    return F.expr(f"timestampadd(MICROSECOND, cast({total} as bigint), timestamp_ntz'{start}')")
 
 
 def _after_sql(start: str, days: str, seconds: str = "0", micros: str = "0") -> str:
@@ -101,6 +102,7 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = rows.select(
         F.col("o_orderkey").alias("id"),
         "v",
+        SOURCE_ROW,
         _json(id=F.col("o_custkey"), note=F.col("o_orderpriority")).alias("customer"),
         F.col("o_orderdate").alias("created_at"),
         F.expr("o_orderdate + make_dt_interval(v)").alias("updated_at"),
@@ -155,6 +157,7 @@ def refunds(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = rows.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
         F.col("l_orderkey").alias("order_id"),
+        SOURCE_ROW,
         F.col("l_shipdate").alias("created_at"),
         F.when(slot == 6, F.array().cast("array<string>")).when(slot != 0, transactions).alias("transactions"),
         _after(
@@ -206,6 +209,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.split("c_name", "#")
     df = _versions(table(spark, sf_dir, "customer", "c_custkey"), "c_custkey").select(
         F.col("c_custkey").alias("id"),
+        SOURCE_ROW,
         F.concat(F.lit("c"), F.col("c_custkey").cast("string"), F.lit("@example.com")).alias("email"),
         name[0].alias("first_name"),
         name[1].alias("last_name"),
@@ -270,6 +274,7 @@ def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     df = _versions(people, "c_custkey").select(
         F.concat(F.lit("prf-"), key.cast("string")).alias("id"),
+        SOURCE_ROW,
         attributes.alias("attributes"),
         _after("2024-02-01 00:00:00", "c_custkey % 20 + 20 * (v - 1)").alias(EXTRACTED),
     )
@@ -311,6 +316,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _versions(table(spark, sf_dir, "events", "event_id"), "event_id").select(
         F.col("event_id").cast("string").alias("id"),
         F.col("ts").alias("datetime"),
+        SOURCE_ROW,
         attributes.alias("attributes"),
         relationships.alias("relationships"),
         F.expr("ts + make_dt_interval(v - 1, 1)").alias(EXTRACTED),
@@ -347,6 +353,7 @@ def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     df = _versions(table(spark, sf_dir, "part", "p_partkey"), "p_partkey").select(
         F.concat(F.lit("cmp-"), key.cast("string")).alias("id"),
+        SOURCE_ROW,
         attributes.alias("attributes"),
         _after("2024-02-01 00:00:00", "p_partkey % 20 + 20 * (v - 1)").alias(EXTRACTED),
     )
@@ -377,8 +384,9 @@ def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
         created=_day_text("s_suppkey"),
         updated=F.concat(F.lit("v"), F.col("v").cast("string")),
     )
-    df = _versions(table(spark, sf_dir, "supplier"), "s_suppkey").select(
+    df = _versions(table(spark, sf_dir, "supplier", "s_suppkey"), "s_suppkey").select(
         F.concat(F.lit("flw-"), F.col("s_suppkey").cast("string")).alias("id"),
+        SOURCE_ROW,
         attributes.alias("attributes"),
         _after("2024-02-01 00:00:00", "s_suppkey % 20 + 20 * (v - 1)").alias(EXTRACTED),
     )
@@ -406,6 +414,7 @@ def lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     df = _versions(table(spark, sf_dir, "customer", "c_custkey"), "c_custkey").select(
         F.concat(F.lit("lst-"), F.col("c_custkey").cast("string")).alias("id"),
+        SOURCE_ROW,
         attributes.alias("attributes"),
         _after("2024-02-01 00:00:00", "c_custkey % 20 + 20 * (v - 1)").alias(EXTRACTED),
     )
@@ -425,7 +434,7 @@ LISTS_SQL = (
 
 
 def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    documents = table(spark, sf_dir, "documents", "doc_id").select("doc_id", "lang", "source", SOURCE_ROW)
     attributes = _json(
         name=F.concat("source", F.lit("/"), "lang"),
         created=_day_text("doc_id"),
@@ -434,6 +443,7 @@ def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     df = _versions(documents, "doc_id").select(
         F.concat(F.lit("mtr-"), F.col("doc_id").cast("string")).alias("id"),
+        SOURCE_ROW,
         attributes.alias("attributes"),
         _after("2024-02-01 00:00:00", "doc_id % 20 + 20 * (v - 1)").alias(EXTRACTED),
     )
@@ -469,6 +479,7 @@ def erp_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _versions(table(spark, sf_dir, "orders", "o_orderkey"), "o_orderkey").select(
         key.alias("id"),
         "v",
+        SOURCE_ROW,
         F.concat(F.lit("S"), F.lpad(key.cast("string"), 12, "0")).alias("order_reference"),
         F.expr("o_orderdate").alias("create_date"),
         F.expr("o_orderdate + make_dt_interval(v)").alias("write_date"),
@@ -546,6 +557,7 @@ def erp_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     line_id = F.col("l_orderkey") * 10 + F.col("l_linenumber")
     df = table(spark, sf_dir, "lineitem", "l_orderkey").select(
         line_id.alias("id"),
+        SOURCE_ROW,
         F.concat(F.lit("S"), F.lpad(F.col("l_orderkey").cast("string"), 12, "0")).alias("order_reference"),
         F.concat(F.lit("SKU-"), F.col("l_partkey").cast("string")).alias("sku"),
         F.col("l_returnflag").alias("product_category"),
@@ -625,6 +637,7 @@ def order_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     df = _versions(table(spark, sf_dir, "orders", "o_orderkey"), "o_orderkey").select(
         document.alias("document"),
+        SOURCE_ROW,
         F.concat((F.lit(1704067200) + F.col("v") * 86400).cast("string"), F.lit(".25")).alias(LOAD),
         F.concat(F.lit("d"), F.col("v").cast("string")).alias("_dlt_id"),
         _after("2024-01-01 00:00:00", "o_orderkey % 14 + 14 * (v - 1)").alias("_at"),
@@ -669,6 +682,6 @@ def landing(
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _landed:
         root = f"{work_dir(spark, 'landing')}/{name}"
-        append_landing(rows(spark, sf_dir), root, load_id)
+        append_landing(rows(spark, sf_dir).drop(SOURCE_ROW), root, load_id)
         _landed[key] = root
     return _landed[key]

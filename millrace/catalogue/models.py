@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from millrace.catalogue import inputs as i
 from millrace.catalogue.registry import query, with_
-from millrace.operators.dedupe import SOURCE_FILE
+from millrace.operators.dedupe import SOURCE_FILE, SOURCE_ROW
 from millrace.operators.flatten import flatten_order_items
 from millrace.plans import enriched, processed
 from millrace.plans.processed import EXTRACTED, LOAD
@@ -102,7 +102,7 @@ FROM page_items QUALIFY row_number() OVER (PARTITION BY id ORDER BY {LOAD} DESC)
 )
 def model_wholesale_lines(spark, sf_dir):
     pages = i.order_pages(spark, sf_dir)
-    return processed.WHOLESALE_LINES(flatten_order_items(pages, carry=[LOAD, "_dlt_id", "year", "month", "day"]))
+    return processed.WHOLESALE_LINES(flatten_order_items(pages, carry=[LOAD, "_dlt_id", "year", "month", "day", SOURCE_ROW]))
 
 
 def sales_facts(spark, sf_dir):

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.payload import json_text, payload, to_bigint, to_boolean, to_double, to_money
-from millrace.operators.dedupe import SOURCE_FILE, latest_per_key
+from millrace.operators.dedupe import SOURCE_FILE, SOURCE_ROW, latest_per_key
 from millrace.operators.flatten import explode_text_array, filled_array_text
 from millrace.plans.model import Out, ProcessedModel, latest_and_shape
 
@@ -243,7 +243,7 @@ REFUND_LINES = ProcessedModel(
     ("shopify", "order_refunds"),
     ("id",),
     EXTRACTED,
-    lambda landing: latest_per_key(landing, ["id"], EXTRACTED),
+    lambda landing: latest_per_key(landing, ["id"], EXTRACTED).drop(SOURCE_ROW),
 )
 
 
@@ -254,9 +254,9 @@ def order_tags(landing: DataFrame, newest_first: bool = False) -> DataFrame:
     """
     tagged = filled_array_text(F.col("tags"))
     if newest_first:
-        newest = latest_per_key(landing.select("id", "tags", LOAD), ["id"], LOAD).filter(tagged)
+        newest = latest_per_key(landing, ["id"], LOAD).filter(tagged)
     else:
-        newest = latest_per_key(landing.select("id", "tags", LOAD).filter(tagged), ["id"], LOAD)
+        newest = latest_per_key(landing.filter(tagged), ["id"], LOAD)
     rows = newest.select(F.col("id").alias("order_id"), "tags", LOAD)
     return explode_text_array(rows, "tags", "tag").select("order_id", "tag", LOAD)
 

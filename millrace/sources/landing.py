@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from millrace import files
 from millrace.functions.paths import DATED_FOLDER, natural_key
-from millrace.operators.dedupe import SOURCE_FILE
+from millrace.operators.dedupe import SOURCE_FILE, SOURCE_ROW
 from millrace.operators.increment import high_water_mark
 
 PARTITION_COLUMNS = ["year", "month", "day"]
@@ -60,12 +60,17 @@ def append_landing(
     writer.parquet(root)
 
 
+def with_source(df: DataFrame) -> DataFrame:
+    """Adds each row's file and its position in there, from a scan's metadata."""
+    return df.withColumns({SOURCE_FILE: F.col("_metadata.file_path"), SOURCE_ROW: F.col("_metadata.row_index")})
+
+
 def _scan(spark: SparkSession, root: str, paths: Sequence[str], schema: T.StructType | None) -> DataFrame:
     reader = spark.read.option("basePath", root)
     # without a contract the files' own schemas are merged, at the cost of reading every footer
     reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", "true")
     df = reader.parquet(*paths)
-    return df.withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
+    return with_source(df)
 
 
 def scan_files(

@@ -12,11 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.operators.dedupe import SOURCE_FILE
 from millrace.plans.model import ProcessedModel
 from millrace.plans.processed import PROCESSED
 from millrace.plans.refresh import processed_models, refresh_dependents, run_processed
-from millrace.sources.landing import files_after_cursor, scan_files
+from millrace.sources.landing import files_after_cursor, scan_files, with_source
 from millrace.streaming.cursors import CursorTable
 from millrace.tables.table import TableStore
 
@@ -96,12 +95,8 @@ def read_landing_stream(
     spark: SparkSession, landing_root: str, schema: T.StructType, files_per_batch: int = FILES_PER_BATCH
 ) -> DataFrame:
     """Files as they arrive, with partition columns and source path."""
-    return (
-        spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(landing_root)
-        .withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
-    )
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    return with_source(reader.parquet(landing_root))
 
 
 def stream_files(

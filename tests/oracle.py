@@ -73,6 +73,8 @@ def main() -> int:
     args = sys.argv[1:]
     sf_dir = args.pop(0) if args and args[0].startswith("/") else "/root/testdata/sf0.001"
     spark = local_session("oracle", os.environ.get("BENCH_CPUS", "8"))
+    if os.environ.get("ORACLE_TIMEZONE"):  # results must not depend on it
+        spark.conf.set("spark.sql.session.timeZone", os.environ["ORACLE_TIMEZONE"])
     queries, oracles, con = entry.queries(), entry.oracle_sql(), connect(sf_dir)
     failed = 0
     for name in args or queries:
