@@ -37,7 +37,7 @@ def _text_schema(paths: Sequence[str]) -> T.StructType:
     return T.StructType(fields)
 
 
-def json_texts(json: Column, paths: Sequence[str]) -> dict[str, Column]:
+def json_texts(json: Column, paths: Sequence[str], strict: bool = False) -> dict[str, Column]:
     """Text at many paths of one payload, parsed once for all of them.
 
     The explicit mode (the default one) keeps the optimizer from narrowing the schema for
@@ -50,9 +50,25 @@ def json_texts(json: Column, paths: Sequence[str]) -> dict[str, Column]:
         for part in path.split("."):
             column = column.getField(part)
         columns[path] = column
+    if strict:
+        nothing = F.lit(True)
+        for column in columns.values():
+            nothing = nothing & column.isNull()
+        columns[paths[0]] = or_raise(json, columns[paths[0]], nothing)
     return columns
 
 
+def or_raise(json: Column, value: Column, suspicious: Column | None = None) -> Column:
+    """The value, or an error where there is none because the text is no JSON.
+
+    The text is looked at again only where the result is suspicious (NULL by default).
+    """
+    if suspicious is None:
+        suspicious = value.isNull()
+    message = F.concat(F.lit("malformed JSON: "), F.substring(json, 1, 80))
+    return F.when(suspicious & malformed(json), F.raise_error(message)).otherwise(value)
+
+
 def to_money(column: Column) -> Column:
     return column.cast(MONEY)
 
@@ -85,8 +101,4 @@ def split_malformed(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, D
 
 def require_json(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Same rows; the job fails on the first malformed payload it meets."""
-    checked = {}
-    for name in columns:
-        message = F.concat(F.lit(f"malformed JSON in {name}: "), F.substring(F.col(name), 1, 80))
-        checked[name] = F.when(malformed(F.col(name)), F.raise_error(message).cast("string")).otherwise(F.col(name))
-    return df.withColumns(checked)
+    return df.withColumns({name: or_raise(F.col(name), F.col(name), F.lit(True)) for name in columns})

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.payload import or_raise
+
 #: Layout of one order document as the wholesale API returns it.
 ORDER_DOCUMENT = """
     id string, created_at string, updated_at string, state string,
@@ -54,7 +56,8 @@ def filled_array_text(column: Column) -> Column:
 
 
 def explode_text_array(df: DataFrame, column: str, alias: str) -> DataFrame:
-    """One row per non-empty element of a JSON array held as text."""
-    element = F.explode(F.from_json(F.col(column), "array<string>")).alias(alias)
+    """One row per non-empty element of a JSON array held as text; broken text is an error."""
+    elements = or_raise(F.col(column), F.from_json(F.col(column), "array<string>"))
+    element = F.explode(elements).alias(alias)
     others = [c for c in df.columns if c != column]
     return df.select(*others, element).filter(F.col(alias).isNotNull() & (F.col(alias) != ""))

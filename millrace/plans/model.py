@@ -27,13 +27,14 @@ class Out:
 
 
 def shape(df: DataFrame, outs: Mapping[str, Out | str]) -> DataFrame:
-    """Select output columns; every JSON payload is parsed once, for all its paths."""
+    """Select output columns; every JSON payload is parsed once, for all its paths, and fails
+    the job if it is no JSON."""
     specs = {name: Out(out) if isinstance(out, str) else out for name, out in outs.items()}
     wanted: dict[str, list[str]] = {}
     for out in specs.values():
         if out.path is not None and not out.raw:
             wanted.setdefault(out.source, []).append(out.path)
-    texts = {source: json_texts(payload(df, source), paths) for source, paths in wanted.items()}
+    texts = {source: json_texts(payload(df, source), paths, strict=True) for source, paths in wanted.items()}
     columns = []
     for name, out in specs.items():
         if out.path is None:
@@ -55,6 +56,8 @@ class ProcessedModel:
     keys: tuple[str, ...]
     version: str
     build: Callable[[DataFrame], DataFrame]
+    #: Landing columns with JSON text.
+    payloads: tuple[str, ...] = ()
 
     def __call__(self, landing: DataFrame) -> DataFrame:
         return self.build(landing)

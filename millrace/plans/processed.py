@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.payload import json_text, payload, to_bigint, to_boolean, to_double, to_money
+from millrace.functions.payload import json_text, or_raise, payload, to_bigint, to_boolean, to_double, to_money
 from millrace.operators.dedupe import SOURCE_FILE, SOURCE_ROW, latest_per_key
 from millrace.operators.flatten import explode_text_array, filled_array_text
 from millrace.plans.model import Out, ProcessedModel, latest_and_shape
@@ -24,7 +24,8 @@ _LOADED = {LOAD: LOAD, "_dlt_id": "_dlt_id", **_DATED}
 def _model(name: str, source: str, stream: str, key: str, version: str, outs: dict) -> ProcessedModel:
     meta = _SYNCED if version == EXTRACTED else _LOADED
     build = latest_and_shape("id", version, {**_FILE, key: "id", **outs, **meta})
-    return ProcessedModel(name, (source, stream), (key,), version, build)
+    payloads = dict.fromkeys(o.source for o in outs.values() if isinstance(o, Out) and o.path is not None)
+    return ProcessedModel(name, (source, stream), (key,), version, build, tuple(payloads))
 
 
 def _attribute(path: str, cast=None) -> Out:
@@ -221,7 +222,8 @@ WHOLESALE_LINES = _model(
 def sum_refunds(refunds: DataFrame) -> DataFrame:
     """Refund transactions summed per order; the sums start before the shuffle."""
     lines = refunds.select("order_id", EXTRACTED, *_DATED, F.explode("transactions").alias("transaction"))
-    money = to_money(json_text(payload(lines, "transaction"), "amount"))
+    transaction = payload(lines, "transaction")
+    money = to_money(or_raise(transaction, json_text(transaction, "amount")))
     return lines.groupBy("order_id").agg(
         F.sum(money).alias("returns"),
         F.max(EXTRACTED).alias(EXTRACTED),

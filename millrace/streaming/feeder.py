@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from millrace.functions.payload import split_malformed
 from millrace.plans.model import ProcessedModel
 from millrace.plans.processed import PROCESSED
 from millrace.plans.refresh import processed_models, refresh_dependents, run_processed
@@ -60,12 +61,14 @@ def feed_files(
     until: dt.date | None = None,
     refresh: bool = False,
     on_batch: Callable[[int], None] | None = None,
+    quarantine: Callable[[DataFrame], None] | None = None,
 ) -> FeedResult:
     """Upsert all files behind the cursor, in natural order and in batches.
 
     The cursor moves after a batch has been committed to every model of the stream, so a
     failed run starts again with the batch it failed in. File names come to the driver one
-    listing partition at a time. ``refresh`` updates dependent facts at the end.
+    listing partition at a time. ``refresh`` updates dependent facts at the end. Malformed
+    JSON fails the run, unless ``quarantine`` is there to take each batch's broken rows.
     """
     spark = store.spark
     fed = processed_models(source, stream, models)
@@ -77,6 +80,9 @@ def feed_files(
     for number, batch in enumerate(_chunks(paths, files_per_batch), start=1):
         observed = Observation()
         landing = scan_files(spark, landing_root, batch, schema)
+        if quarantine is not None:
+            landing, broken = split_malformed(landing, sorted({p for m in fed for p in m.payloads}))
+            quarantine(broken)
         for position, model in enumerate(fed):
             seen = landing.observe(observed, F.count(F.lit(1)).alias("rows")) if position == 0 else landing
             run_processed(store, model, seen, guard_version=guard_version)

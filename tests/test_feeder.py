@@ -159,6 +159,16 @@ def test_failure_in_the_second_batch(spark, root, store):
     assert names(store) == [("a", "x"), ("b", "y"), ("c", "z")]
 
 
+def test_malformed_payloads(spark, root, store):
+    land(spark, root, [("a", "x", 1), ("b", 'y"', 2)])  # the quote breaks b's JSON
+    with pytest.raises(Exception, match="malformed JSON"):
+        feed(store, root)
+    assert CursorTable(store).get(*LIST) is None
+    aside = []
+    feed(store, root, quarantine=lambda df: aside.extend(r["id"] for r in df.collect()))
+    assert names(store) == [("a", "x")] and aside == ["b"]
+
+
 def test_a_stream_without_model_is_an_error(spark, root, store):
     land(spark, root, [("a", "x", 1)])
     with pytest.raises(LookupError):

@@ -86,6 +86,14 @@ def test_bigint_rounds(spark, text, number):
     assert one(spark, to_bigint(F.col("t")), t=text) == number
 
 
+def test_strict_json_fails_only_on_broken_text(spark):
+    for text in ('{"b":1}', "5", "[]", None, '{"a":null}'):
+        assert one(spark, json_texts(F.col("j"), ["a", "c.d"], strict=True)["a"], j=text) is None
+    for text in ("oops", "", '{"a": '):
+        with pytest.raises(Exception, match="malformed JSON"):
+            one(spark, json_texts(F.col("j"), ["a", "c.d"], strict=True)["a"], j=text)
+
+
 def test_money_and_boolean(spark):
     assert one(spark, to_money(F.col("t")), t="1.005") == Decimal("1.01")
     assert one(spark, to_boolean(F.col("t")), t="true") is True
@@ -100,6 +108,6 @@ def test_malformed_json(spark):
     good, bad = split_malformed(df, ["j"])
     assert sorted(r["j"] or "" for r in good.collect()) == ["", '{"a": 1}', "{}"]
     assert [r["j"] for r in bad.collect()] == ["oops"]
-    with pytest.raises(Exception, match="malformed JSON in j: oops"):
+    with pytest.raises(Exception, match="malformed JSON: oops"):
         require_json(df, ["j"]).collect()
     assert require_json(good, ["j"]).count() == 3
