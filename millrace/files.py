@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -30,16 +32,24 @@ def size(spark: SparkSession, path: str) -> int:
 
 
 def create_text(spark: SparkSession, path: str, lines: list[str]) -> None:
-    """Write a small text file that must not exist yet.
+    """Write a text file that must not exist yet.
 
-    ``create`` without overwrite is the commit point: of two writers one fails.
+    The lines go to a hidden file first; renaming it, which does not overwrite, is the
+    commit point: readers see all or nothing, and of two writers one fails.
     """
-    fs, p = _fs(spark, path)
-    out = fs.create(p, False)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    folder, _, name = path.rpartition("/")
+    fs, hidden = _fs(spark, f"{folder}/.{name}-{uuid.uuid4().hex}")
+    out = fs.create(hidden, False)
     try:
-        out.write(bytearray(("\n".join(lines) + "\n").encode("utf-8")))
+        for start in range(0, len(lines), 2000):
+            out.write(bytearray(("\n".join(lines[start : start + 2000]) + "\n").encode("utf-8")))
     finally:
         out.close()
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf)
+    context.rename(hidden, jvm.org.apache.hadoop.fs.Path(path), options)
 
 
 def first_line(spark: SparkSession, path: str) -> str:

@@ -3,7 +3,7 @@
 A table is a folder of immutable Parquet files (``data/``) and a log (``_log/``) with one
 small JSON file per version: the snapshot, the files it added and the files it removed.
 Every question about files and versions is a DataFrame over that log; rows are only ever
-read and written by Spark. Creating the next log file is the commit.
+read and written by Spark. The next log file, once it is there, is the commit.
 
 The log holds the range of the key and version columns of each file. An upsert rewrites
 only the files that hold a key of the batch: they are found by a semi-join over the key
