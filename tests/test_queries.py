@@ -41,7 +41,8 @@ def test_entry(spark):
 
     df = entry.entry(spark)
     assert df.columns[0] == "order_id" and df.limit(1).count() == 1
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert QUERIES.keys() <= entry.queries().keys()
+    assert ORACLES.items() <= entry.oracle_sql().items()
 
 
 def test_filters_and_columns_reach_the_scan(spark, sf_dir):
