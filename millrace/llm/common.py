@@ -11,6 +11,8 @@ from millrace.session import work_dir
 
 #: Rows up to which a table of a few narrow columns is broadcast; beyond it Spark joins by shuffle.
 BROADCAST_ROWS = 200_000
+#: The same for a plain list of ids, 16 bytes each.
+ID_ROWS = 2_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
