@@ -25,20 +25,19 @@ class Settings:
     """``sample``: labelled rows of each class that patterns and classifier are fitted on, at most
     (about; drawn by a digest of the id). ``patterns``: the most patterns kept. ``support`` and
     ``purity``: documents a pattern must be in, and how toxic they must be. ``folds``: voters a
-    kind of pattern is dealt to. ``rounds``: of the label model's estimation."""
+    kind of pattern is dealt to."""
 
     sample: int = 10_000
     patterns: int = 2_000
     support: int = 3
     purity: float = 0.8
     folds: int = 8
-    rounds: int = 3
     ridge: float = 0.02
     decay: float = 1e-4
 
 
 #: Kinds of patterns: whole words, and words by their first letters (for inflected and compound forms).
-KINDS = {"word": 0, "stem5": 5, "stem4": 4}
+KINDS = {"word": 0, "stem3": 3, "stem4": 4, "stem5": 5, "stem6": 6}
 
 
 def patterns_of(word: str) -> list[str]:
@@ -192,45 +191,46 @@ def _vote(lexicon: Lexicon):
     return run
 
 
-def _moments(model: LabelModel | None, voters: int):
-    """Sums of expected labels, votes and products of votes; without a model only gold labels count."""
+def _moments(voters: int):
+    """Sums over all documents (number, votes, products of votes) and over each label's (number, votes)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(2 * (1 + voters + voters * voters))
+        total = np.zeros(3 * (1 + voters) + voters * voters)
         for batch in batches:
             votes = _bits(batch.column("mask").to_numpy(), voters)
             n = batch.column("n").to_numpy().astype(float)
             gold = batch.column("gold").to_numpy(zero_copy_only=False).astype(float)
-            known = ~np.isnan(gold)
-            toxic = np.where(known, gold, model.posterior(votes) if model else 0.0)
             parts = []
-            for weight in (n * toxic, n * (1 - toxic)):
-                weight = weight if model else weight * known
-                parts += [[weight.sum()], weight @ votes, (votes.T @ (votes * weight[:, None])).ravel()]
-            total += np.concatenate(parts)
+            for weight in (n, n * (gold == 1), n * (gold == 0)):
+                parts += [[weight.sum()], weight @ votes]
+            total += np.concatenate([*parts, (votes.T @ (votes * n[:, None])).ravel()])
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], names=["place", "amount"])
 
     return run
 
 
 def _estimate(votes: DataFrame, lexicon: Lexicon, spec: Settings) -> LabelModel:
-    """Means and covariance from moments over all documents: first of gold labels, then with the
-    posteriors of documents without one. Only the sums leave the executors."""
-    voters, model = lexicon.voters, None
-    for _ in range(1 + spec.rounds):
-        rows = votes.mapInArrow(_moments(model, voters), "place long, amount double")
-        sums = np.zeros(2 * (1 + voters + voters * voters))
-        for r in rows.groupBy("place").agg(F.sum("amount").alias("amount")).collect():
-            sums[r["place"]] = r["amount"]
-        (n1, m1, s1), (n0, m0, s0) = (
-            (h[0], h[1 : 1 + voters], h[1 + voters :].reshape(voters, voters)) for h in np.split(sums, 2)
-        )
-        # One pseudo-document a class keeps empty classes and constant voters finite.
-        toxic, clean = (m1 + 0.5) / (n1 + 1), m0 / (n0 + 1)
-        within = s1 - np.outer(m1, m1) / max(n1, 1) + s0 - np.outer(m0, m0) / max(n0, 1)
-        covariance = within / max(n1 + n0, 1) + spec.ridge * np.eye(voters)
-        model = LabelModel((n1 + 1) / (n1 + n0 + 2), toxic, clean, covariance)
-    return model
+    """Accuracies from the documents with a label; prior and correlations from all documents.
+
+    The mean vote of all documents is a mixture of the two classes' means, which gives the prior;
+    the covariance of all votes less what the classes' difference explains is the covariance
+    within classes. Only sums leave the executors: their number is the square of the voters'.
+    """
+    voters = lexicon.voters
+    rows = votes.mapInArrow(_moments(voters), "place long, amount double")
+    sums = np.zeros(3 * (1 + voters) + voters * voters)
+    for r in rows.groupBy("place").agg(F.sum("amount").alias("amount")).collect():
+        sums[r["place"]] = r["amount"]
+    (n, *m), (n1, *m1), (n0, *m0) = sums[: 3 * (1 + voters)].reshape(3, 1 + voters)
+    n, mean = max(n, 1), np.array(m) / max(n, 1)
+    # Half a document's worth of doubt keeps empty classes and constant voters finite.
+    toxic, clean = (np.array(m1) + 0.5) / (n1 + 1), (np.array(m0) + 0.5 * mean) / (n0 + 1)
+    gap = toxic - clean
+    prior = float(np.clip((mean - clean) @ gap / max(gap @ gap, 1e-12), 1 / (n + 2), 0.9))
+    whole = sums[3 * (1 + voters) :].reshape(voters, voters) / n - np.outer(mean, mean)
+    values, axes = np.linalg.eigh(whole - prior * (1 - prior) * np.outer(gap, gap))
+    within = (axes * np.maximum(values, 0)) @ axes.T + spec.ridge * np.eye(voters)
+    return LabelModel(prior, toxic, clean, within)
 
 
 def _fit_linear(rows: list[list[int]], target: np.ndarray, size: int, decay: float) -> tuple[np.ndarray, float]:
@@ -260,8 +260,8 @@ def train(
 
     Patterns (words and word beginnings) that mark toxic documents are counted in a bounded sample
     of labelled rows (``Settings.sample`` of each class, copies of a text once) and dealt to
-    voters. All documents vote; the label model takes means by class and the covariance of votes
-    from all of them, labelled or not. The classifier is fitted on the sample's posteriors, which
+    voters. All documents vote: the label model takes the voters' accuracies from labelled ones, the
+    prior and the correlations from all. The classifier is fitted on the sample's posteriors, which
     are the known labels where there are any. Held-out rows' labels are never read.
 
     Null labels and ids are not learned from; of several labels of an id the highest holds. Null
