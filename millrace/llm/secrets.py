@@ -81,9 +81,11 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", scope
     )
     # Weak parts need an identifier beside them, so only texts with one are searched for them.
     has_id = F.size("access") > 0
+    # The others get a key of their own, so that they are spread where rows meet their linked spans.
+    digest = F.when(has_id, F.md5("body")).otherwise(F.concat(F.lit("-"), F.monotonically_increasing_id()))
     none = F.array().cast("array<struct<from:bigint,nth:int,until:bigint,kind:string>>")
     wide = rows.select(
-        "key", "assign", "access", "hex", F.when(has_id, F.md5("body")).alias("digest"),
+        "key", "assign", "access", "hex", digest.alias("digest"),
         F.when(has_id, _named(weak, 3, "key")).otherwise(none).alias("weak"),
         F.when(has_id, _named(ends, 4, "endpoint")).otherwise(none).alias("ends"),
     )
