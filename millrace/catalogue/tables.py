@@ -106,13 +106,9 @@ def upsert_single_key(spark, sf_dir):
 @query(
     "upsert_composite_key",
     f"""{with_(i.ERP_ORDERS_SQL)},
-batch_tags AS (
-    SELECT * FROM (
-        SELECT order_id, v, unnest(from_json(tags, '["VARCHAR"]')) AS tag, {LOAD} FROM erp_raw
-        WHERE tags IS NOT NULL AND tags <> '[]' AND tags <> '')
-    WHERE tag IS NOT NULL AND tag <> '')
-SELECT order_id, tag, {LOAD} FROM batch_tags b
-WHERE v = (SELECT max(v) FROM batch_tags l WHERE l.order_id = b.order_id AND l.tag = b.tag)""",
+every_tag AS ({i.tags_sql("erp_raw", "order_id, v")})
+SELECT order_id, tag, {LOAD} FROM every_tag
+QUALIFY rank() OVER (PARTITION BY order_id, tag ORDER BY {LOAD} DESC) = 1""",
 )
 def upsert_composite_key(spark, sf_dir):
     """Tags by order and tag in three batches: a tag that is gone from an order stays."""
@@ -183,6 +179,45 @@ def sync_append_dedup(spark, sf_dir):
     return table.read().select(*FEW)
 
 
+GUARDED = f"""
+    SELECT order_id, financial_status, discounts, {EXTRACTED} FROM orders_raw
+    QUALIFY rank() OVER (PARTITION BY order_id ORDER BY {EXTRACTED} DESC) = 1"""
+#: Orders without a key: every 50th is seen once so in the first and once in the last batch.
+NO_KEY = f"SELECT CAST(NULL AS BIGINT), financial_status, discounts, {EXTRACTED} FROM orders_raw WHERE order_id % 50 = 0"
+
+
+def keyless(rows):
+    return rows.filter("order_id % 50 = 0").withColumn("order_id", F.lit(None).cast("long"))
+
+
+@query(
+    "upsert_guarded",
+    f"""{with_(i.ORDERS_SQL)}
+SELECT * FROM ({GUARDED}) UNION ALL
+SELECT * FROM ({GUARDED}) WHERE order_id % 40 = 0 UNION ALL {NO_KEY}""",
+)
+def upsert_guarded(spark, sf_dir):
+    """Versions in the wrong order, some rows twice in a batch, some without a key: newer rows
+    stay, twins stay twins, and rows of other keys or none stay whatever file they lie in."""
+    table = new_store(spark, "guarded").table(ORDERS)
+    for version in (2, 3, 1):
+        batch = i.orders(spark, sf_dir).filter(F.col("v") == version)
+        rows = processed.ORDERS(batch).select(*FEW)
+        table.upsert(rows.union(rows.filter("order_id % 40 = 0")).union(keyless(rows)), ["order_id"], guard_version=EXTRACTED)
+    return table.read()
+
+
+@query("append_dedup", f"{with_(i.ORDERS_SQL)}\nSELECT * FROM ({GUARDED}) UNION ALL {NO_KEY}")
+def append_dedup(spark, sf_dir):
+    """The same batches, deduplicated: one row a key, and all rows without one."""
+    table = new_store(spark, "append-dedup").table(ORDERS)
+    for version in (2, 3, 1):
+        batch = i.orders(spark, sf_dir).filter(F.col("v") == version)
+        rows = processed.ORDERS(batch).select(*FEW)
+        table.append_dedup(rows.union(rows.filter("order_id % 40 = 0")).union(keyless(rows)), ["order_id"], EXTRACTED)
+    return table.read()
+
+
 # -- maintenance ------------------------------------------------------------------------------
 
 SECOND_DAY = dt.datetime(2024, 1, 2, tzinfo=dt.timezone.utc)
@@ -232,7 +267,7 @@ def orphan_files(spark, sf_dir):
     table.overwrite(processed.ORDERS(version_batch(spark, sf_dir, 1)), ["order_id"])
     lost = version_batch(spark, sf_dir, 2).select(F.col("id").alias("order_id"), "v")
     lost.write.parquet(f"{table.data_path}/lost")
-    found = [r["path"] for r in maintenance.orphan_files(table).select("path").toLocalIterator()]
+    found = [r["path"] for r in maintenance.orphan_files(table, dt.timedelta(0)).select("path").toLocalIterator()]
     return spark.read.schema("order_id long, v int").parquet(*[f"{table.data_path}/{p}" for p in found])
 
 

@@ -15,6 +15,10 @@ from millrace.sources.landing import FILE_BYTES, list_files
 from millrace.tables.table import TableStore, VersionedTable
 
 
+#: Age from which an unknown file cannot belong to a running write.
+ORPHAN_AGE = dt.timedelta(days=3)
+
+
 def expire_snapshots(table: VersionedTable, older_than: dt.datetime) -> int:
     """Expire the snapshots committed before a time, never the current one.
 
@@ -40,8 +44,10 @@ def expire_snapshots(table: VersionedTable, older_than: dt.datetime) -> int:
 
 
 def files_to_clean(table: VersionedTable) -> DataFrame:
-    """Files that no kept snapshot can see: ``path, record_count, begin_snapshot, end_snapshot``."""
-    return table.data_files().filter(F.col("end_snapshot") <= table.first_kept()).drop("file_size", "low", "high")
+    """Files that no kept snapshot can see and that are still there: ``path, record_count,
+    begin_snapshot, end_snapshot``."""
+    unseen = table.data_files().filter(F.col("end_snapshot") <= table.first_kept())
+    return unseen.drop("file_size", "low", "high").join(_stored_files(table).select("path"), "path", "left_semi")
 
 
 def cleanup_old_files(table: VersionedTable, dry_run: bool = True) -> list[str]:
@@ -49,15 +55,22 @@ def cleanup_old_files(table: VersionedTable, dry_run: bool = True) -> list[str]:
     return _report(table, files_to_clean(table).select("path"), dry_run)
 
 
-def orphan_files(table: VersionedTable) -> DataFrame:
-    """Parquet files below the table that its log does not know: ``path, length``."""
-    found = list_files(table.spark, [table.data_path])
-    name = F.concat_ws("/", F.slice(F.split("path", "/"), -2, 2)).alias("path")  # as in the log
-    return found.select(name, "length").join(table.data_files().select("path"), "path", "left_anti")
+def _stored_files(table: VersionedTable) -> DataFrame:
+    """Parquet files below the table, named as in its log."""
+    name = F.concat_ws("/", F.slice(F.split("path", "/"), -2, 2)).alias("path")
+    return list_files(table.spark, [table.data_path]).select(name, "length", "modificationTime")
+
+
+def orphan_files(table: VersionedTable, min_age: dt.timedelta = ORPHAN_AGE) -> DataFrame:
+    """Parquet files below the table that its log does not know: ``path, length``. Files younger
+    than ``min_age`` may belong to a write that is still running and are left out."""
+    old = F.col("modificationTime") <= F.lit(dt.datetime.now(dt.timezone.utc) - min_age)
+    found = _stored_files(table).filter(old)
+    return found.select("path", "length").join(table.data_files().select("path"), "path", "left_anti")
 
 
-def delete_orphans(table: VersionedTable, dry_run: bool = True) -> list[str]:
-    return _report(table, orphan_files(table).select("path"), dry_run)
+def delete_orphans(table: VersionedTable, dry_run: bool = True, min_age: dt.timedelta = ORPHAN_AGE) -> list[str]:
+    return _report(table, orphan_files(table, min_age).select("path"), dry_run)
 
 
 def _report(table: VersionedTable, paths: DataFrame, dry_run: bool) -> list[str]:

@@ -14,6 +14,7 @@ the log alone.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import json
 import uuid
 from collections.abc import Sequence
@@ -37,6 +38,10 @@ LOG_SCHEMA = """
 
 Bounds = dict[str, tuple[str, str]]
 
+#: Helper columns of guarded upserts.
+NEWEST = "_newest_version"
+IN_BATCH = "_in_batch"
+
 
 def _utc_now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc)
@@ -253,7 +258,13 @@ class VersionedTable:
         if not self.exists():
             return self._nullable(batch)
         current = self.schema()
-        known = set(current.names)
+        known = {f.name: f.dataType for f in current.fields}
+        for field in self._nullable(batch).fields:
+            if field.name in known and known[field.name] != field.dataType:
+                raise TypeError(
+                    f"column {field.name} of {self.name} is {known[field.name].simpleString()}, "
+                    f"the batch has {field.dataType.simpleString()}"
+                )
         return T.StructType([*current.fields, *[f for f in self._nullable(batch).fields if f.name not in known]])
 
     def overwrite(
@@ -288,46 +299,100 @@ class VersionedTable:
     ) -> int:
         """Delete+insert: rows whose key is in the batch go, all rows of the batch come in.
 
-        ``guard_version`` names a column by which an older batch row may not replace a newer
-        table row. ``also_delete`` holds further keys (any subset of columns) whose rows go.
-        A batch id that was committed before is skipped. ``ranges`` names columns, beside
-        the keys, whose range per file the log should hold.
+        ``guard_version`` names a column by which an older row may not replace a newer one: of a
+        key in the batch only table rows that are not newer than the batch's newest go, and only
+        batch rows come in that the table has nothing newer than. Rows of other keys, duplicates
+        in the batch and NULL keys, which match nothing, are not touched by that. ``also_delete``
+        holds further keys (any subset of columns) whose rows go. A batch id that was committed
+        before is skipped. ``ranges`` names columns, beside the keys, whose range per file the
+        log should hold.
         """
         expected = self.current_version()
         if batch_id is not None and self.has_batch(batch_id):
             return expected
         if not expected:
-            first = latest_per_key(batch, keys, guard_version) if guard_version else batch
-            return self.overwrite(first, keys, batch_id, "create", ranges)
+            return self.overwrite(batch, keys, batch_id, "create", ranges)
         schema = self._merged_schema(batch.schema)
         # the batch is computed once; everything after reads the written files
         staged = self._stage(batch, "batch", keys)
         rows = self._read_paths([staged], self._nullable(batch.schema))
-        gone = [self._key_file(rows, keys)]
+        batch_keys = self._key_file(rows, keys, guard_version)
+        touched = set(self._files_with(batch_keys.select(*keys)))
+        if also_delete is not None:
+            further = self._key_file(also_delete, also_delete.columns)
+            touched |= set(self._files_with(further))
+        kept = self._read_paths(sorted(touched), schema)
         if also_delete is not None:
-            gone.append(self._key_file(also_delete, also_delete.columns))
-        touched = sorted({path for keys_gone in gone for path in self._files_with(keys_gone)})
-        kept = self._read_paths(touched, schema)
-        for keys_gone in gone[1:] if guard_version else gone:
-            kept = kept.join(keys_gone, keys_gone.columns, "left_anti")
+            kept = kept.join(further, further.columns, "left_anti")
         if not touched:
             added = [staged]
         elif guard_version:
-            merged = latest_per_key(kept.unionByName(rows, allowMissingColumns=True), keys, guard_version)
-            added = [self._stage(merged, "merged", keys)]
+            newer = kept.join(batch_keys, list(keys), "left_semi").groupBy(*keys).agg(F.max(guard_version).alias(NEWEST))
+            newer = self._scratch_file(newer, "newest")
+            fresh = rows.join(newer, list(keys), "left")
+            fresh = fresh.filter(F.col(NEWEST).isNull() | F.coalesce(F.col(guard_version) >= F.col(NEWEST), F.lit(False)))
+            # a NULL version is older than any
+            newer_there = F.coalesce(F.col(guard_version) > F.col(NEWEST), F.col(NEWEST).isNull() & F.col(guard_version).isNotNull())
+            stays = F.col(IN_BATCH).isNull() | newer_there
+            kept = kept.join(batch_keys.withColumn(IN_BATCH, F.lit(True)), list(keys), "left").filter(stays)
+            added = [self._stage(kept.select(*schema.names).unionByName(fresh.drop(NEWEST), allowMissingColumns=True), "merged", keys)]
         else:
+            kept = kept.join(batch_keys, list(keys), "left_anti")
             added = [staged, self._stage(kept.select(*schema.names), "kept", keys)]
-        version = self._commit("upsert", schema, added, touched, batch_id, expected, [*keys, *ranges])
+        return self._finish("upsert", schema, staged, added, sorted(touched), batch_id, expected, [*keys, *ranges])
+
+    def append_dedup(
+        self, batch: DataFrame, keys: Sequence[str], version: str, batch_id: str | None = None, ranges: Sequence[str] = ()
+    ) -> int:
+        """Append a batch and keep the latest version of every key in it.
+
+        Table rows of other keys stay as they are, wherever they lie. Rows without a complete key
+        are appended and never replaced.
+        """
+        expected = self.current_version()
+        if batch_id is not None and self.has_batch(batch_id):
+            return expected
+        keyed = functools.reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+
+        def latest(rows: DataFrame) -> DataFrame:
+            return latest_per_key(rows.filter(keyed), keys, version).unionByName(rows.filter(~keyed))
+
+        if not expected:
+            return self.overwrite(latest(batch), keys, batch_id, "create", [version, *ranges])
+        schema = self._merged_schema(batch.schema)
+        staged = self._stage(latest(batch), "batch", keys)
+        rows = self._read_paths([staged], self._nullable(batch.schema))
+        batch_keys = self._key_file(rows, keys)
+        touched = self._files_with(batch_keys)
+        if not touched:
+            return self._finish("append dedup", schema, staged, [staged], [], batch_id, expected, [*keys, version, *ranges])
+        old = self._read_paths(sorted(touched), schema)
+        of_batch = old.join(batch_keys, list(keys), "left_semi")
+        others = old.join(batch_keys, list(keys), "left_anti")
+        merged = latest(of_batch.unionByName(rows, allowMissingColumns=True)).unionByName(others)
+        added = [self._stage(merged.select(*schema.names), "merged", keys)]
+        return self._finish("append dedup", schema, staged, added, sorted(touched), batch_id, expected, [*keys, version, *ranges])
+
+    def _finish(
+        self, operation: str, schema: T.StructType, staged: str, added: Sequence[str], touched: Sequence[str],
+        batch_id: str | None, expected: int, ranges: Sequence[str],
+    ) -> int:
+        """Commit, then drop what only the running write needed."""
+        version = self._commit(operation, schema, added, touched, batch_id, expected, ranges)
         for path in [self.scratch] + [f"{self.data_path}/{staged}"] * (staged not in added):
             files.delete(self.spark, path)
         return version
 
-    def _key_file(self, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-        """Distinct keys, written out: both joins read them as a plain scan, under which
-        adaptive execution can split a table key that holds many rows."""
-        path = f"{self.scratch}/keys-{uuid.uuid4().hex}"
-        key_set(rows, keys).write.parquet(path)
-        return self.spark.read.schema(T.StructType([rows.schema[k] for k in keys])).parquet(path)
+    def _key_file(self, rows: DataFrame, keys: Sequence[str], version: str | None = None) -> DataFrame:
+        """Distinct keys, with the newest of a version, written out: joins read them as a plain
+        scan, under which adaptive execution can split a table key that holds many rows."""
+        found = rows.groupBy(*keys).agg(F.max(version).alias(NEWEST)) if version else key_set(rows, keys)
+        return self._scratch_file(found, "keys")
+
+    def _scratch_file(self, rows: DataFrame, label: str) -> DataFrame:
+        path = f"{self.scratch}/{label}-{uuid.uuid4().hex}"
+        rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
 
     def _files_with(self, key_rows: DataFrame) -> list[str]:
         """Current files that hold one of the keys."""
@@ -347,7 +412,9 @@ class VersionedTable:
         if mode == "overwrite":
             return self.overwrite(df, keys)
         if mode == "append_dedup":
-            return self.upsert(df, keys, guard_version=version)
+            if version is None:
+                raise ValueError("append_dedup needs a version column")
+            return self.append_dedup(df, keys, version)
         if mode == "merge":
             return self.upsert(df, keys)
         raise ValueError(f"unknown sync mode {mode!r}")

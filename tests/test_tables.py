@@ -60,6 +60,35 @@ def test_last_batch_wins_unless_guarded(spark, store):
         assert store.read(name).first()["x"] == expected
 
 
+def test_a_guarded_upsert_touches_only_its_keys(spark, store):
+    table = store.table("t")
+    table.append(batch(spark, [(1, 5, "a"), (2, 1, "b"), (5, 1, "x"), (5, 2, "y"), (None, 1, "n"), (None, 2, "m")]).coalesce(1))
+    table.upsert(batch(spark, [(1, 4, "late"), (2, 3, "c"), (2, 3, "twin"), (None, 1, "o"), (9, 1, "new")]), ["k"], guard_version="v")
+    expected = [(1, 5, "a"), (2, 3, "c"), (2, 3, "twin"), (5, 1, "x"), (5, 2, "y"), (9, 1, "new"), (None, 1, "n"), (None, 1, "o"), (None, 2, "m")]
+    assert rows(table.read()) == sorted(expected, key=repr)
+    table.upsert(batch(spark, [(1, 5, "tie"), (2, None, "no version"), (5, 2, "z")]), ["k"], guard_version="v")
+    assert rows(table.read().filter("k < 9")) == [(1, 5, "tie"), (2, 3, "c"), (2, 3, "twin"), (5, 2, "z")]
+
+
+@pytest.mark.parametrize("files", [1, 4])
+def test_append_dedup_does_not_depend_on_files(spark, store, files):
+    table = store.table("t")
+    old = [(1, 5, "a"), (2, 1, "b"), (5, 1, "x"), (5, 2, "y"), (None, 1, "n"), (None, 2, "m")]
+    table.append(batch(spark, old).repartition(files, "x"))
+    table.append_dedup(batch(spark, [(1, 4, "late"), (2, 3, "c"), (2, 2, "d"), (None, 1, "o")]), ["k"], "v")
+    expected = [(1, 5, "a"), (2, 3, "c"), (5, 1, "x"), (5, 2, "y"), (None, 1, "n"), (None, 1, "o"), (None, 2, "m")]
+    assert rows(table.read()) == sorted(expected, key=repr)
+
+
+def test_types_do_not_change(spark, store):
+    table = store.table("t")
+    table.append(batch(spark, [(1, "a")], "k long, x string"))
+    for write in (table.append, lambda df: table.upsert(df, ["k"])):
+        with pytest.raises(TypeError, match="column x of t is string, the batch has double"):
+            write(batch(spark, [(2, 1.5)], "k long, x double"))
+    assert rows(table.read()) == [(1, "a")] and table.current_version() == 1
+
+
 def test_hot_key_in_the_table(spark, store):
     table = store.table("t")
     hot = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.lit(1).alias("v"))
@@ -136,6 +165,7 @@ def test_expire_and_clean_up(spark, tmp_path):
     listed = maintenance.cleanup_old_files(table)
     assert listed and all(os.path.exists(f"{table.data_path}/{p}") for p in listed)
     assert maintenance.cleanup_old_files(table, dry_run=False) == listed
+    assert maintenance.cleanup_old_files(table, dry_run=False) == []
     assert not any(os.path.exists(f"{table.data_path}/{p}") for p in listed)
     assert rows(table.read()) == current and table.read(2).count() > 0
 
@@ -152,10 +182,11 @@ def test_orphans(spark, tmp_path):
     table = three_versions(spark, tmp_path)
     assert maintenance.delete_orphans(table) == []
     table._stage(batch(spark, [(9, 9, "lost")]).coalesce(1), "failed")
-    found = maintenance.delete_orphans(table, dry_run=True)
+    assert maintenance.delete_orphans(table, dry_run=True) == []  # may still be written to
+    found = maintenance.delete_orphans(table, dry_run=True, min_age=dt.timedelta(0))
     assert found and all(p.startswith("failed-") for p in found)
-    maintenance.delete_orphans(table, dry_run=False)
-    assert maintenance.delete_orphans(table) == []
+    maintenance.delete_orphans(table, dry_run=False, min_age=dt.timedelta(0))
+    assert maintenance.delete_orphans(table, min_age=dt.timedelta(0)) == []
     assert table.read(3).count() == 3
 
 
@@ -221,7 +252,7 @@ def test_nothing_is_left_behind_by_a_write(spark, store):
     table = store.table("t")
     for n in (1, 2, 3):
         table.upsert(batch(spark, [(1, n, "a"), (n, n, "b")]), ["k"], guard_version="v")
-    assert maintenance.delete_orphans(table) == []
+    assert maintenance.delete_orphans(table, min_age=dt.timedelta(0)) == []
     assert not os.path.exists(table.scratch)
 
 
