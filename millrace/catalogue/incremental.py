@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from dataclasses import replace
 
 from pyspark.sql import functions as F
@@ -15,6 +14,7 @@ from millrace.operators import flatten_order_items, high_water_mark, newer_than
 from millrace.operators.dedupe import SOURCE_FILE
 from millrace.plans import enriched, processed
 from millrace.plans.processed import EXTRACTED, LOAD
+from millrace.plans.refresh import refresh_fact, run_processed
 from millrace.session import work_dir
 from millrace.sources.known import CONTRACTS
 from millrace.sources.landing import append_landing, scan_landing
@@ -23,7 +23,6 @@ from millrace.streaming.feeder import FILES_PER_BATCH, read_landing_stream
 from millrace.tables import TableStore
 
 EVENTS = ("klaviyo", "events")
-UNTIL = dt.date(2024, 12, 31)
 EVENT_COLUMNS = f"event_id, profile_id, metric_id, event_uuid, {EXTRACTED}"
 LATEST_EVENTS = f"{with_(i.EVENTS_SQL)}\nSELECT {EVENT_COLUMNS} FROM events_latest"
 
@@ -34,7 +33,7 @@ def new_store(spark, label):
 
 def feed_events(spark, sf_dir, store, **options):
     schema = CONTRACTS[EVENTS].landing_schema()
-    return feed_files(store, events_landing(spark, sf_dir), *EVENTS, schema=schema, until=UNTIL, **options)
+    return feed_files(store, events_landing(spark, sf_dir), *EVENTS, schema=schema, **options)
 
 
 def stream_events(spark, sf_dir, store, checkpoint, **options):
@@ -57,7 +56,7 @@ SELECT 'klaviyo' AS source, 'events' AS stream, max(CAST({EXTRACTED} AS DATE)) A
 def cursor_state(spark, sf_dir):
     """The stored cursor after all files were fed."""
     store = new_store(spark, "cursor")
-    feed_events(spark, sf_dir, store, files_per_batch=1000)
+    feed_events(spark, sf_dir, store)
     cursors = CursorTable(store).read()
     return cursors.select("source", "stream", partition_date(F.col("cursor_path")).alias("cursor_date"))
 
@@ -66,10 +65,10 @@ def cursor_state(spark, sf_dir):
 def backfill_replay(spark, sf_dir):
     """Table and cursor dropped after a run, then everything fed again."""
     store = new_store(spark, "backfill")
-    feed_events(spark, sf_dir, store, files_per_batch=1000)
+    feed_events(spark, sf_dir, store)
     store.drop(processed.EVENTS.name)
     CursorTable(store).clear(*EVENTS)
-    feed_events(spark, sf_dir, store, files_per_batch=1000)
+    feed_events(spark, sf_dir, store)
     return event_rows(store)
 
 
@@ -99,8 +98,8 @@ def meta_cursor_freshness(spark, sf_dir):
     store = new_store(spark, "freshness")
     root = i.landing(spark, sf_dir, "campaigns", i.campaigns)
     schema = CONTRACTS["klaviyo", "campaigns"].landing_schema()
-    feed_events(spark, sf_dir, store, files_per_batch=1000)
-    feed_files(store, root, "klaviyo", "campaigns", schema, files_per_batch=1000, until=UNTIL)
+    feed_events(spark, sf_dir, store)
+    feed_files(store, root, "klaviyo", "campaigns", schema)
     cursors = CursorTable(store).freshness()
     return cursors.select("stream", partition_date(F.col("cursor_path")).alias("cursor_date"))
 
@@ -152,17 +151,17 @@ def stream_file_source(spark, sf_dir):
     f"{with_(i.EVENTS_SQL)}\nSELECT true AS within_limit, count(*) AS events FROM events_raw",
 )
 def stream_micro_batch(spark, sf_dir):
-    """Micro-batches of at most ten files."""
-    seen = []
-    store = new_store(spark, "micro")
+    """Micro-batches of at most ten files: what each held, as it was written beside the table."""
+    store, counts = new_store(spark, "micro"), work_dir(spark, "batches")
 
     def count_files(batch, batch_id):
-        counts = batch.agg(F.count_distinct(SOURCE_FILE).alias("files"), F.count(F.lit(1)).alias("rows")).first()
-        seen.append((counts["files"], counts["rows"]))
+        by_file = batch.groupBy(SOURCE_FILE).agg(F.count(F.lit(1)).alias("rows"))
+        by_file.write.mode("overwrite").parquet(f"{counts}/batch={batch_id}")
 
     stream_events(spark, sf_dir, store, work_dir(spark, "checkpoint"), on_batch=count_files).awaitTermination()
-    limit = all(files <= FILES_PER_BATCH for files, _ in seen)
-    return spark.createDataFrame([(limit, sum(rows for _, rows in seen))], "within_limit boolean, events long")
+    batches = spark.read.parquet(counts).groupBy("batch").agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows"))
+    within = F.bool_and(F.col("files") <= FILES_PER_BATCH).alias("within_limit")
+    return batches.agg(within, F.sum("rows").alias("events"))
 
 
 @query("stream_upsert", LATEST_EVENTS)
@@ -175,18 +174,17 @@ def stream_upsert(spark, sf_dir):
 @query(
     "stream_multi_model",
     f"""{with_(i.ERP_ORDERS_SQL)}
-SELECT DISTINCT t.order_id, t.tag, t.{LOAD}, o.amount_total FROM order_tags t JOIN erp_latest o ON t.order_id = o.order_id""",
+SELECT t.order_id, t.tag, t.{LOAD}, o.amount_total FROM order_tags t JOIN erp_latest o ON t.order_id = o.order_id""",
 )
 def stream_multi_model(spark, sf_dir):
-    """One stream that fills two tables, orders and their tags."""
+    """One stream that fills two tables, orders and their tags, however files fall into batches: an
+    order's newest tags replace its older ones."""
     contract = CONTRACTS["odoo", "orders"]
     root = i.landing(spark, sf_dir, "erp_orders", lambda s, d: i.erp_orders(s, d).drop("v"))
     store = new_store(spark, "multi")
     checkpoint = work_dir(spark, "checkpoint")
-    # one batch: which of two versions' tags are seen depends on how files fall into batches
-    stream_files(
-        store, root, "odoo", "orders", contract.landing_schema(), checkpoint, files_per_batch=1_000_000
-    ).awaitTermination()
+    schema = contract.landing_schema()
+    stream_files(store, root, "odoo", "orders", schema, checkpoint, replace_parent=True).awaitTermination()
     orders = store.read(processed.ERP_ORDERS.name).select("order_id", "amount_total")
     return store.read(processed.ORDER_TAGS.name).join(orders, "order_id")
 
@@ -238,18 +236,42 @@ def late_data_dropped(spark, sf_dir):
     return arrived.select("event_id", "v", newer_than(arrived, EXTRACTED, mark).alias("admitted"))
 
 
+@query("fct_sales_recompute", f"{with_(i.SALES_SQL)}\nSELECT * FROM sales")
+def fct_sales_recompute(spark, sf_dir):
+    """Refunds streamed one by one, in whatever batches they arrive; the fact adds them all up."""
+    store = new_store(spark, "recompute")
+    root = i.landing(spark, sf_dir, "refunds", i.refunds)
+    schema = CONTRACTS["shopify", "order_refunds"].landing_schema()
+    models = [processed.REFUND_LINES]
+    stream_files(store, root, "shopify", "order_refunds", schema, work_dir(spark, "checkpoint"), models).awaitTermination()
+    run_processed(store, processed.ORDERS, i.orders(spark, sf_dir))
+    refresh_fact(store, enriched.FCT_SALES_RECOMPUTE, full=True)
+    return store.read(enriched.FCT_SALES_RECOMPUTE.name)
+
+
 @query(
-    "downstream_propagation",
-    f"""{with_(i.ORDERS_SQL, i.REFUNDS_SQL)},
-first_fact AS ({i.SALES_SELECT}
-    FROM (SELECT * FROM orders_raw WHERE v = 1) o LEFT JOIN refund_sums r ON o.order_id = r.order_id),
+    "recent_events",
+    """SELECT event_id, ts FROM events
+WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 7 DAY""",
+)
+def recent_events(spark, sf_dir):
+    """Rows younger than an interval before the newest one."""
+    rows = i.table(spark, sf_dir, "events").select("event_id", "ts")
+    kind = rows.schema["ts"].dataType
+    start = F.lit(high_water_mark(rows, "ts")).cast(kind) - F.expr("INTERVAL 7 DAY")
+    return rows.filter(F.col("ts") >= start)
+
+
+PROPAGATION_SQL = f"""{with_(i.ORDERS_SQL, i.REFUNDS_SQL)},
+first_fact AS ({i.sales_sql("(SELECT * FROM orders_raw WHERE v = 1)")}),
 mark AS (SELECT max({EXTRACTED}) AS value FROM first_fact),
-increment AS ({i.SALES_SELECT}
-    FROM orders_latest o LEFT JOIN refund_sums r ON o.order_id = r.order_id
-    WHERE o.{EXTRACTED} > (SELECT value FROM mark) OR r.{EXTRACTED} > (SELECT value FROM mark))
+increment AS ({i.sales_sql("orders_latest", "greatest(sold_at, refunded_at) > (SELECT value FROM mark)")})
 SELECT * FROM first_fact WHERE order_id NOT IN (SELECT order_id FROM increment)
-UNION ALL SELECT * FROM increment""",
-)
+UNION ALL SELECT * FROM increment"""
+
+
+@query("run_pipeline", PROPAGATION_SQL)
+@query("downstream_propagation", PROPAGATION_SQL)
 def downstream_propagation(spark, sf_dir):
     """Two loads of orders through landing, feeder and processed table; the sales fact
     follows each, the second time by increment."""
@@ -259,7 +281,7 @@ def downstream_propagation(spark, sf_dir):
     schema = CONTRACTS["shopify", "orders"].landing_schema()
     refunds = i.landing(spark, sf_dir, "refunds", i.refunds)
     refund_schema = CONTRACTS["shopify", "order_refunds"].landing_schema()
-    options = {"files_per_batch": 1000, "until": UNTIL, "refresh": True}
+    options = {"refresh": True}
 
     feed_files(store, refunds, "shopify", "order_refunds", refund_schema, **options)
     for load, batch in (("1704067200.1", rows.filter("v = 1")), ("1706745600.1", rows.filter("v > 1"))):

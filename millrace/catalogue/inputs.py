@@ -12,32 +12,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace import files
 from millrace.operators.dedupe import SOURCE_ROW
 from millrace.plans.processed import EXTRACTED, LOAD
 from millrace.session import work_dir
 from millrace.sources.landing import append_landing, with_partition_columns
 
 
-#: Bytes per core below which a table is spread by hand; one scan task reads more than this.
-SMALL = 16 * 1024 * 1024
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, spread: str | None = None) -> DataFrame:
-    """A given table.
-
-    A small table that is a single row group is read by one task, and so would be all the
-    per-row work on it. ``spread`` names a column to spread such a table over the cores by;
-    a table large enough to be split by the scan itself is left alone. It comes with the
-    position of each row, as landing rows do.
-    """
-    path = f"{sf_dir}/{name}.parquet"
-    df = spark.read.parquet(path)
-    if spread is None:
-        return df
-    df = df.withColumn(SOURCE_ROW, F.col("_metadata.row_index"))
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores, spread) if files.size(spark, path) < SMALL * cores else df
+def table(spark: SparkSession, sf_dir: str, name: str, positions: bool = False) -> DataFrame:
+    """A given table, with the position of each row if wanted, as landing rows have it."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return df.withColumn(SOURCE_ROW, F.col("_metadata.row_index")) if positions else df
 
 
 def _versions(df: DataFrame, key: str) -> DataFrame:
@@ -89,7 +73,7 @@ def _day_text_sql(key: str) -> str:
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _versions(table(spark, sf_dir, "orders", "o_orderkey"), "o_orderkey")
+    rows = _versions(table(spark, sf_dir, "orders", positions=True), "o_orderkey")
     status = F.when(F.col("v") > 1, "refunded").otherwise(
         F.when(F.col("o_orderstatus") == "F", "paid").when(F.col("o_orderstatus") == "O", "pending").otherwise("authorized")
     )
@@ -148,7 +132,7 @@ ORDERS_SQL = (
 
 def refunds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Refunds of returned order lines; refund ids repeat, some have no transactions."""
-    rows = table(spark, sf_dir, "lineitem", "l_orderkey").filter(F.col("l_returnflag") == "R")
+    rows = table(spark, sf_dir, "lineitem", positions=True).filter(F.col("l_returnflag") == "R")
     amount = F.col("l_extendedprice").cast("decimal(10,2)").cast("string")
     transactions = F.array(
         F.concat(F.lit('{"amount":"'), amount, F.lit('","test":false}')), F.lit('{"amount":"1.00"}'), F.lit("{}")
@@ -189,25 +173,29 @@ REFUNDS_SQL = (
     FROM refunds_latest WHERE slot NOT IN (0, 6) GROUP BY order_id)""",
 )
 
-SALES_SELECT = f"""SELECT o.order_id, o.order_date, o.cancelled_at, o.is_test_order, o.financial_status,
-        o.fulfillment_status, o.cancel_reason, o.gross_sales, o.discounts,
-        CAST(coalesce(r.returns, 0) AS DECIMAL(18,2)) AS returns,
-        CAST(o.gross_sales - o.discounts - coalesce(r.returns, 0) AS DECIMAL(18,2)) AS net_sales,
-        o.shipping, o.taxes,
-        CAST(o.gross_sales - o.discounts - coalesce(r.returns, 0) + o.shipping + o.taxes AS DECIMAL(18,2)) AS total_sales,
-        greatest(o.{EXTRACTED}, coalesce(r.{EXTRACTED}, o.{EXTRACTED})) AS {EXTRACTED}"""
-
-SALES_SQL = (
-    *ORDERS_SQL,
-    *REFUNDS_SQL,
-    f"""sales AS ({SALES_SELECT}
-    FROM orders_latest o LEFT JOIN refund_sums r ON o.order_id = r.order_id)""",
-)
+
+def sales_sql(orders: str, condition: str = "true") -> str:
+    """Sales per order: what was refunded counts against gross sales, the total builds on net sales.
+    ``condition`` may use ``sold_at`` and ``refunded_at``, the versions of both sides."""
+    return f"""SELECT order_id, order_date, cancelled_at, is_test_order, financial_status, fulfillment_status, cancel_reason,
+        gross_sales, discounts, refunded AS returns, net AS net_sales, shipping, taxes,
+        CAST(net + shipping + taxes AS DECIMAL(18,2)) AS total_sales,
+        CASE WHEN refunded_at > sold_at THEN refunded_at ELSE sold_at END AS {EXTRACTED}
+    FROM (
+        SELECT *, CAST(gross_sales - discounts - refunded AS DECIMAL(18,2)) AS net
+        FROM (
+            SELECT sold.*, sold.{EXTRACTED} AS sold_at, back.{EXTRACTED} AS refunded_at,
+                CAST(coalesce(back.returns, 0) AS DECIMAL(18,2)) AS refunded
+            FROM {orders} AS sold LEFT JOIN refund_sums AS back ON back.order_id = sold.order_id))
+    WHERE {condition}"""
+
+
+SALES_SQL = (*ORDERS_SQL, *REFUNDS_SQL, f"sales AS ({sales_sql('orders_latest')})")
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.split("c_name", "#")
-    df = _versions(table(spark, sf_dir, "customer", "c_custkey"), "c_custkey").select(
+    df = _versions(table(spark, sf_dir, "customer", positions=True), "c_custkey").select(
         F.col("c_custkey").alias("id"),
         SOURCE_ROW,
         F.concat(F.lit("c"), F.col("c_custkey").cast("string"), F.lit("@example.com")).alias("email"),
@@ -245,7 +233,7 @@ CUSTOMERS_SQL = (
 def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     places = nation.join(region, nation.n_regionkey == region.r_regionkey)
-    people = table(spark, sf_dir, "customer", "c_custkey").join(places, F.col("c_nationkey") == F.col("n_nationkey"))
+    people = table(spark, sf_dir, "customer", positions=True).join(places, F.col("c_nationkey") == F.col("n_nationkey"))
     key = F.col("c_custkey")
     location = F.struct(
         F.col("n_name").alias("city"),
@@ -313,7 +301,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
         metric=F.struct(F.struct(F.col("event_type").alias("id")).alias("data")),
         profile=F.struct(F.struct(F.col("user_id").cast("string").alias("id")).alias("data")),
     )
-    df = _versions(table(spark, sf_dir, "events", "event_id"), "event_id").select(
+    df = _versions(table(spark, sf_dir, "events", positions=True), "event_id").select(
         F.col("event_id").cast("string").alias("id"),
         F.col("ts").alias("datetime"),
         SOURCE_ROW,
@@ -351,7 +339,7 @@ def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
         scheduled_at=F.when(key % 3 != 0, _day_text("p_partkey")),
         audiences=F.struct(F.array(F.col("p_brand")).alias("included")),
     )
-    df = _versions(table(spark, sf_dir, "part", "p_partkey"), "p_partkey").select(
+    df = _versions(table(spark, sf_dir, "part", positions=True), "p_partkey").select(
         F.concat(F.lit("cmp-"), key.cast("string")).alias("id"),
         SOURCE_ROW,
         attributes.alias("attributes"),
@@ -384,7 +372,7 @@ def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
         created=_day_text("s_suppkey"),
         updated=F.concat(F.lit("v"), F.col("v").cast("string")),
     )
-    df = _versions(table(spark, sf_dir, "supplier", "s_suppkey"), "s_suppkey").select(
+    df = _versions(table(spark, sf_dir, "supplier", positions=True), "s_suppkey").select(
         F.concat(F.lit("flw-"), F.col("s_suppkey").cast("string")).alias("id"),
         SOURCE_ROW,
         attributes.alias("attributes"),
@@ -412,7 +400,7 @@ def lists(spark: SparkSession, sf_dir: str) -> DataFrame:
         created=_day_text("c_custkey"),
         updated=F.concat(F.lit("v"), F.col("v").cast("string")),
     )
-    df = _versions(table(spark, sf_dir, "customer", "c_custkey"), "c_custkey").select(
+    df = _versions(table(spark, sf_dir, "customer", positions=True), "c_custkey").select(
         F.concat(F.lit("lst-"), F.col("c_custkey").cast("string")).alias("id"),
         SOURCE_ROW,
         attributes.alias("attributes"),
@@ -434,7 +422,7 @@ LISTS_SQL = (
 
 
 def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents", "doc_id").select("doc_id", "lang", "source", SOURCE_ROW)
+    documents = table(spark, sf_dir, "documents", positions=True).select("doc_id", "lang", "source", SOURCE_ROW)
     attributes = _json(
         name=F.concat("source", F.lit("/"), "lang"),
         created=_day_text("doc_id"),
@@ -476,7 +464,7 @@ def _tags_sql(key: str, status: str, priority: str) -> str:
 
 def erp_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("o_orderkey")
-    df = _versions(table(spark, sf_dir, "orders", "o_orderkey"), "o_orderkey").select(
+    df = _versions(table(spark, sf_dir, "orders", positions=True), "o_orderkey").select(
         key.alias("id"),
         "v",
         SOURCE_ROW,
@@ -510,6 +498,20 @@ def erp_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_partition_columns(df, "_at").drop("_at")
 
 
+#: The texts that hold no tags; NULL is no text.
+HAS_TAGS = "tags NOT IN ('', '[]')"
+
+
+def tags_sql(orders: str, per: str) -> str:
+    """Filled tags, one row each, of the last order version that has any, among the rows that share ``per``."""
+    return f"""SELECT order_id, tag, {LOAD} FROM (
+        SELECT order_id, {LOAD}, unnest(from_json(tags, '["VARCHAR"]')) AS tag FROM (
+            SELECT *, max({LOAD}) OVER (PARTITION BY {per}) AS newest FROM {orders}
+            WHERE {HAS_TAGS})
+        WHERE {LOAD} = newest)
+    WHERE length(tag) > 0"""
+
+
 ERP_ORDERS_SQL = (
     f"""erp_raw AS (
     SELECT * EXCLUDE (_at), {_dated_sql("_at")} FROM (
@@ -533,12 +535,7 @@ ERP_ORDERS_SQL = (
         FROM orders, {VERSIONS} WHERE {_has_version("o_orderkey")}))""",
     f"""erp_latest AS (
     SELECT * FROM erp_raw QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY {LOAD} DESC) = 1)""",
-    f"""tagged_latest AS (
-    SELECT order_id, tags, {LOAD} FROM erp_raw WHERE tags IS NOT NULL AND tags <> '[]' AND tags <> ''
-    QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY {LOAD} DESC) = 1)""",
-    f"""order_tags AS (
-    SELECT * FROM (SELECT order_id, unnest(from_json(tags, '["VARCHAR"]')) AS tag, {LOAD} FROM tagged_latest)
-    WHERE tag IS NOT NULL AND tag <> '')""",
+    f"order_tags AS ({tags_sql('erp_raw', 'order_id')})",
 )
 
 
@@ -555,7 +552,7 @@ _CENTS = "cast(cast(l_extendedprice as decimal(12,2)) * 100 as bigint)"
 def erp_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines; ids repeat, the load id tells the versions apart."""
     line_id = F.col("l_orderkey") * 10 + F.col("l_linenumber")
-    df = table(spark, sf_dir, "lineitem", "l_orderkey").select(
+    df = table(spark, sf_dir, "lineitem", positions=True).select(
         line_id.alias("id"),
         SOURCE_ROW,
         F.concat(F.lit("S"), F.lpad(F.col("l_orderkey").cast("string"), 12, "0")).alias("order_reference"),
@@ -635,7 +632,7 @@ def order_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         address=F.when(key % 10 != 0, address),
         items=F.when(size > 0, F.transform(F.sequence(F.lit(1), F.greatest(size, F.lit(1))), item)),
     )
-    df = _versions(table(spark, sf_dir, "orders", "o_orderkey"), "o_orderkey").select(
+    df = _versions(table(spark, sf_dir, "orders", positions=True), "o_orderkey").select(
         document.alias("document"),
         SOURCE_ROW,
         F.concat((F.lit(1704067200) + F.col("v") * 86400).cast("string"), F.lit(".25")).alias(LOAD),

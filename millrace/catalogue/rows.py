@@ -26,7 +26,6 @@ from millrace.operators import (
     latest_per_key,
     newer_than_target,
     replaced_rows,
-    salted_join,
 )
 from millrace.operators.flatten import filled_array_text
 from millrace.plans import enriched, processed
@@ -63,7 +62,7 @@ def sales_metrics(spark, sf_dir):
 @query(
     "filter_empty_tags",
     f"{with_(i.ERP_ORDERS_SQL)}\nSELECT order_id, tags, v FROM erp_raw "
-    "WHERE tags IS NOT NULL AND tags <> '[]' AND tags <> ''",
+    f"WHERE {i.HAS_TAGS}",
 )
 def filter_empty_tags(spark, sf_dir):
     rows = i.erp_orders(spark, sf_dir).filter(filled_array_text(F.col("tags")))
@@ -109,10 +108,7 @@ def watermark_filter(spark, sf_dir):
 @query(
     "incremental_or_filter",
     f"""{with_(i.ORDERS_SQL, i.REFUNDS_SQL)}
-{i.SALES_SELECT}
-FROM orders_latest o LEFT JOIN refund_sums r ON o.order_id = r.order_id
-WHERE o.{EXTRACTED} > (SELECT max({EXTRACTED}) FROM orders_raw WHERE v = 1)
-   OR r.{EXTRACTED} > (SELECT max({EXTRACTED}) FROM orders_raw WHERE v = 1)""",
+{i.sales_sql("orders_latest", "greatest(sold_at, refunded_at) > (SELECT max(" + EXTRACTED + ") FROM orders_raw WHERE v = 1)")}""",
 )
 def incremental_or_filter(spark, sf_dir):
     landing = i.orders(spark, sf_dir)
@@ -170,7 +166,7 @@ def inner_join_validity(spark, sf_dir):
     )
     customers = processed.CUSTOMERS(i.customers(spark, sf_dir)).select("customer_id", "email")
     current = orders.filter("end_snapshot IS NULL").drop("end_snapshot")
-    return salted_join(current, customers, ["customer_id"], "inner")
+    return current.join(customers, "customer_id")
 
 
 @query(
@@ -246,7 +242,11 @@ def dedupe_by_load_id(spark, sf_dir):
     return rows.select(F.col("id").alias("line_id"), "sku", to_money(F.col("subtotal")).alias("subtotal"), LOAD)
 
 
-@query("dedupe_after_filter", f"{with_(i.ERP_ORDERS_SQL)}\nSELECT order_id, tags, {LOAD} FROM tagged_latest")
+@query(
+    "dedupe_after_filter",
+    f"{with_(i.ERP_ORDERS_SQL)}\nSELECT order_id, tags, {LOAD} FROM erp_raw WHERE {i.HAS_TAGS} "
+    f"QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY {LOAD} DESC) = 1",
+)
 def dedupe_after_filter(spark, sf_dir):
     tagged = i.erp_orders(spark, sf_dir).filter(filled_array_text(F.col("tags")))
     return latest_per_key(tagged.select(F.col("id").alias("order_id"), "tags", LOAD), ["order_id"], LOAD)
@@ -317,11 +317,12 @@ def natural_sort(spark, sf_dir):
     f"{with_(i.CAMPAIGNS_SQL)}\nSELECT campaign_id, v, campaign_name, status, channel, scheduled_at FROM campaigns_raw",
 )
 def json_extract(spark, sf_dir):
-    """Text of top-level fields, one ``get_json_object`` each."""
-    rows = _versioned(i.campaigns(spark, sf_dir), "campaign_id")
+    """Text of top-level fields, one parse for all."""
+    rows = i.campaigns(spark, sf_dir)
     names = {"name": "campaign_name", "status": "status", "channel": "channel", "scheduled_at": "scheduled_at"}
-    texts = [json_text(F.col("attributes"), path).alias(alias) for path, alias in names.items()]
-    return rows.select("campaign_id", "v", *texts)
+    texts = json_texts(F.col("attributes"), [*names, "updated_at"])
+    version = F.substring(texts["updated_at"], 2, 9).cast("int").alias("v")
+    return rows.select(F.col("id").alias("campaign_id"), version, *[texts[path].alias(alias) for path, alias in names.items()])
 
 
 def _versioned(df, alias):
@@ -348,11 +349,12 @@ def json_nested_path(spark, sf_dir):
 
 @query("json_subobject", f"{with_(i.EVENTS_SQL)}\nSELECT event_id, event_uuid, properties FROM events_raw")
 def json_subobject(spark, sf_dir):
-    payload = F.col("attributes")
+    """A field and a whole object as text, from one parse."""
+    texts = json_texts(F.col("attributes"), ["uuid", "event_properties"])
     return i.events(spark, sf_dir).select(
         F.col("id").alias("event_id"),
-        json_text(payload, "uuid").alias("event_uuid"),
-        json_text(payload, "event_properties").alias("properties"),
+        texts["uuid"].alias("event_uuid"),
+        texts["event_properties"].alias("properties"),
     )
 
 
@@ -425,7 +427,7 @@ def greatest_version(spark, sf_dir):
     f"""{with_(i.ERP_ORDERS_SQL)}
 SELECT order_id, v, tag FROM (
     SELECT order_id, v, unnest(from_json(tags, '["VARCHAR"]')) AS tag FROM erp_raw
-    WHERE tags IS NOT NULL AND tags <> '[]' AND tags <> '')
+    WHERE {i.HAS_TAGS})
 WHERE tag IS NOT NULL AND tag <> ''""",
 )
 def explode_tags(spark, sf_dir):

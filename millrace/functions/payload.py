@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -38,24 +39,30 @@ def _text_schema(paths: Sequence[str]) -> T.StructType:
 
 
 def json_texts(json: Column, paths: Sequence[str], strict: bool = False) -> dict[str, Column]:
-    """Text at many paths of one payload, parsed once for all of them.
+    """Text at many paths of one payload, parsed once for all of them; objects as compact JSON.
+
+    ``strict`` fails the job on text that is no JSON. Text is parsed a second time for that only
+    where nothing was found, or where something follows the object.
 
     The explicit mode (the default one) keeps the optimizer from narrowing the schema for
     each path by itself, which would turn one shared parse into one per path.
     """
-    parsed = F.from_json(json, _text_schema(paths), {"mode": "PERMISSIVE"})
-    columns = {}
-    for path in paths:
-        column = parsed
+    schema = _text_schema(paths)
+    # In brackets the parser reads on behind the first value.
+    listed = F.from_json(F.concat(F.lit("["), json, F.lit("]")), T.ArrayType(schema), {"mode": "PERMISSIVE"})
+    parsed = F.get(listed, F.lit(0)) if strict else F.from_json(json, schema, {"mode": "PERMISSIVE"})
+
+    def at(whole: Column, path: str) -> Column:
         for part in path.split("."):
-            column = column.getField(part)
-        columns[path] = column
+            whole = whole.getField(part)
+        return whole
+
     if strict:
-        nothing = F.lit(True)
-        for column in columns.values():
-            nothing = nothing & column.isNull()
-        columns[paths[0]] = or_raise(json, columns[paths[0]], nothing)
-    return columns
+        # The check goes with the whole parse, so no choice of columns prunes it away.
+        nothing = functools.reduce(lambda a, b: a & b, [at(parsed, path).isNull() for path in paths])
+        trailing = listed.isNull() | (F.size(listed) != 1) | ~F.endswith(F.rtrim(json), F.lit("}"))
+        parsed = or_raise(json, parsed, nothing | trailing)
+    return {path: at(parsed, path) for path in paths}
 
 
 def or_raise(json: Column, value: Column, suspicious: Column | None = None) -> Column:
@@ -87,8 +94,14 @@ def to_bigint(column: Column) -> Column:
 
 
 def malformed(json: Column) -> Column:
-    """True where text is present but is no JSON."""
-    return json.isNotNull() & F.try_parse_json(json).isNull()
+    """True where text is present but is no JSON.
+
+    A parser stops behind the first value; inside brackets and inside an object whatever follows
+    it is looked at too, and no text passes as a part of both.
+    """
+    listed = F.try_parse_json(F.concat(F.lit("["), json, F.lit("]")))
+    named = F.try_parse_json(F.concat(F.lit('{"v":'), json, F.lit("}")))
+    return json.isNotNull() & (listed.isNull() | named.isNull())
 
 
 def split_malformed(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -98,7 +111,3 @@ def split_malformed(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, D
         bad = bad | malformed(F.col(name))
     return df.filter(~bad), df.filter(bad)
 
-
-def require_json(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Same rows; the job fails on the first malformed payload it meets."""
-    return df.withColumns({name: or_raise(F.col(name), F.col(name), F.lit(True)) for name in columns})

@@ -6,12 +6,10 @@ from millrace.operators.increment import (
     newer_than,
     newer_than_target,
 )
-from millrace.operators.merge import append_dedup, delete_insert, replaced_rows, salted_join
+from millrace.operators.merge import replaced_rows
 
 __all__ = [
-    "append_dedup",
     "changed_left_join",
-    "delete_insert",
     "explode_text_array",
     "flatten_order_items",
     "high_water_mark",
@@ -19,5 +17,4 @@ __all__ = [
     "newer_than",
     "newer_than_target",
     "replaced_rows",
-    "salted_join",
 ]

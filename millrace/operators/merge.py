@@ -1,57 +1,18 @@
-"""Keyed replacement of rows and joins that stand a hot key, as plain DataFrame algebra."""
+"""Keyed replacement of rows, as plain DataFrame algebra."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from millrace.operators.dedupe import latest_per_key, row_hash
-
-#: Parts a key's rows are spread over in joins by a key that may be hot.
-SALTS = 4
-
 
 def key_set(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Distinct keys; the partial aggregation shrinks a hot key before it is shuffled."""
     return df.select(*keys).distinct()
 
 
-def salted_join(many: DataFrame, one: DataFrame, keys: Sequence[str], how: str, salts: int = SALTS) -> DataFrame:
-    """Join rows to a side that has each key once, with every key spread over ``salts`` parts.
-
-    Rows of one key go to several tasks and the other side is repeated for each. Repeating
-    it also puts a shuffle directly below the join on both sides, which is what adaptive
-    execution needs to split a partition that is still too large; an aggregation or window
-    on one side would otherwise rule that out. A side that turns out small is broadcast by
-    adaptive execution, salt or no salt.
-    """
-    if salts < 2:
-        return many.join(one, list(keys), how)
-    left = many.withColumn("_salt", F.pmod(row_hash(many), F.lit(salts)).cast("int"))
-    right = one.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [*keys, "_salt"], how).drop("_salt")
-
-
-def delete_insert(
-    target: DataFrame, batch: DataFrame, keys: Sequence[str], salts: int = SALTS
-) -> DataFrame:
-    """Target rows whose key is not in the batch, and every row of the batch.
-
-    Duplicates inside the batch stay, and NULL keys match nothing.
-    """
-    kept = salted_join(target, key_set(batch, keys), keys, "left_anti", salts)
-    return kept.unionByName(batch, allowMissingColumns=True)
-
-
-def replaced_rows(
-    target: DataFrame, batch: DataFrame, keys: Sequence[str], salts: int = SALTS
-) -> DataFrame:
-    """Target rows that ``delete_insert`` would remove."""
-    return salted_join(target, key_set(batch, keys), keys, "left_semi", salts)
-
-
-def append_dedup(target: DataFrame, batch: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
-    """Both sides together, latest version per key."""
-    return latest_per_key(target.unionByName(batch, allowMissingColumns=True), keys, version)
+def replaced_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target rows that an upsert of the batch would remove: those with one of its keys. NULL keys
+    match nothing. A side that turns out small is broadcast, and a hot key of plain scans split, by
+    adaptive execution."""
+    return target.join(key_set(batch, keys), list(keys), "left_semi")

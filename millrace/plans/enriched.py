@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.increment import changed_left_join
 from millrace.plans.model import Context, EnrichedModel
-from millrace.plans.processed import EXTRACTED, ORDER_REFUNDS, ORDERS
+from millrace.plans.processed import EXTRACTED, ORDER_REFUNDS, ORDERS, REFUND_LINES, sum_refunds
 
 REFUND_EXTRACTED = "_refund_extracted_at"
 
@@ -31,7 +31,7 @@ def sales_columns(joined: DataFrame) -> DataFrame:
         F.col("shipping"),
         F.col("taxes"),
         (net + F.col("shipping") + F.col("taxes")).cast("decimal(18,2)").alias("total_sales"),
-        F.greatest(EXTRACTED, F.coalesce(REFUND_EXTRACTED, EXTRACTED)).alias(EXTRACTED),
+        F.greatest(EXTRACTED, REFUND_EXTRACTED).alias(EXTRACTED),
     )
 
 
@@ -60,6 +60,19 @@ FCT_SALES = EnrichedModel(
 ENRICHED = [FCT_SALES]
 
 
+def _build_recomputed(ctx: Context) -> DataFrame:
+    refunds = sum_refunds(ctx.ref(REFUND_LINES.name))
+    orders = ctx.ref(ORDERS.name)
+    return sales_since(orders, refunds, ctx.target.high_water_mark(EXTRACTED)) if ctx.incremental else sales(orders, refunds)
+
+
+#: The same fact over refunds kept one by one: refunds of an order add up whatever batches they came
+#: in. Feed ``REFUND_LINES`` instead of the sums by order, which only hold the last batch's refunds.
+FCT_SALES_RECOMPUTE = EnrichedModel(
+    "fct_sales_recompute", (ORDERS.name, REFUND_LINES.name), ("order_id",), EXTRACTED, _build_recomputed
+)
+
+
 def valid_sales(facts: DataFrame) -> DataFrame:
     """Neither test orders (an unknown flag counts as test) nor cancelled ones."""
     return facts.filter((F.col("is_test_order") == F.lit(False)) & F.col("cancelled_at").isNull())

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.payload import json_text, json_texts, payload
+from millrace.functions.payload import json_texts, payload
 from millrace.operators.dedupe import latest_per_key
 from millrace.tables.table import TableStore, VersionedTable
 
@@ -32,15 +32,13 @@ def shape(df: DataFrame, outs: Mapping[str, Out | str]) -> DataFrame:
     specs = {name: Out(out) if isinstance(out, str) else out for name, out in outs.items()}
     wanted: dict[str, list[str]] = {}
     for out in specs.values():
-        if out.path is not None and not out.raw:
+        if out.path is not None:
             wanted.setdefault(out.source, []).append(out.path)
     texts = {source: json_texts(payload(df, source), paths, strict=True) for source, paths in wanted.items()}
     columns = []
     for name, out in specs.items():
         if out.path is None:
             column = F.col(out.source)
-        elif out.raw:
-            column = json_text(payload(df, out.source), out.path)
         else:
             column = texts[out.source][out.path]
         columns.append((out.cast(column) if out.cast else column).alias(name))
@@ -58,6 +56,8 @@ class ProcessedModel:
     build: Callable[[DataFrame], DataFrame]
     #: Landing columns with JSON text.
     payloads: tuple[str, ...] = ()
+    #: Key of the record that rows of this model are parts of.
+    parent: tuple[str, ...] = ()
 
     def __call__(self, landing: DataFrame) -> DataFrame:
         return self.build(landing)
@@ -67,11 +67,10 @@ def latest_and_shape(
     key: str, version: str, outs: Mapping[str, Out | str]
 ) -> Callable[[DataFrame], DataFrame]:
     """Latest landing row per key, then the output columns: payloads of superseded
-    versions are never parsed."""
+    versions are never parsed. A landing column that is missing is an error."""
 
     def build(landing: DataFrame) -> DataFrame:
-        present = {n: o for n, o in outs.items() if (o if isinstance(o, str) else o.source) in landing.columns}
-        return shape(latest_per_key(landing, [key], version), present)
+        return shape(latest_per_key(landing, [key], version), outs)
 
     return build
 

@@ -263,7 +263,9 @@ def order_tags(landing: DataFrame, newest_first: bool = False) -> DataFrame:
     return explode_text_array(rows, "tags", "tag").select("order_id", "tag", LOAD)
 
 
-ORDER_TAGS = ProcessedModel("int_odoo__order_tags", ("odoo", "orders"), ("order_id", "tag"), LOAD, order_tags)
+ORDER_TAGS = ProcessedModel(
+    "int_odoo__order_tags", ("odoo", "orders"), ("order_id", "tag"), LOAD, order_tags, parent=("order_id",)
+)
 
 PROCESSED = [
     ORDERS, ORDER_REFUNDS, CUSTOMERS, PROFILES, EVENTS, CAMPAIGNS, FLOWS, LISTS, METRICS,

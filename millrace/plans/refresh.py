@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.plans.enriched import ENRICHED
 from millrace.plans.model import Context, EnrichedModel, ProcessedModel
-from millrace.plans.processed import ORDER_TAGS, PROCESSED, order_tags
+from millrace.plans.processed import PROCESSED, order_tags
 from millrace.tables.table import TableStore
 
 
@@ -35,17 +35,19 @@ def run_processed(
 
     By default the last batch wins, whatever version its rows have; ``guard_version`` keeps
     the newest version. ``replace_parent`` (order tags) also removes the tags an order in
-    the batch no longer has.
+    the batch no longer has; guarded, the newest version of an order that has tags decides on all
+    of them.
     """
     rows, also_delete = None, None
-    if replace_parent:
-        if model is not ORDER_TAGS:
-            raise ValueError("replace_parent applies to order tags only")
+    if replace_parent and not model.parent:
+        raise ValueError(f"{model.name} holds no parts of a parent")
+    keys = model.parent if replace_parent and guard_version else model.keys
+    if replace_parent and not guard_version:
         rows = order_tags(landing, newest_first=True)
         also_delete = landing.select(F.col("id").alias("order_id")).distinct()
     return store.table(model.name).upsert(
         model(landing) if rows is None else rows,
-        model.keys,
+        keys,
         batch_id=batch_id,
         guard_version=model.version if guard_version else None,
         also_delete=also_delete,

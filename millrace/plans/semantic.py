@@ -64,11 +64,14 @@ class SemanticModel:
     dimensions: Mapping[str, Dimension]
     measures: Mapping[str, Measure] = field(default_factory=lambda: {"count": Measure("count")})
     rollups: Sequence[Rollup] = ()
+    #: The stored table that ``table`` was read from; rollups are used as long as it stays at their version.
+    versioned: VersionedTable | None = None
 
     @classmethod
     def from_table(
-        cls, name: str, table: DataFrame, unique_key: str | Sequence[str] | None = None, enriched: bool = False
-    ) -> SemanticModel:
+        cls, name: str, table: DataFrame, unique_key: str | Sequence[str] | None = None, enriched: bool = False,
+        versioned: VersionedTable | None = None,
+    ) -> SemanticModel:
         """Dimensions for all columns, a count, and ``total_<column>`` for columns whose name
         says number. A sum over a column that holds no numbers is left out with a warning."""
         kinds = {c: kind_from_name(c, enriched) for c in table.columns}
@@ -81,7 +84,7 @@ class SemanticModel:
                 measures[f"total_{column}"] = Measure("sum", column)
             else:
                 warnings.warn(f"{name}: no sum for {column}, it is not numeric", stacklevel=2)
-        return cls(name, table, dimensions, measures)
+        return cls(name, table, dimensions, measures, versioned=versioned)
 
     def query(
         self,
@@ -101,7 +104,7 @@ class SemanticModel:
         names = list(measures) if measures is not None else list(self.measures)
         asked = Request(tuple(names), tuple(dimensions), time_dimension, granularity, tuple(filters))
         for rollup in self.rollups:
-            if rollup.covers(asked):
+            if rollup.version == self.current() and rollup.covers(asked):
                 result = rollup.answer(asked)
                 break
         else:
@@ -133,13 +136,18 @@ class SemanticModel:
         names = tuple(measures) if measures is not None else tuple(self.measures)
         asked = Request(names, tuple(dimensions), time_dimension, granularity, ())
         table.overwrite(self._aggregate(asked), operation="rollup")
-        return replace(self, rollups=[*self.rollups, Rollup(table.read(), asked)])
+        counts = frozenset(n for n in names if self.measures[n].kind == "count")
+        return replace(self, rollups=[*self.rollups, Rollup(table.read(), asked, counts, self.current())])
+
+    def current(self) -> int | None:
+        """Version of the table that is asked, where the model knows it."""
+        return self.versioned.current_version() if self.versioned is not None else None
 
 
 def models_of(store: TableStore, keys: Mapping[str, str] | None = None) -> dict[str, SemanticModel]:
     """A model for every processed (``int_``) and enriched (``fct_``) table of a store."""
     return {
-        name: SemanticModel.from_table(name, store.read(name), (keys or {}).get(name), name.startswith("fct_"))
+        name: SemanticModel.from_table(name, store.read(name), (keys or {}).get(name), name.startswith("fct_"), store.table(name))
         for name in store.names()
         if name.startswith(("int_", "fct_"))
     }
@@ -190,6 +198,10 @@ class Rollup:
 
     table: DataFrame
     request: Request
+    #: Measures that count, which are 0 over no rows and not NULL.
+    counts: frozenset[str] = frozenset()
+    #: Version of the source table; after a later one the rollup is not used any more.
+    version: int | None = None
 
     def covers(self, asked: Request) -> bool:
         same_time = asked.time_dimension is None or (
@@ -213,8 +225,7 @@ class Rollup:
         for measure in asked.measures:
             kind = df.schema[measure].dataType
             total = F.sum(measure).cast(kind)
-            # a count over no rows is 0, not NULL
-            if isinstance(kind, T.LongType) and measure == "count":
+            if measure in self.counts:
                 total = F.coalesce(total, F.lit(0).cast(kind))
             aggregates.append(total.alias(measure))
         return df.groupBy(*groups).agg(*aggregates) if groups else df.agg(*aggregates)

@@ -142,15 +142,16 @@ def files_after_cursor(
 ) -> DataFrame:
     """Files behind the cursor in natural order; all files without a (readable) cursor.
 
-    Only days from the cursor's own up to ``until`` (today if not given) are listed.
+    Only days from the cursor's own up to ``until``, if given, are listed.
     """
     found = re.search(DATED_FOLDER, cursor) if cursor else None
     if not files.exists(spark, root):
         return list_files(spark, [])
     if not found:
-        return list_files(spark, [root]).orderBy(natural_key(F.col("path")), "path")
+        folders = [root] if until is None else day_folders(spark, root, None, until)
+        return list_files(spark, folders).orderBy(natural_key(F.col("path")), "path")
     start = dt.date(*(int(g) for g in found.groups()))
-    listing = list_files(spark, day_folders(spark, root, start, until or dt.date.today()))
+    listing = list_files(spark, day_folders(spark, root, start, until))
     # compared from the dated folders on, so that it does not matter how the root is spelled
     inside = F.regexp_extract("path", r"year=\d+/.*", 0)
     key, cursor_key = natural_key(inside), natural_key(F.lit(cursor[found.start() :]))

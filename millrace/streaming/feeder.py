@@ -7,6 +7,7 @@ import itertools
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -116,20 +117,27 @@ def stream_files(
     files_per_batch: int = FILES_PER_BATCH,
     guard_version: bool = True,
     on_batch: Callable[[DataFrame, int], None] | None = None,
+    replace_parent: bool = False,
 ) -> StreamingQuery:
     """Start a query that upserts arrived files into every model of a stream, then stops.
 
     Files come by arrival time, not by name, so the newest version is kept by default. Each
     commit carries the batch id: after a failure Spark repeats the batch, and tables that
-    already have it skip it.
+    already have it skip it. A stream that feeds several models reads its files once a batch.
+    With ``replace_parent`` a model of parts (order tags) holds the parts of each parent's newest
+    version that has any, whatever batch it came in.
     """
     fed = processed_models(source, stream, models)
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.persist(StorageLevel.DISK_ONLY) if len(fed) > 1 else batch
         for model in fed:
-            run_processed(store, model, batch, f"{checkpoint}#{batch_id}", guard_version)
+            parts = replace_parent and bool(model.parent)
+            run_processed(store, model, rows, f"{checkpoint}#{batch_id}", guard_version, parts)
         if on_batch is not None:
-            on_batch(batch, batch_id)
+            on_batch(rows, batch_id)
+        if rows is not batch:
+            rows.unpersist()
 
     return (
         read_landing_stream(store.spark, landing_root, schema, files_per_batch)

@@ -123,6 +123,19 @@ def test_unreadable_cursor_means_all_files(spark, root):
     assert files_after_cursor(spark, f"{root}-missing", None).count() == 0
 
 
+def test_files_up_to_a_day_without_a_cursor(spark, root):
+    land(spark, root, [("a", "x", 3), ("b", "y", 4)])
+    days = [int(r["path"].split("day=")[1][:2]) for r in files_after_cursor(spark, root, None).collect()]
+    until = dt.date(2024, 1, min(days))
+    assert files_after_cursor(spark, root, None, until).count() == 1
+
+
+def test_missing_landing_columns_are_an_error(spark):
+    rows = spark.createDataFrame([("a", None)], f"id string, {EXTRACTED} timestamp")
+    with pytest.raises(Exception, match="attributes"):
+        processed.LISTS(rows)
+
+
 def test_cursors_of_other_streams_stay(store):
     cursors = CursorTable(store)
     cursors.set("s", "a", "p1")
@@ -284,7 +297,8 @@ def test_extract_run(spark, store, tmp_path):
     assert rows(landed.select("id")) == [(2,), (3,), (3,), (4,)]
     same = [r["_dlt_id"] for r in landed.filter("id = 3").collect()]
     assert same[0] == same[1]
-    assert rows(processed.ERP_ORDER_LINES(landed).select("line_id", "sku")) == [(2, "b"), (3, "c"), (4, "d")]
+    whole = scan_landing(spark, root, schema=contract.landing_schema())
+    assert rows(processed.ERP_ORDER_LINES(whole).select("line_id", "sku")) == [(2, "b"), (3, "c"), (4, "d")]
 
 
 def test_extract_needs_an_initial_value_and_selection(spark, store, tmp_path):

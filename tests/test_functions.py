@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions import date_label, json_text, json_texts, natural_key, partition_date, to_bigint, to_boolean, to_money
-from millrace.functions.payload import payload, require_json, split_malformed
+from millrace.functions.payload import json_texts, payload, split_malformed
 
 
 def one(spark, column, **values):
@@ -108,6 +108,12 @@ def test_malformed_json(spark):
     good, bad = split_malformed(df, ["j"])
     assert sorted(r["j"] or "" for r in good.collect()) == ["", '{"a": 1}', "{}"]
     assert [r["j"] for r in bad.collect()] == ["oops"]
-    with pytest.raises(Exception, match="malformed JSON: oops"):
-        require_json(df, ["j"]).collect()
-    assert require_json(good, ["j"]).count() == 3
+    for text in ("oops", '{"a":"1"} junk', '{"a":"1"}{"b":"2"}', '{"a":"1"} 7', '["a"] x', '{"a":"1"}, {"b":1}', '{"a":"1"}] x', '{"a":"1"}} x'):
+        bad = spark.createDataFrame([(text,)], "j string")
+        with pytest.raises(Exception, match="malformed JSON"):
+            bad.select(json_texts(F.col("j"), ["a", "b"], strict=True)["b"]).collect()
+    for text in ('{"a":"} x"}', ' {"a":"1"} \n', "{}", '{"b":{"c":1} , "a":"} {"}', "[]", None):
+        good = spark.createDataFrame([(text,)], "j string")
+        good.select(json_texts(F.col("j"), ["a", "b"], strict=True)["a"]).collect()
+    whole = spark.createDataFrame([('{"b": {"c": [1, "x"]}}',)], "j string")
+    assert whole.select(json_texts(F.col("j"), ["a", "b"])["b"].alias("b")).first()["b"] == '{"c":[1,"x"]}'

@@ -99,6 +99,19 @@ def test_rollup_answers_what_it_covers(table, store):
     assert rollup.table.count() == 3
 
 
+def test_rollups_of_an_older_version_are_not_used(table, store):
+    source = store.table("fct_b")
+    source.append(table.selectExpr("order_id", "discounts AS revenue"))
+    model = models_of(store)["fct_b"]
+    counted = SemanticModel("b", model.table, model.dimensions, {"n": Measure("count")}, versioned=source)
+    rolled = counted.build_rollup(store.table("rollup"), ["order_id"])
+    assert rolled.query(["n"], filters=[Filter("order_id", "equals", -5)]).first()["n"] == 0
+    before = rolled.query(["n"]).first()["n"]
+    source.append(table.selectExpr("order_id", "discounts AS revenue"))
+    again = SemanticModel("b", source.read(), model.dimensions, {"n": Measure("count")}, rolled.rollups, source)
+    assert again.query(["n"]).first()["n"] == 2 * before
+
+
 def test_models_of_a_store(table, store):
     for name in ("int_a", "fct_b", "feeder_cursors"):
         store.table(name).append(table.selectExpr("order_id", "discounts AS revenue"))
