@@ -14,7 +14,7 @@ from millrace.operators import flatten_order_items, high_water_mark, newer_than
 from millrace.operators.dedupe import SOURCE_FILE
 from millrace.plans import enriched, processed
 from millrace.plans.processed import EXTRACTED, LOAD
-from millrace.plans.refresh import refresh_fact, run_processed
+from millrace.plans.refresh import refresh_dependents, refresh_fact, run_processed
 from millrace.session import work_dir
 from millrace.sources.known import CONTRACTS
 from millrace.sources.landing import append_landing, scan_landing
@@ -281,12 +281,15 @@ def downstream_propagation(spark, sf_dir):
     schema = CONTRACTS["shopify", "orders"].landing_schema()
     refunds = i.landing(spark, sf_dir, "refunds", i.refunds)
     refund_schema = CONTRACTS["shopify", "order_refunds"].landing_schema()
-    options = {"refresh": True}
+    facts = [enriched.FCT_SALES_RECOMPUTE]
 
-    feed_files(store, refunds, "shopify", "order_refunds", refund_schema, **options)
+    refund_lines = [processed.REFUND_LINES]  # one by one: refunds of an order come in several batches
+    feed_files(store, refunds, "shopify", "order_refunds", refund_schema, refund_lines)
     for load, batch in (("1704067200.1", rows.filter("v = 1")), ("1706745600.1", rows.filter("v > 1"))):
         append_landing(batch.drop("v"), f"{base}/orders", load)
-        feed_files(store, f"{base}/orders", "shopify", "orders", schema, **options)
-    return store.read(enriched.FCT_SALES.name)
+        fed = feed_files(store, f"{base}/orders", "shopify", "orders", schema)
+        if fed.files:
+            refresh_dependents(store, [processed.ORDERS.name], facts)
+    return store.read(enriched.FCT_SALES_RECOMPUTE.name)
 
 

@@ -252,7 +252,7 @@ def cleanup_old_files(spark, sf_dir):
     """Rows in the files that only expired versions could see, then the files are deleted."""
     table = order_table(spark, sf_dir, "cleanup").table(ORDERS)
     maintenance.expire_snapshots(table, SECOND_DAY)
-    report = maintenance.files_to_clean(table).groupBy("begin_snapshot").agg(F.sum("record_count").alias("record_count"))
+    report = maintenance.unseen_files(table).groupBy("begin_snapshot").agg(F.sum("record_count").alias("record_count"))
     maintenance.cleanup_old_files(table, dry_run=False)
     return report
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.payload import json_texts, payload
-from millrace.operators.dedupe import latest_per_key
+from millrace.operators.dedupe import SOURCE_FILE, latest_per_key
 from millrace.tables.table import TableStore, VersionedTable
 
 
@@ -67,10 +67,12 @@ def latest_and_shape(
     key: str, version: str, outs: Mapping[str, Out | str]
 ) -> Callable[[DataFrame], DataFrame]:
     """Latest landing row per key, then the output columns: payloads of superseded
-    versions are never parsed. A landing column that is missing is an error."""
+    versions are never parsed. A landing column that is missing is an error; only the file's
+    path, which a scan adds, may be absent."""
 
     def build(landing: DataFrame) -> DataFrame:
-        return shape(latest_per_key(landing, [key], version), outs)
+        wanted = {name: out for name, out in outs.items() if name != SOURCE_FILE or SOURCE_FILE in landing.columns}
+        return shape(latest_per_key(landing, [key], version), wanted)
 
     return build
 

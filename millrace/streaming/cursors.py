@@ -3,45 +3,66 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace import files
 from millrace.tables.table import TableStore
 
 FEEDERS = "feeder_cursors"
 EXTRACTS = "extract_cursors"
-KEYS = ("source", "stream")
-SCHEMA = "source string, stream string, cursor_path string, updated_at timestamp"
+SCHEMA = "source string, stream string, cursor_path string, updated_at timestamp, number long"
 
 
 class CursorTable:
-    """State table ``source, stream, cursor_path, updated_at``, one row per stream. The cursor
-    is a file path for feeders and a value of the cursor field for extracts."""
+    """State ``source, stream, cursor_path, updated_at``, one row per stream. The cursor is a file
+    path for feeders and a value of the cursor field for extracts.
+
+    A stream's cursor is a small numbered file that must not exist yet, so that of two writers one
+    fails; the file before it goes after that. Moving a cursor starts no Spark job.
+    """
 
     def __init__(self, store: TableStore, name: str = FEEDERS):
         self.store = store
-        self.table = store.table(name)
+        self.root = f"{store.root}/{name}"
 
     def read(self) -> DataFrame:
-        if not self.table.exists():
-            return self.store.spark.createDataFrame([], SCHEMA)
-        return self.table.read()
+        spark = self.store.spark
+        if not files.exists(spark, self.root):
+            return spark.createDataFrame([], SCHEMA).drop("number")
+        found = spark.read.schema(SCHEMA).option("recursiveFileLookup", "true").json(self.root)
+        last = found.groupBy("source", "stream").agg(F.max_by(F.struct("cursor_path", "updated_at"), "number").alias("last"))
+        return last.select("source", "stream", "last.*").filter(F.col("cursor_path").isNotNull())
+
+    def _numbers(self, source: str, stream: str) -> list[int]:
+        names = files.child_names(self.store.spark, self._folder(source, stream))
+        return sorted(int(n.split(".")[0]) for n in names if n.endswith(".json") and not n.startswith("."))
+
+    def _folder(self, source: str, stream: str) -> str:
+        return f"{self.root}/{source}/{stream}"
 
     def get(self, source: str, stream: str) -> str | None:
-        row = self.read().filter((F.col("source") == source) & (F.col("stream") == stream)).first()
-        return row["cursor_path"] if row else None
+        numbers = self._numbers(source, stream)
+        if not numbers:
+            return None
+        path = f"{self._folder(source, stream)}/{numbers[-1]:012d}.json"
+        return json.loads(files.first_line(self.store.spark, path))["cursor_path"]
 
-    def set(self, source: str, stream: str, cursor_path: str) -> None:
-        now = self.store.clock().astimezone(dt.timezone.utc)
-        row = self.store.spark.createDataFrame([(source, stream, cursor_path, now)], SCHEMA)
-        self.table.upsert(row, KEYS)
+    def set(self, source: str, stream: str, cursor_path: str | None) -> None:
+        spark, folder = self.store.spark, self._folder(source, stream)
+        numbers = self._numbers(source, stream)
+        number = numbers[-1] + 1 if numbers else 1
+        now = self.store.clock().astimezone(dt.timezone.utc).isoformat()
+        row = {"source": source, "stream": stream, "cursor_path": cursor_path, "updated_at": now, "number": number}
+        files.create_text(spark, f"{folder}/{number:012d}.json", [json.dumps(row)])
+        for old in numbers:
+            files.delete(spark, f"{folder}/{old:012d}.json")
 
     def clear(self, source: str, stream: str) -> None:
         """Forget a stream, so that its next run reads all its files again."""
-        if self.table.exists():
-            kept = self.read().filter(~((F.col("source") == source) & (F.col("stream") == stream)))
-            self.table.overwrite(kept, operation="clear cursor")
+        self.set(source, stream, None)
 
     def freshness(self) -> DataFrame:
         """All cursors, the one that moved last first."""

@@ -43,11 +43,14 @@ def expire_snapshots(table: VersionedTable, older_than: dt.datetime) -> int:
     return current + 1
 
 
+def unseen_files(table: VersionedTable) -> DataFrame:
+    """Files that no kept snapshot can see: ``path, record_count, begin_snapshot, end_snapshot``."""
+    return table.data_files().filter(F.col("end_snapshot") <= table.first_kept()).drop("file_size", "low", "high")
+
+
 def files_to_clean(table: VersionedTable) -> DataFrame:
-    """Files that no kept snapshot can see and that are still there: ``path, record_count,
-    begin_snapshot, end_snapshot``."""
-    unseen = table.data_files().filter(F.col("end_snapshot") <= table.first_kept())
-    return unseen.drop("file_size", "low", "high").join(_stored_files(table).select("path"), "path", "left_semi")
+    """Those of the unseen files that are still there."""
+    return unseen_files(table).join(_stored_files(table).select("path"), "path", "left_semi")
 
 
 def cleanup_old_files(table: VersionedTable, dry_run: bool = True) -> list[str]:
