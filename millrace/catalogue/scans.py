@@ -18,6 +18,7 @@ from millrace.sources import (
     extract_increment,
     files_after_cursor,
     infer_fields,
+    infer_nested,
     list_files,
     scan_files,
     scan_landing,
@@ -185,3 +186,36 @@ FROM (VALUES ('uuid', 'string'), ('timestamp', 'integer'), ('event_properties',
 )
 def infer_schema(spark, sf_dir):
     return infer_fields(i.events(spark, sf_dir), "attributes")
+
+
+_NESTED = """json_object('id', c_custkey, 'name', c_name, 'mixed', CASE WHEN c_custkey % 2 = 0 THEN json(c_custkey) ELSE json('1.5') END,
+    'odd', CASE WHEN c_custkey % 3 = 0 THEN json('true') ELSE to_json(c_name) END,
+    'place', json_object('nation', c_nationkey, 'since', '2024-01-02T03:04:05Z', 'tags', json_array(c_mktsegment, json_object('n', c_acctbal))))"""
+
+
+@query(
+    "infer_nested",
+    f"""
+WITH nodes AS (
+    SELECT regexp_replace(regexp_replace(replace(fullkey, '$.', ''), '"', '', 'g'), '\\[[0-9]+\\]', '[]', 'g') AS field, type, atom
+    FROM (SELECT {_NESTED} AS record FROM customer) AS r, json_tree(r.record) WHERE fullkey <> '$'),
+kinds AS (
+    SELECT field, count(*) AS present, list_sort(list(DISTINCT CASE
+        WHEN type IN ('BIGINT', 'UBIGINT') THEN 'integer' WHEN type = 'DOUBLE' THEN 'number' WHEN type = 'VARCHAR' THEN 'string'
+        ELSE lower(type) END)) AS types,
+        bool_and(type = 'VARCHAR' AND regexp_matches(CAST(atom AS VARCHAR), '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}T')) AS time
+    FROM nodes GROUP BY field)
+SELECT field, CASE WHEN len(types) = 1 THEN types[1] WHEN types = ['integer', 'number'] THEN 'number' ELSE 'string' END AS type,
+    CASE WHEN time THEN 'date-time' END AS format, present FROM kinds""",
+)
+def infer_nested_fields(spark, sf_dir):
+    """Properties of objects and items of arrays, mixed types and date-times among them."""
+    key = F.col("c_custkey")
+    record = F.concat(
+        F.lit('{"id":'), key, F.lit(',"name":"'), F.col("c_name"), F.lit('","mixed":'), F.when(key % 2 == 0, key.cast("string")).otherwise("1.5"),
+        F.lit(',"odd":'), F.when(key % 3 == 0, "true").otherwise(F.concat(F.lit('"'), F.col("c_name"), F.lit('"'))),
+        F.lit(',"place":{"nation":'), F.col("c_nationkey"), F.lit(',"since":"2024-01-02T03:04:05Z","tags":['),
+        F.expr("substring(%s, 2, length(%s) - 2)" % (("to_json(array(c_mktsegment))",) * 2)), F.lit(","),
+        F.expr("substring(%s, 2, length(%s) - 2)" % (("to_json(array(named_struct('n', c_acctbal)))",) * 2)), F.lit("]}}"),
+    )
+    return infer_nested(i.table(spark, sf_dir, "customer").select(record.alias("record")), "record")

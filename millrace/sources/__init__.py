@@ -1,4 +1,4 @@
-from millrace.sources.contracts import StreamContract, infer_fields
+from millrace.sources.contracts import StreamContract, infer_fields, infer_nested
 from millrace.sources.landing import (
     append_landing,
     extract_increment,
@@ -14,6 +14,7 @@ __all__ = [
     "extract_increment",
     "files_after_cursor",
     "infer_fields",
+    "infer_nested",
     "list_files",
     "scan_files",
     "scan_landing",

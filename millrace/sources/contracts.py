@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
@@ -142,16 +143,17 @@ def _looks_like_time(text: Column) -> Column:
     return (F.length(text) >= 19) & text.rlike("[T ]") & F.try_to_timestamp(text).isNotNull()
 
 
-def infer_fields(df: DataFrame, column: str, first_only: Column | None = None) -> DataFrame:
-    """Field definitions found in JSON records: ``field, type, format, present``.
+def _entries(df: DataFrame, column: str, position: Column) -> DataFrame:
+    """``pos, field, value``: the fields of JSON records. A record that is no JSON object, or names a
+    field twice, fails the job; take such records out before (``split_malformed``)."""
+    record = F.try_variant_get(F.try_parse_json(F.col(column)), "$", "map<string,variant>")
+    message = F.concat(F.lit("no JSON object: "), F.substring(column, 1, 80))
+    checked = F.when(F.col(column).isNotNull() & record.isNull(), F.raise_error(message)).otherwise(record)
+    return df.select(position.alias("pos"), F.explode(checked).alias("field", "value"))
 
-    Types are widened over all records: integer and number give number, any other mixture
-    gives string; a field that is always null is a string. With ``first_only`` (an order of
-    the records) the first record that holds a field decides alone, null meaning string.
-    """
-    entries = F.try_parse_json(F.col(column)).cast("map<string,variant>")
-    position = first_only if first_only is not None else F.lit(0)
-    rows = df.select(position.alias("pos"), F.explode(entries).alias("field", "value"))
+
+def _described(rows: DataFrame, first_only: bool) -> DataFrame:
+    """``field, type, format, present`` of ``pos, field, value`` rows, one row a field."""
     schema = F.schema_of_variant(F.col("value"))
     text = F.when(schema == "STRING", F.try_variant_get("value", "$", "string"))
     typed = rows.select(
@@ -161,7 +163,7 @@ def infer_fields(df: DataFrame, column: str, first_only: Column | None = None) -
         _variant_kind(schema).alias("kind"),
         F.coalesce(_looks_like_time(text), F.lit(False)).alias("time"),
     )
-    if first_only is not None:
+    if first_only:
         chosen = F.min_by(F.struct("kind", "time"), "pos")
         found = typed.groupBy("field").agg(chosen.alias("c"), F.count(F.lit(1)).alias("present"))
         kind, time = F.col("c.kind"), F.col("c.time")
@@ -185,3 +187,92 @@ def infer_fields(df: DataFrame, column: str, first_only: Column | None = None) -
         F.when((kind == "string") & time, "date-time").alias("format"),
         "present",
     )
+
+
+def infer_fields(df: DataFrame, column: str, first_only: Column | None = None) -> DataFrame:
+    """Field definitions found in JSON records: ``field, type, format, present``.
+
+    Types are widened over all records: integer and number give number, any other mixture
+    gives string; a field that is always null is a string. With ``first_only`` (an order of
+    the records) the first record that holds a field decides alone, null meaning string.
+    A record that is no JSON object fails the job.
+    """
+    position = first_only if first_only is not None else F.lit(0)
+    return _described(_entries(df, column, position), first_only is not None)
+
+
+def infer_nested(df: DataFrame, column: str) -> DataFrame:
+    """The same for all depths: ``a.b`` is property b of the objects in a, ``a[]`` an item of the
+    arrays in a. ``present`` counts occurrences. One level is one more step over the level above,
+    until no record has another one."""
+    level = _entries(df, column, F.lit(0))
+    found = level
+    while True:
+        kind = F.schema_of_variant(F.col("value"))
+        objects = level.filter(kind.startswith("OBJECT")).select(
+            "pos", "field", F.explode(F.col("value").cast("map<string,variant>")).alias("key", "inner")
+        )
+        items = level.filter(kind.startswith("ARRAY")).select("pos", "field", F.explode(F.col("value").cast("array<variant>")).alias("inner"))
+        level = objects.select("pos", F.concat_ws(".", "field", "key").alias("field"), F.col("inner").alias("value")).union(
+            items.select("pos", F.concat("field", F.lit("[]")).alias("field"), F.col("inner").alias("value"))
+        )
+        if level.isEmpty():
+            return _described(found, False)
+        found = found.union(level)
+
+
+def fields_of(rows: Sequence[tuple[str, str, str | None]]) -> dict[str, dict[str, Any]]:
+    """Contract fields from ``(path, type, format)`` rows of :func:`infer_nested`."""
+    fields: dict[str, dict[str, Any]] = {}
+    for path, kind, form in sorted(rows, key=lambda r: len(r[0])):
+        definition = {"type": kind} | ({"format": form} if form else {})
+        parent, at = {"properties": fields}, path
+        while True:
+            name, found, rest = re.match(r"([^.\[]*)(\[\]|\.)?(.*)", at, re.S).groups()
+            if name:
+                if not found:
+                    parent.setdefault("properties", {})[name] = definition
+                    break
+                parent = parent["properties"][name]
+            if found == "[]":
+                if not rest:
+                    parent["items"] = definition
+                    break
+                parent = parent["items"]
+            at = rest
+    return fields
+
+
+def _property(definition: Mapping[str, Any]) -> dict[str, Any]:
+    out = {"type": ["null", plain_type(definition.get("type")) or "string"]}
+    if definition.get("format"):
+        out["format"] = definition["format"]
+    if definition.get("properties"):
+        out["properties"] = {name: _property(d) for name, d in definition["properties"].items()}
+    items = definition.get("items")
+    if _is_fields(items):  # fields of the items, without a type of their own
+        out["items"] = {"type": ["null", "object"], "properties": {name: _property(d) for name, d in items.items()}}
+    elif isinstance(items, Mapping):
+        out["items"] = _property(items)
+    return out
+
+
+def json_schema(fields: Mapping[str, Mapping[str, Any]]) -> dict[str, Any]:
+    """Contract fields as a JSON schema in which everything may be null."""
+    return {"type": "object", "properties": {name: _property(d) for name, d in fields.items()}}
+
+
+def fields_from_json_schema(schema: Mapping[str, Any]) -> dict[str, dict[str, Any]]:
+    """Contract fields of a JSON schema's properties."""
+
+    def definition(found: Mapping[str, Any]) -> dict[str, Any]:
+        out: dict[str, Any] = {"type": plain_type(found.get("type")) or "string"}
+        if found.get("format"):
+            out["format"] = found["format"]
+        if found.get("properties"):
+            out["properties"] = {name: definition(d) for name, d in found["properties"].items()}
+        if isinstance(found.get("items"), Mapping):
+            out["items"] = definition(found["items"])
+        return out
+
+    return {name: definition(d) for name, d in schema.get("properties", {}).items()}

@@ -4,7 +4,15 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.sources.contracts import StreamContract, infer_fields, nested_struct
+from millrace.sources.contracts import (
+    StreamContract,
+    fields_from_json_schema,
+    fields_of,
+    infer_fields,
+    infer_nested,
+    json_schema,
+    nested_struct,
+)
 from millrace.sources.known import CONTRACTS
 
 TEXT = json.dumps(
@@ -105,3 +113,30 @@ def test_inference_by_the_first_record(sample):
     assert fields["mixed"] == ("integer", None, 2)
     assert fields["price"] == ("integer", None, 2)
     assert fields["at"] == ("string", "date-time", 3)
+
+
+def test_nested_inference_and_schemas_both_ways(spark):
+    records = [
+        '{"id":1,"o":{"a":"2024-01-02T03:04:05Z","b":[1,2.5]},"l":[{"x":true},{"x":null,"y":"t"}]}',
+        '{"id":2,"o":{"a":"2024-01-02T03:04:05Z","c":{}},"l":[]}',
+    ]
+    df = spark.createDataFrame([(r,) for r in records], "record string")
+    found = {(r.field, r.type, r.format) for r in infer_nested(df, "record").collect()}
+    assert found == {
+        ("id", "integer", None), ("o", "object", None), ("o.a", "string", "date-time"), ("o.b", "array", None), ("o.b[]", "number", None),
+        ("o.c", "object", None), ("l", "array", None), ("l[]", "object", None), ("l[].x", "boolean", None), ("l[].y", "string", None),
+    }
+    fields = fields_of(list(found))
+    assert fields["o"]["properties"]["b"]["items"] == {"type": "number"} and fields["l"]["items"]["properties"]["x"] == {"type": "boolean"}
+    schema = json_schema(fields)
+    assert schema["properties"]["o"]["properties"]["a"] == {"type": ["null", "string"], "format": "date-time"}
+    assert fields_from_json_schema(schema) == fields
+    rows = StreamContract("s", "t", fields).parse(df, "record")
+    assert [r.id for r in rows.collect()] == [1, 2]
+
+
+def test_records_that_are_no_objects_are_an_error(spark):
+    for bad in ("oops", "[1]", '{"a":1,"a":2}'):
+        df = spark.createDataFrame([('{"a":1}',), (bad,)], "record string")
+        with pytest.raises(Exception, match="no JSON object"):
+            infer_fields(df, "record").collect()
