@@ -30,8 +30,8 @@ from millrace.session import work_dir
 #: Bytes of ids after which a frame ends with its document, and after which it is cut within one.
 FRAME_BYTES = 1 << 16
 LARGEST_FRAME = 1 << 22
-#: Different words whose ids a task remembers.
-MEMO_WORDS = 500_000
+#: Different words whose ids a process remembers.
+MEMO_WORDS = 1_000_000
 
 # Fixed values of the seekable format.
 SKIPPABLE = 0x184D2A5E
@@ -147,35 +147,56 @@ class FileReader:
         return b"".join(out)
 
 
+#: Put between words that are encoded in one go; a control character that is a token of its own.
+MARK = "\x1f"
+
+
 @lru_cache(maxsize=1)
 def _tokenizer(path: str):
+    """The tokenizer, and the ids of words that this process has met."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True  # control strings in a text stay text
-    return tokenizer
+    return tokenizer, {}
 
 
 class Encoder:
     """Ids of whole texts as bytes, for tokenizers that drop white space and never join across it.
 
     A text is the sequence of its words between ASCII white space, and so are its ids; the ids of a
-    word are remembered. Tests hold this against encoding whole texts.
+    word are remembered, by all tasks of a process. Tests hold this against encoding whole texts.
     """
 
     def __init__(self, path: str, end_id: int):
-        self.tokenizer, self.known = _tokenizer(path), {}
+        self.tokenizer, self.known = _tokenizer(path)
         self.end = struct.pack("<I", end_id)
+        (self.mark,) = self._ids([MARK])[0]
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Encode new words, many in one text; the mark's id, which no other text has, parts them."""
+        plain = [w for w in words if MARK.encode() not in w]
+        marked = [w for w in words if MARK.encode() in w]
+        parts = [plain[i : i + 256] for i in range(0, len(plain), 256)]
+        for part, ids in zip(parts, self._ids([f" {MARK} ".join(w.decode() for w in part) for part in parts])):
+            flat = np.array(ids, "<u4")
+            ends = [*np.flatnonzero(flat == self.mark), len(flat)]
+            data, start = flat.tobytes(), 0
+            for word, end in zip(part, ends, strict=True):
+                self.known[word] = data[4 * start : 4 * end]
+                start = end + 1
+        for word, ids in zip(marked, self._ids([w.decode() for w in marked])):
+            self.known[word] = np.array(ids, "<u4").tobytes()
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         split = [(t or "").encode("utf-8", "replace").split() for t in texts]
         if len(self.known) > MEMO_WORDS:
             self.known.clear()
-        new = list({w for words in split for w in words}.difference(self.known))
-        for word, encoding in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
-            ids = encoding.ids
-            self.known[word] = struct.pack(f"<{len(ids)}I", *ids)
+        self._learn(list({w for words in split for w in words}.difference(self.known)))
         for words in split:
             yield b"".join(map(self.known.__getitem__, words)) + self.end
 
