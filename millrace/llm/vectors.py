@@ -13,20 +13,22 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import save
 from millrace.llm.components import components
+from millrace.llm.forest import spanning
 
 
 @dataclass(frozen=True)
 class Cells:
     """``per_cell``: different vectors a cell is meant for, up to ``most`` cells. ``sample``: numbers
-    the cells are fitted on, at most. ``margin``: how far beyond the border of a cell a vector may
-    lie and still be compared in it. A pair at the threshold lies up to ``sqrt(2 - 2 * threshold)``
-    apart, and that margin would never miss it; across a border only one direction counts, so a
-    third of it misses few (see the tests). ``block``: vectors that are compared at a time."""
+    the cells are fitted on, at most. ``deviations``: how far beyond the border of a cell a vector
+    may lie and still be compared in it. A pair at the threshold lies ``sqrt(2 - 2 * threshold)``
+    apart; across a border only one direction of ``dim`` counts, so that it lies apart by that
+    over ``sqrt(dim)`` there, which is one deviation. ``sqrt(dim)`` of them miss nothing; two miss
+    few (see the tests). ``block``: vectors that are compared at a time."""
 
     per_cell: int = 256
     most: int = 1024
     sample: int = 2_000_000
-    margin: float = 0.13
+    deviations: float = 2.0
     rounds: int = 8
     block: int = 1024
     seed: int = 11
@@ -76,7 +78,7 @@ def visits(rows: np.ndarray, centres: np.ndarray, margin: float) -> tuple[np.nda
     return own, [np.nonzero(w)[0].tolist() for w in within]
 
 
-def _assign(centres: np.ndarray | None, spec: Cells):
+def _assign(centres: np.ndarray | None, margin: float):
     """Rows for every cell a vector is compared in; vectors of another dimension share cell -1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,7 +89,7 @@ def _assign(centres: np.ndarray | None, spec: Cells):
                 own, lists = np.full(len(sizes), -1), [[-1]] * len(sizes)
                 fitting = np.nonzero(sizes == centres.shape[1])[0] if centres is not None else []
                 if len(fitting):
-                    homes, found = visits(unit(_matrix(rows.column("vector").take(pa.array(fitting)))), centres, spec.margin)
+                    homes, found = visits(unit(_matrix(rows.column("vector").take(pa.array(fitting)))), centres, margin)
                     own[fitting] = homes
                     for i, cells in zip(fitting, found):
                         lists[i] = cells
@@ -158,26 +160,6 @@ def _compare(threshold: float, step: int = 256):
     return run
 
 
-def spanning(edges: np.ndarray) -> np.ndarray:
-    """Edges from each node to the smallest node it is connected with: as few as there are nodes."""
-    if not edges.shape[1]:
-        return np.empty((2, 0), np.int64)
-    nodes, ends = np.unique(edges, return_inverse=True)
-    x, y = ends.reshape(edges.shape)
-    label = np.arange(len(nodes))
-    while True:
-        least = np.minimum(label[x], label[y])
-        new = label.copy()
-        np.minimum.at(new, x, least)
-        np.minimum.at(new, y, least)
-        new = new[new]
-        if (new == label).all():
-            break
-        label = new
-    moved = label != np.arange(len(nodes))
-    return np.stack([nodes[moved], nodes[label[moved]]])
-
-
 def near_vectors(
     vectors: DataFrame, threshold: float = 0.93, key: str = "vec_id", vector: str = "embedding", label: str = "label", spec: Cells = Cells()
 ) -> DataFrame:
@@ -217,7 +199,8 @@ def near_vectors(
 
     ddl = "cell int, size int, home int, cells array<int>, label {}, node long, copies long, vector array<double>"
     kind = classes.schema["label"].dataType.simpleString()
-    placed = save(classes.select("label", "node", "copies", "vector").mapInArrow(_assign(centres, spec), ddl.format(kind)), "cells")
+    margin = spec.deviations * ((2 - 2 * threshold) / dims["dim"]) ** 0.5 if dims else 0.0
+    placed = save(classes.select("label", "node", "copies", "vector").mapInArrow(_assign(centres, margin), ddl.format(kind)), "cells")
     bucket = ["cell", "size", "label"]
     sizes = placed.groupBy(*bucket).agg(F.count("*").alias("n")).where("n > 1")
     blocks = F.ceil(F.col("n") / spec.block).cast("int")

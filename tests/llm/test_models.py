@@ -105,7 +105,7 @@ def test_vectors_against_brute_force(spark, block):
     want[2009], want[2010] = (1, 2009), (1, 2009)
     found, there = sum(n for n, _ in got.values()), sum(n for n, _ in want.values())
     assert found >= 0.97 * there and all(got[i][0] <= want[i][0] for i in want)
-    exact = vectors.Cells(per_cell=24, block=block, margin=(2 - 2 * 0.93) ** 0.5)
+    exact = vectors.Cells(per_cell=24, block=block, deviations=24**0.5)
     assert {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_vectors(df, spec=exact).collect()} == want
 
 
@@ -120,7 +120,7 @@ TEXTS = [None, "", "  ", "Hello, wörld's 123 THE <|endoftext|> \x1c a\x0bb\x0cc
 
 
 def whole(texts):
-    t = tf._tokenizer(word_tokenizer())
+    t, _ = tf._tokenizer(word_tokenizer())
     return [np.array(e.ids + [2], "<u4").tobytes() for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
 
 
