@@ -7,12 +7,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import ID_ROWS, save, small
 from millrace.llm.components import components
+from millrace.llm.forest import spanning
 
 #: Words whose hashes a task remembers.
 _MEMO = 1 << 18
@@ -26,7 +28,8 @@ class Signature:
     ``bands`` of ``rows`` minima each: two documents at the threshold of 75 % share no band once
     in 190,000 times with the defaults. Of every minimum ``bits`` low bits stay; unrelated minima
     agree in them by chance, which the estimate corrects. A candidate goes on to the exact test
-    unless its estimate lies ``deviations`` standard errors below the threshold.
+    unless its estimate lies ``deviations`` standard errors below the threshold. Groups are compared
+    in blocks of ``block`` signatures, a quarter of that for whole sets.
     """
 
     percent: int = 75
@@ -36,6 +39,7 @@ class Signature:
     bits: int = 2
     deviations: float = 5.0
     seed: int = 7
+    block: int = 1024
 
     @property
     def size(self) -> int:
@@ -170,25 +174,86 @@ def _estimate(spec: Signature):
     return run
 
 
-def _cross(spec: Signature, block: int = 128):
-    """Pairs of a bucket's block pair whose classes differ and whose low bits leave them a chance."""
+def _pairs_of_blocks(table: pa.Table, key: str) -> tuple[pa.Table, pa.Table, np.ndarray, np.ndarray]:
+    sides = [table.filter(pc.equal(table["side"], side)) for side in (0, 1)]
+    return *sides, *(side[key].to_numpy() for side in sides)
+
+
+def _forest(edges: list[np.ndarray]) -> pa.Table:
+    ends = spanning(np.concatenate(edges, axis=1) if edges else np.empty((2, 0), np.int64))
+    return pa.table({"a": pa.array(ends[1], pa.int64()), "b": pa.array(ends[0], pa.int64())})
+
+
+def _alike(spec: Signature, step: int = 128):
+    """Of a pair of a bucket's blocks: a forest over the families in it that hold two members whose
+    low bits leave them a chance."""
     most, width = spec.most_differing(), spec.size * spec.bits // 8
 
     def run(table: pa.Table) -> pa.Table:
-        left = table.filter(pa.compute.equal(table["side"], 0))
-        right = table.filter(pa.compute.equal(table["side"], 1))
+        left, right, of_a, of_b = _pairs_of_blocks(table, "family")
         a, b = _rows(left["low"], width), _rows(right["low"], width)
-        ids_a, ids_b = left["node"].to_numpy(), right["node"].to_numpy()
-        class_a, class_b = left["component"].to_numpy(), right["component"].to_numpy()
-        found = []
-        for start in range(0, len(a), block):
-            part = slice(start, start + block)
+        edges = []
+        for start in range(0, len(a), step):
+            part = slice(start, start + step)
             far = differing(a[part, None, :], b[None, :, :], spec.bits)
-            x, y = np.nonzero((far <= most) & (class_a[part, None] != class_b[None, :]))
-            found.append(np.stack([ids_a[part][x], ids_b[y]]))
-        pairs = np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64)
-        low, high = pairs.min(axis=0), pairs.max(axis=0)
-        return pa.table({"a": pa.array(low, pa.int64()), "b": pa.array(high, pa.int64())})
+            x, y = np.nonzero((far <= most) & (of_a[part, None] != of_b[None, :]))
+            edges.append(spanning(np.stack([of_a[part][x], of_b[y]])))
+        return _forest(edges)
+
+    return run
+
+
+def shared_shingles(a: list[np.ndarray], b: list[np.ndarray], width: int = 2048) -> np.ndarray:
+    """How many shingles each set of one block has in common with each of the other.
+
+    Shingles that both blocks have are columns of two 0/1 matrices; their product, taken some
+    columns at a time, holds the counts.
+    """
+    columns = np.intersect1d(np.unique(np.concatenate(a)), np.unique(np.concatenate(b)), assume_unique=True)
+    counts = np.zeros((len(a), len(b)), np.float32)
+    entries = []
+    for sets in (a, b):
+        flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        place = np.searchsorted(columns, flat)
+        known = place < len(columns)
+        known[known] = columns[place[known]] == flat[known]
+        place, owner = place[known], owner[known]
+        order = np.argsort(place)
+        entries.append((place[order], owner[order], len(sets)))
+    for start in range(0, len(columns), width):
+        part = []
+        for place, owner, rows in entries:
+            low, high = np.searchsorted(place, [start, start + width])
+            ones = np.zeros((rows, width), np.float32)
+            ones[owner[low:high], place[low:high] - start] = 1
+            part.append(ones)
+        counts += part[0] @ part[1].T
+    return counts.astype(np.int64)
+
+
+def _linked(spec: Signature):
+    """Of a pair of a family's blocks: a forest over the components that a link by whole sets joins."""
+
+    def run(table: pa.Table) -> pa.Table:
+        left, right, of_a, of_b = _pairs_of_blocks(table, "component")
+        if not left.num_rows or not right.num_rows:
+            return _forest([])
+        a, b = ([np.frombuffer(s, np.uint64) for s in side["shingles"].to_pylist()] for side in (left, right))
+        shared = shared_shingles(a, b)
+        sizes = np.array([len(s) for s in a])[:, None] + np.array([len(s) for s in b])[None, :]
+        x, y = np.nonzero((shared > 0) & (100 * shared >= spec.percent * (sizes - shared)) & (of_a[:, None] != of_b[None, :]))
+        return _forest([np.stack([of_a[x], of_b[y]])])
+
+    return run
+
+
+def _sets(spec: Signature):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                rows = batch.slice(start, 256)
+                values = [shingles(t.as_py(), spec.shingle).tobytes() for t in rows.column(1)]
+                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(values, pa.binary())], names=["node", "shingles"])
 
     return run
 
@@ -235,13 +300,14 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", spec:
     1. Every text is signed; from then on rows hold no text. Copies are signed once a task.
     2. Documents of the same words are one class, found by a partially aggregated group-by; the
        one with the smallest key represents it.
-    3. Every band's members are candidates with the band's smallest and largest member. Who is in
-       a band with nobody is dropped there. Corrected bit counts sort candidates out, whole
-       shingle sets decide, and components join what is linked: a group of near copies is
-       connected by as many pairs as it has members.
-    4. Bands whose members are now in one component are done. In the others all members of
-       different components are compared by bit counts, in blocks, and the pairs that are left
-       are decided by their sets. So no link that a band shows is lost.
+    3. Every bucket's members are candidates with the bucket's smallest and largest member; who is
+       in a bucket with nobody is dropped there. Corrected bit counts sort candidates out. Buckets
+       that candidates do not connect are compared by bit counts as a whole, in blocks. That gives
+       families: within a bucket, all that bit counts leave a chance is in one family.
+    4. Whole shingle sets decide on the candidates, and components join what is linked. A family
+       that is one component is done; in the others all members outside the largest component
+       are compared with all members by their sets, in blocks. So no link that a bucket shows is
+       lost, and nothing returns more rows than a few for each member.
 
     Nulls and texts without words have no shingles and no links. Rows that share a key and their
     words are copies like any others. A key names one document: of rows that share a key but not
@@ -262,21 +328,12 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", spec:
     met = save(members.join(ends, ["band", "bucket"]), "members")
     stars = met.select(F.col("least").alias("a"), F.col("rep").alias("b")).union(met.select("rep", "most")).where("a < b").distinct()
     lows = signed.select("rep", "low")
-
-    def estimated(pairs: DataFrame) -> DataFrame:
-        a, b = (lows.select(F.col("rep").alias(n), F.col("low").alias(f"low_{n}")) for n in "ab")
-        return pairs.join(a, "a").join(b, "b").select("a", "b", "low_a", "low_b").mapInArrow(_estimate(spec), _PAIR)
-
-    tried = save(estimated(stars), "candidates")
+    a, b = (lows.select(F.col("rep").alias(n), F.col("low").alias(f"low_{n}")) for n in "ab")
+    both = stars.join(a, "a").join(b, "b").select("a", "b", "low_a", "low_b")
+    tried = save(both.mapInArrow(_estimate(spec), _PAIR), "candidates")
+    families = _families(met, tried, lows, spec)
     links = _confirmed(tried, texts, spec)
-    joined = save(components(links), "joined")
-
-    class_of = F.coalesce("component", F.col("rep")).alias("component")
-    open_ = met.select("band", "bucket", "rep").join(joined.withColumnRenamed("node", "rep"), "rep", "left").select("band", "bucket", "rep", class_of)
-    open_ = save(open_, "open")
-    mixed = open_.groupBy("band", "bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).where("x < y")
-    more = save(_across(open_.join(mixed.select("band", "bucket", "n"), ["band", "bucket"]), lows, spec).join(stars, ["a", "b"], "left_anti"), "across")
-    links = save(links.union(_confirmed(more, texts, spec)), "all-links")
+    links = save(links.union(_across(families, save(components(links), "joined"), texts, spec)), "all-links")
 
     named = components(links).withColumnsRenamed({"node": "id", "component": "named"})
     of_class = save(reps.join(named, "id", "left").select("words", F.coalesce("named", "id").alias("named")), "named")
@@ -285,19 +342,52 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", spec:
     return whole.select(F.col("key").alias(key), "n_shingles", component.alias("component_id"), (component == F.col("id")).alias("kept"))
 
 
-def _across(members: DataFrame, lows: DataFrame, spec: Signature, block: int = 1024) -> DataFrame:
-    """Pairs across the components of a bucket, by bit counts; members: band, bucket, rep, component, n.
+def _families(met: DataFrame, tried: DataFrame, lows: DataFrame, spec: Signature) -> DataFrame:
+    """``(node, component)``: families of members that low bits connect, within their buckets.
 
-    A bucket is dealt into blocks of about ``block`` members; each pair of blocks is one group, so
-    no task holds more than two blocks of a bucket of any size.
+    Buckets that candidates with their ends connect are done. In the others all members of
+    different families are compared by bit counts, in pairs of blocks that return forests.
+    """
+    first = save(components(tried), "families").withColumnsRenamed({"node": "rep", "component": "family"})
+    held = met.select("band", "bucket", "rep").join(first, "rep", "left")
+    held = save(held.select("band", "bucket", "rep", F.coalesce("family", "rep").alias("family")), "open")
+    bucket = ["band", "bucket"]
+    several = held.groupBy(*bucket).agg(F.min("family").alias("x"), F.max("family").alias("y"), F.count("*").alias("n")).where("x < y")
+    open_ = held.join(several.select(*bucket, "n"), bucket).join(lows, "rep").select(*bucket, "n", F.col("rep").alias("node"), "family", "low")
+    sides = _block_pairs(open_, bucket, "n", "n", F.lit(True), spec.block)
+    more = save(sides.groupBy(*bucket, "i", "j").applyInArrow(_alike(spec), _PAIR).distinct(), "alike")
+    return save(components(tried.union(more)), "families")
+
+
+def _across(families: DataFrame, joined: DataFrame, texts: DataFrame, spec: Signature) -> DataFrame:
+    """Links between components of one family, by whole sets.
+
+    A family that is one component is done. In the others every member outside the largest
+    component is compared with all members, in pairs of blocks that return forests.
     """
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("n") / block).cast("int"))
-    dealt = members.select("band", "bucket", "rep", "component", blocks.alias("blocks"), F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("own"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    first = dealt.select("*", other.alias("other")).where("own <= other")
-    second = dealt.select("*", other.alias("other")).where("other <= own")
-    sides = first.select("band", "bucket", F.col("own").alias("i"), F.col("other").alias("j"), F.lit(0).alias("side"), "rep", "component").union(
-        second.select("band", "bucket", F.col("other").alias("i"), F.col("own").alias("j"), F.lit(1).alias("side"), "rep", "component")
-    )
-    ready = sides.join(lows, "rep").select("band", "bucket", "i", "j", "side", F.col("rep").alias("node"), "component", "low")
-    return ready.groupBy("band", "bucket", "i", "j").applyInArrow(_cross(spec), _PAIR).distinct()
+    component = F.coalesce("joined", "node").alias("component")
+    held = families.withColumnRenamed("component", "family").join(joined.withColumnRenamed("component", "joined"), "node", "left")
+    held = save(held.select("node", "family", component), "family-members")
+    sizes = held.groupBy("family", "component").agg(F.count("*").alias("n"))
+    largest = F.max(F.struct("n", "component")).alias("largest")
+    several = sizes.groupBy("family").agg(largest, F.sum("n").alias("all"), F.count("*").alias("parts")).where("parts > 1")
+    open_ = save(held.join(several.select("family", "all", "largest"), "family"), "open-families")
+    ids = small(open_.select(F.col("node").alias("id")), ID_ROWS)
+    own = texts.join(ids, "id", "left_semi").dropDuplicates(["id"])
+    sets = save(own.mapInArrow(_sets(spec), "node long, shingles binary"), "sets")
+    rows = open_.withColumn("rest", F.col("all") - F.col("largest.n")).join(sets, "node")
+    sides = _block_pairs(rows, ["family"], "all", "rest", F.col("component") != F.col("largest.component"), spec.block // 4)
+    sides = sides.select("family", "i", "j", "side", "component", "shingles")
+    return sides.groupBy("family", "i", "j").applyInArrow(_linked(spec), _PAIR)
+
+
+def _block_pairs(rows: DataFrame, group: list[str], n: str, m: str, second: Column, block: int) -> DataFrame:
+    """Rows of a group (``n`` of them, and ``m`` for which ``second`` holds) dealt into blocks of about
+    ``block``, and repeated for every block they meet: each (i, j) of a group holds block i of all
+    rows as side 0 and block j of the second ones as side 1, however large the group is."""
+    blocks = [F.ceil(F.col(c) / block).cast("int") for c in (n, m)]
+    own = [F.pmod(F.xxhash64("node"), b).cast("int") for b in blocks]
+    every = [F.explode(F.sequence(F.lit(0), b - 1)) for b in blocks]
+    names = [c for c in rows.columns if c not in group]
+    first = rows.select(*group, own[0].alias("i"), every[1].alias("j"), F.lit(0).alias("side"), *names)
+    return first.union(rows.where(second).select(*group, every[0].alias("i"), own[1].alias("j"), F.lit(1).alias("side"), *names))

@@ -163,7 +163,7 @@ def test_signatures_that_hardly_filter_give_the_same(spark):
     dice = random.Random(4)
     docs = [(i, " ".join(f"w{dice.randrange(12)}" for _ in range(14))) for i in range(120)] + family(dice, 500, 30, 20, 2)
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    spec = nc.Signature(bands=64, rows=1, bits=2)
+    spec = nc.Signature(bands=64, rows=1, bits=2, block=16)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in nc.near_copies(df, spec=spec).collect()}
     assert got == brute_near(docs)
 
