@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.session import work_dir
+
 
 def as_text(column: Column, kind: T.DataType) -> Column:
     """A value as text that casts back to the same value in a session of any time zone."""
@@ -52,14 +54,17 @@ def key_range(df: DataFrame, keys: Sequence[str]) -> dict[str, tuple[str, str]]
     return {k: (row[f"low_{k}"], row[f"high_{k}"]) for k in keys}
 
 
-def within(df: DataFrame, bounds: dict[str, tuple[str, str]] | None) -> DataFrame:
-    """Rows inside the range, by comparisons that Parquet statistics can answer."""
-    if bounds is None:
-        return df.filter(F.lit(False))
-    for key, (low, high) in bounds.items():
+def in_range(df: DataFrame, bounds: dict[str, tuple[str, str]] | None) -> Column:
+    """Inside the range, by comparisons that Parquet statistics can answer; no range holds nothing."""
+    inside = F.lit(bounds is not None)
+    for key, (low, high) in (bounds or {}).items():
         kind = df.schema[key].dataType
-        df = df.filter(F.col(key).between(F.lit(low).cast(kind), F.lit(high).cast(kind)))
-    return df
+        inside = inside & F.col(key).between(F.lit(low).cast(kind), F.lit(high).cast(kind))
+    return inside
+
+
+def within(df: DataFrame, bounds: dict[str, tuple[str, str]] | None) -> DataFrame:
+    return df.filter(in_range(df, bounds))
 
 
 def changed_left_join(
@@ -75,18 +80,21 @@ def changed_left_join(
 
     Same rows as filtering the full join by ``left_version > mark OR right_version > mark``,
     for a key that is unique on both sides. That filter would sit above an outer join of
-    the two whole tables; here both inputs are cut down to changed keys before they meet.
-    For ``stored`` inputs the range of the changed keys is looked up first, and the scans
-    of the unchanged parts skip all row groups outside it. The right side's columns must
-    not clash with the left's, apart from the key.
+    the two whole tables; here the changed keys are found first and written, and each input is
+    read a second time for the rows of those keys only. For ``stored`` inputs the keys' range
+    lets the scans skip all row groups outside it. The right side's columns must not clash with
+    the left's, apart from the key.
     """
     left_new = newer_than(left, left_version, mark)
-    fresh = left.filter(left_new)
-    stale = left.filter(~F.coalesce(left_new, F.lit(False)))
-    touched = right.filter(newer_than(right, right_version, mark)).select(key).distinct()
-    changed = fresh.select(key).unionByName(touched).distinct()
+    keys = left.filter(left_new).select(key).unionByName(right.filter(newer_than(right, right_version, mark)).select(key))
+    path = work_dir(left.sparkSession, "changed")
+    keys.distinct().write.parquet(path)
+    changed = left.sparkSession.read.schema(T.StructType([left.schema[key]])).parquet(path)
     if stored:
-        stale = within(stale, key_range(touched, [key]))
-        right = within(right, key_range(changed, [key]))
-    rows = fresh.unionByName(stale.join(touched, key, "left_semi"))
-    return rows.join(right.join(changed, key, "left_semi"), key, "left")
+        bounds = key_range(changed, [key])
+        right = within(right, bounds)
+        left = left.filter(F.col(key).isNull() | in_range(left, bounds))
+    # a row without a key is of nobody else's: it counts only if it is new itself
+    found = left.join(changed, left[key].eqNullSafe(changed[key]), "left_semi")
+    found = found.filter(F.col(key).isNotNull() | newer_than(found, left_version, mark))
+    return found.join(right.join(changed, key, "left_semi"), key, "left")
