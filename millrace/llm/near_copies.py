@@ -17,7 +17,7 @@ from millrace.llm.components import components
 from millrace.llm.forest import spanning
 
 #: Words whose hashes a task remembers.
-_MEMO = 1 << 18
+_MEMO = 1 << 17
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -145,6 +145,7 @@ def _sign(spec: Signature):
                 counts, bands, low = zip(*signed)
                 columns = [pa.array(digests, pa.binary()), pa.array(counts, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(low, pa.binary())]
                 yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), *columns], schema=_SCHEMA)
+        _hashes.clear()  # the process lives on for other work
 
     return run
 

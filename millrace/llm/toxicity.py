@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from millrace.llm.common import save
 
 _WORD = re.compile(r"[^\W\d_]+")
-_MEMO = 300_000
+_MEMO = 100_000
 
 
 @dataclass(frozen=True)
