@@ -1,10 +1,11 @@
-"""Quality by perplexity: an interpolated modified Kneser-Ney model of trusted text, cut at quantiles by language."""
+"""Quality by perplexity: an interpolated modified Kneser-Ney model of the words of trusted text, which backs
+off to one of their code points, cut at quantiles by language."""
 
 from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,15 +23,17 @@ _MEMO = 200_000
 
 @dataclass(frozen=True)
 class Model:
-    """``order``: symbols of an n-gram (code points of words, with their marks). ``quantile``: of the
+    """``words``: words of an n-gram, whatever lies between them. ``order``: symbols of an n-gram of the
+    model that words back off to (code points of words, with their marks). ``quantile``: of the
     perplexities of trusted documents that the model has not seen, by language, above which a
-    document is rejected. ``broadcast``: n-grams up to which the model is sent to every task; a
-    larger one stays sharded by n-gram and is joined to the words of the documents."""
+    document is rejected. ``broadcast``: an option of :func:`score`: code-point n-grams up to which
+    that model is sent to every task; :func:`judge_quality` leaves all models sharded by n-gram."""
 
+    words: int = 3
     order: int = 4
     quantile: float = 0.99
     slack: float = 1.05
-    broadcast: int = 400_000
+    broadcast: int = 0
 
 
 def words_of(text: str | None) -> list[str]:
@@ -55,6 +58,39 @@ def _count(order: int):
     return run
 
 
+def _ends(text: str | None, order: int) -> list[str]:
+    """For every word of a text the n-gram that ends with it: the longest up to the order, begin mark included."""
+    words = [BEGIN, *words_of(text)]
+    return [" ".join(words[max(0, end - order) : end]) for end in range(2, len(words) + 1)]
+
+
+def _count_words(order: int, rows: int = 256):
+    """Counts of the longest word n-grams, from so many texts at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, rows):
+                grams = Counter()
+                for text in batch.column(0).slice(start, rows):
+                    grams.update(_ends(text.as_py(), order))
+                yield pa.RecordBatch.from_pydict({"gram": pa.array(grams.keys(), pa.string()), "n": pa.array(grams.values(), pa.int64())})
+
+    return run
+
+
+@dataclass(frozen=True)
+class _Kind:
+    """How n-grams are taken apart: SQL for the number of symbols, all but the first, and the first ones."""
+
+    size: str
+    shorter: str
+    first: str
+
+
+_POINTS = _Kind("char_length(gram)", "substring(gram, 2)", "substring(gram, 1, {})")
+_WORDS = _Kind("char_length(gram) - char_length(replace(gram, ' ', '')) + 1", "substring(gram, instr(gram, ' ') + 1)", "substring_index(gram, ' ', {})")
+
+
 def _discounted(counts: DataFrame, discounts: list[float]) -> Column:
     return F.col("n") - F.when(F.col("n") >= 3, discounts[2]).when(F.col("n") == 2, discounts[1]).otherwise(discounts[0])
 
@@ -69,42 +105,141 @@ def train(texts: DataFrame, spec: Model = Model()) -> DataFrame:
     are n-grams, so counts and model stay sharded. One column of text; nulls are empty texts.
     """
     counted = texts.mapInArrow(_count(spec.order), "gram string, n long")
-    raw = save(counted.groupBy("gram").agg(F.sum("n").alias("n")), "ngrams")
-    size = F.char_length("gram")
-    model, lower = None, None
-    for k in range(1, spec.order + 1):
-        if k == spec.order:
-            counts = raw.where(size == k)
+    model = None
+    for level, sums, unseen in _levels(counted, spec.order, _POINTS):
+        backs = sums.select(F.col("context").alias("gram"), "back")
+        if model is None:
+            model = backs.select("gram", F.lit(unseen).alias("p"), "back")  # the empty context
         else:
-            longer = raw.where(size == k + 1).groupBy(F.expr("substring(gram, 2)").alias("gram")).agg(F.count("*").alias("n"))
-            counts = longer.where(~F.startswith("gram", F.lit(BEGIN))).union(raw.where((size == k) & F.startswith("gram", F.lit(BEGIN))))
-        counts = save(counts.where(F.col("gram") != BEGIN), "counts")
-        n = {r["n"]: r["m"] for r in counts.where("n <= 4").groupBy("n").agg(F.count("*").alias("m")).collect()}
+            model = model.join(backs.withColumnRenamed("back", "wider"), "gram", "full").select(
+                "gram", "p", F.coalesce("wider", "back").alias("back")
+            )
+        model = save(model.union(level.select("gram", "p", F.lit(None).cast("double"))), "model")
+    return model
+
+
+def _levels(counted: DataFrame, order: int, kind: _Kind, base: Callable[[DataFrame], DataFrame] | None = None) -> Iterator[tuple[DataFrame, DataFrame, float]]:
+    """For each order from 1 up ``(gram, p)``, ``(context, total, back)`` and the uniform probability below.
+
+    ``base``: from ``gram`` the logarithm of the distribution that single symbols are interpolated
+    with (``gram``, ``log``); uniform over the symbols and one that is not seen otherwise.
+    """
+    size = F.expr(kind.size)
+    raw = save(counted.groupBy("gram").agg(F.sum("n").alias("n")), "ngrams")
+    counts = {order: save(raw.where(size == order), "counts")}
+    for k in range(order - 1, 0, -1):  # a table of counts holds every n-gram of its order once
+        longer = counts[k + 1].groupBy(F.expr(kind.shorter).alias("gram")).agg(F.count("*").alias("n"))
+        own = longer.where(~F.startswith("gram", F.lit(BEGIN))).union(raw.where((size == k) & F.startswith("gram", F.lit(BEGIN))))
+        counts[k] = save(own.where(F.col("gram") != BEGIN), "counts")
+    lower, uniform = None, 1.0
+    for k in range(1, order + 1):
+        n = {r["n"]: r["m"] for r in counts[k].where("n <= 4").groupBy("n").agg(F.count("*").alias("m")).collect()}
         one, two, three, four = (max(n.get(i, 0), 1) for i in (1, 2, 3, 4))
         rate = one / (one + 2 * two)
         discounts = [min(max(d, 0.1), top) for d, top in ((1 - 2 * rate * two / one, 0.9), (2 - 3 * rate * three / two, 1.9), (3 - 4 * rate * four / three, 2.9))]
-        context = F.expr(f"substring(gram, 1, {k - 1})").alias("context")
-        kept = counts.select("gram", "n", context, _discounted(counts, discounts).alias("kept"))
+        context = (F.lit("") if k == 1 else F.expr(kind.first.format(k - 1))).alias("context")
+        kept = counts[k].select("gram", "n", context, _discounted(counts[k], discounts).alias("kept"))
         sums = kept.groupBy("context").agg(F.sum("n").alias("total"), F.sum("kept").alias("sum_kept"))
         sums = save(sums.select("context", "total", (1 - F.col("sum_kept") / F.col("total")).alias("back")), "contexts")
         own = kept.join(sums, "context").select("gram", "back", (F.col("kept") / F.col("total")).alias("own"))
         if lower is None:
-            symbols = counts.count() + 1  # and one for those not seen
-            level = own.select("gram", (F.col("own") + F.col("back") / symbols).alias("p"))
+            uniform = 1.0 / (counts[k].count() + 1)  # and one for those not seen
+            below = base(counts[k].select("gram")).select("gram", F.exp("log").alias("p_short")) if base else None
+            own = own.join(below, "gram") if base else own.withColumn("p_short", F.lit(uniform))
+            level = own.select("gram", (F.col("own") + F.col("back") * F.col("p_short")).alias("p"))
         else:
             below = lower.select(F.col("gram").alias("short"), F.col("p").alias("p_short"))
-            joined = own.withColumn("short", F.expr("substring(gram, 2)")).join(below, "short")
+            joined = own.withColumn("short", F.expr(kind.shorter)).join(below, "short")
             level = joined.select("gram", (F.col("own") + F.col("back") * F.col("p_short")).alias("p"))
-        backs = sums.select(F.col("context").alias("gram"), "back")
         lower = save(level, "level")
+        yield lower, sums, uniform
+
+
+@dataclass(frozen=True)
+class WordModel:
+    """Probabilities of word n-grams and weights of contexts by order, and the code-point model of words."""
+
+    levels: list[DataFrame]
+    contexts: list[DataFrame]
+    points: DataFrame
+    spec: Model
+
+    def spelled(self, words: DataFrame) -> DataFrame:
+        """``(gram, log)`` of different words by their code points."""
+        logs = _word_logs(words.withColumnRenamed("gram", "word"), self.points, self.spec)
+        known = words.join(logs.select(F.col("word").alias("gram"), "log"), "gram", "left")
+        return known.select("gram", F.coalesce("log", math.log(1e-9) * (F.char_length("gram") + 1)).alias("log"))
+
+    def logs(self, grams: DataFrame, k: int) -> DataFrame:
+        """``(gram, log)`` of different n-grams of at most ``k`` words, those with fewer at the begin of a text only:
+        of the last word after the others, by the longest known end and the weights of longer contexts."""
         if k == 1:
-            model = backs.select("gram", F.lit(1.0 / symbols).alias("p"), "back")  # the empty context
-        else:
-            model = model.join(backs.withColumnRenamed("back", "wider"), "gram", "full").select(
-                "gram", "p", F.coalesce("wider", "back").alias("back")
-            )
-        model = save(model.union(lower.select("gram", "p", F.lit(None).cast("double"))), "model")
-    return model
+            back = self.contexts[0].first()  # of the empty context
+            looked = save(grams.join(self.levels[0], "gram", "left"), "looked")
+            spelled = self.spelled(looked.where("p is null").select("gram"))
+            rest = spelled.withColumn("log", F.col("log") + (math.log(back["back"]) if back else 0.0))
+            return looked.where("p is not null").select("gram", F.log("p").alias("log")).union(rest)
+        looked = save(grams.join(self.levels[k - 1], "gram", "left"), "looked")
+        found = looked.where("p is not null").select("gram", F.log("p").alias("log"))
+        return found.union(self.rest(looked.where("p is null").select("gram"), k, ["gram"]).select("gram", "log"))
+
+    def rest(self, missing: DataFrame, k: int, keep: list[str]) -> DataFrame:
+        """Rows whose n-grams the order ``k`` does not know, with the logarithm that shorter ones give. N-grams
+        of fewer words are left for the next order as they are."""
+        full = F.expr(_WORDS.size) == k
+        shorter = missing.select(*keep, F.when(full, F.expr(_WORDS.shorter)).otherwise(F.col("gram")).alias("short"), F.when(full, F.expr(_WORDS.first.format(k - 1))).otherwise(F.concat(F.lit(END), F.lit(" "), F.col("gram"))).alias("context"))
+        logs = save(self.logs(shorter.select(F.col("short").alias("gram")).distinct(), k - 1), "logs").withColumnRenamed("gram", "short")
+        weighed = shorter.join(self.contexts[k - 1].select("context", "back"), "context", "left").join(logs, "short")
+        return weighed.select(*keep, (F.col("log") + F.coalesce(F.log("back"), F.lit(0.0))).alias("log"))
+
+
+def train_words(texts: DataFrame, spec: Model = Model()) -> WordModel:
+    """A model of word n-grams over whole texts, interpolated down to the single word and below it, for
+    rare and unseen words, to the code points of the different words of the texts (:func:`train`)."""
+    counted = save(texts.mapInArrow(_count_words(spec.words), "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n")), "word-ngrams")
+    last = F.substring_index("gram", " ", -1).alias("word")
+    points = train(counted.select(last).distinct(), spec)
+    whole = WordModel([], [], points, spec)
+    for level, sums, _ in _levels(counted, spec.words, _WORDS, whole.spelled):
+        whole.levels.append(level)
+        whole.contexts.append(sums)
+    return whole
+
+
+def _grams_of_rows(order: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for d1, d2, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                grams = Counter(_ends(text.as_py(), order))
+                yield pa.RecordBatch.from_pydict({
+                    "d1": pa.array([d1] * len(grams), pa.int64()), "d2": pa.array([d2] * len(grams), pa.int64()),
+                    "gram": pa.array(grams.keys(), pa.string()), "n": pa.array(grams.values(), pa.int64()),
+                })
+
+    return run
+
+
+def score_words(rows: DataFrame, model: WordModel) -> DataFrame:
+    """Rows without their last column, the text ``body``, with ``log`` and ``symbols`` (code points, and one a word).
+
+    Only joins keyed by n-gram meet the model. Rows are known by two digests of their text; copies
+    of a text get their mean, which is the value of each.
+    """
+    order = model.spec.words
+    digests = [F.xxhash64(F.lit(n), "body").alias(f"d{n}") for n in (1, 2)]
+    slim = save(rows.select(*rows.columns[:-1], *digests), "slim")
+    flat = rows.select(*digests, "body").mapInArrow(_grams_of_rows(order), "d1 long, d2 long, gram string, n long")
+    symbols = (F.char_length(F.substring_index("gram", " ", -1)) + 1).cast("long")
+    looked = flat.join(model.levels[order - 1], "gram", "left").select("d1", "d2", "n", symbols.alias("symbols"), F.log("p").alias("log"), F.when(F.isnull("p"), F.col("gram")).alias("gram"))
+    looked = save(looked, "looked")
+    found = looked.where("gram is null").select("d1", "d2", "n", "symbols", "log")
+    missing = looked.where("gram is not null").select("d1", "d2", "n", "symbols", "gram")
+    every = found.union(model.rest(missing, order, ["d1", "d2", "n", "symbols"]))
+    sums = every.groupBy("d1", "d2").agg(F.sum(F.col("n") * F.col("log")).alias("log"), F.sum(F.col("n") * F.col("symbols")).alias("symbols"))
+    copies = slim.groupBy("d1", "d2").agg(F.count("*").alias("copies"))
+    each = sums.join(copies, ["d1", "d2"]).select("d1", "d2", (F.col("log") / F.col("copies")).alias("log"), (F.col("symbols") / F.col("copies")).cast("long").alias("symbols"))
+    whole = slim.join(save(each, "sums"), ["d1", "d2"], "left").drop("d1", "d2")
+    return whole.withColumns({"log": F.coalesce("log", F.lit(0.0)), "symbols": F.coalesce("symbols", F.lit(0))})
 
 
 class Scorer:
@@ -166,8 +301,18 @@ def _by_joins(rows: DataFrame, model: DataFrame, spec: Model) -> DataFrame:
     longest known n-gram, then every document's words with their logarithms."""
     numbered = save(rows.withColumn("row", F.monotonically_increasing_id()), "numbered")
     counts = save(numbered.select("row", "body").mapInArrow(_words, "row long, word string, n long"), "words")
+    logs = _word_logs(counts.select("word").distinct(), model, spec)
+    sums = counts.join(logs, "word").groupBy("row").agg(
+        F.sum(F.col("n") * F.col("log")).alias("log"), F.sum(F.col("n") * F.col("symbols")).alias("symbols")
+    )
+    whole = numbered.drop("body").join(sums, "row", "left").drop("row")
+    return whole.withColumns({"log": F.coalesce("log", F.lit(0.0)), "symbols": F.coalesce("symbols", F.lit(0))})
+
+
+def _word_logs(words: DataFrame, model: DataFrame, spec: Model) -> DataFrame:
+    """``(word, log, symbols)`` of different words by joins with the sharded model."""
     marked = F.concat(F.lit(BEGIN), "word", F.lit(END))
-    ends = counts.select("word").distinct().select("word", marked.alias("marked"))
+    ends = words.select("word", marked.alias("marked"))
     ends = ends.select("word", "marked", F.explode(F.sequence(F.lit(2), F.char_length("marked"))).alias("end"))
     spots = ends.select(
         "word", "end", F.explode(F.sequence(F.lit(0), F.least(F.col("end"), F.lit(spec.order)))).alias("size"), "marked"
@@ -182,16 +327,11 @@ def _by_joins(rows: DataFrame, model: DataFrame, spec: Model) -> DataFrame:
         F.sum(F.log("back")).alias("weight")
     )
     symbol = found.join(weights, ["word", "end"], "left").withColumn("log", F.log("p") + F.coalesce("weight", F.lit(0.0)))
-    logs = save(symbol.groupBy("word").agg(F.sum("log").alias("log"), F.count("*").alias("symbols")), "logs")
-    sums = counts.join(logs, "word").groupBy("row").agg(
-        F.sum(F.col("n") * F.col("log")).alias("log"), F.sum(F.col("n") * F.col("symbols")).alias("symbols")
-    )
-    whole = numbered.drop("body").join(sums, "row", "left").drop("row")
-    return whole.withColumns({"log": F.coalesce("log", F.lit(0.0)), "symbols": F.coalesce("symbols", F.lit(0))})
+    return save(symbol.groupBy("word").agg(F.sum("log").alias("log"), F.count("*").alias("symbols")), "logs")
 
 
 def score(rows: DataFrame, model: DataFrame, spec: Model = Model()) -> DataFrame:
-    """Rows without their last column, the text ``body``, with ``log`` and ``symbols`` of its words."""
+    """Rows without their last column, the text ``body``, with ``log`` and ``symbols`` of its words, each by its code points alone."""
     if model.count() > spec.broadcast:
         return _by_joins(rows, model, spec)
     table = model.toArrow()
@@ -218,9 +358,9 @@ def judge_quality(
     ids = save(trusted.where(F.col(key).isNotNull()).select(F.col(key).alias("id")).distinct(), "trusted")
     rows = docs.select(F.col(key).alias("id"), F.col(lang).alias("lang"), F.coalesce(text, F.lit("")).alias("body"))
     good = rows.where(~held_out(F.col("id"))).join(small(ids, ID_ROWS), "id", "left_semi")
-    model = train(good.select("body"), spec)
+    model = train_words(good.select("body"), spec)
     perplexity = F.when(F.col("symbols") > 0, F.exp(-F.col("log") / F.col("symbols")))
-    scored = save(score(rows, model, spec).select("id", "lang", "symbols", perplexity.alias("perplexity")), "scores")
+    scored = save(score_words(rows, model).select("id", "lang", "symbols", perplexity.alias("perplexity")), "scores")
     unseen = scored.where(held_out(F.col("id")) & F.col("perplexity").isNotNull()).join(ids, "id", "left_semi")
     cut = F.percentile_approx("perplexity", spec.quantile, 10_000) * spec.slack
     by_lang = unseen.groupBy(F.coalesce("lang", F.lit("")).alias("tongue")).agg(cut.alias("own"))

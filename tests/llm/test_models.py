@@ -252,3 +252,40 @@ def test_quality_on_odd_input(spark):
     rows = [(r.doc_id, r.symbols, r.perplexity is None, r.kept) for r in quality.judge_quality(docs, trusted).collect()]
     assert sorted(rows, key=str) == sorted([(1, 4, False, True)] * 2 + [(2, 0, True, False), (3, 0, True, False), (None, 2, False, True)], key=str)
     assert quality.judge_quality(docs.limit(0), trusted).collect() == []
+
+
+def test_word_order_counts_and_words_sum_to_one(spark):
+    dice = random.Random(7)
+    subject, verb, thing = ["we", "they", "cats", "dogs"], ["see", "like", "find"], ["red boats", "old maps", "warm bread"]
+    lines = [" ".join(f"{dice.choice(subject)} often {dice.choice(verb)} the {dice.choice(thing)} ." for _ in range(12)) for _ in range(80)]
+    mixed = []
+    for line in lines[:30]:
+        words = line.split()
+        dice.shuffle(words)
+        mixed.append(" ".join(words))
+    docs = [(i, t, "en") for i, t in enumerate([*lines, *mixed, "zzq " * 20, lines[0], None])]
+    trusted = spark.createDataFrame([(i,) for i in range(80)], "doc_id long")
+    got = {r.doc_id: r for r in quality.judge_quality(spark.createDataFrame(docs, "doc_id long, text string, lang string"), trusted).collect()}
+    good = [got[i].perplexity for i in range(30)]
+    assert all(got[80 + i].perplexity > 1.5 * p and not got[80 + i].kept for i, p in enumerate(good))
+    assert not got[110].kept and got[111].perplexity == pytest.approx(got[0].perplexity) and got[111].symbols == got[0].symbols == len(lines[0]) + 1
+    assert got[112].perplexity is None
+
+    model = quality.train_words(spark.createDataFrame([(t,) for t in ["a b a c", "b a b", "c c a b"]], "body string"))
+    levels = [{r.gram: r.p for r in level.collect()} for level in model.levels]
+    backs = [{r.context: r.back for r in c.collect()} for c in model.contexts]
+    asked = ["\x02 a b", "b a c", "c b a", "a b zz", "zz zz b", "\x02 q", "a q", "\x02 b"]
+    spelled = {r.gram: r.log for r in model.spelled(spark.createDataFrame([(w,) for w in ("zz", "q", "a", "b", "c")], "gram string")).collect()}
+
+    def log(words):
+        k = len(words)
+        if (p := levels[k - 1].get(" ".join(words))) is not None:
+            return np.log(p)
+        back = np.log(backs[k - 1].get(" ".join(words[:-1]), 1.0))
+        return back + (spelled[words[0]] if k == 1 else log(words[1:]))
+
+    answers = {r.gram: r.log for r in model.logs(spark.createDataFrame([(g,) for g in asked], "gram string"), 3).collect()}
+    assert answers == pytest.approx({g: log(g.split(" ")) for g in asked})
+    known = sum(np.exp(log(["a", "b", w])) for w in "abc")
+    unseen = backs[2]["a b"] * backs[1]["b"] * backs[0][""] * (1 - sum(np.exp(spelled[w]) for w in "abc"))
+    assert known + unseen == pytest.approx(1.0)
