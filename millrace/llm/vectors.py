@@ -21,9 +21,11 @@ class Cells:
     """``per_cell``: different vectors a cell is meant for, up to ``most`` cells. ``sample``: numbers
     the cells are fitted on, at most. ``deviations``: how far beyond the border of a cell a vector
     may lie and still be compared in it. A pair at the threshold lies ``sqrt(2 - 2 * threshold)``
-    apart; across a border only one direction of ``dim`` counts, so that it lies apart by that
-    over ``sqrt(dim)`` there, which is one deviation. ``sqrt(dim)`` of them miss nothing; two miss
-    few (see the tests). ``block``: vectors that are compared at a time."""
+    apart; across a border only the direction between the two centroids counts. One deviation is
+    that distance times the root of the share of the sample's variance that lies in this direction,
+    at least that of one of ``dim`` equal ones. Half the distance misses nothing, as one vector of
+    a pair is that near to the border, and is the most that is used; two deviations miss few (see
+    the tests). ``block``: vectors that are compared at a time."""
 
     per_cell: int = 256
     most: int = 1024
@@ -67,18 +69,29 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
-def visits(rows: np.ndarray, centres: np.ndarray, margin: float) -> tuple[np.ndarray, list[list[int]]]:
-    """Each row's own cell, and all cells whose border it is within the margin of, its own among them."""
-    apart = np.sqrt(np.maximum(2 - 2 * centres @ centres.T, 0))
+def reaches(sample: np.ndarray, centres: np.ndarray, threshold: float, deviations: float) -> np.ndarray:
+    """For each two cells how far a vector may lie behind their border, times the distance of their centroids."""
+    centred = sample - sample.mean(axis=0)
+    variance = max(float((centred * centred).sum()), 1e-300)
+    along = np.concatenate([centred[i : i + 4096] @ centres.T for i in range(0, len(centred), 4096)])
+    both = along.T @ along
+    spread = np.diag(both)[:, None] + np.diag(both)[None, :] - 2 * both
+    apart = np.maximum(2 - 2 * centres @ centres.T, 0)  # squared
+    share = np.maximum(np.maximum(spread, 0) / variance, apart / sample.shape[1])
+    return np.sqrt(2 - 2 * threshold) * np.minimum(deviations * np.sqrt(share), np.sqrt(apart) / 2)
+
+
+def visits(rows: np.ndarray, centres: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, list[list[int]]]:
+    """Each row's own cell, and all cells whose border it is within reach of, its own among them."""
     near = rows @ centres.T
     own = near.argmax(axis=1)
     behind = near[np.arange(len(rows)), own][:, None] - near
     # The last term keeps cells of equal centroids, and the row's own cell, whatever the rounding.
-    within = behind <= margin * apart[own] + 1e-12
+    within = behind <= reach[own] + 1e-12
     return own, [np.nonzero(w)[0].tolist() for w in within]
 
 
-def _assign(centres: np.ndarray | None, margin: float):
+def _assign(centres: np.ndarray | None, reach: np.ndarray | None):
     """Rows for every cell a vector is compared in; vectors of another dimension share cell -1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -89,7 +102,7 @@ def _assign(centres: np.ndarray | None, margin: float):
                 own, lists = np.full(len(sizes), -1), [[-1]] * len(sizes)
                 fitting = np.nonzero(sizes == centres.shape[1])[0] if centres is not None else []
                 if len(fitting):
-                    homes, found = visits(unit(_matrix(rows.column("vector").take(pa.array(fitting)))), centres, margin)
+                    homes, found = visits(unit(_matrix(rows.column("vector").take(pa.array(fitting)))), centres, reach)
                     own[fitting] = homes
                     for i, cells in zip(fitting, found):
                         lists[i] = cells
@@ -188,19 +201,20 @@ def near_vectors(
     classes = save(classes, "classes")
 
     dims = classes.groupBy(F.size("vector").alias("dim")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim").first()
-    centres = None
+    centres = reach = None
     if dims:
         share = spec.sample / (dims["n"] * dims["dim"])
         drawn = classes.where((F.size("vector") == dims["dim"]) & (F.pmod("d1", F.lit(1 << 30)) < share * (1 << 30)))
         sample = [r["vector"] for r in drawn.select("vector").collect()]
         if sample:
             k = max(1, min(spec.most, dims["n"] // spec.per_cell, len(sample) // 8))
-            centres = spherical_kmeans(unit(np.array(sample, np.float64)), k, spec.rounds, spec.seed)
+            drawn = unit(np.array(sample, np.float64))
+            centres = spherical_kmeans(drawn, k, spec.rounds, spec.seed)
+            reach = reaches(drawn, centres, threshold, spec.deviations)
 
     ddl = "cell int, size int, home int, cells array<int>, label {}, node long, copies long, vector array<double>"
     kind = classes.schema["label"].dataType.simpleString()
-    margin = spec.deviations * ((2 - 2 * threshold) / dims["dim"]) ** 0.5 if dims else 0.0
-    placed = save(classes.select("label", "node", "copies", "vector").mapInArrow(_assign(centres, margin), ddl.format(kind)), "cells")
+    placed = save(classes.select("label", "node", "copies", "vector").mapInArrow(_assign(centres, reach), ddl.format(kind)), "cells")
     bucket = ["cell", "size", "label"]
     sizes = placed.groupBy(*bucket).agg(F.count("*").alias("n")).where("n > 1")
     blocks = F.ceil(F.col("n") / spec.block).cast("int")
