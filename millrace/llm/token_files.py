@@ -152,13 +152,13 @@ MARK = "\x1f"
 
 
 @lru_cache(maxsize=1)
-def _tokenizer(path: str):
+def _tokenizer(path: str, plain: bool = False):
     """The tokenizer, and the ids of words that this process has met."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # control strings in a text stay text
+    tokenizer.encode_special_tokens = plain
     return tokenizer, {}
 
 
@@ -167,10 +167,12 @@ class Encoder:
 
     A text is the sequence of its words between ASCII white space, and so are its ids; the ids of a
     word are remembered, by all tasks of a process. Tests hold this against encoding whole texts.
+    Special tokens in a text become their ids, as by the tokenizer's own call; with ``plain`` they
+    are encoded as the text they are.
     """
 
-    def __init__(self, path: str, end_id: int):
-        self.tokenizer, self.known = _tokenizer(path)
+    def __init__(self, path: str, end_id: int, plain: bool = False):
+        self.tokenizer, self.known = _tokenizer(path, plain)
         self.end = struct.pack("<I", end_id)
         (self.mark,) = self._ids([MARK])[0]
 
@@ -204,13 +206,13 @@ class Encoder:
 _WRITTEN = pa.schema([("file", pa.string()), ("part", pa.int32()), ("docs", pa.int64()), ("tokens", pa.int64())])
 
 
-def _write(folder: str, tokenizer: str, end_id: int):
+def _write(folder: str, tokenizer: str, end_id: int, plain: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
         fs, base = filesystem(folder)
         name = f"part-{task.partitionId():06d}.zst"
         hidden = f"{base}/.{name}.{task.taskAttemptId()}"
-        encoder, writer, docs = Encoder(tokenizer, end_id), None, 0
+        encoder, writer, docs = Encoder(tokenizer, end_id, plain), None, 0
         with fs.open_output_stream(hidden) as out:
             writer = FileWriter(out)
             for batch in batches:
@@ -229,12 +231,15 @@ def _write(folder: str, tokenizer: str, end_id: int):
     return run
 
 
-def write_token_files(docs: DataFrame, folder: str, tokenizer: str, key: str = "doc_id", text: str = "text", end_id: int = 2) -> DataFrame:
+def write_token_files(
+    docs: DataFrame, folder: str, tokenizer: str, key: str = "doc_id", text: str = "text", end_id: int = 2, plain: bool = False
+) -> DataFrame:
     """Write the ids of all documents in ascending order of key; the files as a written table.
 
     Documents are range-partitioned by key, so files are in order and every task writes one; a file
     appears by a rename when it is complete. Equal keys are ordered by text, null keys come first. A
-    null text is empty: only the end id. The table has ``file``, ``part``, ``docs``, ``tokens`` and
+    null text is empty: only the end id. ``plain``: special tokens in a text are encoded as text (see
+    :class:`Encoder`). The table has ``file``, ``part``, ``docs``, ``tokens`` and
     ``base``, the number of ids in all files before (one row a file).
     """
     fs, base = filesystem(folder)
@@ -242,7 +247,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, key: str = "
     rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(text, F.lit("")).alias("body"))
     order = [F.col("key").asc_nulls_first(), F.col("body")]
     rows = rows.repartitionByRange(order[0], F.xxhash64("body")).sortWithinPartitions(*order)
-    written = save(rows.mapInArrow(_write(folder, tokenizer, end_id), "file string, part int, docs long, tokens long"), "files")
+    written = save(rows.mapInArrow(_write(folder, tokenizer, end_id, plain), "file string, part int, docs long, tokens long"), "files")
     before = F.sum("tokens").over(Window.orderBy("part")) - F.col("tokens")
     return save(written.withColumn("base", before), "manifest")
 
@@ -284,8 +289,10 @@ def read_token_files(files: DataFrame, folder: str, keys: Iterable[int] | None =
     return rows.mapInArrow(_read(folder, wanted), "file string, number long, key long, start long, n_tokens long, ids binary")
 
 
-def token_table(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", end_id: int = 2) -> DataFrame:
+def token_table(
+    docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", end_id: int = 2, plain: bool = False
+) -> DataFrame:
     """Write the files to a new shared folder and read them back."""
     folder = work_dir(docs.sparkSession, "tokens")
-    return read_token_files(write_token_files(docs, folder, tokenizer, key, text, end_id), folder)
+    return read_token_files(write_token_files(docs, folder, tokenizer, key, text, end_id, plain), folder)
 
