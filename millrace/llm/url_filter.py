@@ -34,18 +34,44 @@ def node_of(url: Column) -> Column:
     return F.when(F.instr(url, "://") > 0, F.concat(host_of(url), path_of(url), query))
 
 
-def link_target(html: Column, url: Column) -> Column:
-    """The absolute URL that a page's canonical link, or else its meta refresh, names; else null."""
-    named = F.when(F.instr(F.lower(html), "canonical") > 0, F.regexp_extract(html, _LINK, 1))
-    moved = F.when(F.instr(F.lower(html), "http-equiv") > 0, F.regexp_extract(html, _REFRESH, 1))
-    href = F.coalesce(F.when(named != "", named), F.when(moved != "", moved))
+def _without_dots(path: Column) -> Column:
+    """A path that begins with ``/`` without its ``.`` and ``..`` segments."""
+    parts = F.split(path, "/")
+    last = F.element_at(parts, -1)
+    kept = F.aggregate(
+        F.slice(parts, 2, F.size(parts)), F.array(F.lit("")),
+        lambda done, part: F.when(part == "..", F.when(F.size(done) > 1, F.slice(done, 1, F.size(done) - 1)).otherwise(done))
+        .when(part == ".", done).otherwise(F.concat(done, F.array(part))),
+    )
+    return F.array_join(F.when(last.isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept), "/")
+
+
+def _resolved(href: Column, url: Column) -> Column:
+    """The absolute URL that a reference on a page means; null for other schemes, and if the page has no host."""
+    path, folder = path_of(url), F.regexp_extract(path_of(url), r"(?s)^(.*/)", 1)
+    own, rest = F.regexp_extract(href, r"(?s)^([^?#]*)", 1), F.regexp_extract(href, r"(?s)^[^?#]*(.*)$", 1)
+    named = F.when(own.startswith("/"), own).otherwise(F.concat(F.when(folder == "", "/").otherwise(folder), own))
+    base = F.when(F.instr(url, "://") > 0, F.concat(F.lit("http://"), host_of(url)))
+    query = F.when(href.startswith("#"), F.regexp_extract(url, _URL, 3)).otherwise(F.lit(""))
     return (
-        F.when(F.instr(href, "://") > 0, href)
+        F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), href)
         .when(href.startswith("//"), F.concat(F.lit("http:"), href))
-        .when(href.startswith("/"), F.concat(F.lit("http://"), host_of(url), href))
+        .when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None).cast("string"))
+        .when(own == "", F.concat(base, path, query, rest))
+        .otherwise(F.concat(base, _without_dots(named), rest))
     )
 
 
+def link_targets(html: Column, url: Column) -> Column:
+    """The absolute URLs that a page's canonical links and meta refreshes name, each once."""
+    none = F.array().cast("array<string>")
+    named = F.when(F.instr(F.lower(html), "canonical") > 0, F.regexp_extract_all(html, F.lit(_LINK), F.lit(1)))
+    moved = F.when(F.instr(F.lower(html), "http-equiv") > 0, F.regexp_extract_all(html, F.lit(_REFRESH), F.lit(1)))
+    hrefs = F.concat(F.coalesce(named, none), F.coalesce(moved, none))
+    found = F.transform(hrefs, lambda href: _resolved(F.regexp_replace(href, r"(?i)&(amp|#0*38|#x0*26);", "&"), url))
+    return F.array_distinct(F.filter(found, lambda u: u.isNotNull()))
+
+
 def _rules_by_host(hosts: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Of each host the rules that fit it, whatever the path: an equi-join on its suffixes."""
     spark = hosts.sparkSession
@@ -68,7 +94,7 @@ def judge_urls(
     A rule fits its host and all subdomains if the URL's path starts with the rule's path; the
     longest rule (host and path) wins, allow before block among equal ones. A URL without a rule
     follows its aliases: URLs joined by redirects (``redirects``: columns ``source``, ``target``)
-    or by a page's canonical link or meta refresh are equivalent, through any number of steps. An
+    or by a page's canonical links and meta refreshes, all of them, are equivalent, through any number of steps. An
     alias that a rule allows allows it, else an alias that a rule blocks blocks it, else the
     default holds. A URL's own rule always holds.
 
@@ -77,19 +103,18 @@ def judge_urls(
     pages are left out, whatever their names. Empty tables give no rows.
     """
     # The page's text is read once; all later steps work on URLs only.
-    target = link_target(F.col(html), F.col(url)) if html else F.lit(None).cast("string")
+    targets = link_targets(F.col(html), F.col(url)) if html else F.array().cast("array<string>")
     slim = save(
-        pages.select(F.col(key).alias("page"), F.col(url).alias("url"), target.alias("target")).select(
-            "page", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), node_of(F.col("url")).alias("node"),
-            node_of(F.col("target")).alias("target"), host_of(F.col("target")).alias("target_host"),
-            path_of(F.col("target")).alias("target_path"),
+        pages.select(F.col(key).alias("page"), F.col(url).alias("url"), targets.alias("targets")).select(
+            "page", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), node_of(F.col("url")).alias("node"), "targets",
         ),
         "pages",
     )
+    links = slim.select("node", F.explode("targets").alias("target"))
     nodes = slim.where("node is not null").select("node", "host", "path").union(
-        slim.where("target is not null").select("target", "target_host", "target_path")
+        links.select(node_of(F.col("target")), host_of(F.col("target")), path_of(F.col("target")))
     )
-    edges = slim.where("target is not null").select(F.col("node").alias("a"), F.col("target").alias("b"))
+    edges = links.select(F.col("node").alias("a"), node_of(F.col("target")).alias("b"))
     if redirects is not None:
         ends = redirects.select(F.col("source").alias("source"), F.col("target").alias("target"))
         for end in ("source", "target"):

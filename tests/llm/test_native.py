@@ -83,6 +83,24 @@ def test_urls_follow_aliases(spark):
     assert judge_urls(df.limit(0), URL_RULES).collect() == []
 
 
+def test_urls_follow_all_links_of_a_page(spark):
+    own = '<link rel="canonical" href="http://a.com/x">'
+    moved = '<meta http-equiv="refresh" content="0; url={}">'
+    canonical = '<link rel="canonical" href="{}">'
+    pages = [
+        (1, "http://a.com/x", own + moved.format("http://bad.net/y")),
+        (2, "http://b.com/q?a=1&b=2", moved.format("http://bad.net/z")), (3, "http://b.com/other", canonical.format("http://b.com/q?a=1&amp;b=2")),
+        (4, "http://c.com/dir/sub/page?x=1", canonical.format("../other?y=1&#38;z=2")), (5, "http://c.com/dir/other?y=1&z=2", moved.format("http://bad.net/c")),
+        (6, "http://d.com/dir/page", canonical.format("next")), (7, "http://d.com/dir/next", moved.format("http://bad.net/d")),
+        (8, "http://e.com/p?q=1", canonical.format("?q=2")), (9, "http://e.com/p?q=2", moved.format("//bad.net/e")),
+        (10, "http://f.com", canonical.format("./x/..")), (11, "http://f.com/", moved.format("http://bad.net/f")),
+        (12, "http://g.com/p", canonical.format("mailto:someone") + canonical.format("#top")), (13, "nonsense", canonical.format("next") + canonical.format("/y")),
+        (14, "http://h.com/p", canonical.format("http://h.com/1") + canonical.format("http://bad.net/h")),
+    ]
+    got = {r.page_id: r.verdict for r in judge_urls(spark.createDataFrame(pages, "page_id long, url string, html string"), URL_RULES).collect()}
+    assert got == {i: "allow" if i in (12, 13) else "block" for i in range(1, 15)}
+
+
 # -- secrets --------------------------------------------------------------------------------------
 
 KEY = "Ab3" + "x" * 20 + "9Yz/" + "q" * 13
