@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.common import table
+from millrace.llm.negatives import mine_negatives
 from millrace.llm.periodic import find_runs
 from millrace.llm.registry import query
 
@@ -84,3 +85,27 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("1000 * best.length div best.period").alias("exponent_milli"),
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+NEGATIVES_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_dot_product(a.e, b.e) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND b.vec_id IS DISTINCT FROM a.vec_id AND len(a.e) = len(b.e)),
+p AS (
+  SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other NULLS LAST) AS nth FROM s WHERE same QUALIFY nth <= 5)
+SELECT p.anchor_id, p.other AS positive_id, n.other AS negative_id, p.score AS positive_score, n.score AS negative_score,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, p.nth ORDER BY n.score DESC, n.other NULLS LAST) AS INTEGER) AS rank
+FROM p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.same AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+QUALIFY rank <= 10
+"""
+
+
+@query("op12_hard_negatives", NEGATIVES_SQL)
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, vec_id, label = table(spark, sf_dir, "embeddings"), F.col("vec_id"), F.col("label")
+    moved = rows.withColumn("label", F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label))
+    return mine_negatives(moved, vec_id % 100 == 0)
