@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.common import table
+from millrace.llm.licenses import GRAM, NOTICES, PHRASES, WORD, find_licenses
 from millrace.llm.negatives import mine_negatives
 from millrace.llm.periodic import find_runs
 from millrace.llm.registry import query
@@ -109,3 +112,57 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, vec_id, label = table(spark, sf_dir, "embeddings"), F.col("vec_id"), F.col("label")
     moved = rows.withColumn("label", F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label))
     return mine_negatives(moved, vec_id % 100 == 0)
+
+
+_TEMPLATES = ", ".join(f"({n}, '{t.label}', {t.exact}, {t.percent}, '{t.text}')" for n, t in enumerate([*PHRASES, *NOTICES]))
+_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'), '{WORD}')"
+
+LICENSES_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS words FROM documents),
+t AS (
+  SELECT template, label, exact, percent, words, len(words) AS size, least({GRAM}, len(words)) AS k,
+    CASE WHEN exact THEN 0 ELSE greatest(1, len(words) // 8) END AS width
+  FROM (SELECT *, {_WORDS} AS words FROM (VALUES {_TEMPLATES}) AS v(template, label, exact, percent, text))),
+tg AS (SELECT * EXCLUDE (words), array_to_string(words[t_at + 1:t_at + k], ' ') AS gram FROM (SELECT *, unnest(range(size - k + 1)) AS t_at FROM t)),
+dg AS (
+  SELECT r, k, pos, array_to_string(words[pos + 1:pos + k], ' ') AS gram
+  FROM (SELECT r, words, k, unnest(range(len(words) - k + 1)) AS pos FROM d, (SELECT DISTINCT k FROM t))),
+h AS (SELECT r, pos, tg.* FROM dg JOIN tg ON dg.k = tg.k AND dg.gram = tg.gram),
+b AS (
+  SELECT *, unnest(CASE WHEN width = 0 THEN [pos - t_at] ELSE [CAST(floor((pos - t_at) / width) AS BIGINT), CAST(floor((pos - t_at) / width) AS BIGINT) - 1] END)
+    AS bucket FROM h),
+c AS (
+  SELECT r, template, label, exact, bucket, min(pos) AS starts, max(pos) + any_value(k) AS ends, count(DISTINCT word) AS covered, any_value(size) AS size
+  FROM (SELECT *, unnest(range(t_at, t_at + k)) AS word FROM b) GROUP BY r, template, label, exact, percent, bucket
+  HAVING CASE WHEN exact THEN count(DISTINCT word) = any_value(size) ELSE 100 * count(DISTINCT word) >= percent * any_value(size) END),
+m AS (
+  SELECT * FROM c WHERE exact OR NOT EXISTS (
+    FROM c o WHERE o.r = c.r AND NOT o.exact AND o.starts < c.ends AND c.starts < o.ends
+      AND (o.covered > c.covered OR (o.covered = c.covered AND (o.template < c.template OR (o.template = c.template AND o.bucket < c.bucket)))))),
+s AS (
+  SELECT r, count(*) FILTER (exact) AS n_base, min(starts) FILTER (exact) AS first_word, max(starts) FILTER (exact) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (exact) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels,
+    max(covered / size) AS score
+  FROM m GROUP BY r)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0) AS score
+FROM d LEFT JOIN s USING (r)
+"""
+
+
+@query("op13_license_scan", LICENSES_SQL)
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    templates = [*PHRASES, *NOTICES]
+    found = find_licenses(table(spark, sf_dir, "documents"), templates)
+    base = F.filter("matches", lambda m: m["exact"])
+    starts = F.transform(base, lambda m: m["from"].cast("long"))
+    names = F.array(*[F.lit(t.label) for t in templates])
+
+    def labels(matches: Column) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(matches, lambda m: F.get(names, m["template"])))), ",")
+
+    return found.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"), labels(base).alias("base_labels"), labels(F.col("matches")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("matches", lambda m: m["share"])), F.lit(0.0)).alias("score"),
+    )
