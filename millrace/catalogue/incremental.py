@@ -28,7 +28,7 @@ LATEST_EVENTS = f"{with_(i.EVENTS_SQL)}\nSELECT {EVENT_COLUMNS} FROM events_late
 
 
 def new_store(spark, label):
-    return TableStore(spark, work_dir(spark, label))
+    return TableStore(spark, work_dir(spark, label), buckets=i.BUCKETS)
 
 
 def feed_events(spark, sf_dir, store, **options):
@@ -276,7 +276,7 @@ def downstream_propagation(spark, sf_dir):
     """Two loads of orders through landing, feeder and processed table; the sales fact
     follows each, the second time by increment."""
     base = work_dir(spark, "propagation")
-    store = TableStore(spark, f"{base}/tables")
+    store = TableStore(spark, f"{base}/tables", buckets=i.BUCKETS)
     rows = i.orders(spark, sf_dir)
     schema = CONTRACTS["shopify", "orders"].landing_schema()
     refunds = i.landing(spark, sf_dir, "refunds", i.refunds)

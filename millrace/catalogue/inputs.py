@@ -30,6 +30,8 @@ def _versions(df: DataFrame, key: str) -> DataFrame:
     return df.withColumn("v", F.explode(F.sequence(F.lit(1), last)))
 
 
+#: Hash buckets of the keyed tables of queries: the given tables are small.
+BUCKETS = 8
 VERSIONS = "(VALUES (1), (2), (3)) AS versions(v)"
 
 

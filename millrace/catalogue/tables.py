@@ -19,8 +19,8 @@ ORDERS = processed.ORDERS.name
 FEW = ["order_id", "financial_status", "discounts", EXTRACTED]
 
 
-def new_store(spark, label):
-    return TableStore(spark, work_dir(spark, label), clock=daily_clock())
+def new_store(spark, label, buckets=None):
+    return TableStore(spark, work_dir(spark, label), clock=daily_clock(), buckets=buckets)
 
 
 def daily_clock():
@@ -35,9 +35,9 @@ def version_batch(spark, sf_dir, version):
     return i.orders(spark, sf_dir).filter(F.col("v") == version)
 
 
-def order_table(spark, sf_dir, label):
+def order_table(spark, sf_dir, label, buckets=None):
     """The orders table after three upserts: all orders, then their second and third versions."""
-    store = new_store(spark, label)
+    store = new_store(spark, label, buckets)
     for version in (1, 2, 3):
         run_processed(store, processed.ORDERS, version_batch(spark, sf_dir, version))
     return store
@@ -97,7 +97,7 @@ def snapshot_validity(spark, sf_dir):
 SELECT order_id, customer_id, gross_sales, discounts, shipping, taxes, {EXTRACTED} FROM orders_latest""",
 )
 def upsert_single_key(spark, sf_dir):
-    store = order_table(spark, sf_dir, "upsert")
+    store = order_table(spark, sf_dir, "upsert", i.BUCKETS)
     return store.read(ORDERS).select(
         "order_id", "customer_id", "gross_sales", "discounts", "shipping", "taxes", EXTRACTED
     )
@@ -112,7 +112,7 @@ QUALIFY rank() OVER (PARTITION BY order_id, tag ORDER BY {LOAD} DESC) = 1""",
 )
 def upsert_composite_key(spark, sf_dir):
     """Tags by order and tag in three batches: a tag that is gone from an order stays."""
-    store = new_store(spark, "tags")
+    store = new_store(spark, "tags", i.BUCKETS)
     for version in (1, 2, 3):
         batch = i.erp_orders(spark, sf_dir).filter(F.col("v") == version)
         run_processed(store, processed.ORDER_TAGS, batch)
@@ -122,8 +122,8 @@ def upsert_composite_key(spark, sf_dir):
 @query("full_refresh", f"{with_(i.ORDERS_SQL)}\nSELECT {', '.join(FEW)} FROM orders_latest")
 def full_refresh(spark, sf_dir):
     """A table with an old version, rebuilt from all landing rows."""
-    table = new_store(spark, "refresh").table(ORDERS)
-    table.overwrite(processed.ORDERS(version_batch(spark, sf_dir, 1)))
+    table = new_store(spark, "refresh", i.BUCKETS).table(ORDERS)
+    table.overwrite(processed.ORDERS(version_batch(spark, sf_dir, 1)), ["order_id"])
     table.overwrite(processed.ORDERS(i.orders(spark, sf_dir)), ["order_id"], operation="full refresh")
     return table.read().select(*FEW)
 
@@ -145,7 +145,7 @@ QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY late DESC) = 1""",
 def incremental_first_run(spark, sf_dir):
     """Refund sums in two batches: the first creates the table, the second replaces the sums
     of the orders it holds."""
-    store = new_store(spark, "first-run")
+    store = new_store(spark, "first-run", i.BUCKETS)
     rows = i.refunds(spark, sf_dir)
     late = F.col(EXTRACTED) >= F.expr(_HALF.replace("TIMESTAMP", "timestamp_ntz"))
     for batch in (rows.filter(~late), rows.filter(late)):
@@ -162,7 +162,7 @@ QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY {EXTRACTED} DESC) = 1"
 )
 def sync_overwrite(spark, sf_dir):
     """Overwrite mode: only the last write is left."""
-    table = new_store(spark, "overwrite").table(ORDERS)
+    table = new_store(spark, "overwrite", i.BUCKETS).table(ORDERS)
     rows = i.orders(spark, sf_dir)
     for batch in (rows.filter("v = 1"), rows.filter("v > 1")):
         table.write(processed.ORDERS(batch), "overwrite", ["order_id"])
@@ -172,7 +172,7 @@ def sync_overwrite(spark, sf_dir):
 @query("sync_append_dedup", f"{with_(i.ORDERS_SQL)}\nSELECT {', '.join(FEW)} FROM orders_latest")
 def sync_append_dedup(spark, sf_dir):
     """Append-dedup mode: the newest version stays, in whatever order versions come."""
-    table = new_store(spark, "dedup").table(ORDERS)
+    table = new_store(spark, "dedup", i.BUCKETS).table(ORDERS)
     for version in (2, 3, 1):
         batch = processed.ORDERS(version_batch(spark, sf_dir, version))
         table.write(batch, "append_dedup", ["order_id"], EXTRACTED)
@@ -199,7 +199,7 @@ SELECT * FROM ({GUARDED}) WHERE order_id % 40 = 0 UNION ALL {NO_KEY}""",
 def upsert_guarded(spark, sf_dir):
     """Versions in the wrong order, some rows twice in a batch, some without a key: newer rows
     stay, twins stay twins, and rows of other keys or none stay whatever file they lie in."""
-    table = new_store(spark, "guarded").table(ORDERS)
+    table = new_store(spark, "guarded", i.BUCKETS).table(ORDERS)
     for version in (2, 3, 1):
         batch = i.orders(spark, sf_dir).filter(F.col("v") == version)
         rows = processed.ORDERS(batch).select(*FEW)
@@ -210,7 +210,7 @@ def upsert_guarded(spark, sf_dir):
 @query("append_dedup", f"{with_(i.ORDERS_SQL)}\nSELECT * FROM ({GUARDED}) UNION ALL {NO_KEY}")
 def append_dedup(spark, sf_dir):
     """The same batches, deduplicated: one row a key, and all rows without one."""
-    table = new_store(spark, "append-dedup").table(ORDERS)
+    table = new_store(spark, "append-dedup", i.BUCKETS).table(ORDERS)
     for version in (2, 3, 1):
         batch = i.orders(spark, sf_dir).filter(F.col("v") == version)
         rows = processed.ORDERS(batch).select(*FEW)

@@ -45,7 +45,7 @@ def run_processed(
     if replace_parent and not guard_version:
         rows = order_tags(landing, newest_first=True)
         also_delete = landing.select(F.col("id").alias("order_id")).distinct()
-    return store.table(model.name).upsert(
+    return store.table(model.name, by=model.parent).upsert(
         model(landing) if rows is None else rows,
         keys,
         batch_id=batch_id,

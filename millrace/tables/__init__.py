@@ -1,3 +1,4 @@
+from millrace.tables.bucketed import BUCKETS, BucketedTable
 from millrace.tables.table import TableStore, VersionedTable
 
-__all__ = ["TableStore", "VersionedTable"]
+__all__ = ["BUCKETS", "BucketedTable", "TableStore", "VersionedTable"]

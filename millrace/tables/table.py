@@ -28,6 +28,7 @@ from millrace import files
 from millrace.operators.dedupe import latest_per_key
 from millrace.operators.increment import as_text, high_water_mark, key_range, value_range, within
 from millrace.operators.merge import key_set
+from millrace.tables.bucketed import BucketedTable
 
 LOG_SCHEMA = """
     kind string, version long, committed_at timestamp, operation string, batch_id string,
@@ -421,14 +422,18 @@ class VersionedTable:
 
 
 class TableStore:
-    """All tables below one folder."""
+    """All tables below one folder: in so many hash buckets of their keys, or in files by write."""
 
-    def __init__(self, spark: SparkSession, root: str, clock=_utc_now):
+    def __init__(self, spark: SparkSession, root: str, clock=_utc_now, buckets: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.clock = clock
+        self.buckets = buckets
 
-    def table(self, name: str) -> VersionedTable:
+    def table(self, name: str, by: Sequence[str] = ()) -> VersionedTable | BucketedTable:
+        """A table; ``by`` are the columns that a new bucketed one is laid out by, its keys by default."""
+        if self.buckets:
+            return BucketedTable(self.spark, self.root, name, self.buckets, by, self.clock)
         return VersionedTable(self.spark, self.root, name, self.clock)
 
     def create(self, name: str, schema: T.StructType | str) -> None:
