@@ -113,8 +113,7 @@ def watermark_filter(spark, sf_dir):
 def incremental_or_filter(spark, sf_dir):
     landing = i.orders(spark, sf_dir)
     mark = high_water_mark(landing.filter("v = 1"), EXTRACTED)
-    orders = processed.ORDERS(landing)
-    return enriched.sales_since(orders, processed.ORDER_REFUNDS(i.refunds(spark, sf_dir)), mark)
+    return enriched.sales_since_landing(landing, i.refunds(spark, sf_dir), mark)
 
 
 # -- joins ------------------------------------------------------------------------------------

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -67,6 +68,26 @@ def within(df: DataFrame, bounds: dict[str, tuple[str, str]] | None) -> DataFram
     return df.filter(in_range(df, bounds))
 
 
+def changed_keys(sides: Sequence[tuple[DataFrame, str, str]], key: str, mark: str | None) -> DataFrame:
+    """Different keys of rows above the mark in any side (rows, their key, their version), written
+    as a table with the column ``key``. Only keys and versions are read, and the mark reaches the scans."""
+    found = functools.reduce(
+        DataFrame.unionByName,
+        [df.filter(newer_than(df, version, mark)).select(F.col(name).alias(key)) for df, name, version in sides],
+    ).distinct()
+    path = work_dir(found.sparkSession, "changed")
+    found.write.parquet(path)
+    return found.sparkSession.read.schema(found.schema).parquet(path)
+
+
+def of_keys(df: DataFrame, key: str, changed: DataFrame) -> DataFrame:
+    """Rows whose key is in a one-column table; NULL is a key like others. The table is small against
+    ``df`` or it is not: adaptive execution broadcasts it by its measured size or joins by shuffle, and
+    a dedupe by the same key that follows needs no further one."""
+    (other,) = changed.columns
+    return df.join(changed, df[key].eqNullSafe(changed[other]), "left_semi")
+
+
 def changed_left_join(
     left: DataFrame,
     right: DataFrame,

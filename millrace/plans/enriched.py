@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.increment import changed_left_join
+from millrace.operators.increment import changed_keys, changed_left_join, newer_than, of_keys
 from millrace.plans.model import Context, EnrichedModel
 from millrace.plans.processed import EXTRACTED, ORDER_REFUNDS, ORDERS, REFUND_LINES, sum_refunds
 
@@ -46,11 +46,33 @@ def sales_since(orders: DataFrame, refunds: DataFrame, mark: str | None, stored:
     return sales_columns(changed_left_join(*sides, "order_id", EXTRACTED, REFUND_EXTRACTED, mark, stored))
 
 
+def _newer(orders: DataFrame, refunds: DataFrame, mark: str | None) -> DataFrame:
+    """Sales of those orders, of few, that are new or have new refunds."""
+    joined = orders.join(refund_side(refunds), "order_id", "left")
+    new = newer_than(joined, EXTRACTED, mark) | F.coalesce(newer_than(joined, REFUND_EXTRACTED, mark), F.lit(False))
+    return sales_columns(joined.filter(new))
+
+
+def sales_since_landing(orders: DataFrame, refunds: DataFrame, mark: str | None) -> DataFrame:
+    """The same from landing rows: what changed is found by keys and versions alone, and both inputs
+    are cut to those orders before they are deduplicated, parsed and summed, so each is read in full
+    once. Versions of a refund belong to one order."""
+    changed = changed_keys([(orders, "id", EXTRACTED), (refunds, "order_id", EXTRACTED)], "order_id", mark)
+    return _newer(ORDERS(of_keys(orders, "id", changed)), ORDER_REFUNDS(of_keys(refunds, "order_id", changed)), mark)
+
+
 def _build_sales(ctx: Context) -> DataFrame:
-    orders, refunds = ctx.ref(ORDERS.name), ctx.ref(ORDER_REFUNDS.name)
     if not ctx.incremental:
-        return sales(orders, refunds)
-    return sales_since(orders, refunds, ctx.target.high_water_mark(EXTRACTED), stored=True)
+        return sales(ctx.ref(ORDERS.name), ctx.ref(ORDER_REFUNDS.name))
+    changed, mark = _changed_orders(ctx, ORDER_REFUNDS.name)
+    return _newer(ctx.ref(ORDERS.name, changed), ctx.ref(ORDER_REFUNDS.name, changed), mark)
+
+
+def _changed_orders(ctx: Context, refunds: str) -> tuple[DataFrame, str | None]:
+    """Orders that have changed, or whose refunds have, since the fact's newest row."""
+    mark = ctx.target.high_water_mark(EXTRACTED)
+    sides = [(ctx.ref(name), "order_id", EXTRACTED) for name in (ORDERS.name, refunds)]
+    return changed_keys(sides, "order_id", mark), mark
 
 
 FCT_SALES = EnrichedModel(
@@ -61,9 +83,10 @@ ENRICHED = [FCT_SALES]
 
 
 def _build_recomputed(ctx: Context) -> DataFrame:
-    refunds = sum_refunds(ctx.ref(REFUND_LINES.name))
-    orders = ctx.ref(ORDERS.name)
-    return sales_since(orders, refunds, ctx.target.high_water_mark(EXTRACTED)) if ctx.incremental else sales(orders, refunds)
+    if not ctx.incremental:
+        return sales(ctx.ref(ORDERS.name), sum_refunds(ctx.ref(REFUND_LINES.name)))
+    changed, mark = _changed_orders(ctx, REFUND_LINES.name)
+    return _newer(ctx.ref(ORDERS.name, changed), sum_refunds(ctx.ref(REFUND_LINES.name, changed)), mark)
 
 
 #: The same fact over refunds kept one by one: refunds of an order add up whatever batches they came

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from millrace.functions.payload import json_texts, payload
 from millrace.operators.dedupe import SOURCE_FILE, latest_per_key
+from millrace.operators.increment import of_keys
+from millrace.tables.bucketed import BucketedTable
 from millrace.tables.table import TableStore, VersionedTable
 
 
@@ -88,8 +90,13 @@ class Context:
     def incremental(self) -> bool:
         return self.target is not None
 
-    def ref(self, name: str) -> DataFrame:
-        return self.store.read(name)
+    def ref(self, name: str, keys: DataFrame | None = None) -> DataFrame:
+        """Another table, or its rows of the keys in a one-column table. Tables in buckets of that
+        column read the keys' buckets only."""
+        if keys is None:
+            return self.store.read(name)
+        table = self.store.table(name)
+        return table.read_keys(keys) if isinstance(table, BucketedTable) else of_keys(table.read(), keys.columns[0], keys)
 
 
 @dataclass(frozen=True)

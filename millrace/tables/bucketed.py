@@ -152,10 +152,13 @@ class BucketedTable:
         return self._rows(head.paths(), T.StructType.fromJson(json.loads(head.schema))).drop(BUCKET)
 
     def read_keys(self, keys: DataFrame) -> DataFrame:
-        """The rows with some keys: only their buckets are read. ``keys`` holds the bucket columns."""
+        """The rows with some keys, NULL being one like others; only their buckets are read if ``keys``
+        holds the columns that the table is laid out by."""
         head = self.head()
         schema, wanted = T.StructType.fromJson(json.loads(head.schema)), self._named(keys, head)
-        return self._rows(head.paths(wanted), schema).drop(BUCKET).join(keys, keys.columns, "left_semi")
+        rows = self._rows(head.paths(wanted), schema).drop(BUCKET)
+        same = [rows[c].eqNullSafe(keys[c]) for c in keys.columns]
+        return rows.join(keys, functools.reduce(lambda a, b: a & b, same), "left_semi")
 
     def high_water_mark(self, column: str) -> str | None:
         """Largest value of a column as text; reads that column only."""

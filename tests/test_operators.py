@@ -179,3 +179,19 @@ def test_wholesale_model_takes_the_highest_load(spark):
     df = df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing])
     # load ids are text and compare as text
     assert processed.WHOLESALE_LINES(df).select("sku").first()["sku"] == "b"
+
+
+def test_increment_from_landing_is_cut_before_it_is_built(spark, sf_dir):
+    """Orders and refunds meet the changed keys below their dedupe and sum; rows are those of the filtered whole."""
+    from millrace.catalogue import inputs as i
+
+    mark = "2024-02-10 00:00:00"
+    odd = i.orders(spark, sf_dir).limit(3).withColumn("id", F.lit(None).cast("long"))
+    landing, refunds = i.orders(spark, sf_dir).unionByName(odd), i.refunds(spark, sf_dir)
+    got = enriched.sales_since_landing(landing, refunds, mark)
+    whole = enriched.sales(processed.ORDERS(landing), processed.ORDER_REFUNDS(refunds))
+    assert rows(got) == rows(whole.filter(F.col(EXTRACTED) > F.lit(mark).cast("timestamp_ntz"))) and got.count() > 50
+    text = got._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("LeftSemi") == 2
+    # printed from the result down to the scans: sums and ranks above the semi-joins
+    assert text.index("Window") < text.index("LeftSemi") and text.index("Aggregate") < text.rindex("Window") < text.rindex("LeftSemi")
