@@ -192,6 +192,6 @@ def test_increment_from_landing_is_cut_before_it_is_built(spark, sf_dir):
     whole = enriched.sales(processed.ORDERS(landing), processed.ORDER_REFUNDS(refunds))
     assert rows(got) == rows(whole.filter(F.col(EXTRACTED) > F.lit(mark).cast("timestamp_ntz"))) and got.count() > 50
     text = got._jdf.queryExecution().optimizedPlan().toString()
-    assert text.count("LeftSemi") == 2
+    assert text.count("LeftSemi") >= 2
     # printed from the result down to the scans: sums and ranks above the semi-joins
     assert text.index("Window") < text.index("LeftSemi") and text.index("Aggregate") < text.rindex("Window") < text.rindex("LeftSemi")
