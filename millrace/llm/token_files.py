@@ -10,6 +10,7 @@ frames that hold the documents it wants.
 from __future__ import annotations
 
 import os
+import re
 import struct
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -30,8 +31,10 @@ from millrace.session import work_dir
 #: Bytes of ids after which a frame ends with its document, and after which it is cut within one.
 FRAME_BYTES = 1 << 16
 LARGEST_FRAME = 1 << 22
-#: Different words whose ids a process remembers.
-MEMO_WORDS = 500_000
+#: Different words, and pieces of words, whose ids a process remembers, and marks for words met once.
+MEMO_WORDS = 400_000
+MEMO_PIECES = 100_000
+MEMO_MARKS = 1 << 23
 
 # Fixed values of the seekable format.
 SKIPPABLE = 0x184D2A5E
@@ -147,8 +150,54 @@ class FileReader:
         return b"".join(out)
 
 
-#: Put between words that are encoded in one go; a control character that is a token of its own.
-MARK = "\x1f"
+#: Latin letters, composed, whose lower case is one letter whatever the Unicode version.
+_LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f"
+#: Words of these and of printable ASCII but for the apostrophe, of which contractions are made.
+_PLAIN = re.compile(f"[!-&(-~{_LATIN}]+")
+#: What the tokenizer's pattern cuts such a word into.
+_PIECES = re.compile(f"[{_LATIN}]+|[0-9]|[^{_LATIN}0-9]+")
+#: A byte-level vocabulary's letter for each byte: printable Latin-1 stands for itself, the others,
+#: in order, for the letters from 256 on.
+_ITSELF = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_BYTE_LETTERS = dict(zip((b for b in range(256) if b not in _ITSELF), range(256, 512)))
+
+
+class _Words(dict):
+    """The ids of words as bytes. A word that is met twice is remembered, by all tasks of a process, so
+    that the many words of one place do not push the others out; a mark for its hash tells that it
+    was met. Pieces of words are remembered as long as there is room."""
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.tokenizer, self.model = tokenizer, tokenizer.model
+        self.pieces: dict[str, bytes] = {}
+        self.met = bytearray(MEMO_MARKS)
+
+    def __missing__(self, word: bytes) -> bytes:
+        text = word.decode()
+        if text.isascii() and text.isalpha():
+            ids = self.piece(text.lower())
+        elif _PLAIN.fullmatch(text) and "<|" not in text:
+            ids = b"".join(map(self.piece, _PIECES.findall(text.lower())))
+        else:
+            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        place = hash(word) % len(self.met)
+        if self.met[place]:
+            if len(self) >= MEMO_WORDS:
+                self.clear()
+                self.met = bytearray(len(self.met))
+            self[word] = ids
+        self.met[place] = 1
+        return ids
+
+    def piece(self, piece: str) -> bytes:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            tokens = self.model.tokenize(piece.encode().decode("latin-1").translate(_BYTE_LETTERS))
+            if len(self.pieces) >= MEMO_PIECES:
+                self.pieces.clear()
+            ids = self.pieces[piece] = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+        return ids
 
 
 @lru_cache(maxsize=1)
@@ -159,48 +208,28 @@ def _tokenizer(path: str, plain: bool = False):
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = plain
-    return tokenizer, {}
+    return tokenizer, _Words(tokenizer)
 
 
 class Encoder:
-    """Ids of whole texts as bytes, for tokenizers that drop white space and never join across it.
-
-    A text is the sequence of its words between ASCII white space, and so are its ids; the ids of a
-    word are remembered, by all tasks of a process. Tests hold this against encoding whole texts.
-    Special tokens in a text become their ids, as by the tokenizer's own call; with ``plain`` they
-    are encoded as the text they are.
+    """Ids of whole texts as bytes, for byte-level tokenizers that drop white space, never join across
+    it, and cut texts, in lower case, into runs of letters, digits and other characters.
+
+    A text is the sequence of its words between ASCII white space, and so are its ids. A new word of
+    Latin letters, digits and punctuation is cut into pieces, whose ids are the model's; other words,
+    and those with an apostrophe or a sign of special tokens, are encoded by the whole tokenizer.
+    Tests hold this against encoding whole texts. Special tokens in a text become their ids, as by
+    the tokenizer's own call; with ``plain`` they are encoded as the text they are.
     """
 
     def __init__(self, path: str, end_id: int, plain: bool = False):
-        self.tokenizer, self.known = _tokenizer(path, plain)
+        self.words = _tokenizer(path, plain)[1]
         self.end = struct.pack("<I", end_id)
-        (self.mark,) = self._ids([MARK])[0]
-
-    def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, words: list[bytes]) -> None:
-        """Encode new words, many in one text; the mark's id, which no other text has, parts them."""
-        plain = [w for w in words if MARK.encode() not in w]
-        marked = [w for w in words if MARK.encode() in w]
-        parts = [plain[i : i + 256] for i in range(0, len(plain), 256)]
-        for part, ids in zip(parts, self._ids([f" {MARK} ".join(w.decode() for w in part) for part in parts])):
-            flat = np.array(ids, "<u4")
-            ends = [*np.flatnonzero(flat == self.mark), len(flat)]
-            data, start = flat.tobytes(), 0
-            for word, end in zip(part, ends, strict=True):
-                self.known[word] = data[4 * start : 4 * end]
-                start = end + 1
-        for word, ids in zip(marked, self._ids([w.decode() for w in marked])):
-            self.known[word] = np.array(ids, "<u4").tobytes()
-
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        split = [(t or "").encode("utf-8", "replace").split() for t in texts]
-        if len(self.known) > MEMO_WORDS:
-            self.known.clear()
-        self._learn(list({w for words in split for w in words}.difference(self.known)))
-        for words in split:
-            yield b"".join(map(self.known.__getitem__, words)) + self.end
+
+    def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        for text in texts:
+            words = (text or "").encode("utf-8", "replace").split()
+            yield b"".join(map(self.words.__getitem__, words)) + self.end
 
 
 _WRITTEN = pa.schema([("file", pa.string()), ("part", pa.int32()), ("docs", pa.int64()), ("tokens", pa.int64())])

@@ -120,7 +120,7 @@ TEXTS = [None, "", "  ", "Hello, wörld's 123 THE <|endoftext|> \x1c a\x0bb\x0cc
 
 
 def whole(texts):
-    t, _ = tf._tokenizer(word_tokenizer())
+    t = tf._tokenizer(word_tokenizer())[0]
     return [np.array(e.ids + [2], "<u4").tobytes() for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
 
 

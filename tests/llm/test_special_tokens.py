@@ -24,3 +24,25 @@ def test_special_tokens_are_those_of_the_tokenizer(spark):
     for plain in (False, True):
         got = {r.key: bytes(r.ids) for r in tf.token_table(df, word_tokenizer(), plain=plain).collect()}
         assert got == dict(enumerate(fresh(plain)))
+
+
+def test_words_and_pieces_are_encoded_as_whole_texts(monkeypatch):
+    """Words of all kinds of characters, met again after they were forgotten."""
+    import random
+
+    dice = random.Random(3)
+    kinds = ["abcXYZ", "0189", "!\"#$%&'()*+,-./:;<=>?@[]^_`{|}~\\", "äöüßéÈñÅŒſŉĸİıŠ×÷", "Σσςжλ日本語", "\x01\x7f\x85\xa0́ ", "’“…€½²ªº"]
+    words = ["".join(dice.choice(dice.choice(kinds[: dice.choice([2, 3, 4, 7])])) for _ in range(dice.randrange(1, 9))) for _ in range(6000)]
+    words += ["don't", "it's,", "'re", "a'll", "x|<", "<|x|>", "å", "Å.", "ﬁ", "ǅ", "K", "Å"]
+    texts = [" ".join(dice.choices(words, k=40)) for _ in range(400)]
+    tokenizer = Tokenizer.from_file(word_tokenizer())
+    want = [np.array(tokenizer.encode(t, add_special_tokens=False).ids + [2], "<u4").tobytes() for t in texts]
+    for memory in (500_000, 300):
+        monkeypatch.setattr(tf, "MEMO_WORDS", memory)
+        monkeypatch.setattr(tf, "MEMO_PIECES", memory)
+        monkeypatch.setattr(tf, "MEMO_MARKS", 20 * memory)
+        encoder = tf.Encoder(word_tokenizer(), 2)
+        encoder.words = words = tf._Words(tokenizer)
+        got = [ids for i in range(0, len(texts), 16) for ids in encoder.encode(texts[i : i + 16])]
+        assert got == want
+        assert 0 < len(words) <= memory and len(words.pieces) <= memory
