@@ -13,12 +13,13 @@ from millrace.functions import partition_date
 from millrace.operators import flatten_order_items, high_water_mark, newer_than
 from millrace.operators.dedupe import SOURCE_FILE
 from millrace.plans import enriched, processed
+from millrace.plans.model import EnrichedModel
 from millrace.plans.processed import EXTRACTED, LOAD
 from millrace.plans.refresh import refresh_dependents, refresh_fact, run_processed
 from millrace.session import work_dir
 from millrace.sources.known import CONTRACTS
 from millrace.sources.landing import append_landing, scan_landing
-from millrace.streaming import CursorTable, feed_files, land_records, stream_files
+from millrace.streaming import CursorTable, Unique, append_unique, feed_files, land_records, stream_files
 from millrace.streaming.feeder import FILES_PER_BATCH, read_landing_stream
 from millrace.tables import TableStore
 
@@ -216,6 +217,82 @@ def stream_resume(spark, sf_dir):
     return event_rows(store)
 
 
+DELIVERIES = 6
+
+
+@query(
+    "stream_dedupe",
+    """WITH weeks AS (SELECT event_id, ts, date_diff('day', (SELECT min(CAST(ts AS DATE)) FROM events), CAST(ts AS DATE)) // 7 AS week FROM events)
+SELECT event_id, ts FROM weeks WHERE week < 5 AND NOT (event_id % 10 = 1 AND week = 0)""",
+)
+def stream_dedupe(spark, sf_dir):
+    """Weekly deliveries, each repeating a third of the one before, and some rows of the first week
+    that only come in the fifth: repeated and late rows are dropped, also across a restart."""
+    base = work_dir(spark, "unique")
+    rows = i.table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    first = F.lit(rows.agg(F.min(F.to_date("ts"))).first()[0])
+    rows = rows.withColumn("week", F.floor(F.datediff(F.to_date("ts"), first) / 7)).filter("week < 5")
+    late, again = (F.col("event_id") % 10 == 1) & (F.col("week") == 0), F.col("event_id") % 3 == 0
+    unique = Unique(["event_id"], "ts", "14 days")
+
+    def deliver(numbers):
+        for n in numbers:
+            now = F.when(late, F.lit(n == 4)).otherwise((F.col("week") == n) | again & (F.col("week") == n - 1))
+            rows.filter(now).drop("week").coalesce(1).write.mode("append").parquet(f"{base}/raw")
+        query = append_unique(spark, f"{base}/raw", "event_id long, ts timestamp", unique, f"{base}/out", f"{base}/checkpoint", 1)
+        query.awaitTermination()
+
+    deliver(range(3))
+    deliver(range(3, DELIVERIES))
+    return spark.read.parquet(f"{base}/out").select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
+
+
+@query(
+    "stream_quarantine",
+    f"""{with_(i.EVENTS_SQL)}
+SELECT event_id, 'good' AS status, {EXTRACTED} FROM events_latest WHERE CAST(event_id AS BIGINT) % 10 <> 0
+UNION ALL SELECT event_id, 'quarantined', {EXTRACTED} FROM events_raw WHERE CAST(event_id AS BIGINT) % 10 = 0""",
+)
+def stream_quarantine(spark, sf_dir):
+    """Every tenth event's payload is cut off: those rows are set aside batch by batch, once each,
+    although the second batch is run twice."""
+
+    def cut(s, d):
+        broken = F.when(F.col("id").cast("long") % 10 == 0, F.lit('{"uuid": ')).otherwise(F.col("attributes"))
+        return i.events(s, d).withColumn("attributes", broken)
+
+    store, aside, checkpoint = new_store(spark, "quarantine"), work_dir(spark, "aside"), work_dir(spark, "checkpoint")
+    root, schema = i.landing(spark, sf_dir, "events_cut", cut), CONTRACTS[EVENTS].landing_schema()
+
+    def fail_second(batch, batch_id):
+        if batch_id == 1:
+            raise Interrupted("stopped on purpose")
+
+    for on_batch in (fail_second, None):
+        try:
+            stream_files(store, root, *EVENTS, schema, checkpoint, on_batch=on_batch, quarantine=aside).awaitTermination()
+        except Exception as error:  # the streaming query wraps the reason
+            if "stopped on purpose" not in str(error):
+                raise
+    good = event_rows(store).select("event_id", F.lit("good").alias("status"), EXTRACTED)
+    broken = spark.read.schema(schema).parquet(aside)
+    return good.unionByName(broken.select(F.col("id").alias("event_id"), F.lit("quarantined").alias("status"), EXTRACTED))
+
+
+@query("incremental_boundary", f"{with_(i.PAGES_SQL)}\nSELECT {_LANDED} FROM page_items")
+def incremental_boundary(spark, sf_dir):
+    """Two extractions: the second starts at the last value of the first, for which the source has got
+    further records meanwhile; those land, and none lands twice."""
+    base = work_dir(spark, "boundary")
+    store = TableStore(spark, f"{base}/tables")
+    contract = replace(CONTRACTS["faire", "order_lines"], initial_value="v1")
+    items = flatten_order_items(i.order_pages(spark, sf_dir))
+    early = (F.col("order_updated_at") < "v2") | (F.col("order_updated_at") == "v2") & F.col("includes_tester")
+    for records in (items.filter(early), items):
+        land_records(store, records, contract, f"{base}/raw")
+    return scan_landing(spark, f"{base}/raw").select(*_LANDED.split(", "))
+
+
 # -- facts ----------------------------------------------------------------------------------------
 
 
@@ -293,3 +370,19 @@ def downstream_propagation(spark, sf_dir):
     return store.read(enriched.FCT_SALES_RECOMPUTE.name)
 
 
+
+
+@query(
+    "dependency_order",
+    f"""{with_(i.SALES_SQL)}
+SELECT CAST(date_trunc('day', order_date) AS TIMESTAMP) AS day, CAST(sum(total_sales) AS DECIMAL(18,2)) AS total_sales
+FROM sales WHERE is_test_order = false GROUP BY 1""",
+)
+def dependency_order(spark, sf_dir):
+    """Two facts, the second over the first, named in the wrong order: both follow a change of orders."""
+    store = new_store(spark, "order")
+    run_processed(store, processed.ORDERS, i.orders(spark, sf_dir))
+    run_processed(store, processed.ORDER_REFUNDS, i.refunds(spark, sf_dir))
+    daily = EnrichedModel("fct_daily", ("fct_sales",), ("day",), "day", lambda ctx: enriched.daily_totals(ctx.ref("fct_sales")))
+    refresh_dependents(store, [processed.ORDERS.name], [daily, enriched.FCT_SALES])
+    return store.read("fct_daily")

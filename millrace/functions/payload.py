@@ -104,10 +104,12 @@ def malformed(json: Column) -> Column:
     return json.isNotNull() & (listed.isNull() | named.isNull())
 
 
+def any_malformed(columns: Sequence[str]) -> Column:
+    """True where one of the columns holds text that is no JSON."""
+    return functools.reduce(lambda a, b: a | b, [malformed(F.col(name)) for name in columns], F.lit(False))
+
+
 def split_malformed(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(good rows, quarantined rows)."""
-    bad = F.lit(False)
-    for name in columns:
-        bad = bad | malformed(F.col(name))
+    bad = any_malformed(columns)
     return df.filter(~bad), df.filter(bad)
-

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import graphlib
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
@@ -64,16 +65,26 @@ def refresh_fact(store: TableStore, model: EnrichedModel, full: bool = False) ->
     return table.upsert(model.build(Context(store, table)), model.keys, ranges=(model.version,))
 
 
+def in_dependency_order(models: Sequence[EnrichedModel]) -> list[EnrichedModel]:
+    """Every model behind those whose tables it reads."""
+    named = {m.name: m for m in models}
+    needs = {m.name: [r for r in m.refs if r in named] for m in models}
+    try:
+        return [named[n] for n in graphlib.TopologicalSorter(needs).static_order()]
+    except graphlib.CycleError as error:
+        raise ValueError(f"models need each other: {' -> '.join(error.args[1])}") from None
+
+
 def refresh_dependents(
     store: TableStore, changed: Iterable[str], models: Sequence[EnrichedModel] = tuple(ENRICHED)
 ) -> list[str]:
     """Refresh every enriched model downstream of changed tables, upstream models first.
 
-    ``models`` are in dependency order. One whose tables do not all exist yet is left for
-    a later change. Returns the names refreshed.
+    ``models`` may come in any order; models that need each other are an error. One whose tables do
+    not all exist yet is left for a later change. Returns the names refreshed.
     """
     dirty, done = set(changed), []
-    for model in models:
+    for model in in_dependency_order(models):
         if dirty & set(model.refs) and all(store.exists(r) for r in model.refs):
             refresh_fact(store, model)
             dirty.add(model.name)

@@ -44,18 +44,25 @@ class CursorTable:
         return f"{self.root}/{source}/{stream}"
 
     def get(self, source: str, stream: str) -> str | None:
+        return self._last(source, stream).get("cursor_path")
+
+    def boundary(self, source: str, stream: str) -> str | None:
+        """Folder with the records that were seen at the cursor's value, if it was kept."""
+        return self._last(source, stream).get("boundary")
+
+    def _last(self, source: str, stream: str) -> dict:
         numbers = self._numbers(source, stream)
         if not numbers:
-            return None
+            return {}
         path = f"{self._folder(source, stream)}/{numbers[-1]:012d}.json"
-        return json.loads(files.first_line(self.store.spark, path))["cursor_path"]
+        return json.loads(files.first_line(self.store.spark, path))
 
-    def set(self, source: str, stream: str, cursor_path: str | None) -> None:
+    def set(self, source: str, stream: str, cursor_path: str | None, boundary: str | None = None) -> None:
         spark, folder = self.store.spark, self._folder(source, stream)
         numbers = self._numbers(source, stream)
         number = numbers[-1] + 1 if numbers else 1
         now = self.store.clock().astimezone(dt.timezone.utc).isoformat()
-        row = {"source": source, "stream": stream, "cursor_path": cursor_path, "updated_at": now, "number": number}
+        row = {"source": source, "stream": stream, "cursor_path": cursor_path, "updated_at": now, "number": number, "boundary": boundary}
         files.create_text(spark, f"{folder}/{number:012d}.json", [json.dumps(row)])
         for old in numbers:
             files.delete(spark, f"{folder}/{old:012d}.json")

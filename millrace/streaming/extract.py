@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from millrace import files
 from millrace.operators.dedupe import row_hash
 from millrace.sources.contracts import StreamContract
 from millrace.sources.landing import append_landing, extract_increment
@@ -15,6 +17,10 @@ from millrace.streaming.cursors import EXTRACTS, CursorTable
 from millrace.tables.table import TableStore
 
 
+#: Helper column: what tells a record apart at the cursor's value.
+SEEN = "_seen"
+
+
 @dataclass
 class LandResult:
     status: str
@@ -29,7 +35,9 @@ def land_records(
 ) -> LandResult:
     """Append the records since the last run to the landing zone, in the contract's fields.
 
-    The first run starts at the contract's initial value. Records get the load's id and an
+    The first run starts at the contract's initial value. Later ones start at the last value seen,
+    which may have got further records since; those that were landed with that value, told apart by
+    primary key, or by all fields if the key is not there, are kept beside the cursor and left out. Records get the load's id and an
     id of their own that is the same if a task is repeated; the cursor is stored after the
     files are there, so a failed run is simply run again.
     """
@@ -43,7 +51,18 @@ def land_records(
     fields = tuple(f for f in contract.fields if f in records.columns)
     if dry_run:
         return LandResult("dry_run", cursor=state, fields=fields)
-    fresh, cursor = extract_increment(records, contract.cursor_field, state)
+    names = contract.primary_key if contract.primary_key and set(contract.primary_key) <= set(records.columns) else records.columns
+    identity = F.sha2(F.to_json(F.struct(*names)), 256)
+    fresh, cursor = extract_increment(records.withColumn(SEEN, identity), contract.cursor_field, state)
+    seen_at = cursors.boundary(contract.source, contract.stream)
+    at_cursor = fresh.filter(F.col(contract.cursor_field) == F.lit(cursor).cast(fresh.schema[contract.cursor_field].dataType)).select(SEEN)
+    if seen_at is not None:
+        seen = store.spark.read.schema(f"{SEEN} string").parquet(seen_at)
+        last = fresh[contract.cursor_field] == F.lit(state).cast(fresh.schema[contract.cursor_field].dataType)
+        fresh = fresh.join(seen, last & (fresh[SEEN] == seen[SEEN]), "left_anti")
+        if cursor == state:
+            at_cursor = at_cursor.unionByName(seen)
+    fresh = fresh.drop(SEEN)
     now = store.clock().astimezone(dt.timezone.utc)
     load_id = f"{now.timestamp():.6f}"
     observed = Observation()
@@ -58,5 +77,9 @@ def land_records(
         }
     ).observe(observed, F.count(F.lit(1)).alias("records"))
     append_landing(loaded, root, load_id)
-    cursors.set(contract.source, contract.stream, cursor)
+    boundary = f"{store.root}/{EXTRACTS}_seen/{contract.source}/{contract.stream}/{uuid.uuid4().hex}"
+    at_cursor.distinct().write.parquet(boundary)
+    cursors.set(contract.source, contract.stream, cursor, boundary)
+    if seen_at is not None:
+        files.delete(store.spark, seen_at)
     return LandResult("success", load_id, observed.get["records"], cursor, fields)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.functions.payload import split_malformed
+from millrace.functions.payload import any_malformed, split_malformed
 from millrace.plans.model import ProcessedModel
 from millrace.plans.processed import PROCESSED
 from millrace.plans.refresh import processed_models, refresh_dependents, run_processed
@@ -23,6 +23,7 @@ from millrace.tables.table import TableStore
 
 #: Fixed value: files per micro-batch.
 FILES_PER_BATCH = 10
+BROKEN = "_broken"
 
 
 @dataclass
@@ -45,6 +46,30 @@ class FeedResult:
         return sum(self.files)
 
 
+@dataclass(frozen=True)
+class Unique:
+    """Rows by ``keys``, once each: repeated ones are dropped as long as the watermark is less than
+    ``delay`` past the first one's event time, and rows older than the watermark are late and dropped.
+    The state holds the keys of about twice the delay; it is in the checkpoint, so a restart goes on with it."""
+
+    keys: Sequence[str]
+    event_time: str
+    delay: str
+
+    def rows(self, arrived: DataFrame) -> DataFrame:
+        return arrived.withWatermark(self.event_time, self.delay).dropDuplicatesWithinWatermark(list(self.keys))
+
+
+def append_unique(
+    spark: SparkSession, root: str, schema: T.StructType | str, unique: Unique, out: str, checkpoint: str,
+    files_per_batch: int = FILES_PER_BATCH,
+) -> StreamingQuery:
+    """Start a query that appends arrived rows, once each, to Parquet files, then stops."""
+    arrived = read_landing_stream(spark, root, schema, files_per_batch)
+    sink = unique.rows(arrived).writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+    return sink.trigger(availableNow=True).start()
+
+
 def _chunks(rows: Iterator, size: int) -> Iterator[list]:
     while chunk := list(itertools.islice(rows, size)):
         yield chunk
@@ -99,7 +124,7 @@ def feed_files(
 
 
 def read_landing_stream(
-    spark: SparkSession, landing_root: str, schema: T.StructType, files_per_batch: int = FILES_PER_BATCH
+    spark: SparkSession, landing_root: str, schema: T.StructType | str, files_per_batch: int = FILES_PER_BATCH
 ) -> DataFrame:
     """Files as they arrive, with partition columns and source path."""
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
@@ -118,6 +143,8 @@ def stream_files(
     guard_version: bool = True,
     on_batch: Callable[[DataFrame, int], None] | None = None,
     replace_parent: bool = False,
+    quarantine: str | None = None,
+    unique: Unique | None = None,
 ) -> StreamingQuery:
     """Start a query that upserts arrived files into every model of a stream, then stops.
 
@@ -126,21 +153,35 @@ def stream_files(
     already have it skip it. A stream that feeds several models reads its files once a batch.
     With ``replace_parent`` a model of parts (order tags) holds the parts of each parent's newest
     version that has any, whatever batch it came in.
+
+    Malformed JSON fails the query, unless ``quarantine`` names a folder: a batch's broken rows then
+    lie in its part ``batch=<id>``, written before the tables are and, if the batch is repeated,
+    written over. ``unique`` drops repeated and late rows by key and event time before anything else.
     """
     fed = processed_models(source, stream, models)
+    payloads = sorted({p for m in fed for p in m.payloads})
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.persist(StorageLevel.DISK_ONLY) if len(fed) > 1 else batch
+        if quarantine is not None:  # payloads are checked once, for both sides
+            batch = batch.withColumn(BROKEN, any_malformed(payloads))
+        shared = quarantine is not None or len(fed) > 1
+        kept = batch.persist(StorageLevel.DISK_ONLY) if shared else batch
+        rows = kept
+        if quarantine is not None:
+            broken = kept.filter(BROKEN).drop(BROKEN)
+            broken.write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
+            rows = kept.filter(~F.col(BROKEN)).drop(BROKEN)
         for model in fed:
             parts = replace_parent and bool(model.parent)
             run_processed(store, model, rows, f"{checkpoint}#{batch_id}", guard_version, parts)
         if on_batch is not None:
             on_batch(rows, batch_id)
-        if rows is not batch:
-            rows.unpersist()
+        if shared:
+            kept.unpersist()
 
+    arrived = read_landing_stream(store.spark, landing_root, schema, files_per_batch)
     return (
-        read_landing_stream(store.spark, landing_root, schema, files_per_batch)
+        (unique.rows(arrived) if unique else arrived)
         .writeStream.foreachBatch(upsert_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
