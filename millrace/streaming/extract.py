@@ -63,6 +63,8 @@ def land_records(
         if cursor == state:
             at_cursor = at_cursor.unionByName(seen)
     fresh = fresh.drop(SEEN)
+    if cursor == state and fresh.isEmpty():  # nothing newer, and nothing else at the cursor
+        return LandResult("success", cursor=cursor, fields=fields)
     now = store.clock().astimezone(dt.timezone.utc)
     load_id = f"{now.timestamp():.6f}"
     observed = Observation()

@@ -299,7 +299,7 @@ def test_extract_run(spark, store, tmp_path):
     assert "secret" not in landed.columns and landed.select("_dlt_load_id").distinct().count() == 3
     assert rows(landed.select("id")) == [(2,), (3,), (4,), (6,)]
     whole = scan_landing(spark, root, schema=contract.landing_schema())
-    assert rows(processed.ERP_ORDER_LINES(whole).select("line_id", "sku")) == [(2, "b"), (3, "c"), (4, "d")]
+    assert rows(processed.ERP_ORDER_LINES(whole).select("line_id", "sku")) == [(2, "b"), (3, "c"), (4, "d"), (6, "f")]
 
 
 def test_extract_needs_an_initial_value_and_selection(spark, store, tmp_path):
