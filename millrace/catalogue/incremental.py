@@ -20,7 +20,7 @@ from millrace.session import work_dir
 from millrace.sources.known import CONTRACTS
 from millrace.sources.landing import append_landing, scan_landing
 from millrace.streaming import CursorTable, Unique, append_unique, feed_files, land_records, stream_files
-from millrace.streaming.feeder import FILES_PER_BATCH, read_landing_stream
+from millrace.streaming.feeder import FILES_PER_BATCH, read_landing_stream, read_metrics
 from millrace.tables import TableStore
 
 EVENTS = ("klaviyo", "events")
@@ -247,6 +247,12 @@ def stream_dedupe(spark, sf_dir):
     return spark.read.parquet(f"{base}/out").select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
 
 
+def _cut_events(spark, sf_dir):
+    """Events, every tenth with a payload that is cut off."""
+    broken = F.when(F.col("id").cast("long") % 10 == 0, F.lit('{"uuid": ')).otherwise(F.col("attributes"))
+    return i.events(spark, sf_dir).withColumn("attributes", broken)
+
+
 @query(
     "stream_quarantine",
     f"""{with_(i.EVENTS_SQL)}
@@ -257,12 +263,8 @@ def stream_quarantine(spark, sf_dir):
     """Every tenth event's payload is cut off: those rows are set aside batch by batch, once each,
     although the second batch is run twice."""
 
-    def cut(s, d):
-        broken = F.when(F.col("id").cast("long") % 10 == 0, F.lit('{"uuid": ')).otherwise(F.col("attributes"))
-        return i.events(s, d).withColumn("attributes", broken)
-
     store, aside, checkpoint = new_store(spark, "quarantine"), work_dir(spark, "aside"), work_dir(spark, "checkpoint")
-    root, schema = i.landing(spark, sf_dir, "events_cut", cut), CONTRACTS[EVENTS].landing_schema()
+    root, schema = i.landing(spark, sf_dir, "events_cut", _cut_events), CONTRACTS[EVENTS].landing_schema()
 
     def fail_second(batch, batch_id):
         if batch_id == 1:
@@ -279,6 +281,41 @@ def stream_quarantine(spark, sf_dir):
     return good.unionByName(broken.select(F.col("id").alias("event_id"), F.lit("quarantined").alias("status"), EXTRACTED))
 
 
+@query(
+    "stream_metrics",
+    f"""{with_(i.EVENTS_SQL)},
+weeks AS (
+    SELECT date_diff('day', (SELECT min(CAST({EXTRACTED} AS DATE)) FROM events_raw), CAST({EXTRACTED} AS DATE)) // 7 AS week,
+        CAST({EXTRACTED} AS DATE) AS day, CAST(event_id AS BIGINT) % 10 = 0 AS cut FROM events_raw)
+SELECT CAST(dense_rank() OVER (ORDER BY week) - 1 AS BIGINT) AS batch, count(DISTINCT day) AS files, count(*) AS rows,
+    count_if(cut) AS broken, 'complete' AS status FROM weeks GROUP BY week""",
+)
+def stream_metrics(spark, sf_dir):
+    """Weekly deliveries of events, some with broken payloads, each a batch of files by day; the second
+    one fails at first and is run again."""
+    base, store = work_dir(spark, "noted"), new_store(spark, "noted")
+    rows, schema = _cut_events(spark, sf_dir), CONTRACTS[EVENTS].landing_schema()
+    week = F.floor(F.datediff(F.to_date(EXTRACTED), F.lit(rows.agg(F.min(F.to_date(EXTRACTED))).first()[0])) / 7)
+
+    def fail_second(batch, batch_id):
+        if batch_id == 1:
+            raise Interrupted("stopped on purpose")
+
+    def run(on_batch):
+        noted = {"quarantine": f"{base}/aside", "metrics": f"{base}/metrics", "on_batch": on_batch}
+        stream_files(store, f"{base}/raw", *EVENTS, schema, f"{base}/checkpoint", **noted).awaitTermination()
+
+    for (number,) in rows.select(week).distinct().sort(week).collect():
+        append_landing(rows.filter(week == number), f"{base}/raw", f"{1704067200 + number}.1")
+        try:
+            run(fail_second if number == 1 else None)
+        except Exception as error:  # the streaming query wraps the reason
+            if "stopped on purpose" not in str(error):
+                raise
+            run(None)
+    return read_metrics(spark, f"{base}/metrics").select("batch", "files", "rows", "broken", "status")
+
+
 @query("incremental_boundary", f"{with_(i.PAGES_SQL)}\nSELECT {_LANDED} FROM page_items")
 def incremental_boundary(spark, sf_dir):
     """Two extractions: the second starts at the last value of the first, for which the source has got

@@ -5,8 +5,9 @@ from __future__ import annotations
 from millrace.catalogue import inputs as i
 from millrace.catalogue.models import sales_facts
 from millrace.catalogue.registry import query, with_
-from millrace.plans import processed
+from millrace.plans import enriched, processed
 from millrace.plans.semantic import Dimension, Filter, Measure, SemanticModel
+from millrace.plans.refresh import refresh_fact, run_processed
 from millrace.session import work_dir
 from millrace.tables import TableStore
 
@@ -98,3 +99,41 @@ def semantic_rollup(spark, sf_dir):
         store.table("fct_sales_daily"), ["financial_status", "is_test_order"], "order_date"
     )
     return model.query(["count", "total_total_sales"], ["financial_status"])
+
+
+@query(
+    "semantic_rollup_month",
+    f"""{with_(i.SALES_SQL)}
+SELECT financial_status, CAST(date_trunc('month', order_date) AS TIMESTAMP) AS order_date_month, count(*) AS count, {_TOTALS}
+FROM sales GROUP BY ALL""",
+)
+def semantic_rollup_month(spark, sf_dir):
+    """Months by status out of days by status and test flag."""
+    store = TableStore(spark, work_dir(spark, "rollup"), buckets=i.BUCKETS)
+    model = sales_model(spark, sf_dir).build_rollup(
+        store.table("fct_sales_daily"), ["financial_status", "is_test_order"], "order_date"
+    )
+    return model.query(["count", "total_total_sales"], ["financial_status"], "order_date", "month")
+
+
+@query(
+    "semantic_rollup_refresh",
+    f"""{with_(i.SALES_SQL)}
+SELECT financial_status, CAST(date_trunc('quarter', order_date) AS TIMESTAMP) AS order_date_quarter, count(*) AS count, {_TOTALS}
+FROM sales GROUP BY ALL""",
+)
+def semantic_rollup_refresh(spark, sf_dir):
+    """A daily rollup of the first versions of all orders, brought up to date after the later ones."""
+    store = TableStore(spark, work_dir(spark, "rollup"), buckets=i.BUCKETS)
+    rows, fact = i.orders(spark, sf_dir), enriched.FCT_SALES
+    run_processed(store, processed.ORDER_REFUNDS, i.refunds(spark, sf_dir))
+    run_processed(store, processed.ORDERS, rows.filter("v = 1"))
+    refresh_fact(store, fact, full=True)
+    table = store.table(fact.name)
+    model = SemanticModel.from_table(fact.name, table.read(), "order_id", enriched=True, versioned=table)
+    model = model.build_rollup(store.table("fct_sales_daily"), ["financial_status"], "order_date")
+    later = processed.ORDERS(rows.filter("v > 1"))
+    run_processed(store, processed.ORDERS, rows.filter("v > 1"))
+    facts = enriched.sales(store.read(processed.ORDERS.name), store.read(processed.ORDER_REFUNDS.name))
+    table.upsert(facts.join(later.select("order_id"), "order_id", "left_semi"), fact.keys)
+    return model.refreshed().query(["count", "total_total_sales"], ["financial_status"], "order_date", "quarter")

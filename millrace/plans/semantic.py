@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.tables.bucketed import BucketedTable
 from millrace.tables.table import TableStore, VersionedTable
 
 # The words by which a column's name tells its kind.
@@ -17,6 +18,9 @@ TIME_WORDS = ("_at", "date", "timestamp")
 NUMBER_WORDS = ("count", "amount", "total", "spent", "quantity", "price")
 ENRICHED_NUMBER_WORDS = ("revenue", "discount")
 PARTITION_NAMES = ("year", "month", "day")
+#: Grains whose periods are made up of whole ones of every grain before; weeks are of days.
+GRAINS = ("second", "minute", "hour", "day", "month", "quarter", "year")
+ROWS, FILLED = "_rows", "_filled_"
 
 
 def kind_from_name(name: str, enriched: bool = False) -> str:
@@ -51,10 +55,7 @@ class Measure:
             return F.count(F.lit(1))
         if self.kind != "sum":
             raise ValueError(f"unknown measure kind {self.kind!r}")
-        total = F.sum(self.column)
-        if isinstance(df.schema[self.column].dataType, T.DecimalType):
-            return total.cast("decimal(38,2)")
-        return total
+        return rounded(F.sum(self.column), df.schema[self.column].dataType)
 
 
 @dataclass(frozen=True)
@@ -99,16 +100,13 @@ class SemanticModel:
         """Measures (all by default) per dimensions and time grain, in one aggregation.
 
         ``order`` holds output names, ``-name`` for descending. A rollup that has all that is
-        asked for is read instead of the table.
+        asked for, at this grain or a finer one, is read instead of the table; of several the coarsest.
         """
         names = list(measures) if measures is not None else list(self.measures)
         asked = Request(tuple(names), tuple(dimensions), time_dimension, granularity, tuple(filters))
-        for rollup in self.rollups:
-            if rollup.version == self.current() and rollup.covers(asked):
-                result = rollup.answer(asked)
-                break
-        else:
-            result = self._aggregate(asked)
+        version = self.current() if self.rollups else None
+        able = [r for r in self.rollups if r.version == version and r.covers(asked)]
+        result = min(able, key=Rollup.fineness).answer(asked) if able else self._aggregate(asked)
         if order:
             keys = [F.col(o[1:]).desc() if o.startswith("-") else F.col(o).asc() for o in order]
             result = result.orderBy(*keys)
@@ -126,7 +124,7 @@ class SemanticModel:
 
     def build_rollup(
         self,
-        table: VersionedTable,
+        table: VersionedTable | BucketedTable,
         dimensions: Sequence[str],
         time_dimension: str | None = None,
         granularity: str = "day",
@@ -135,9 +133,52 @@ class SemanticModel:
         """Materialise an aggregation as a table and return a model that answers from it."""
         names = tuple(measures) if measures is not None else tuple(self.measures)
         asked = Request(names, tuple(dimensions), time_dimension, granularity, ())
-        table.overwrite(self._aggregate(asked), operation="rollup")
-        counts = frozenset(n for n in names if self.measures[n].kind == "count")
-        return replace(self, rollups=[*self.rollups, Rollup(table.read(), asked, counts, self.current())])
+        return replace(self, rollups=[*self.rollups, self._stored(table, asked, self._partial(self.table, asked), self.current())])
+
+    def refreshed(self) -> SemanticModel:
+        """The model at its table's current version, with every rollup brought up to it.
+
+        From a bucketed table only the buckets that changed are read, as they were and as they are now;
+        the sums of the one go out of the rollup's, those of the other come in, and a group without
+        rows left disappears. Sums of floating-point numbers would not come out the same that way, and
+        tables by file do not tell what changed: there the rollup is computed anew.
+        """
+        if self.versioned is None:
+            raise ValueError(f"{self.name} is not read from a stored table")
+        version = self.current()
+        model = replace(self, table=self.versioned.read(version), rollups=())
+        rollups = []
+        for rollup in self.rollups:
+            if rollup.version != version:
+                exact = not any(isinstance(f.dataType, T.FractionalType) and not isinstance(f.dataType, T.DecimalType)
+                                for f in rollup.table.select(*rollup.request.measures).schema.fields)
+                if exact and rollup.version is not None and isinstance(self.versioned, BucketedTable):
+                    gone, come = self.versioned.changed_rows(rollup.version, version)
+                    rows = rollup.merged(model._partial(gone, rollup.request), model._partial(come, rollup.request))
+                else:
+                    rows = model._partial(model.table, rollup.request)
+                rollup = model._stored(rollup.stored, rollup.request, rows, version)
+            rollups.append(rollup)
+        return replace(model, rollups=rollups)
+
+    def _partial(self, df: DataFrame, asked: Request) -> DataFrame:
+        """Sums that can be added to others: not rounded, with the numbers of rows and of values behind them."""
+        groups = [F.col(self.dimensions[d].column).alias(d) for d in asked.dimensions]
+        if asked.time_dimension:
+            groups.append(time_grain(df, self.dimensions[asked.time_dimension].column, asked.granularity))
+        aggregates = [F.count(F.lit(1)).alias(ROWS)]
+        for name in asked.measures:
+            measure = self.measures[name]
+            if measure.kind == "sum":
+                aggregates += [F.sum(measure.column).alias(name), F.count(measure.column).alias(FILLED + name)]
+            else:
+                aggregates.append(measure.aggregate(df).alias(name))
+        return df.groupBy(*groups).agg(*aggregates)
+
+    def _stored(self, table: VersionedTable | BucketedTable, asked: Request, rows: DataFrame, version: int | None) -> Rollup:
+        table.overwrite(rows, asked.groups or (ROWS,), operation="rollup")
+        counts = frozenset(n for n in asked.measures if self.measures[n].kind == "count")
+        return Rollup(table.read(), asked, counts, version, table)
 
     def current(self) -> int | None:
         """Version of the table that is asked, where the model knows it."""
@@ -157,6 +198,20 @@ def grain_name(time_dimension: str, granularity: str) -> str:
     return f"{time_dimension}_{granularity}"
 
 
+def rounded(total: Column, kind: T.DataType) -> Column:
+    """Sums of decimals have two places."""
+    return total.cast("decimal(38,2)") if isinstance(kind, T.DecimalType) else total
+
+
+def adds_up(granularity: str, finer: str) -> bool:
+    """Whether periods of one grain are made up of whole ones of another."""
+    if granularity == finer:
+        return True
+    if granularity == "week":
+        return finer in GRAINS[: GRAINS.index("day") + 1]
+    return {granularity, finer} <= set(GRAINS) and GRAINS.index(granularity) > GRAINS.index(finer)
+
+
 def time_grain(df: DataFrame, column: str, granularity: str) -> Column:
     kind = df.schema[column].dataType
     kept = "timestamp" if isinstance(kind, T.TimestampType) else "timestamp_ntz"
@@ -191,6 +246,11 @@ class Request:
     granularity: str
     filters: tuple[Filter, ...]
 
+    @property
+    def groups(self) -> tuple[str, ...]:
+        time = (grain_name(self.time_dimension, self.granularity),) if self.time_dimension else ()
+        return self.dimensions + time
+
 
 @dataclass(frozen=True)
 class Rollup:
@@ -200,12 +260,14 @@ class Rollup:
     request: Request
     #: Measures that count, which are 0 over no rows and not NULL.
     counts: frozenset[str] = frozenset()
-    #: Version of the source table; after a later one the rollup is not used any more.
+    #: Version of the source table; after a later one the rollup is not used until it is refreshed.
     version: int | None = None
+    #: Where it is stored.
+    stored: VersionedTable | BucketedTable | None = None
 
     def covers(self, asked: Request) -> bool:
         same_time = asked.time_dimension is None or (
-            asked.time_dimension == self.request.time_dimension and asked.granularity == self.request.granularity
+            asked.time_dimension == self.request.time_dimension and adds_up(asked.granularity, self.request.granularity)
         )
         return (
             same_time
@@ -214,18 +276,36 @@ class Rollup:
             and {f.dimension for f in asked.filters} <= set(self.request.dimensions)
         )
 
+    def fineness(self) -> tuple[int, int]:
+        """Smaller for rollups that have fewer rows by their grain and dimensions."""
+        grain = self.request.granularity
+        place = GRAINS.index("day") + 0.5 if grain == "week" else GRAINS.index(grain) if grain in GRAINS else 0
+        return (-place if self.request.time_dimension else -len(GRAINS), len(self.request.dimensions))
+
     def answer(self, asked: Request) -> DataFrame:
         df = self.table
         for condition in asked.filters:
             df = df.filter(condition.column(condition.dimension))
         groups = [F.col(d) for d in asked.dimensions]
         if asked.time_dimension:
-            groups.append(F.col(grain_name(asked.time_dimension, asked.granularity)))
+            stored = grain_name(asked.time_dimension, self.request.granularity)
+            groups.append(time_grain(df, stored, asked.granularity).alias(grain_name(asked.time_dimension, asked.granularity)))
         aggregates = []
         for measure in asked.measures:
             kind = df.schema[measure].dataType
-            total = F.sum(measure).cast(kind)
+            total = rounded(F.sum(measure), kind)
             if measure in self.counts:
                 total = F.coalesce(total, F.lit(0).cast(kind))
             aggregates.append(total.alias(measure))
         return df.groupBy(*groups).agg(*aggregates) if groups else df.agg(*aggregates)
+
+    def merged(self, gone: DataFrame, come: DataFrame) -> DataFrame:
+        """The rollup without some partial sums and with others: one aggregation of as many rows as it and they have."""
+        kinds = {f.name: f.dataType for f in self.table.schema.fields}
+        numbers = [n for n in self.table.columns if n not in self.request.groups]
+        less = gone.select(*self.request.groups, *[(-F.col(n)).cast(kinds[n]).alias(n) for n in numbers])
+        every = self.table.unionByName(less).unionByName(come.select(*self.table.columns))
+        sums = every.groupBy(*self.request.groups).agg(*[F.sum(n).cast(kinds[n]).alias(n) for n in numbers]).filter(F.col(ROWS) > 0)
+        # a sum over no values is NULL again
+        emptied = {n: F.when(F.col(FILLED + n) > 0, F.col(n)) for n in numbers if FILLED + n in kinds}
+        return sums.withColumns(emptied).select(*self.table.columns)

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions.payload import any_malformed, split_malformed
+from millrace.operators.dedupe import SOURCE_FILE
 from millrace.plans.model import ProcessedModel
 from millrace.plans.processed import PROCESSED
 from millrace.plans.refresh import processed_models, refresh_dependents, run_processed
@@ -131,6 +132,23 @@ def read_landing_stream(
     return with_source(reader.parquet(landing_root))
 
 
+METRICS = "files long, rows long, broken long, status string, failed_model string"
+
+
+def _note_batch(rows: DataFrame, path: str, done: bool, failed_model: str | None) -> None:
+    """Write what a batch brought and how it ended."""
+    broken = F.count_if(F.col(BROKEN)) if BROKEN in rows.columns else F.lit(0).cast("long")
+    counted = rows.agg(F.count_distinct(SOURCE_FILE).alias("files"), F.count(F.lit(1)).alias("rows"), broken.alias("broken"))
+    status = F.when(F.col("rows") == 0, "no_rows").otherwise("complete") if done else F.lit("failed")
+    noted = counted.withColumns({"status": status, "failed_model": F.lit(failed_model).cast("string")})
+    noted.write.mode("overwrite").parquet(path)
+
+
+def read_metrics(spark: SparkSession, metrics: str) -> DataFrame:
+    """``batch, files, rows, broken, status, failed_model``, a row for each batch of a stream."""
+    return spark.read.schema(f"{METRICS}, batch long").parquet(metrics)
+
+
 def stream_files(
     store: TableStore,
     landing_root: str,
@@ -145,6 +163,7 @@ def stream_files(
     replace_parent: bool = False,
     quarantine: str | None = None,
     unique: Unique | None = None,
+    metrics: str | None = None,
 ) -> StreamingQuery:
     """Start a query that upserts arrived files into every model of a stream, then stops.
 
@@ -157,6 +176,10 @@ def stream_files(
     Malformed JSON fails the query, unless ``quarantine`` names a folder: a batch's broken rows then
     lie in its part ``batch=<id>``, written before the tables are and, if the batch is repeated,
     written over. ``unique`` drops repeated and late rows by key and event time before anything else.
+
+    ``metrics`` names a folder for one row a batch (``read_metrics``): files and rows it brought, rows set
+    aside, and ``complete``, ``no_rows`` or ``failed`` with the model it failed in. It is written after the
+    tables are; a batch that is run again writes its row over.
     """
     fed = processed_models(source, stream, models)
     payloads = sorted({p for m in fed for p in m.payloads})
@@ -164,20 +187,27 @@ def stream_files(
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
         if quarantine is not None:  # payloads are checked once, for both sides
             batch = batch.withColumn(BROKEN, any_malformed(payloads))
-        shared = quarantine is not None or len(fed) > 1
+        shared = quarantine is not None or metrics is not None or len(fed) > 1
         kept = batch.persist(StorageLevel.DISK_ONLY) if shared else batch
-        rows = kept
-        if quarantine is not None:
-            broken = kept.filter(BROKEN).drop(BROKEN)
-            broken.write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
-            rows = kept.filter(~F.col(BROKEN)).drop(BROKEN)
-        for model in fed:
-            parts = replace_parent and bool(model.parent)
-            run_processed(store, model, rows, f"{checkpoint}#{batch_id}", guard_version, parts)
-        if on_batch is not None:
-            on_batch(rows, batch_id)
-        if shared:
-            kept.unpersist()
+        at, done = None, False
+        try:
+            rows = kept
+            if quarantine is not None:
+                broken = kept.filter(BROKEN).drop(BROKEN)
+                broken.write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
+                rows = kept.filter(~F.col(BROKEN)).drop(BROKEN)
+            for model in fed:
+                at = model.name
+                run_processed(store, model, rows, f"{checkpoint}#{batch_id}", guard_version, replace_parent and bool(model.parent))
+            at = None
+            if on_batch is not None:
+                on_batch(rows, batch_id)
+            done = True
+        finally:
+            if metrics is not None:
+                _note_batch(kept, f"{metrics}/batch={batch_id}", done, at)
+            if shared:
+                kept.unpersist()
 
     arrived = read_landing_stream(store.spark, landing_root, schema, files_per_batch)
     return (

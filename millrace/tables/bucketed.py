@@ -13,7 +13,7 @@ import functools
 import json
 import uuid
 from collections.abc import Sequence
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -160,6 +160,17 @@ class BucketedTable:
         same = [rows[c].eqNullSafe(keys[c]) for c in keys.columns]
         return rows.join(keys, functools.reduce(lambda a, b: a & b, same), "left_semi")
 
+    def changed_rows(self, since: int, until: int | None = None) -> tuple[DataFrame, DataFrame]:
+        """Rows of the buckets that changed between two versions: as they were, and as they are. Rows
+        in loads that both versions hold are in neither."""
+        old, new = self.head(since), self.head(until)
+        schema = T.StructType.fromJson(json.loads(new.schema))
+        sides = []
+        for one, other in ((old, new), (new, old)):
+            holders = [[load for load in held if load not in kept] for held, kept in zip(one.holders, other.holders)]
+            sides.append(self._rows(replace(one, holders=holders).paths(), schema).drop(BUCKET))
+        return sides[0], sides[1]
+
     def high_water_mark(self, column: str) -> str | None:
         """Largest value of a column as text; reads that column only."""
         return high_water_mark(self.read(), column)

@@ -22,7 +22,7 @@ from millrace.sources.landing import (
     scan_files,
     scan_landing,
 )
-from millrace.streaming import CursorTable, feed_files, land_records, stream_files
+from millrace.streaming import CursorTable, feed_files, land_records, read_metrics, stream_files
 
 UNTIL = dt.date(2024, 12, 31)
 LIST = ("klaviyo", "lists")
@@ -323,3 +323,29 @@ def test_models_run_in_the_order_of_their_tables():
     assert [m.name for m in in_dependency_order([c, b, a])] == ["a", "b", "c"]
     with pytest.raises(ValueError, match="need each other"):
         in_dependency_order([model("x", "y"), model("y", "x")])
+
+
+def test_metrics_of_stream_batches(spark, root, store, tmp_path):
+    """A row for each batch: complete, failed with its model, and complete once it is repeated."""
+    metrics, stop = f"{tmp_path}/metrics", [True]
+    failing = replace(processed.LISTS, name="int_failing", build=lambda df: 1 / 0 if stop else processed.LISTS.build(df))
+
+    def run():
+        query = stream_files(
+            store, root, *LIST, LIST_SCHEMA, f"{tmp_path}/checkpoint", [processed.LISTS, failing], metrics=metrics, quarantine=f"{tmp_path}/aside"
+        )
+        query.awaitTermination()
+
+    def noted():
+        return sorted(tuple(r) for r in read_metrics(spark, metrics).select("batch", "files", "rows", "broken", "status", "failed_model").collect())
+
+    land(spark, root, [("a", "x", 1), ("b", "y", 2)])
+    with pytest.raises(Exception, match="division by zero"):
+        run()
+    assert noted() == [(0, 2, 2, 0, "failed", "int_failing")]
+    stop.clear()
+    run()
+    assert noted() == [(0, 2, 2, 0, "complete", None)]
+    land(spark, root, [("c", "z", 3)], "2.0")
+    run()
+    assert noted() == [(0, 2, 2, 0, "complete", None), (1, 1, 1, 0, "complete", None)]

@@ -4,7 +4,8 @@ from decimal import Decimal
 
 import pytest
 
-from millrace.plans.semantic import Dimension, Filter, Measure, SemanticModel, kind_from_name, models_of
+from millrace.plans.semantic import Dimension, Filter, Measure, SemanticModel, adds_up, kind_from_name, models_of
+from millrace.tables import TableStore
 
 SCHEMA = """order_id long, order_date timestamp_ntz, status string, total_sales decimal(10,2), net_sales decimal(10,2),
     price_currency string, discounts decimal(10,2), year int"""
@@ -89,7 +90,9 @@ def test_rollup_answers_what_it_covers(table, store):
         ({"measures": ["count"], "filters": [Filter("status", "equals", "paid")]}, True),
         ({"measures": ["count"], "filters": [Filter("status", "equals", "void")]}, True),
         ({"measures": ["count"], "dimensions": ["price_currency"]}, False),
-        ({"measures": ["count"], "time_dimension": "order_date", "granularity": "month"}, False),
+        ({"measures": ["count"], "time_dimension": "order_date", "granularity": "month"}, True),
+        ({"measures": ["count"], "time_dimension": "order_date", "granularity": "week"}, True),
+        ({"measures": ["count"], "time_dimension": "order_date", "granularity": "hour"}, False),
         ({"measures": ["count"], "filters": [Filter("year", "equals", 2024)]}, False),
     ):
         plain, answered = model.query(**args), rolled.query(**args)
@@ -119,3 +122,55 @@ def test_models_of_a_store(table, store):
     assert sorted(models) == ["fct_b", "int_a"]
     assert list(models["int_a"].measures) == ["count"] and list(models["fct_b"].measures) == ["count", "total_revenue"]
     assert models["int_a"].dimensions["order_id"].primary_key
+
+
+def test_grains_that_add_up():
+    assert adds_up("month", "day") and adds_up("week", "day") and adds_up("year", "quarter") and adds_up("week", "week")
+    assert not adds_up("month", "week") and not adds_up("week", "month") and not adds_up("day", "month")
+
+
+def test_the_coarsest_rollup_answers(table, store):
+    model, _ = make(table)
+    for name, grain in (("daily", "day"), ("monthly", "month"), ("hourly", "hour")):
+        model = model.build_rollup(store.table(name), ["status"], "order_date", grain)
+    for grain, name in (("year", "monthly"), ("week", "daily"), ("hour", "hourly")):
+        read = model.query(["count"], time_dimension="order_date", granularity=grain).inputFiles()
+        assert read and all(f"/{name}/" in path for path in read)
+
+
+def test_refreshed_rollups(spark, tmp_path):
+    """Rows changed, added and removed, values that become NULL, a group that vanishes: the same as anew,
+    and only changed buckets are read beside the rollup."""
+    store = TableStore(spark, f"{tmp_path}/bucketed", buckets=8)
+    source, kind = store.table("fct_b"), "id int, status string, at timestamp_ntz, price decimal(10,4), amount long"
+    day = [dt.datetime(2024, 1, n) for n in (1, 2, 3)]
+    rows = [(n, "open" if n % 2 else None, day[n % 3], Decimal("0.0049"), n) for n in range(40)] + [(99, "once", day[0], None, None)]
+    source.overwrite(spark.createDataFrame(rows, kind), ["id"])
+    model = SemanticModel.from_table("b", source.read(), "id", versioned=source)
+    model = model.build_rollup(store.table("rollup"), ["status"], "at")
+    assert model.refreshed().rollups[0] == model.rollups[0]  # nothing to do
+    changed = [(1, "open", day[0], Decimal("5"), None), (99, "now", day[0], None, None), (100, "new", None, Decimal("1"), 7)]
+    source.upsert(spark.createDataFrame(changed, kind), ["id"])
+    gone, come = source.changed_rows(1)
+    assert come.count() - gone.count() == 1 and gone.count() < 41
+    now = model.refreshed()
+    anew = SemanticModel.from_table("b", source.read(), "id")
+    for args in ({"dimensions": ["status"]}, {"time_dimension": "at", "granularity": "month"}, {}):
+        answered = now.query(**args)
+        assert sorted(map(str, answered.collect())) == sorted(map(str, anew.query(**args).collect()))
+        assert answered.inputFiles() and all("/rollup/" in path for path in answered.inputFiles())
+    assert "once" not in [r.status for r in now.query(["count"], ["status"]).collect()]
+    source.upsert(spark.createDataFrame([(n, "open", day[0], None, None) for n in range(101)], kind), ["id"])
+    last = now.refreshed().query(dimensions=["status"]).collect()
+    assert [tuple(r) for r in last] == [("open", 101, None)] or [r["total_price"] for r in last] == [None]
+
+
+def test_rollups_of_floating_point_sums_are_computed_anew(spark, tmp_path):
+    store = TableStore(spark, f"{tmp_path}/bucketed", buckets=2)
+    source = store.table("fct_b")
+    source.overwrite(spark.createDataFrame([(1, 0.1), (2, 1e16)], "id int, price double"), ["id"])
+    model = SemanticModel.from_table("b", source.read(), "id", versioned=source).build_rollup(store.table("rollup"), [])
+    source.upsert(spark.createDataFrame([(2, 0.2)], "id int, price double"), ["id"])
+    assert model.refreshed().query(["total_price"]).first()[0] == 0.1 + 0.2
+    with pytest.raises(ValueError):
+        SemanticModel.from_table("b", source.read(), "id").refreshed()
