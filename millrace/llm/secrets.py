@@ -13,9 +13,13 @@ ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?(
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"(?<![0-9a-f])[0-9a-f]{24,}"
 BASE = ("assign", "access", "hex")
-#: Weak parts: a 40-character key that says nothing alone, and the endpoint it may belong to.
+#: Weak parts: a 40-character key that says nothing alone, and the endpoint and identifier it may belong to.
 WEAK = r"(?<![A-Za-z0-9+/=])(?=[A-Za-z0-9+/]{0,39}[0-9+/])(?=[A-Za-z0-9+/]{0,39}[A-Za-z])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=])"
 ENDPOINT = r"(?i:https?|s3|ftp|jdbc:[a-z]+|postgres|mysql|mongodb|redis|amqp)://[A-Za-z0-9._~:@/-]+"
+IDENTIFIER = (
+    r"""(?<![A-Za-z0-9_])(?i:client_?id|user_?name|user|login|access_?key_?id)["']?\x20*[:=]\x20*["']?(?!AKIA)[A-Za-z0-9._@+-]{3,}"""
+    r"|(?<![A-Z0-9])(?:ASIA|AROA|AIDA)[A-Z0-9]{16,}"
+)
 #: Code points around a part within which its complement has to begin.
 SCOPE = 400
 
@@ -59,41 +63,39 @@ def _named(found: Column, nth: int, kind: str) -> Column:
 def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", scope: int = SCOPE) -> DataFrame:
     """Per row: ``key``, ``base`` and ``spans``, arrays of ``(from, nth, until, kind)``, ends exclusive.
 
-    Base kinds are reported wherever they match. A weak key (40 base64 characters) is reported
-    only if an access identifier and an endpoint begin within ``scope`` code points of it, or an
-    access identifier alone does; an endpoint only if both an identifier and a key or assigned
-    secret are in scope. Parts are interval-joined by text and scope cell: identifiers and secrets
-    are spread over the cells that their scope touches, the weak parts look into their own cell
-    by semi-joins, so no pairs are made, however many parts a text holds.
-
-    Only rows with weak parts and identifiers enter the joins, keyed by a digest of the text, one
-    for each different text; the wide scan is written once and holds no text. Null texts are empty
-    texts and have no spans. Repeated rows and ids give a row each. Other columns are left out.
+    Base kinds are reported wherever they match. Weak parts are reported only beside their complement,
+    which has to begin within ``scope`` code points: a weak ``key`` (40 base64 characters) beside an
+    identifier (``access`` or a weak one) or an endpoint; a weak ``identifier`` (a named client, user or
+    key id, or a temporary access identifier) and an ``endpoint`` beside a secret (``assign`` or a weak
+    key). Parts are interval-joined by text and scope cell: complements are spread over the cells that
+    their scope touches, the weak parts look into their own cell by semi-joins, so no pairs are made,
+    however many parts a text holds.
+
+    Every text with a weak part, a secret and something that goes with a secret enters the joins, keyed
+    by a digest of the text, one for each different text; the wide scan is written once and holds no
+    text. Null texts are empty texts and have no spans. Repeated rows and ids give a row each. Other
+    columns are left out; very long texts are searched whole.
     """
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("body"))
     assign = F.filter(
         spans(F.col("body"), ASSIGN), lambda s: F.length(F.regexp_extract(s["text"], ASSIGN, 1)) >= 6
     )
-    weak, ends = spans(F.col("body"), WEAK), spans(F.col("body"), ENDPOINT)
+    scans = [("access", ACCESS), ("hex", HEX), ("key", WEAK), ("endpoint", ENDPOINT), ("identifier", IDENTIFIER)]
     rows = rows.select(
-        "key", "body", _named(assign, 0, "assign").alias("assign"), _named(spans(F.col("body"), ACCESS), 1, "access").alias("access"),
-        _named(spans(F.col("body"), HEX), 2, "hex").alias("hex"),
+        "key", "body", _named(assign, 0, "assign").alias("assign"),
+        *[_named(spans(F.col("body"), pattern), nth, kind).alias(kind if kind != "key" else "weak") for nth, (kind, pattern) in enumerate(scans, 1)],
     )
-    # Weak parts need an identifier beside them, so only texts with one are searched for them.
-    has_id = F.size("access") > 0
+
+    def found(*columns: str) -> Column:
+        return sum((F.size(c) for c in columns), F.lit(0)) > 0
+
+    paired = found("weak", "endpoint", "identifier") & found("assign", "weak") & found("access", "identifier", "endpoint")
     # The others get a key of their own, so that they are spread where rows meet their linked spans.
-    digest = F.when(has_id, F.md5("body")).otherwise(F.concat(F.lit("-"), F.monotonically_increasing_id()))
-    none = F.array().cast("array<struct<from:bigint,nth:int,until:bigint,kind:string>>")
-    wide = rows.select(
-        "key", "assign", "access", "hex", digest.alias("digest"),
-        F.when(has_id, _named(weak, 3, "key")).otherwise(none).alias("weak"),
-        F.when(has_id, _named(ends, 4, "endpoint")).otherwise(none).alias("ends"),
-    )
-    scanned = save(wide, "secrets")
+    digest = F.when(paired, F.md5("body")).otherwise(F.concat(F.lit("-"), F.monotonically_increasing_id()))
+    scanned = save(rows.select("*", digest.alias("digest"), paired.alias("paired")).drop("body"), "secrets")
 
-    texts = scanned.where("size(weak) + size(ends) > 0").groupBy("digest").agg(
-        *[F.any_value(c).alias(c) for c in ("assign", "access", "weak", "ends")]
-    )
+    parts = ("assign", "access", "weak", "endpoint", "identifier")
+    texts = scanned.where("paired").groupBy("digest").agg(*[F.any_value(c).alias(c) for c in parts])
 
     def rows_of(column: str) -> DataFrame:
         return texts.select("digest", F.explode(column).alias("part")).select(
@@ -109,11 +111,10 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", scope
         near = F.abs(F.col("a.at") - F.col("b.other")) <= scope
         return a.join(b, (F.col("a.digest") == F.col("b.digest")) & (F.col("a.cell") == F.col("b.cell")) & near, "left_semi")
 
-    ids = in_scope("access")
-    keys = beside(rows_of("weak"), ids)
-    secrets = in_scope("weak").union(in_scope("assign"))
-    endpoints = beside(beside(rows_of("ends"), ids), secrets)
-    linked = keys.union(endpoints).groupBy("digest").agg(F.collect_list("part").alias("linked"))
+    secrets = in_scope("assign").union(in_scope("weak"))
+    owners = in_scope("access").union(in_scope("identifier")).union(in_scope("endpoint"))
+    weak = beside(rows_of("weak"), owners).union(beside(rows_of("endpoint").union(rows_of("identifier")), secrets))
+    linked = weak.groupBy("digest").agg(F.collect_list("part").alias("linked"))
     base = F.concat("assign", "access", "hex")
     everything = F.when(F.col("linked").isNull(), base).otherwise(F.concat(base, "linked"))
     return scanned.join(linked, "digest", "left").select(
