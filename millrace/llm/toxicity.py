@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
@@ -13,6 +13,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.llm.common import save
 
@@ -22,14 +23,18 @@ _MEMO = 100_000
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample``: labelled rows of each class that patterns and classifier are fitted on, at most
-    (about; drawn by a digest of the id). ``patterns``: the most patterns kept. ``support`` and
-    ``purity``: documents a pattern must be in, and how toxic they must be. ``folds``: voters a
+    """``sample``: labelled rows of each class, at most (about; drawn by a digest of the id), from which
+    the voters' patterns are taken. ``unlabelled``: further rows, with a label or without, that the
+    classifier is fitted on beside them, drawn likewise. ``patterns``: the most patterns kept. ``support`` and
+    ``purity``: toxic documents a pattern must be in, and how toxic its documents must be, with
+    ``doubt`` standard deviations less toxic ones than there are (or words of one text count by chance). ``folds``: voters a
     kind of pattern is dealt to."""
 
     sample: int = 10_000
+    unlabelled: int = 20_000
     patterns: int = 2_000
     support: int = 3
+    doubt: float = 0.5
     purity: float = 0.8
     folds: int = 8
     ridge: float = 0.02
@@ -97,24 +102,35 @@ class Lexicon:
 
 @dataclass
 class LabelModel:
-    """Votes given the label: means by class (accuracies) and one covariance (correlations)."""
+    """Votes given the truth: rates by class (accuracies) and one covariance (correlations). A vote's log
+    odds are divided by the number of voters that go with it, by correlation, so that a copy adds little. A known label is one more
+    voter, with its own accuracies: how often it says toxic of either class."""
 
     prior: float
     toxic: np.ndarray
     clean: np.ndarray
     covariance: np.ndarray
+    label_toxic: float = 0.5
+    label_clean: float = 0.5
 
     def __post_init__(self):
-        self.weights = np.linalg.solve(self.covariance, self.toxic - self.clean)
-        self.offset = float(np.log(self.prior / (1 - self.prior)) - (self.toxic + self.clean) @ self.weights / 2)
+        alike = np.maximum(self.correlations, 0).sum(axis=1)
+        fired, quiet = np.log(self.toxic / self.clean), np.log((1 - self.toxic) / (1 - self.clean))
+        self.weights = (fired - quiet) / np.maximum(alike, 1)
+        self.offset = float(np.log(self.prior / (1 - self.prior)) + (quiet / np.maximum(alike, 1)).sum())
 
     @property
     def correlations(self) -> np.ndarray:
         scale = np.sqrt(np.diag(self.covariance))
         return self.covariance / np.outer(scale, scale)
 
-    def posterior(self, votes: np.ndarray) -> np.ndarray:
-        return sigmoid(votes @ self.weights + self.offset)
+    def posterior(self, votes: np.ndarray, label: np.ndarray | None = None) -> np.ndarray:
+        """Of rows' votes and labels, a label being 1, 0 or, where there is none, NaN."""
+        margin = votes @ self.weights + self.offset
+        if label is not None:
+            says = np.log([(1 - self.label_toxic) / (1 - self.label_clean), self.label_toxic / self.label_clean])
+            margin = margin + np.where(label == 1, says[1], np.where(label == 0, says[0], 0.0))
+        return sigmoid(margin)
 
 
 @dataclass
@@ -154,6 +170,18 @@ def held_out(key: Column) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("null"))) % 5 == 0
 
 
+@F.pandas_udf(T.LongType())
+def _sketch(texts: pd.Series) -> pd.Series:
+    """The least digest of three words in a row: the same for copies, and mostly for near copies."""
+
+    def one(text: str) -> int:
+        words = text.lower().split()
+        rows = {" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))}
+        return min(map(xxhash.xxh64_intdigest, rows)) >> 1
+
+    return texts.map(one).astype("int64")
+
+
 def _count_patterns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start in range(0, batch.num_rows, 512):
@@ -176,7 +204,8 @@ def _choose(sample: DataFrame, spec: Settings) -> Lexicon:
     by_class = {r["gold"]: r["n"] for r in sample.groupBy("gold").agg(F.count("*").alias("n")).collect()}
     n_toxic, n_clean = max(1, by_class.get(1, 0)), max(1, by_class.get(0, 0))
     toxic, clean = F.col("t") / n_toxic, F.col("c") / n_clean
-    pure = sums.where(F.col("t") >= spec.support).where(toxic / (toxic + clean) >= spec.purity)
+    sure = (F.col("t") - spec.doubt * F.sqrt("t")) / n_toxic
+    pure = sums.where(F.col("t") >= spec.support).where(sure / (sure + (F.col("c") + 1) / n_clean) >= spec.purity)
     worth = F.col("t") * F.log((toxic + 0.5 / n_toxic) / (clean + 0.5 / n_clean))
     best = pure.orderBy(worth.desc(), "pattern").limit(spec.patterns).select("pattern").collect()
     return Lexicon(sorted(r["pattern"] for r in best), spec.folds)
@@ -224,7 +253,7 @@ def _estimate(votes: DataFrame, lexicon: Lexicon, spec: Settings) -> LabelModel:
     (n, *m), (n1, *m1), (n0, *m0) = sums[: 3 * (1 + voters)].reshape(3, 1 + voters)
     n, mean = max(n, 1), np.array(m) / max(n, 1)
     # Half a document's worth of doubt keeps empty classes and constant voters finite.
-    toxic, clean = (np.array(m1) + 0.5) / (n1 + 1), (np.array(m0) + 0.5 * mean) / (n0 + 1)
+    toxic, clean = (np.array(m1) + 0.5) / (n1 + 1), (np.array(m0) + 0.5) / (n0 + 1)
     gap = toxic - clean
     prior = float(np.clip((mean - clean) @ gap / max(gap @ gap, 1e-12), 1 / (n + 2), 0.9))
     whole = sums[3 * (1 + voters) :].reshape(voters, voters) / n - np.outer(mean, mean)
@@ -233,19 +262,53 @@ def _estimate(votes: DataFrame, lexicon: Lexicon, spec: Settings) -> LabelModel:
     return LabelModel(prior, toxic, clean, within)
 
 
-def _fit_linear(rows: list[list[int]], target: np.ndarray, size: int, decay: float) -> tuple[np.ndarray, float]:
-    """Logistic regression of soft labels on pattern presence, by accelerated gradient steps."""
-    counts = np.array([len(r) for r in rows], np.int64)
-    flat = np.array([h for r in rows for h in r], np.int64)
-    owner = np.repeat(np.arange(len(rows)), counts)
-    prior = np.clip(target.mean() if len(rows) else 0.01, 1e-3, 1 - 1e-3)
+def _label_moments(model: LabelModel, voters: int):
+    """Of labelled rows: the posterior weight of both classes (by votes alone), all and with label 1."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(4)
+        for batch in batches:
+            belief = model.posterior(_bits(batch.column("mask").to_numpy(), voters))
+            n, gold = batch.column("n").to_numpy().astype(float), batch.column("gold").to_numpy().astype(float)
+            total += [(n * belief).sum(), (n * belief * gold).sum(), (n * (1 - belief)).sum(), (n * (1 - belief) * gold).sum()]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(4)), pa.array(total)], names=["place", "amount"])
+
+    return run
+
+
+def _with_labels(model: LabelModel, votes: DataFrame, lexicon: Lexicon) -> LabelModel:
+    """The label as a voter: its accuracies are what the other voters make of all labelled rows."""
+    known = votes.where("gold is not null")
+    rows = known.mapInArrow(_label_moments(model, lexicon.voters), "place long, amount double")
+    sums = {r["place"]: r["amount"] for r in rows.groupBy("place").agg(F.sum("amount").alias("amount")).collect()}
+    toxic, toxic_said, clean, clean_said = (sums.get(i, 0.0) for i in range(4))
+    return replace(model, label_toxic=(toxic_said + 1) / (toxic + 2), label_clean=(clean_said + 1) / (clean + 2))
+
+
+def _believe(lexicon: Lexicon, model: LabelModel):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            masks = np.array([lexicon.votes(lexicon.hits(t.as_py())) for t in batch.column("body")], np.int64)
+            label = np.array([np.nan if g is None else g for g in batch.column("gold").to_pylist()], float)
+            belief = model.posterior(_bits(masks, lexicon.voters), label)
+            yield pa.RecordBatch.from_arrays([batch.column("body"), pa.array(belief, pa.float64())], names=["body", "belief"])
+
+    return run
+
+
+def _fit_linear(counts: np.ndarray, flat: np.ndarray, target: np.ndarray, size: int, decay: float) -> tuple[np.ndarray, float]:
+    """Logistic regression of soft labels on pattern presence, by accelerated gradient steps; ``flat``
+    holds the patterns of all rows, ``counts`` how many each row has."""
+    rows = len(counts)
+    owner = np.repeat(np.arange(rows), counts)
+    prior = np.clip(target.mean() if rows else 0.01, 1e-3, 1 - 1e-3)
     weights, offset = np.zeros(size), float(np.log(prior / (1 - prior)))
     if not len(flat):
         return weights, offset
     first, second, step = np.zeros(size + 1), np.zeros(size + 1), 0.1
     for i in range(1, 501):
-        margin = np.bincount(owner, weights[flat], len(rows)) + offset
-        error = (sigmoid(margin) - target) / len(rows)
+        margin = np.bincount(owner, weights[flat], rows) + offset
+        error = (sigmoid(margin) - target) / rows
         slope = np.append(np.bincount(flat, error[owner], size) + decay * weights, error.sum())
         first, second = 0.9 * first + 0.1 * slope, 0.99 * second + 0.01 * slope**2
         move = step * (first / (1 - 0.9**i)) / (np.sqrt(second / (1 - 0.99**i)) + 1e-9)
@@ -259,36 +322,50 @@ def train(
     """Fit voters, label model and classifier.
 
     Patterns (words and word beginnings) that mark toxic documents are counted in a bounded sample
-    of labelled rows (``Settings.sample`` of each class, copies of a text once) and dealt to
-    voters. All documents vote: the label model takes the voters' accuracies from labelled ones, the
-    prior and the correlations from all. The classifier is fitted on the sample's posteriors, which
-    are the known labels where there are any. Held-out rows' labels are never read.
-
-    Null labels and ids are not learned from; of several labels of an id the highest holds. Null
-    and empty texts have no votes. Without labelled rows of both classes there are no patterns and
-    every score is the prior. Other columns are not used.
+    of labelled rows (``Settings.sample`` of each class) and dealt to voters. All documents vote: the
+    label model takes the voters' accuracies from labelled ones, the prior and the correlations from
+    all, and then weighs the labels themselves, as one more voter that may be wrong. The classifier
+    sees no label: it is fitted on the model's posteriors of the labelled sample and of a bounded
+    sample of all documents that are not held out (``Settings.unlabelled``), on the voters' patterns and
+    those that these posteriors choose anew, so that words of unlabelled documents count too. Held-out rows are not
+    learned from at all but for the votes' means and correlations, which use no label.
+
+    Null labels and ids are not learned from; of several labels of an id, and of a text that several
+    ids have, the highest holds; an id with several texts counts once, with the first in order. Null
+    and empty texts have no votes; very long ones are read whole. Without labelled rows of both
+    classes there are no patterns and every score is the prior. Other columns are not used.
     """
     gold = save(training_labels(labels, key, label), "gold")
     sizes = {r["gold"]: r["n"] for r in gold.groupBy("gold").agg(F.count("*").alias("n")).collect()}
-    share = F.when(F.col("gold") == 1, spec.sample / max(1, sizes.get(1, 0))).otherwise(spec.sample / max(1, sizes.get(0, 0)))
-    drawn = gold.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < share * (1 << 30))
+
+    def share(most: int, of: int) -> Column:
+        return F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < F.lit(most / max(1, of) * (1 << 30))
+
+    drawn = gold.where(F.when(F.col("gold") == 1, share(spec.sample, sizes.get(1, 0))).otherwise(share(spec.sample, sizes.get(0, 0))))
     rows = docs.select(F.col(key).alias("id"), F.coalesce(text, F.lit("")).alias("body"))
-    # About 2 x Settings.sample narrow rows at most, whatever the input.
-    sample = save(rows.join(F.broadcast(drawn), "id").dropDuplicates(["body"]), "sample")
-    lexicon = _choose(sample, spec)
+    # Settings.sample rows of each class and Settings.unlabelled others at most, whatever the input.
+    learnt = rows.where(F.col("id").isNotNull() & ~held_out(F.col("id"))).join(F.broadcast(drawn), "id", "left")
+    learnt = learnt.where(F.col("gold").isNotNull() | share(spec.unlabelled, docs.count()))
+    learnt = learnt.groupBy("id").agg(F.min("body").alias("body"), F.max("gold").alias("gold"))
+    families = learnt.groupBy(_sketch("body").alias("sketch")).agg(F.min("body").alias("body"), F.max("gold").alias("gold"))
+    sample = save(families.drop("sketch"), "sample")
+    lexicon = _choose(sample.where("gold is not null"), spec)
 
     voted = save(rows.mapInArrow(_vote(lexicon), "id long, mask long"), "voted")
-    votes = voted.join(gold, "id", "left").groupBy("mask", "gold").agg(F.count("*").alias("n"))
-    model = _estimate(save(votes, "votes"), lexicon, spec)
+    votes = save(voted.join(gold, "id", "left").groupBy("mask", "gold").agg(F.count("*").alias("n")), "votes")
+    model = _with_labels(_estimate(votes, lexicon, spec), votes, lexicon)
+    if not lexicon.patterns:
+        return Classifier(lexicon, model, np.zeros(0), float(np.log(model.prior / (1 - model.prior))))
+
+    believed = save(sample.mapInArrow(_believe(lexicon, model), "body string, belief double"), "believed")
+    chosen = _choose(believed.withColumn("gold", (F.col("belief") >= 0.5).cast("int")), spec)
+    features = Lexicon(sorted({*lexicon.patterns, *chosen.patterns}), spec.folds)
 
     @F.pandas_udf("array<int>")
     def hits(texts: pd.Series) -> pd.Series:
-        return pd.Series([lexicon.hits(t) for t in texts])
-
-    fitted = sample.select(hits("body").alias("hits"), "gold").collect()
-    target = np.array([r["gold"] for r in fitted], float)
-    masks = np.array([lexicon.votes(list(r["hits"])) for r in fitted], np.int64)
-    if len(fitted):  # the label is one more, trusted voter of a row that has it
-        target = 0.9 * target + 0.1 * model.posterior(_bits(masks, lexicon.voters))
-    weights, offset = _fit_linear([list(r["hits"]) for r in fitted], target, len(lexicon.patterns), spec.decay)
-    return Classifier(lexicon, model, weights, offset)
+        return pd.Series([features.hits(t) for t in texts])
+
+    fitted = believed.select(hits("body").alias("hits"), "belief").toArrow()
+    found, target = fitted.column("hits").combine_chunks(), fitted.column("belief").to_numpy()
+    weights, offset = _fit_linear(found.value_lengths().to_numpy(), found.flatten().to_numpy(), target, len(features.patterns), spec.decay)
+    return Classifier(features, model, weights, offset)

@@ -210,6 +210,34 @@ def test_label_model_finds_accuracies_and_correlations(spark):
     assert abs(model.weights[1]) < abs(model.weights[2])  # the copy adds little
 
 
+def test_posteriors_choose_patterns_of_unlabelled_documents(spark):
+    """A word that no labelled document has, beside words that are known, and labels that are wrong; copies
+    with different labels give the same result however the rows lie."""
+    dice = np.random.default_rng(3)
+    toxic = ["wretch", "vermin", "cretin", "oaf"]
+    plain = [f"calm{i:02d}" for i in range(60)]
+    texts, truth = [], []
+    for i in range(3000):
+        words, bad = list(dice.choice(plain, 12)), bool(dice.random() < 0.2)
+        if bad:
+            words[::4] = dice.choice(toxic, 3)
+            if i >= 1000:  # from here on nothing is labelled
+                words[1] = "snollygoster"
+        texts.append(" ".join(words)), truth.append(bad)
+    gold = [(i, int(t != (i % 25 == 0))) for i, t in enumerate(truth[:1000])]  # every 25th label is wrong
+    texts += ["a wretch and a cretin"] * 4
+    gold += [(3000, 1), (3001, 0), (3002, 1), (3003, 0)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame(gold, "doc_id long, toxic int")
+    model = toxicity.train(docs.repartition(5), labels)
+    assert "word:snollygoster" in model.lexicon.numbers  # chosen by posteriors, no labelled row has it
+    scores = [r.s for r in docs.orderBy("doc_id").select(model.score(F.col("text")).alias("s")).collect()]
+    assert np.mean([(s >= 0.5) == t for s, t in zip(scores, truth)]) >= 0.99
+    assert model.label_model.label_toxic > 0.85 and model.label_model.label_clean < 0.1
+    again = toxicity.train(docs.repartition(3, "text"), labels.orderBy("toxic"))
+    assert np.allclose(sorted(again.weights), sorted(model.weights), atol=1e-6) and again.lexicon.patterns == model.lexicon.patterns
+
+
 def test_toxicity_on_odd_input(spark):
     docs = spark.createDataFrame([(i, f"you are a wretch {i}" if i % 3 == 0 else f"fine day {i}", "x") for i in range(300)] + [(900, None, "x"), (901, "", "x"), (None, "are you a wretch", "x"), (3, "you are a wretch 3", "x")], "doc_id long, text string, score string")
     labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(200)] + [(None, 1), (5, None), (3, 1)], "doc_id long, toxic int")
