@@ -6,11 +6,13 @@ import datetime as dt
 import uuid
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from millrace import files
 from millrace.operators.dedupe import row_hash
+from millrace.operators.increment import newer_than
 from millrace.sources.contracts import StreamContract
 from millrace.sources.landing import append_landing, extract_increment
 from millrace.streaming.cursors import EXTRACTS, CursorTable
@@ -51,18 +53,30 @@ def land_records(
     fields = tuple(f for f in contract.fields if f in records.columns)
     if dry_run:
         return LandResult("dry_run", cursor=state, fields=fields)
+    since = F.col(contract.cursor_field) >= F.lit(state).cast(records.schema[contract.cursor_field].dataType)
+    fresh = records.filter(since).persist(StorageLevel.DISK_ONLY)  # the source is read once for all that follows
+    try:
+        return _land(store, fresh, contract, root, cursors, state, fields)
+    finally:
+        fresh.unpersist()
+
+
+def _land(
+    store: TableStore, records: DataFrame, contract: StreamContract, root: str, cursors: CursorTable, state: str, fields: tuple[str, ...]
+) -> LandResult:
     names = contract.primary_key if contract.primary_key and set(contract.primary_key) <= set(records.columns) else records.columns
     identity = F.sha2(F.to_json(F.struct(*names)), 256)
-    fresh, cursor = extract_increment(records.withColumn(SEEN, identity), contract.cursor_field, state)
+    fresh, cursor = extract_increment(records, contract.cursor_field, state)
+    position, kind = F.col(contract.cursor_field), fresh.schema[contract.cursor_field].dataType
     seen_at = cursors.boundary(contract.source, contract.stream)
-    at_cursor = fresh.filter(F.col(contract.cursor_field) == F.lit(cursor).cast(fresh.schema[contract.cursor_field].dataType)).select(SEEN)
-    if seen_at is not None:
+    at_cursor = fresh.filter(position == F.lit(cursor).cast(kind)).select(identity.alias(SEEN))
+    if seen_at is not None:  # only records at the last value may have been there before
         seen = store.spark.read.schema(f"{SEEN} string").parquet(seen_at)
-        last = fresh[contract.cursor_field] == F.lit(state).cast(fresh.schema[contract.cursor_field].dataType)
-        fresh = fresh.join(seen, last & (fresh[SEEN] == seen[SEEN]), "left_anti")
+        last = fresh.filter(position == F.lit(state).cast(kind)).withColumn(SEEN, identity)
+        newer = fresh.filter(newer_than(fresh, contract.cursor_field, state))
+        fresh = newer.unionByName(last.join(seen, SEEN, "left_anti").drop(SEEN))
         if cursor == state:
             at_cursor = at_cursor.unionByName(seen)
-    fresh = fresh.drop(SEEN)
     if cursor == state and fresh.isEmpty():  # nothing newer, and nothing else at the cursor
         return LandResult("success", cursor=cursor, fields=fields)
     now = store.clock().astimezone(dt.timezone.utc)

@@ -302,6 +302,25 @@ def test_extract_run(spark, store, tmp_path):
     assert rows(processed.ERP_ORDER_LINES(whole).select("line_id", "sku")) == [(2, "b"), (3, "c"), (4, "d"), (6, "f")]
 
 
+def test_extraction_reads_its_source_once(spark, store, tmp_path):
+    contract = replace(CONTRACTS["odoo", "order_lines"], initial_value="2024-01-02")
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    schema = "id long, write_date string, sku string"
+    first = [(1, "2024-01-01", "a"), (2, "2024-01-02", "b"), (3, "2024-01-05", "c")]
+    for records, landed in ((first, 2), ([*first, (4, "2024-01-05", "d"), (4, "2024-01-05", "d"), (5, "2024-01-07", "e"), (6, None, "f")], 3)):
+        before = read.value
+        source = spark.createDataFrame(records, schema).mapInArrow(counted, schema)
+        assert land_records(store, source, contract, f"{tmp_path}/raw").records == landed
+        assert read.value - before == len(records)
+    assert rows(scan_landing(spark, f"{tmp_path}/raw").select("id")) == [(2,), (3,), (4,), (4,), (5,)]
+
+
 def test_extract_needs_an_initial_value_and_selection(spark, store, tmp_path):
     contract = CONTRACTS["odoo", "orders"]
     assert land_records(store, spark.range(1), replace(contract, selected=False), f"{tmp_path}/raw").status == "skipped"
