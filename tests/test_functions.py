@@ -4,6 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.catalogue import inputs
 from millrace.functions import date_label, json_text, json_texts, natural_key, partition_date, to_bigint, to_boolean, to_money
 from millrace.functions.payload import json_texts, payload, split_malformed
 
@@ -117,3 +118,15 @@ def test_malformed_json(spark):
         good.select(json_texts(F.col("j"), ["a", "b"], strict=True)["a"]).collect()
     whole = spark.createDataFrame([('{"b": {"c": [1, "x"]}}',)], "j string")
     assert whole.select(json_texts(F.col("j"), ["a", "b"])["b"].alias("b")).first()["b"] == '{"c":[1,"x"]}'
+
+
+def test_small_files_are_spread_before_they_get_payloads(spark, tmp_path):
+    spark.range(3).selectExpr(
+        "id AS c_custkey", "concat('Customer#', id) AS c_name", "id AS c_nationkey", "1.0D AS c_acctbal", "'m' AS c_mktsegment"
+    ).coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(3).selectExpr("id AS n_nationkey", "'n' AS n_name", "id AS n_regionkey").write.parquet(f"{tmp_path}/nation.parquet")
+    spark.range(3).selectExpr("id AS r_regionkey", "'r' AS r_name").write.parquet(f"{tmp_path}/region.parquet")
+    for stream in (inputs.customers, inputs.profiles, inputs.lists):
+        plan = stream(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+        assert plan.index("Generate explode") < plan.index("REPARTITION_BY_COL")
+        assert "BroadcastHashJoin" not in plan or "BuildRight" in plan and "BuildLeft" not in plan
