@@ -218,4 +218,4 @@ def infer_nested_fields(spark, sf_dir):
         F.expr("substring(%s, 2, length(%s) - 2)" % (("to_json(array(c_mktsegment))",) * 2)), F.lit(","),
         F.expr("substring(%s, 2, length(%s) - 2)" % (("to_json(array(named_struct('n', c_acctbal)))",) * 2)), F.lit("]}}"),
     )
-    return infer_nested(i.table(spark, sf_dir, "customer").select(record.alias("record")), "record")
+    return infer_nested(i.spread(i.table(spark, sf_dir, "customer"), "c_custkey").select(record.alias("record")), "record")

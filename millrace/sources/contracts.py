@@ -8,10 +8,14 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.session import work_dir
+
+#: Levels below the first that nested inference looks at in its first pass.
+DEPTH = 4
 SCALARS = {
     "integer": T.LongType(),
     "number": T.DoubleType(),
@@ -203,22 +207,38 @@ def infer_fields(df: DataFrame, column: str, first_only: Column | None = None) -
 
 def infer_nested(df: DataFrame, column: str) -> DataFrame:
     """The same for all depths: ``a.b`` is property b of the objects in a, ``a[]`` an item of the
-    arrays in a. ``present`` counts occurrences. One level is one more step over the level above,
-    until no record has another one."""
-    level = _entries(df, column, F.lit(0))
-    found = level
+    arrays in a. ``present`` counts occurrences. All levels are found in one pass over the records; if some
+    go deeper than it looks, in another one that looks twice as deep."""
+    depth = DEPTH
     while True:
-        kind = F.schema_of_variant(F.col("value"))
-        objects = level.filter(kind.startswith("OBJECT")).select(
-            "pos", "field", F.explode(F.col("value").cast("map<string,variant>")).alias("key", "inner")
-        )
-        items = level.filter(kind.startswith("ARRAY")).select("pos", "field", F.explode(F.col("value").cast("array<variant>")).alias("inner"))
-        level = objects.select("pos", F.concat_ws(".", "field", "key").alias("field"), F.col("inner").alias("value")).union(
-            items.select("pos", F.concat("field", F.lit("[]")).alias("field"), F.col("inner").alias("value"))
-        )
-        if level.isEmpty():
-            return _described(found, False)
-        found = found.union(level)
+        level, deeper = _entries(df, column, F.lit(0)).withColumn("last", F.lit(True)), Observation()
+        for _ in range(depth):
+            level = level.select("pos", F.inline(_with_parts()))
+        seen = level.observe(deeper, F.bool_or(F.col("last") & (F.size(_parts()) > 0)).alias("any"))
+        described, path = _described(seen, False), work_dir(df.sparkSession, "fields")
+        described.write.parquet(path)
+        if not deeper.get["any"]:
+            return df.sparkSession.read.schema(described.schema).parquet(path)
+        depth *= 2
+
+
+def _parts() -> Column:
+    """``field, value, last`` of the properties or items in a value; empty for any other."""
+    field, none = F.col("field"), F.array().cast("array<struct<field:string,value:variant,last:boolean>>")
+
+    def part(name: Column, value: Column) -> Column:
+        return F.struct(name.alias("field"), value.alias("value"), F.lit(True).alias("last"))
+
+    properties = F.map_entries(F.try_variant_get("value", "$", "map<string,variant>"))
+    items = F.try_variant_get("value", "$", "array<variant>")
+    named = F.transform(properties, lambda p: part(F.concat_ws(".", field, p["key"]), p["value"]))
+    return F.coalesce(named, F.transform(items, lambda i: part(F.concat(field, F.lit("[]")), i)), none)
+
+
+def _with_parts() -> Column:
+    """A value and, if it is one of the deepest so far, what it holds, which then are the deepest."""
+    itself = F.array(F.struct("field", "value", F.lit(False).alias("last")))
+    return F.when(F.col("last"), F.concat(itself, _parts())).otherwise(itself)
 
 
 def fields_of(rows: Sequence[tuple[str, str, str | None]]) -> dict[str, dict[str, Any]]:

@@ -135,6 +135,28 @@ def test_nested_inference_and_schemas_both_ways(spark):
     assert [r.id for r in rows.collect()] == [1, 2]
 
 
+def test_nested_inference_reads_the_records_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    def kinds(records):
+        df = spark.createDataFrame([(r,) for r in records], "record string").mapInArrow(counted, "record string")
+        return {(r.field, r.type, r.present) for r in infer_nested(df, "record").collect()}
+
+    found = kinds(['{"a":{"b":[{"c":1},null,[]]},"e":null}', '{"a":{"b":{}}}', None])
+    assert found == {
+        ("a", "object", 2), ("a.b", "string", 2), ("a.b[]", "string", 3), ("a.b[].c", "integer", 1), ("e", "string", 1),
+    }
+    assert read.value == 3
+    deep = '{"k":' * 11 + "[[7]]" + "}" * 11
+    names = [".".join(["k"] * n) for n in range(1, 12)]
+    assert {f for f, _, _ in kinds([deep])} == {*names, names[-1] + "[]", names[-1] + "[][]"}
+
+
 def test_records_that_are_no_objects_are_an_error(spark):
     for bad in ("oops", "[1]", '{"a":1,"a":2}'):
         df = spark.createDataFrame([('{"a":1}',), (bad,)], "record string")
