@@ -130,3 +130,12 @@ def test_small_files_are_spread_before_they_get_payloads(spark, tmp_path):
         plan = stream(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
         assert plan.index("Generate explode") < plan.index("REPARTITION_BY_COL")
         assert "BroadcastHashJoin" not in plan or "BuildRight" in plan and "BuildLeft" not in plan
+
+
+def test_tasks_read_few_bytes_of_given_tables(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(inputs, "READ_BYTES", "20k")
+    spark.range(20_000).coalesce(1).write.option("parquet.block.size", 16_000).parquet(f"{tmp_path}/orders.parquet")
+    try:
+        assert inputs.table(spark, str(tmp_path), "orders").rdd.getNumPartitions() > 1
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
