@@ -55,5 +55,5 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def to_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document of the mix in the token files, read back: where its ids start, how many they are, and their digest."""
     _batches_of_texts(spark)
-    read = token_table(docs, word_tokenizer())
+    read = token_table(docs, word_tokenizer(), last=True)
     return read.select(F.col("key").alias("doc_id"), "file", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))

@@ -9,6 +9,8 @@ frames that hold the documents it wants.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import re
 import struct
@@ -211,6 +213,17 @@ def _tokenizer(path: str, plain: bool = False):
     return tokenizer, _Words(tokenizer)
 
 
+def _forget_words() -> None:
+    """Give back what a worker process remembers of words, which stays in memory for as long as Spark keeps the process."""
+    _tokenizer.cache_clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (AttributeError, OSError):  # another C library gives memory back by itself or not at all
+        pass
+
+
 class Encoder:
     """Ids of whole texts as bytes, for byte-level tokenizers that drop white space, never join across
     it, and cut texts, in lower case, into runs of letters, digits and other characters.
@@ -286,8 +299,10 @@ _READ = pa.schema([
 ])
 
 
-def _read(folder: str, wanted: frozenset[int] | None):
+def _read(folder: str, wanted: frozenset[int] | None, last: bool = False):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if last:
+            _forget_words()
         fs, base = filesystem(folder)
         for batch in batches:
             for file, first in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -309,19 +324,20 @@ def _read(folder: str, wanted: frozenset[int] | None):
     return run
 
 
-def read_token_files(files: DataFrame, folder: str, keys: Iterable[int] | None = None) -> DataFrame:
+def read_token_files(files: DataFrame, folder: str, keys: Iterable[int] | None = None, last: bool = False) -> DataFrame:
     """``file``, ``number`` in it, ``key``, ``start`` over all files, ``n_tokens`` and ``ids`` (little-endian
-    unsigned 32-bit integers) of all documents, or of those with the given keys; a task reads a file at a time."""
+    unsigned 32-bit integers) of all documents, or of those with the given keys; a task reads a file at a time.
+    ``last``: nothing is written after this, so the processes forget the words they have met."""
     count = max(1, files.count())
     rows = files.select("file", "base").repartition(count)
     wanted = None if keys is None else frozenset(keys)
-    return rows.mapInArrow(_read(folder, wanted), "file string, number long, key long, start long, n_tokens long, ids binary")
+    return rows.mapInArrow(_read(folder, wanted, last), "file string, number long, key long, start long, n_tokens long, ids binary")
 
 
 def token_table(
-    docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", end_id: int = 2, plain: bool = False
+    docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", end_id: int = 2, plain: bool = False, last: bool = False
 ) -> DataFrame:
     """Write the files to a new shared folder and read them back."""
     folder = work_dir(docs.sparkSession, "tokens")
-    return read_token_files(write_token_files(docs, folder, tokenizer, key, text, end_id, plain), folder)
+    return read_token_files(write_token_files(docs, folder, tokenizer, key, text, end_id, plain), folder, last=last)
 

@@ -131,6 +131,17 @@ def test_words_encode_as_whole_texts(texts):
     assert list(tf.Encoder(word_tokenizer(), 2).encode(texts)) == whole(texts)
 
 
+def test_words_are_forgotten_at_the_last_read(spark, tmp_path):
+    df = spark.createDataFrame([(1, "some words"), (2, None)], "doc_id long, text string")
+    files = tf.write_token_files(df, f"file:{tmp_path}/tokens", word_tokenizer()).select("file", "base").toArrow().to_batches()
+    for last in (False, True):
+        words = tf._tokenizer(word_tokenizer())[1]
+        assert words[b"some"] and words[b"some"] and words
+        read = [r for b in tf._read(f"file:{tmp_path}/tokens", None, last)(files) for r in b.to_pylist()]
+        assert (tf._tokenizer.cache_info().currsize == 0) == last
+        assert [r["ids"] for r in read] == whole(["some words", ""])
+
+
 def test_token_files_round_trip(spark, sf_dir, monkeypatch):
     docs = [(i, TEXTS[i % len(TEXTS)]) for i in range(300)] + [(None, "null key"), (5, "again"), (5, "again")]
     df = spark.createDataFrame([(*d, 1) for d in docs], "doc_id long, text string, start int")
