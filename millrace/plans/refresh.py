@@ -53,6 +53,7 @@ def run_processed(
         guard_version=model.version if guard_version else None,
         also_delete=also_delete,
         ranges=(model.version,),
+        grouped=True,
     )
 
 
@@ -61,8 +62,8 @@ def refresh_fact(store: TableStore, model: EnrichedModel, full: bool = False) ->
     table = store.table(model.name)
     if full or not table.exists():
         rows = model.build(Context(store))
-        return table.overwrite(rows, model.keys, operation="full refresh", ranges=(model.version,))
-    return table.upsert(model.build(Context(store, table)), model.keys, ranges=(model.version,))
+        return table.overwrite(rows, model.keys, operation="full refresh", ranges=(model.version,), grouped=True)
+    return table.upsert(model.build(Context(store, table)), model.keys, ranges=(model.version,), grouped=True)
 
 
 def in_dependency_order(models: Sequence[EnrichedModel]) -> list[EnrichedModel]:

@@ -275,8 +275,9 @@ class VersionedTable:
         batch_id: str | None = None,
         operation: str = "overwrite",
         ranges: Sequence[str] = (),
+        grouped: bool = False,
     ) -> int:
-        """Replace all rows; earlier versions stay readable."""
+        """Replace all rows; earlier versions stay readable. ``grouped`` is not needed here."""
         expected = self.current_version()
         folder = self._stage(df, "full", keys)
         removed = [r["path"] for r in self.files_at().select("path").toLocalIterator()] if expected else []
@@ -297,6 +298,7 @@ class VersionedTable:
         guard_version: str | None = None,
         also_delete: DataFrame | None = None,
         ranges: Sequence[str] = (),
+        grouped: bool = False,
     ) -> int:
         """Delete+insert: rows whose key is in the batch go, all rows of the batch come in.
 
@@ -306,7 +308,7 @@ class VersionedTable:
         in the batch and NULL keys, which match nothing, are not touched by that. ``also_delete``
         holds further keys (any subset of columns) whose rows go. A batch id that was committed
         before is skipped. ``ranges`` names columns, beside the keys, whose range per file the
-        log should hold.
+        log should hold; ``grouped`` is not needed here.
         """
         expected = self.current_version()
         if batch_id is not None and self.has_batch(batch_id):

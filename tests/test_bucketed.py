@@ -1,5 +1,7 @@
 """Keyed tables in hash buckets."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -158,3 +160,47 @@ def test_empty_batches_and_tables(spark, store):
     table.upsert(batch(spark, [(1, 1, "a")]), ["k"], guard_version="v")
     table.upsert(batch(spark, []), ["k"], guard_version="v")
     assert rows(table.read()) == [(1, 1, "a")]
+
+
+def test_many_batches_are_written_once_and_rewritten_seldom(spark, store):
+    """A table grown by batches of all buckets: what is written grows with the batches, not with their square."""
+    table, count = store.table("t"), 12
+    for n in range(count):
+        keys = spark.range(n * 4_000, n * 4_000 + 6_000)
+        table.upsert(keys.select(F.col("id").alias("k"), F.lit(n).alias("v"), F.col("id").cast("string").alias("x")), ["k"], f"b#{n}", "v")
+    written = sum(spark.read.parquet(f"{table.data_path}/{name}").count() for name in files.child_names(spark, table.data_path))
+    assert written <= 4 * 6_000 * count  # was 7.7 times when every batch rewrote the table
+    found = table.read()
+    assert found.count() == found.select("k").distinct().count() == count * 4_000 + 2_000
+    assert found.filter("v <> least(11, k div 4000)").count() == 0
+
+
+@pytest.mark.parametrize("guard", [None, "v"])
+def test_batches_beside_a_table_read_as_if_each_had_been_merged(spark, store, guard):
+    dice = random.Random(5)
+
+    def some(count):
+        pick = lambda values: dice.choice(values)
+        return [(pick([None, 1, 2, 3, 4, 5]), pick([None, 1, 2, 3, 4]), f"{dice.random()}") for _ in range(count)]
+
+    first = some(200) + [(k, 1, f"{k} {dice.random()}") for k in range(100, 6_000)]
+    table, kept = store.table("t"), first
+    table.overwrite(batch(spark, first), ["k"])
+    newest = lambda rows, k: max((v for key, v, _ in rows if key == k and v is not None), default=-1)
+    for n in range(5):
+        data = some(dice.choice([0, 3, 6]))
+        table.upsert(batch(spark, data), ["k"], guard_version=guard)
+        before, keys = kept, {k for k, _, _ in data if k is not None}
+        if guard is None:
+            kept = [r for r in before if r[0] not in keys] + data
+        else:
+            rank = lambda v: -1 if v is None else v
+            stay = [r for r in before if r[0] not in keys or rank(r[1]) > newest(data, r[0])]
+            kept = stay + [r for r in data if r[0] is None or rank(r[1]) >= newest(before, r[0])]
+        assert rows(table.read()) == sorted(kept, key=repr)
+    assert table.head().pending
+    assert rows(table.read(1)) == sorted(first, key=repr)
+    table.append(batch(spark, [(1, 0, "appended")]))
+    assert rows(table.read()) == sorted([*kept, (1, 0, "appended")], key=repr)
+    gone, come = table.changed_rows(1)
+    assert sorted(first + rows(come), key=repr) == sorted(rows(gone) + rows(table.read()), key=repr)
