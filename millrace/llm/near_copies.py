@@ -255,6 +255,7 @@ def _sets(spec: Signature):
                 rows = batch.slice(start, 256)
                 values = [shingles(t.as_py(), spec.shingle).tobytes() for t in rows.column(1)]
                 yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(values, pa.binary())], names=["node", "shingles"])
+        _hashes.clear()
 
     return run
 
@@ -273,6 +274,7 @@ def _confirm(spec: Signature):
                 shared = len(np.intersect1d(kept, other, assume_unique=True))
                 verdicts.append(bool(shared) and 100 * shared >= spec.percent * (len(kept) + len(other) - shared))
             yield batch.select([0, 1]).filter(pa.array(verdicts, pa.bool_()))
+        _hashes.clear()
 
     return run
 

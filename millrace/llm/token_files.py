@@ -248,8 +248,10 @@ class Encoder:
 _WRITTEN = pa.schema([("file", pa.string()), ("part", pa.int32()), ("docs", pa.int64()), ("tokens", pa.int64())])
 
 
-def _write(folder: str, tokenizer: str, end_id: int, plain: bool):
+def _write(folder: str, tokenizer: str, end_id: int, plain: bool, last: bool = False):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if last:  # also what the stages before have left
+            _forget_words()
         task = TaskContext.get()
         fs, base = filesystem(folder)
         name = f"part-{task.partitionId():06d}.zst"
@@ -264,6 +266,9 @@ def _write(folder: str, tokenizer: str, end_id: int, plain: bool):
                         writer.add(key, ids)
                         docs += 1
             tokens = writer.finish()
+        if last:  # Spark hands the next task to the process that has waited longest, and each would hold its words
+            del encoder, writer.compressor
+            _forget_words()
         if not docs:
             fs.delete_file(hidden)
             return
@@ -274,14 +279,16 @@ def _write(folder: str, tokenizer: str, end_id: int, plain: bool):
 
 
 def write_token_files(
-    docs: DataFrame, folder: str, tokenizer: str, key: str = "doc_id", text: str = "text", end_id: int = 2, plain: bool = False
+    docs: DataFrame, folder: str, tokenizer: str, key: str = "doc_id", text: str = "text", end_id: int = 2, plain: bool = False,
+    last: bool = False,
 ) -> DataFrame:
     """Write the ids of all documents in ascending order of key; the files as a written table.
 
     Documents are range-partitioned by key, so files are in order and every task writes one; a file
     appears by a rename when it is complete. Equal keys are ordered by text, null keys come first. A
     null text is empty: only the end id. ``plain``: special tokens in a text are encoded as text (see
-    :class:`Encoder`). The table has ``file``, ``part``, ``docs``, ``tokens`` and
+    :class:`Encoder`). ``last``: processes that have run other stages forget their words after each file, which
+    costs a new start for each and holds them for running tasks only. The table has ``file``, ``part``, ``docs``, ``tokens`` and
     ``base``, the number of ids in all files before (one row a file).
     """
     fs, base = filesystem(folder)
@@ -289,7 +296,7 @@ def write_token_files(
     rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(text, F.lit("")).alias("body"))
     order = [F.col("key").asc_nulls_first(), F.col("body")]
     rows = rows.repartitionByRange(order[0], F.xxhash64("body")).sortWithinPartitions(*order)
-    written = save(rows.mapInArrow(_write(folder, tokenizer, end_id, plain), "file string, part int, docs long, tokens long"), "files")
+    written = save(rows.mapInArrow(_write(folder, tokenizer, end_id, plain, last), "file string, part int, docs long, tokens long"), "files")
     before = F.sum("tokens").over(Window.orderBy("part")) - F.col("tokens")
     return save(written.withColumn("base", before), "manifest")
 
@@ -339,5 +346,5 @@ def token_table(
 ) -> DataFrame:
     """Write the files to a new shared folder and read them back."""
     folder = work_dir(docs.sparkSession, "tokens")
-    return read_token_files(write_token_files(docs, folder, tokenizer, key, text, end_id, plain), folder, last=last)
+    return read_token_files(write_token_files(docs, folder, tokenizer, key, text, end_id, plain, last), folder, last=last)
 

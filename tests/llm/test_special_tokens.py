@@ -46,3 +46,21 @@ def test_words_and_pieces_are_encoded_as_whole_texts(monkeypatch):
         got = [ids for i in range(0, len(texts), 16) for ids in encoder.encode(texts[i : i + 16])]
         assert got == want
         assert 0 < len(words) <= memory and len(words.pieces) <= memory
+
+
+def test_processes_keep_no_words_after_the_last_stage_or_whole_sets(monkeypatch, tmp_path):
+    import types
+
+    import pyarrow as pa
+
+    from millrace.llm import near_copies
+
+    monkeypatch.setattr(tf, "TaskContext", types.SimpleNamespace(get=lambda: types.SimpleNamespace(partitionId=lambda: 0, taskAttemptId=lambda: 0)))
+    docs = pa.RecordBatch.from_pydict({"key": [1, 2], "body": ["some words", "and more of some words"]})
+    for last, held in ((False, 1), (True, 0)):
+        made = list(tf._write(f"file:{tmp_path}", word_tokenizer(), 2, False, last)(iter([docs])))
+        assert made[0].column("docs").to_pylist() == [2] and tf._tokenizer.cache_info().currsize == held
+    spec = near_copies.Signature()
+    assert len(list(near_copies._sets(spec)(iter([docs])))) == 1 and not near_copies._hashes
+    pairs = pa.RecordBatch.from_pydict({"a": [1], "b": [2], "x": ["some words"], "y": ["some words"]})
+    assert list(near_copies._confirm(spec)(iter([pairs])))[0].num_rows == 1 and not near_copies._hashes
