@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from millrace.llm.common import release_memory
 from millrace.llm.fm_index import FMIndex
 
 #: Words of a window, and words of documents that make up one index.
@@ -177,6 +178,7 @@ def _drop(shared, column: int):
         for batch in batches:
             _, spans, _ = search_texts(batch.column(column), phrases)
             yield batch.filter(pa.array([not s for s in spans], pa.bool_()))
+        release_memory()
 
     return run
 

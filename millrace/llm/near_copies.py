@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import ID_ROWS, save, small
+from millrace.llm.common import ID_ROWS, release_memory, save, small
 from millrace.llm.components import components
 from millrace.llm.forest import spanning
 
@@ -68,6 +68,12 @@ class _WordHashes(dict):
 _hashes = _WordHashes()
 
 
+def _forget_words() -> None:
+    """At the end of a task, whose process lives on for other work."""
+    _hashes.clear()
+    release_memory()
+
+
 def words_of(text: str) -> list[bytes]:
     """A-Z lower-cased, cut at ASCII white space (space and the five controls from tab to return)."""
     return text.encode("utf-8", "surrogatepass").lower().split()
@@ -145,7 +151,8 @@ def _sign(spec: Signature):
                 counts, bands, low = zip(*signed)
                 columns = [pa.array(digests, pa.binary()), pa.array(counts, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(low, pa.binary())]
                 yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), *columns], schema=_SCHEMA)
-        _hashes.clear()  # the process lives on for other work
+        known.clear()
+        _forget_words()
 
     return run
 
@@ -255,7 +262,7 @@ def _sets(spec: Signature):
                 rows = batch.slice(start, 256)
                 values = [shingles(t.as_py(), spec.shingle).tobytes() for t in rows.column(1)]
                 yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(values, pa.binary())], names=["node", "shingles"])
-        _hashes.clear()
+        _forget_words()
 
     return run
 
@@ -274,7 +281,7 @@ def _confirm(spec: Signature):
                 shared = len(np.intersect1d(kept, other, assume_unique=True))
                 verdicts.append(bool(shared) and 100 * shared >= spec.percent * (len(kept) + len(other) - shared))
             yield batch.select([0, 1]).filter(pa.array(verdicts, pa.bool_()))
-        _hashes.clear()
+        _forget_words()
 
     return run
 

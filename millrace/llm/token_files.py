@@ -9,8 +9,6 @@ frames that hold the documents it wants.
 
 from __future__ import annotations
 
-import ctypes
-import gc
 import os
 import re
 import struct
@@ -27,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from millrace.llm.common import save
+from millrace.llm.common import release_memory, save
 from millrace.session import work_dir
 
 #: Bytes of ids after which a frame ends with its document, and after which it is cut within one.
@@ -216,12 +214,7 @@ def _tokenizer(path: str, plain: bool = False):
 def _forget_words() -> None:
     """Give back what a worker process remembers of words, which stays in memory for as long as Spark keeps the process."""
     _tokenizer.cache_clear()
-    gc.collect()
-    pa.default_memory_pool().release_unused()
-    try:
-        ctypes.CDLL("libc.so.6").malloc_trim(0)
-    except (AttributeError, OSError):  # another C library gives memory back by itself or not at all
-        pass
+    release_memory()
 
 
 class Encoder:

@@ -64,3 +64,22 @@ def test_processes_keep_no_words_after_the_last_stage_or_whole_sets(monkeypatch,
     assert len(list(near_copies._sets(spec)(iter([docs])))) == 1 and not near_copies._hashes
     pairs = pa.RecordBatch.from_pydict({"a": [1], "b": [2], "x": ["some words"], "y": ["some words"]})
     assert list(near_copies._confirm(spec)(iter([pairs])))[0].num_rows == 1 and not near_copies._hashes
+
+
+def test_workers_of_spark_keep_no_hashes_of_words(spark):
+    """In a worker, where a task's function is a copy but the module is not."""
+    from millrace.llm import near_copies
+
+    df = spark.createDataFrame([(n, n, f"word{n} and others of its own") for n in range(50)], "id long, key long, body string").coalesce(1)
+    signed = df.mapInArrow(near_copies._sign(near_copies.Signature()), near_copies._SIGNED)
+
+    def held(batches):
+        import pyarrow as pa
+
+        from millrace.llm.near_copies import _hashes
+
+        for _ in batches:
+            yield pa.RecordBatch.from_pydict({"n": [len(_hashes)]})
+
+    signed.count()
+    assert {r.n for r in spark.range(64).repartition(16).mapInArrow(held, "n long").collect()} == {0}
