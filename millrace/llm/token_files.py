@@ -9,6 +9,7 @@ frames that hold the documents it wants.
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 import struct
@@ -17,6 +18,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import xxhash
 import zstandard
@@ -31,10 +33,12 @@ from millrace.session import work_dir
 #: Bytes of ids after which a frame ends with its document, and after which it is cut within one.
 FRAME_BYTES = 1 << 16
 LARGEST_FRAME = 1 << 22
-#: Different words, and pieces of words, whose ids a process remembers, and marks for words met once.
-MEMO_WORDS = 400_000
-MEMO_PIECES = 100_000
+#: Words encoded whole, and pieces of words, whose ids a process remembers, and marks for words met once.
+MEMO_WORDS = 200_000
+MEMO_PIECES = 300_000
 MEMO_MARKS = 1 << 23
+#: Bytes of texts that are encoded at a time.
+TEXT_BYTES = 1 << 22
 
 # Fixed values of the seekable format.
 SKIPPABLE = 0x184D2A5E
@@ -153,9 +157,11 @@ class FileReader:
 #: Latin letters, composed, whose lower case is one letter whatever the Unicode version.
 _LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f"
 #: Words of these and of printable ASCII but for the apostrophe, of which contractions are made.
-_PLAIN = re.compile(f"[!-&(-~{_LATIN}]+")
+_PLAIN = f"[!-&(-~{_LATIN}]*"
 #: What the tokenizer's pattern cuts such a word into.
-_PIECES = re.compile(f"[{_LATIN}]+|[0-9]|[^{_LATIN}0-9]+")
+_PIECES = re.compile(f"[{_LATIN}]+|[0-9]|\n|[^{_LATIN}0-9\n]+")
+#: Stands between the ids of two words; no vocabulary has as many.
+_BETWEEN = 0xFFFFFFFF
 #: A byte-level vocabulary's letter for each byte: printable Latin-1 stands for itself, the others,
 #: in order, for the letters from 256 on.
 _ITSELF = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -163,24 +169,18 @@ _BYTE_LETTERS = dict(zip((b for b in range(256) if b not in _ITSELF), range(256,
 
 
 class _Words(dict):
-    """The ids of words as bytes. A word that is met twice is remembered, by all tasks of a process, so
-    that the many words of one place do not push the others out; a mark for its hash tells that it
-    was met. Pieces of words are remembered as long as there is room."""
+    """The ids of words that the whole tokenizer encodes, as bytes, and those of pieces of other words. A
+    word that is met twice is remembered, by all tasks of a process, so that the many words of one place
+    do not push the others out; a mark for its hash tells that it was met. Pieces are remembered as long
+    as there is room."""
 
     def __init__(self, tokenizer):
         super().__init__()
-        self.tokenizer, self.model = tokenizer, tokenizer.model
-        self.pieces: dict[str, bytes] = {}
+        self.tokenizer, self.pieces = tokenizer, _Pieces(tokenizer.model)
         self.met = bytearray(MEMO_MARKS)
 
-    def __missing__(self, word: bytes) -> bytes:
-        text = word.decode()
-        if text.isascii() and text.isalpha():
-            ids = self.piece(text.lower())
-        elif _PLAIN.fullmatch(text) and "<|" not in text:
-            ids = b"".join(map(self.piece, _PIECES.findall(text.lower())))
-        else:
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def __missing__(self, word: str) -> bytes:
+        ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
         place = hash(word) % len(self.met)
         if self.met[place]:
             if len(self) >= MEMO_WORDS:
@@ -190,16 +190,47 @@ class _Words(dict):
         self.met[place] = 1
         return ids
 
-    def piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            tokens = self.model.tokenize(piece.encode().decode("latin-1").translate(_BYTE_LETTERS))
-            if len(self.pieces) >= MEMO_PIECES:
-                self.pieces.clear()
-            ids = self.pieces[piece] = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+    def look_up(self, words: pa.StringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of different words, one word after the other, where each word's begin, and how many it has."""
+        cut = pc.and_(pc.match_substring_regex(words, f"^(?:{_PLAIN})$"), pc.invert(pc.match_substring(words, "<|")))
+        whole = [self[w] for w in _lines(words.filter(pc.invert(cut)))]
+        marked = "".join([w + "\n" for w in _lines(words.filter(cut))]).lower()
+        ids = np.frombuffer(b"".join(map(self.pieces.__getitem__, _PIECES.findall(marked))), "<u4")
+        marks = np.flatnonzero(ids == _BETWEEN)
+        lengths = np.concatenate([np.diff(marks, prepend=-1) - 1, np.fromiter((len(w) // 4 for w in whole), np.int64, len(whole))])
+        ids = np.concatenate([ids[ids != _BETWEEN], np.frombuffer(b"".join(whole), "<u4")])
+        cut = cut.to_numpy(zero_copy_only=False)
+        order = np.where(cut, np.cumsum(cut), np.count_nonzero(cut) + np.cumsum(~cut)) - 1
+        return ids, (np.cumsum(lengths) - lengths)[order], lengths[order]
+
+
+class _Pieces(dict):
+    """The ids of pieces of words as bytes, and a mark for the end of a line."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.tokenize = model.tokenize
+
+    def __missing__(self, piece: str) -> bytes:
+        if piece == "\n":
+            ids = struct.pack("<I", _BETWEEN)
+        else:
+            letters = piece if piece.isascii() and piece.isalnum() else piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
+            tokens = self.tokenize(letters)
+            ids = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+        if len(self) >= MEMO_PIECES:
+            self.clear()
+        self[piece] = ids
         return ids
 
 
+def _lines(words: pa.StringArray) -> list[str]:
+    """Words without line breaks; by way of one text, which is faster than one by one."""
+    if not len(words):
+        return []
+    return pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words), "\n")[0].as_py().split("\n")
+
+
 @lru_cache(maxsize=1)
 def _tokenizer(path: str, plain: bool = False):
     """The tokenizer, and the ids of words that this process has met."""
@@ -221,7 +252,7 @@ class Encoder:
     """Ids of whole texts as bytes, for byte-level tokenizers that drop white space, never join across
     it, and cut texts, in lower case, into runs of letters, digits and other characters.
 
-    A text is the sequence of its words between ASCII white space, and so are its ids. A new word of
+    A text is the sequence of its words between ASCII white space, and so are its ids. A word of
     Latin letters, digits and punctuation is cut into pieces, whose ids are the model's; other words,
     and those with an apostrophe or a sign of special tokens, are encoded by the whole tokenizer.
     Tests hold this against encoding whole texts. Special tokens in a text become their ids, as by
@@ -233,9 +264,29 @@ class Encoder:
         self.end = struct.pack("<I", end_id)
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
-        for text in texts:
-            words = (text or "").encode("utf-8", "replace").split()
-            yield b"".join(map(self.words.__getitem__, words)) + self.end
+        """The ids of each text; all texts are held at once, and each of their different words is looked up once."""
+        whole = pa.array([(t or "").encode("utf-8", "replace") for t in texts], pa.binary()).cast(pa.string())
+        split = pc.ascii_split_whitespace(whole)
+        words = split.flatten().dictionary_encode()
+        ids, starts, lengths = self.words.look_up(words.dictionary)
+        places = words.indices.to_numpy()
+        ends = np.concatenate([[0], np.cumsum(lengths[places])])
+        for first, last in itertools.pairwise(split.offsets.to_pylist()):
+            own = places[first:last]
+            each = lengths[own]
+            # the ids of word after word: from its own first id on, as many as it has
+            steps = np.arange(ends[last] - ends[first]) - np.repeat(ends[first:last] - ends[first], each)
+            yield ids[np.repeat(starts[own], each) + steps].tobytes() + self.end
+
+
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows whose texts (second column) take about as many bytes as are encoded at a time, one row at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start, done = 0, 0
+    while start < batch.num_rows:
+        end = max(start + 1, int(np.searchsorted(ends, done + TEXT_BYTES, side="right")))
+        yield batch.slice(start, end - start)
+        start, done = end, int(ends[end - 1])
 
 
 _WRITTEN = pa.schema([("file", pa.string()), ("part", pa.int32()), ("docs", pa.int64()), ("tokens", pa.int64())])
@@ -253,8 +304,7 @@ def _write(folder: str, tokenizer: str, end_id: int, plain: bool, last: bool = F
         with fs.open_output_stream(hidden) as out:
             writer = FileWriter(out)
             for batch in batches:
-                for start in range(0, batch.num_rows, 128):
-                    rows = batch.slice(start, 128)
+                for rows in _slices(batch):
                     for key, ids in zip(rows.column(0).to_pylist(), encoder.encode(rows.column(1).to_pylist())):
                         writer.add(key, ids)
                         docs += 1
