@@ -179,8 +179,8 @@ class _Words(dict):
         self.tokenizer, self.pieces = tokenizer, _Pieces(tokenizer.model)
         self.met = bytearray(MEMO_MARKS)
 
-    def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+    def __missing__(self, word: bytes) -> bytes:
+        ids = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
         place = hash(word) % len(self.met)
         if self.met[place]:
             if len(self) >= MEMO_WORDS:
@@ -193,7 +193,7 @@ class _Words(dict):
     def look_up(self, words: pa.StringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The ids of different words, one word after the other, where each word's begin, and how many it has."""
         cut = pc.and_(pc.match_substring_regex(words, f"^(?:{_PLAIN})$"), pc.invert(pc.match_substring(words, "<|")))
-        whole = [self[w] for w in _lines(words.filter(pc.invert(cut)))]
+        whole = [self[w.encode()] for w in _lines(words.filter(pc.invert(cut)))]
         marked = "".join([w + "\n" for w in _lines(words.filter(cut))]).lower()
         ids = np.frombuffer(b"".join(map(self.pieces.__getitem__, _PIECES.findall(marked))), "<u4")
         marks = np.flatnonzero(ids == _BETWEEN)
