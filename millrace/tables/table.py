@@ -193,9 +193,9 @@ class VersionedTable:
     def _written(self, folders: Sequence[str], schema: T.StructType, ranges: Sequence[str]) -> list[dict[str, Any]]:
         """The files of staged folders with row counts, sizes and the ranges of some columns."""
         staged = self._read_paths(folders, schema)
-        by_file = staged.groupBy(self._inner_path(), F.col("_metadata.file_size").alias("file_size"))
+        by_file = staged.groupBy(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("file_size"))
         counted = by_file.agg(F.count(F.lit(1)).alias("record_count"), *value_range(staged, ranges))
-        found = {r["_file"]: r for r in counted.toLocalIterator()}
+        found = {r["_file"]: r for r in counted.withColumn("_file", self._inner_path("file_path")).toLocalIterator()}
         # a task without rows may leave a file that holds the schema only
         names = [f"{f}/{n}" for f in folders for n in files.child_names(self.spark, f"{self.data_path}/{f}")]
         entries = []
@@ -213,9 +213,9 @@ class VersionedTable:
         return entries
 
     @staticmethod
-    def _inner_path() -> Column:
-        """Path of a row's file below ``data/``."""
-        return F.concat_ws("/", F.slice(F.split(F.col("_metadata.file_path"), "/"), -2, 2)).alias("_file")
+    def _inner_path(path: str) -> Column:
+        """Path of a file below ``data/``, from its whole path; made once a file, since it costs more than reading a row's key."""
+        return F.concat_ws("/", F.slice(F.split(F.col(path), "/"), -2, 2)).alias("_file")
 
     def _commit(
         self,
@@ -405,8 +405,8 @@ class VersionedTable:
         if not paths:
             return []
         target = within(self._read_paths(paths, self.schema()), bounds)
-        hit = target.select(*keys, self._inner_path()).join(key_rows, keys, "left_semi")
-        return [r["_file"] for r in hit.select("_file").distinct().toLocalIterator()]
+        hit = target.select(*keys, F.col("_metadata.file_path").alias("_path")).join(key_rows, keys, "left_semi")
+        return [r["_file"] for r in hit.select("_path").distinct().select(self._inner_path("_path")).toLocalIterator()]
 
     def write(self, df: DataFrame, mode: str, keys: Sequence[str] = (), version: str | None = None) -> int:
         """Write by destination sync mode: append, overwrite, append_dedup or merge."""
