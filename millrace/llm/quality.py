@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import ID_ROWS, save, small
+from millrace.llm.common import ID_ROWS, discard, save, shuffles_dropped, small
 from millrace.llm.toxicity import held_out
 
 #: Marks before and after every word; control characters that white-space splitting leaves no word with.
@@ -104,8 +104,8 @@ def train(texts: DataFrame, spec: Model = Model()) -> DataFrame:
     from the counts of counts of each order. Every step is a group-by or an equi-join whose keys
     are n-grams, so counts and model stay sharded. One column of text; nulls are empty texts.
     """
-    counted = texts.mapInArrow(_count(spec.order), "gram string, n long")
-    model = None
+    counted = texts.mapInArrow(_count(spec.order), "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    counted, model = save(counted, "ngrams"), None
     for level, sums, unseen in _levels(counted, spec.order, _POINTS):
         backs = sums.select(F.col("context").alias("gram"), "back")
         if model is None:
@@ -114,23 +114,25 @@ def train(texts: DataFrame, spec: Model = Model()) -> DataFrame:
             model = model.join(backs.withColumnRenamed("back", "wider"), "gram", "full").select(
                 "gram", "p", F.coalesce("wider", "back").alias("back")
             )
-        model = save(model.union(level.select("gram", "p", F.lit(None).cast("double"))), "model")
+        before, model = model, save(model.union(level.select("gram", "p", F.lit(None).cast("double"))), "model")
+        discard(before)  # the model so far and the contexts joined to it
     return model
 
 
-def _levels(counted: DataFrame, order: int, kind: _Kind, base: Callable[[DataFrame], DataFrame] | None = None) -> Iterator[tuple[DataFrame, DataFrame, float]]:
+def _levels(raw: DataFrame, order: int, kind: _Kind, base: Callable[[DataFrame], DataFrame] | None = None) -> Iterator[tuple[DataFrame, DataFrame, float]]:
     """For each order from 1 up ``(gram, p)``, ``(context, total, back)`` and the uniform probability below.
 
+    ``raw``: a saved table of n-grams and their counts, which is deleted when it has been read.
     ``base``: from ``gram`` the logarithm of the distribution that single symbols are interpolated
     with (``gram``, ``log``); uniform over the symbols and one that is not seen otherwise.
     """
     size = F.expr(kind.size)
-    raw = save(counted.groupBy("gram").agg(F.sum("n").alias("n")), "ngrams")
     counts = {order: save(raw.where(size == order), "counts")}
     for k in range(order - 1, 0, -1):  # a table of counts holds every n-gram of its order once
         longer = counts[k + 1].groupBy(F.expr(kind.shorter).alias("gram")).agg(F.count("*").alias("n"))
         own = longer.where(~F.startswith("gram", F.lit(BEGIN))).union(raw.where((size == k) & F.startswith("gram", F.lit(BEGIN))))
         counts[k] = save(own.where(F.col("gram") != BEGIN), "counts")
+    discard(raw)
     lower, uniform = None, 1.0
     for k in range(1, order + 1):
         n = {r["n"]: r["m"] for r in counts[k].where("n <= 4").groupBy("n").agg(F.count("*").alias("m")).collect()}
@@ -152,6 +154,7 @@ def _levels(counted: DataFrame, order: int, kind: _Kind, base: Callable[[DataFra
             joined = own.withColumn("short", F.expr(kind.shorter)).join(below, "short")
             level = joined.select("gram", (F.col("own") + F.col("back") * F.col("p_short")).alias("p"))
         lower = save(level, "level")
+        discard(counts.pop(k))
         yield lower, sums, uniform
 
 
@@ -238,7 +241,9 @@ def score_words(rows: DataFrame, model: WordModel) -> DataFrame:
     sums = every.groupBy("d1", "d2").agg(F.sum(F.col("n") * F.col("log")).alias("log"), F.sum(F.col("n") * F.col("symbols")).alias("symbols"))
     copies = slim.groupBy("d1", "d2").agg(F.count("*").alias("copies"))
     each = sums.join(copies, ["d1", "d2"]).select("d1", "d2", (F.col("log") / F.col("copies")).alias("log"), (F.col("symbols") / F.col("copies")).cast("long").alias("symbols"))
-    whole = slim.join(save(each, "sums"), ["d1", "d2"], "left").drop("d1", "d2")
+    each = save(each, "sums")
+    discard(looked)
+    whole = slim.join(each, ["d1", "d2"], "left").drop("d1", "d2")
     return whole.withColumns({"log": F.coalesce("log", F.lit(0.0)), "symbols": F.coalesce("symbols", F.lit(0))})
 
 
@@ -358,9 +363,11 @@ def judge_quality(
     ids = save(trusted.where(F.col(key).isNotNull()).select(F.col(key).alias("id")).distinct(), "trusted")
     rows = docs.select(F.col(key).alias("id"), F.col(lang).alias("lang"), F.coalesce(text, F.lit("")).alias("body"))
     good = rows.where(~held_out(F.col("id"))).join(small(ids, ID_ROWS), "id", "left_semi")
-    model = train_words(good.select("body"), spec)
     perplexity = F.when(F.col("symbols") > 0, F.exp(-F.col("log") / F.col("symbols")))
-    scored = save(score_words(rows, model).select("id", "lang", "symbols", perplexity.alias("perplexity")), "scores")
+    with shuffles_dropped(docs.sparkSession):
+        model = train_words(good.select("body"), spec)
+        scored = save(score_words(rows, model).select("id", "lang", "symbols", perplexity.alias("perplexity")), "scores")
+    discard(*model.levels, *model.contexts, model.points)
     unseen = scored.where(held_out(F.col("id")) & F.col("perplexity").isNotNull()).join(ids, "id", "left_semi")
     cut = F.percentile_approx("perplexity", spec.quantile, 10_000) * spec.slack
     by_lang = unseen.groupBy(F.coalesce("lang", F.lit("")).alias("tongue")).agg(cut.alias("own"))
