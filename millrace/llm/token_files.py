@@ -39,6 +39,8 @@ MEMO_PIECES = 300_000
 MEMO_MARKS = 1 << 23
 #: Bytes of texts that are encoded at a time.
 TEXT_BYTES = 1 << 22
+#: By what these are divided where an executor's memory holds other stages' leavings too.
+LEAN = 4
 
 # Fixed values of the seekable format.
 SKIPPABLE = 0x184D2A5E
@@ -172,18 +174,18 @@ class _Words(dict):
     """The ids of words that the whole tokenizer encodes, as bytes, and those of pieces of other words. A
     word that is met twice is remembered, by all tasks of a process, so that the many words of one place
     do not push the others out; a mark for its hash tells that it was met. Pieces are remembered as long
-    as there is room."""
+    as there is room. ``share``: what the room is divided by."""
 
-    def __init__(self, tokenizer):
+    def __init__(self, tokenizer, share: int = 1):
         super().__init__()
-        self.tokenizer, self.pieces = tokenizer, _Pieces(tokenizer.model)
-        self.met = bytearray(MEMO_MARKS)
+        self.tokenizer, self.pieces, self.most = tokenizer, _Pieces(tokenizer.model, MEMO_PIECES // share), MEMO_WORDS // share
+        self.met = bytearray(MEMO_MARKS // share)
 
     def __missing__(self, word: bytes) -> bytes:
         ids = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
         place = hash(word) % len(self.met)
         if self.met[place]:
-            if len(self) >= MEMO_WORDS:
+            if len(self) >= self.most:
                 self.clear()
                 self.met = bytearray(len(self.met))
             self[word] = ids
@@ -207,9 +209,9 @@ class _Words(dict):
 class _Pieces(dict):
     """The ids of pieces of words as bytes, and a mark for the end of a line."""
 
-    def __init__(self, model):
+    def __init__(self, model, most: int):
         super().__init__()
-        self.tokenize = model.tokenize
+        self.tokenize, self.most = model.tokenize, most
 
     def __missing__(self, piece: str) -> bytes:
         if piece == "\n":
@@ -218,7 +220,7 @@ class _Pieces(dict):
             letters = piece if piece.isascii() and piece.isalnum() else piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
             tokens = self.tokenize(letters)
             ids = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
-        if len(self) >= MEMO_PIECES:
+        if len(self) >= self.most:
             self.clear()
         self[piece] = ids
         return ids
@@ -232,14 +234,14 @@ def _lines(words: pa.StringArray) -> list[str]:
 
 
 @lru_cache(maxsize=1)
-def _tokenizer(path: str, plain: bool = False):
+def _tokenizer(path: str, plain: bool = False, share: int = 1):
     """The tokenizer, and the ids of words that this process has met."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = plain
-    return tokenizer, _Words(tokenizer)
+    return tokenizer, _Words(tokenizer, share)
 
 
 def _forget_words() -> None:
@@ -256,11 +258,12 @@ class Encoder:
     Latin letters, digits and punctuation is cut into pieces, whose ids are the model's; other words,
     and those with an apostrophe or a sign of special tokens, are encoded by the whole tokenizer.
     Tests hold this against encoding whole texts. Special tokens in a text become their ids, as by
-    the tokenizer's own call; with ``plain`` they are encoded as the text they are.
+    the tokenizer's own call; with ``plain`` they are encoded as the text they are. ``share``: what
+    the room for words and pieces is divided by.
     """
 
-    def __init__(self, path: str, end_id: int, plain: bool = False):
-        self.words = _tokenizer(path, plain)[1]
+    def __init__(self, path: str, end_id: int, plain: bool = False, share: int = 1):
+        self.words = _tokenizer(path, plain, share)[1]
         self.end = struct.pack("<I", end_id)
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
@@ -279,12 +282,12 @@ class Encoder:
             yield ids[np.repeat(starts[own], each) + steps].tobytes() + self.end
 
 
-def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+def _slices(batch: pa.RecordBatch, share: int = 1) -> Iterator[pa.RecordBatch]:
     """Rows whose texts (second column) take about as many bytes as are encoded at a time, one row at least."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     start, done = 0, 0
     while start < batch.num_rows:
-        end = max(start + 1, int(np.searchsorted(ends, done + TEXT_BYTES, side="right")))
+        end = max(start + 1, int(np.searchsorted(ends, done + TEXT_BYTES // share, side="right")))
         yield batch.slice(start, end - start)
         start, done = end, int(ends[end - 1])
 
@@ -300,14 +303,17 @@ def _write(folder: str, tokenizer: str, end_id: int, plain: bool, last: bool = F
         fs, base = filesystem(folder)
         name = f"part-{task.partitionId():06d}.zst"
         hidden = f"{base}/.{name}.{task.taskAttemptId()}"
-        encoder, writer, docs = Encoder(tokenizer, end_id, plain), None, 0
+        share = LEAN if last else 1
+        encoder, writer, docs = Encoder(tokenizer, end_id, plain, share), None, 0
         with fs.open_output_stream(hidden) as out:
             writer = FileWriter(out)
             for batch in batches:
-                for rows in _slices(batch):
+                for rows in _slices(batch, share):
                     for key, ids in zip(rows.column(0).to_pylist(), encoder.encode(rows.column(1).to_pylist())):
                         writer.add(key, ids)
                         docs += 1
+                if last:
+                    release_memory()
             tokens = writer.finish()
         if last:  # Spark hands the next task to the process that has waited longest, and each would hold its words
             del encoder, writer.compressor
@@ -331,7 +337,7 @@ def write_token_files(
     appears by a rename when it is complete. Equal keys are ordered by text, null keys come first. A
     null text is empty: only the end id. ``plain``: special tokens in a text are encoded as text (see
     :class:`Encoder`). ``last``: processes that have run other stages forget their words after each file, which
-    costs a new start for each and holds them for running tasks only. The table has ``file``, ``part``, ``docs``, ``tokens`` and
+    costs a new start for each and holds them for running tasks only, and remember and encode less at a time (``LEAN``). The table has ``file``, ``part``, ``docs``, ``tokens`` and
     ``base``, the number of ids in all files before (one row a file).
     """
     fs, base = filesystem(folder)
