@@ -315,24 +315,27 @@ def _by_joins(rows: DataFrame, model: DataFrame, spec: Model) -> DataFrame:
 
 
 def _word_logs(words: DataFrame, model: DataFrame, spec: Model) -> DataFrame:
-    """``(word, log, symbols)`` of different words by joins with the sharded model."""
+    """``(word, log, symbols)`` of different words by joins with the sharded model. What a symbol gets depends
+    on the n-gram that ends with it, up to the order; words share these, and each is looked up once."""
     marked = F.concat(F.lit(BEGIN), "word", F.lit(END))
     ends = words.select("word", marked.alias("marked"))
     ends = ends.select("word", "marked", F.explode(F.sequence(F.lit(2), F.char_length("marked"))).alias("end"))
-    spots = ends.select(
-        "word", "end", F.explode(F.sequence(F.lit(0), F.least(F.col("end"), F.lit(spec.order)))).alias("size"), "marked"
-    ).select("word", "end", "size", F.expr("substring(marked, end - size + 1, size)").alias("gram"))
-    found = spots.join(model.select("gram", "p"), "gram", "left").where("p is not null").groupBy("word", "end").agg(
+    spots = ends.select("word", F.expr(f"substring(marked, greatest(end - {spec.order - 1}, 1), least(end, {spec.order}))").alias("spot"))
+    different = save(spots.select("spot").distinct(), "spots")
+    parts = different.select("spot", F.explode(F.sequence(F.lit(0), F.char_length("spot"))).alias("size"))
+    parts = parts.withColumn("gram", F.expr("substring(spot, char_length(spot) - size + 1, size)"))
+    found = parts.join(model.select("gram", "p"), "gram", "left").where("p is not null").groupBy("spot").agg(
         F.max_by("p", "size").alias("p"), F.max("size").alias("size")
     )
     # Weights of the contexts that are longer than the n-gram found.
-    contexts = spots.withColumn("gram", F.expr("substring(gram, 1, size - 1)")).where("size > 0").join(model.select("gram", "back"), "gram")
-    longer = contexts.select("word", "end", F.col("size").alias("wide"), "back").where("back is not null")
-    weights = longer.join(found.select("word", "end", "size"), ["word", "end"]).where("wide > size").groupBy("word", "end").agg(
-        F.sum(F.log("back")).alias("weight")
-    )
-    symbol = found.join(weights, ["word", "end"], "left").withColumn("log", F.log("p") + F.coalesce("weight", F.lit(0.0)))
-    return save(symbol.groupBy("word").agg(F.sum("log").alias("log"), F.count("*").alias("symbols")), "logs")
+    contexts = parts.withColumn("gram", F.expr("substring(gram, 1, size - 1)")).where("size > 0").join(model.select("gram", "back"), "gram")
+    longer = contexts.select("spot", F.col("size").alias("wide"), "back").where("back is not null")
+    weights = longer.join(found.select("spot", "size"), "spot").where("wide > size").groupBy("spot").agg(F.sum(F.log("back")).alias("weight"))
+    symbol = found.join(weights, "spot", "left").select("spot", (F.log("p") + F.coalesce("weight", F.lit(0.0))).alias("log"))
+    symbol = save(symbol, "spot-logs")
+    logs = save(spots.join(small(symbol), "spot").groupBy("word").agg(F.sum("log").alias("log"), F.count("*").alias("symbols")), "logs")
+    discard(different, symbol)
+    return logs
 
 
 def score(rows: DataFrame, model: DataFrame, spec: Model = Model()) -> DataFrame:
